@@ -517,6 +517,8 @@ FROM silver""",
 FROM bronze""",
         "feeder_baseline": with_layers("dirty", upto="dq")
         + f"SELECT composite_feeder_id, zscore_mean, {f32('zscore_stddev')}, zscore_history_count FROM baseline",
+        "feeder_baseline_moments": with_layers("dirty", upto="dq")
+        + f"SELECT composite_feeder_id, zscore_mean, {f32('zscore_stddev')}, zscore_history_count FROM baseline",
         "dq_zscore": with_layers(upto="dq") + f"SELECT {DQ_SELECT} FROM dq",
         "dq_zscore_dirty": with_layers("dirty", upto="dq") + f"SELECT {DQ_SELECT} FROM dq",
         "dq_zscore_low_clip": with_layers(upto="dq", threshold=LOW_CLIP_THRESHOLD) + f"SELECT {DQ_SELECT} FROM dq",
@@ -620,6 +622,7 @@ UNION ALL SELECT 'gold_profile', count(*) FROM profile"""
     return {
         "daily_transform": day + counts,
         "write_silver": day + f"SELECT {DQ_SELECT} FROM dq",
+        "write_silver_moments": day + f"SELECT {DQ_SELECT} FROM dq",
         "write_gold_peak": day + f"SELECT {PEAK_SELECT} FROM peak",
         "write_gold_profile": day + f"SELECT {PROFILE_SELECT} FROM profile",
         "backfill_range": full + "SELECT collection_date, dq_action, count(*) AS row_count FROM dq GROUP BY 1, 2",

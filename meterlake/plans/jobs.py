@@ -26,11 +26,11 @@ from pyspark.sql import functions as F
 
 from meterlake.config import PipelineConfig, date_span, parse_run_date
 from meterlake.operators.gold import build_gold_load_profile, build_gold_peak
-from meterlake.operators.quality import gold_input
+from meterlake.operators.quality import baseline_from_moments, feeder_day_moments, gold_input
 from meterlake.plans.layers import silver_with_quality
 from meterlake.session import ensure_utc
 from meterlake.sinks.writers import overwrite_partition, overwrite_partitions, partition_path, write_run_log
-from meterlake.sources.bronze import read_bronze
+from meterlake.sources.bronze import date_range_slice, read_bronze, run_date_slice
 
 
 @dataclass(frozen=True)
@@ -50,13 +50,41 @@ def _rows(obs: Observation) -> int:
     return int(obs.get.get("rows") or 0)
 
 
+def build_moments(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame) -> None:
+    """(Re)write the whole per-(feeder, day) moments table from Bronze."""
+    moments = feeder_day_moments(bronze)
+    moments.write.mode("overwrite").partitionBy("reading_date").parquet(cfg.moments_uri)
+
+
+def refresh_moments(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame, days: list[date]) -> None:
+    """Rewrite the moments of the given days (their Bronze rows changed), in one job."""
+    if len(days) == 1:
+        overwrite_partition(feeder_day_moments(run_date_slice(bronze, days[0])), cfg.moments_uri, "reading_date", days[0])
+    else:
+        rows = date_range_slice(bronze, days[0], days[-1])
+        overwrite_partitions(feeder_day_moments(rows), cfg.moments_uri, "reading_date", days)
+
+
+def _baseline(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame, days: list[date]) -> DataFrame | None:
+    """``None`` -> aggregate all of Bronze; else merge the stored moments after refreshing ``days``.
+
+    The moments table must cover every Bronze day (``build_moments`` once);
+    the run refreshes its own days, so late rows of those days are included.
+    """
+    if cfg.baseline_mode != "moments":
+        return None
+    refresh_moments(spark, cfg, bronze, days)
+    return baseline_from_moments(spark.read.parquet(cfg.moments_uri))
+
+
 def daily_transform(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame | None = None) -> TransformCounts:
     """Silver + two Gold partitions for ``cfg.run_date``; returns the row counts."""
     ensure_utc(spark)
     day = parse_run_date(cfg.run_date)
     bronze = bronze if bronze is not None else read_bronze(spark, cfg.source_uri)
     silver = silver_with_quality(
-        bronze, run_date=day, threshold=cfg.zscore_threshold, min_history_rows=cfg.zscore_min_history_rows
+        bronze, run_date=day, threshold=cfg.zscore_threshold, min_history_rows=cfg.zscore_min_history_rows,
+        baseline=_baseline(spark, cfg, bronze, [day]),
     )
     silver_obs_df, silver_obs = _observed_rows(silver, "silver")
     silver_path = overwrite_partition(silver_obs_df, cfg.silver_uri, "collection_date", day)
@@ -114,7 +142,7 @@ def backfill_range(
 
     silver = silver_with_quality(
         bronze, start=days[0], end=days[-1], threshold=cfg.zscore_threshold,
-        min_history_rows=cfg.zscore_min_history_rows,
+        min_history_rows=cfg.zscore_min_history_rows, baseline=_baseline(spark, cfg, bronze, days),
     )
     overwrite_partitions(silver, cfg.silver_uri, "collection_date", days)
     written = (

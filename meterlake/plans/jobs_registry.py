@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from meterlake.config import load_config
 from meterlake.plans import insights as I
-from meterlake.plans.jobs import backfill_range, daily_transform, run_with_log
+from meterlake.plans.jobs import backfill_range, build_moments, daily_transform, run_with_log
 from meterlake.registry import (
     DQ_FLAT,
     DQ_NOISY,
@@ -65,6 +65,16 @@ def q_write_silver(spark, sf):
     return f32(_read_day(spark, cfg.silver_uri, "collection_date").select(*DQ_FLAT), DQ_NOISY)
 
 
+def q_write_silver_moments(spark, sf):
+    """The daily job with the stored-moments baseline: same Silver rows as the full scan."""
+    cfg = load_config(warehouse_uri=scratch_path(spark, "warehouse"), source_uri="fixture", run_date=RUN_DATE,
+                      baseline_mode="moments")
+    bronze = _bronze(spark, sf)
+    build_moments(spark, cfg, bronze)
+    daily_transform(spark, cfg, bronze=bronze)
+    return f32(_read_day(spark, cfg.silver_uri, "collection_date").select(*DQ_FLAT), DQ_NOISY)
+
+
 def q_write_gold_peak(spark, sf):
     cfg = _daily(spark, sf)
     return f32(_read_day(spark, cfg.gold_peak_uri, "consumption_date").select(*GOLD_PEAK_COLUMNS), PEAK_NOISY)
@@ -155,6 +165,7 @@ def q_run_insights(spark, sf):
 JOBS = {
     "daily_transform": q_daily_transform,
     "write_silver": q_write_silver,
+    "write_silver_moments": q_write_silver_moments,
     "write_gold_peak": q_write_gold_peak,
     "write_gold_profile": q_write_gold_profile,
     "backfill_range": q_backfill_range,

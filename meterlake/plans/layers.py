@@ -6,11 +6,10 @@ use them directly.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 from datetime import date
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from meterlake.config import DEFAULT_MIN_HISTORY_ROWS, DEFAULT_ZSCORE_THRESHOLD
 from meterlake.functions.columns import as_timestamp
@@ -20,13 +19,28 @@ from meterlake.operators.silver import TS, build_silver
 from meterlake.sources.bronze import date_range_slice, run_date_slice
 
 
-@dataclass(frozen=True)
 class Layers:
-    bronze: DataFrame
-    silver: DataFrame
-    gold_in: DataFrame
-    peak: DataFrame
-    profile: DataFrame
+    """Bronze and the frames derived from it; each is built on first access."""
+
+    def __init__(self, bronze: DataFrame, **kwargs):
+        self.bronze = bronze
+        self._kwargs = kwargs
+
+    @cached_property
+    def silver(self) -> DataFrame:
+        return silver_with_quality(self.bronze, **self._kwargs)
+
+    @cached_property
+    def gold_in(self) -> DataFrame:
+        return gold_input(self.silver)
+
+    @cached_property
+    def peak(self) -> DataFrame:
+        return build_gold_peak(self.gold_in)
+
+    @cached_property
+    def profile(self) -> DataFrame:
+        return build_gold_load_profile(self.gold_in)
 
 
 def current_rows(bronze: DataFrame, run_date: date | str | None = None, start=None, end=None) -> DataFrame:
@@ -60,12 +74,5 @@ def silver_with_quality(
 
 
 def build_layers(bronze: DataFrame, **kwargs) -> Layers:
-    silver = silver_with_quality(bronze, **kwargs)
-    gin = gold_input(silver)
-    return Layers(bronze=bronze, silver=silver, gold_in=gin, peak=build_gold_peak(gin), profile=build_gold_load_profile(gin))
-
-
-def day_type_label(df: DataFrame, date_col: str = "consumption_date") -> DataFrame:
-    from meterlake.functions.columns import day_type
-
-    return df.withColumn("day_type", day_type(F.col(date_col)))
+    """Lazy Silver/Gold frames over ``bronze`` (keyword arguments as :func:`silver_with_quality`)."""
+    return Layers(bronze, **kwargs)

@@ -169,6 +169,12 @@ def q_feeder_baseline(spark, sf):
     return f32(feeder_baseline(_bronze(spark, sf, "dirty")), ["zscore_stddev"])
 
 
+def q_feeder_baseline_moments(spark, sf):
+    from meterlake.operators.quality import baseline_from_moments, feeder_day_moments
+
+    return f32(baseline_from_moments(feeder_day_moments(_bronze(spark, sf, "dirty"))), ["zscore_stddev"])
+
+
 def _dq(spark, sf, variant="clean", **kw):
     return f32(_layers(spark, sf, variant, **kw).silver.select(*DQ_FLAT), DQ_NOISY)
 
@@ -344,6 +350,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "slot_to_hhmm": q_slot_to_hhmm,
         "coerce_numeric": q_coerce_numeric,
         "feeder_baseline": q_feeder_baseline,
+        "feeder_baseline_moments": q_feeder_baseline_moments,
         "dq_zscore": q_dq_zscore,
         "dq_zscore_dirty": q_dq_zscore_dirty,
         "dq_zscore_low_clip": q_dq_zscore_low_clip,

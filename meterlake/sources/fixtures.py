@@ -18,8 +18,7 @@ never remove rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from meterlake.session import ensure_utc
 
@@ -30,9 +29,36 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
-def _floor_30min(ts: Column) -> Column:
-    secs = F.unix_seconds(ts)
-    return F.timestamp_seconds(secs - secs % F.lit(1800))
+def _exprs(variant: str) -> list[str]:
+    """The mapping as SQL expressions (parsed once on the JVM side)."""
+    sub = "CAST(floor(user_id / 3) AS BIGINT)"
+    k = "CAST(get_json_object(props, '$.k') AS BIGINT)"
+    c = "CAST(round(value * 100) AS BIGINT)"
+    secs = "unix_seconds(CAST(ts AS TIMESTAMP))"
+    dno = f"concat('DNO_', CAST({sub} % 5 AS STRING))"
+    devices = f"{k} + 1"
+    consumption = c
+    ts = "CAST(ts AS TIMESTAMP)" if variant == "offgrid" else f"timestamp_seconds({secs} - {secs} % 1800)"
+    substation = f"concat('SS', CAST({sub} AS STRING))"
+    if variant == "dirty":
+        dno = f"CASE WHEN {sub} % 10 != 7 THEN {dno} END"
+        devices = k
+        consumption = f"CASE WHEN event_id % 97 = 0 THEN -{c} WHEN event_id % 83 = 0 THEN NULL ELSE {c} END"
+        ts = f"CASE WHEN event_id % 79 != 0 THEN {ts} END"
+        substation = f"CASE WHEN event_id % 89 = 0 THEN '' WHEN event_id % 101 = 0 THEN NULL ELSE {substation} END"
+    x = f"CAST({sub} % 180 AS DOUBLE)"
+    y = f"CAST({sub} % 90 AS DOUBLE)"
+    return [
+        "CAST(event_id AS STRING) AS dataset_id",
+        f"{dno} AS dno_alias",
+        f"CAST({devices} AS BIGINT) AS aggregated_device_count_active",
+        f"CAST({consumption} AS BIGINT) AS total_consumption_active_import",
+        f"{ts} AS data_collection_log_timestamp",
+        f"named_struct('x', {x}, 'y', {y}) AS geometry",
+        f"CAST({substation} AS STRING) AS secondary_substation_unique_id",
+        "concat('F', CAST(user_id % 3 AS STRING)) AS lv_feeder_unique_id",
+        f"named_struct('xmin', {x}, 'ymin', {y}, 'xmax', {x}, 'ymax', {y}) AS bbox",
+    ]
 
 
 def readings(spark: SparkSession, sf_dir: str, variant: str = "clean") -> DataFrame:
@@ -40,38 +66,4 @@ def readings(spark: SparkSession, sf_dir: str, variant: str = "clean") -> DataFr
     if variant not in VARIANTS:
         raise ValueError(f"unknown variant {variant!r}; expected one of {VARIANTS}")
     ensure_utc(spark)
-    ev = events(spark, sf_dir).select("event_id", "ts", "user_id", "value", "props")
-
-    sub = F.floor(F.col("user_id") / F.lit(3)).cast("bigint")
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    consumption = F.round(F.col("value") * F.lit(100)).cast("bigint")
-    ts = F.col("ts").cast("timestamp")
-    event_id = F.col("event_id")
-
-    dno = F.concat(F.lit("DNO_"), (sub % 5).cast("string"))
-    devices = k + F.lit(1)
-    timestamp = ts if variant == "offgrid" else _floor_30min(ts)
-    substation = F.concat(F.lit("SS"), sub.cast("string"))
-
-    if variant == "dirty":
-        dno = F.when(sub % 10 != 7, dno)
-        devices = k
-        consumption = (
-            F.when(event_id % 97 == 0, -consumption).when(event_id % 83 == 0, F.lit(None)).otherwise(consumption)
-        )
-        timestamp = F.when(event_id % 79 != 0, timestamp)
-        substation = F.when(event_id % 89 == 0, F.lit("")).when(event_id % 101 == 0, F.lit(None)).otherwise(substation)
-
-    x = (sub % 180).cast("double")
-    y = (sub % 90).cast("double")
-    return ev.select(
-        event_id.cast("string").alias("dataset_id"),
-        dno.alias("dno_alias"),
-        devices.cast("bigint").alias("aggregated_device_count_active"),
-        consumption.cast("bigint").alias("total_consumption_active_import"),
-        timestamp.alias("data_collection_log_timestamp"),
-        F.struct(x.alias("x"), y.alias("y")).alias("geometry"),
-        substation.cast("string").alias("secondary_substation_unique_id"),
-        F.concat(F.lit("F"), (F.col("user_id") % 3).cast("string")).alias("lv_feeder_unique_id"),
-        F.struct(x.alias("xmin"), y.alias("ymin"), x.alias("xmax"), y.alias("ymax")).alias("bbox"),
-    )
+    return events(spark, sf_dir).selectExpr(*_exprs(variant))
