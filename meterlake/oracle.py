@@ -603,6 +603,7 @@ GROUP BY collection_date ORDER BY collection_date DESC LIMIT 1""",
     }
     sql.update(_insights())
     sql.update(_jobs())
+    sql.update(_composites(sql))
     assert all_rows
     return sql
 
@@ -643,3 +644,137 @@ SELECT dno_alias, {f32("sum(daily_total_consumption)", "total_consumption")},
        {f32("sum(daily_total_consumption) / sum(sum(daily_total_consumption)) OVER ()", "share_of_total")}
 FROM peak GROUP BY 1""",
     }
+
+
+def _hhmm(slot: str) -> str:
+    return f"lpad(CAST({slot} // 2 AS VARCHAR), 2, '0') || ':' || CASE WHEN {slot} % 2 = 1 THEN '30' ELSE '00' END"
+
+
+def _summary() -> str:
+    day_type = "CASE WHEN isodow(consumption_date) IN (6, 7) THEN 'weekend' ELSE 'weekday' END"
+    v = "CAST(NULL AS DOUBLE)"
+    return with_layers("clean") + f""",
+top AS (
+  SELECT dno_alias, secondary_substation_unique_id AS sub, avg(daily_total_consumption) AS a,
+         max(peak_consumption) AS m
+  FROM peak GROUP BY 1, 2
+  ORDER BY a DESC NULLS LAST, dno_alias ASC NULLS FIRST, sub ASC NULLS FIRST LIMIT 1
+),
+daily AS (
+  SELECT consumption_date, dno_alias, sum(daily_total_consumption) AS t,
+         count(DISTINCT secondary_substation_unique_id) AS n
+  FROM peak GROUP BY 1, 2
+  ORDER BY t DESC NULLS LAST, consumption_date ASC NULLS FIRST, dno_alias ASC NULLS FIRST LIMIT 1
+),
+shape AS (
+  SELECT half_hour_slot AS slot, avg(avg_consumption) AS m FROM profile GROUP BY hour_of_day, minute_of_hour, half_hour_slot
+),
+shape_hi AS (SELECT slot, m FROM shape ORDER BY m DESC NULLS LAST, slot ASC LIMIT 1),
+shape_lo AS (SELECT slot, m FROM shape ORDER BY m ASC NULLS FIRST, slot DESC LIMIT 1),
+ww AS (
+  SELECT {day_type} AS day_type, half_hour_slot, avg(avg_consumption) AS mean_avg
+  FROM profile GROUP BY 1, 2
+),
+ww_means AS (
+  SELECT avg(CASE WHEN day_type = 'weekday' THEN coalesce(mean_avg, 0) END) AS wd,
+         avg(CASE WHEN day_type = 'weekend' THEN coalesce(mean_avg, 0) END) AS we
+  FROM ww
+),
+sub_totals AS (
+  SELECT secondary_substation_unique_id AS sub, sum(daily_total_consumption) AS total FROM peak GROUP BY 1
+),
+fleet AS (SELECT sum(daily_total_consumption) AS f FROM peak),
+top10 AS (
+  SELECT row_number() OVER (ORDER BY total DESC NULLS LAST, sub ASC NULLS FIRST) AS rn,
+         total / NULLIF((SELECT f FROM fleet), 0) AS share
+  FROM sub_totals
+),
+conc AS (
+  SELECT sum(CASE WHEN rn <= 5 THEN coalesce(share, 0) END) * 100 AS top5,
+         sum(CASE WHEN rn <= 10 THEN coalesce(share, 0) END) * 100 AS top10,
+         count(*) FILTER (WHERE rn <= 10) AS n
+  FROM top10
+),
+win AS (
+  SELECT sum(CASE WHEN hour(peak_timestamp) BETWEEN 17 AND 20 THEN 1 ELSE 0 END) / CAST(count(*) AS DOUBLE) AS ev,
+         sum(CASE WHEN hour(peak_timestamp) BETWEEN 0 AND 5 THEN 1 ELSE 0 END) / CAST(count(*) AS DOUBLE) AS ov
+  FROM peak
+),
+vol_d AS (SELECT consumption_date, sum(daily_total_consumption) AS t FROM peak GROUP BY 1),
+vol AS (
+  SELECT stddev_pop(t) / NULLIF(avg(t), 0) AS cv, stddev_pop(t) AS sd, avg(t) AS mean FROM vol_d
+),
+ramp_l AS (SELECT {day_type} AS day_type, half_hour_slot, avg_consumption FROM profile),
+ramp AS (
+  SELECT day_type,
+         avg(CASE WHEN half_hour_slot BETWEEN 34 AND 41 THEN avg_consumption END)
+           / NULLIF(avg(CASE WHEN half_hour_slot BETWEEN 4 AND 11 THEN avg_consumption END), 0) AS ratio
+  FROM ramp_l GROUP BY 1
+),
+ramp_w AS (
+  SELECT max(CASE WHEN day_type = 'weekday' THEN coalesce(ratio, 0) END) AS wd,
+         max(CASE WHEN day_type = 'weekend' THEN coalesce(ratio, 0) END) AS we,
+         count(*) FILTER (WHERE day_type = 'weekday') AS n_wd,
+         count(*) FILTER (WHERE day_type = 'weekend') AS n_we
+  FROM ramp
+),
+skew_s AS (
+  SELECT dno_alias, secondary_substation_unique_id, avg(daily_total_consumption) AS mdt FROM peak GROUP BY 1, 2
+),
+skew AS (
+  SELECT dno_alias, avg(mdt) / NULLIF(quantile_disc(mdt, 0.5), 0) AS ratio FROM skew_s GROUP BY 1
+  ORDER BY ratio DESC NULLS LAST, dno_alias ASC NULLS FIRST LIMIT 1
+),
+findings AS (
+  SELECT 1 AS finding_order, 'top_substation' AS finding,
+         concat_ws(' ', sub, '(' || dno_alias || ')') AS subject,
+         coalesce(a, 0) AS value_1, coalesce(m, 0) AS value_2, {v} AS value_3 FROM top
+  UNION ALL
+  SELECT 2, 'highest_demand_day', concat_ws(' ', CAST(consumption_date AS VARCHAR), '(' || dno_alias || ')'),
+         coalesce(t, 0), CAST(n AS DOUBLE), {v} FROM daily
+  UNION ALL
+  SELECT 3, 'load_shape_peak_trough', {_hhmm("h.slot")} || '/' || {_hhmm("l.slot")},
+         coalesce(h.m, 0), coalesce(l.m, 0), {v} FROM shape_hi h, shape_lo l
+  UNION ALL
+  SELECT 4, 'weekday_weekend_delta', 'weekend vs weekday', wd, we,
+         CASE WHEN wd <> 0 THEN (we - wd) / wd * 100 ELSE 0 END FROM ww_means
+  WHERE wd IS NOT NULL AND we IS NOT NULL
+  UNION ALL
+  SELECT 5, 'demand_concentration', 'top 5 / top 10 substations', top5, top10, {v} FROM conc WHERE n > 0
+  UNION ALL
+  SELECT 6, 'peak_timing', 'evening 17-20 / overnight 0-5', coalesce(ev, 0) * 100, coalesce(ov, 0) * 100, {v}
+  FROM win
+  UNION ALL
+  SELECT 7, 'volatility', 'daily system total', coalesce(cv, 0), coalesce(sd, 0), coalesce(mean, 0) FROM vol
+  UNION ALL
+  SELECT 8, 'evening_ramp', 'weekday / weekend', wd, we, {v} FROM ramp_w WHERE n_wd > 0 AND n_we > 0
+  UNION ALL
+  SELECT 9, 'skew_alert', dno_alias, coalesce(ratio, 0), {v}, {v} FROM skew WHERE coalesce(ratio, 0) > 10
+)
+SELECT CAST(finding_order AS INTEGER) AS finding_order, finding, subject,
+       {f32("value_1")}, {f32("value_2")}, {f32("value_3")}
+FROM findings"""
+
+
+def _composites(sql: dict[str, str]) -> dict[str, str]:
+    checks = [
+        ("qa_freshness", "freshness_status"),
+        ("qa_completeness", "completeness_status"),
+        ("qa_uniqueness", "uniqueness_status"),
+        ("qa_nulls", "null_check_status"),
+        ("qa_business_rules", "business_rule_status"),
+    ]
+    suite = "\nUNION ALL\n".join(
+        f"SELECT {i} AS check_order, '{name}' AS check_name, run_date, {col} AS status FROM ({sql[name]}) q{i}"
+        for i, (name, col) in enumerate(checks, start=1)
+    )
+    insight_keys = [
+        "insight_date_coverage", "insight_top_substations", "insight_system_peak_day", "insight_load_shape",
+        "insight_weekday_weekend_profile", "insight_substation_concentration", "insight_peak_window",
+        "insight_volatility", "insight_evening_ramp", "insight_dno_outlier_screen", "insight_dno_share",
+        "insight_peak_hour_distribution",
+    ]
+    counts = "\nUNION ALL\n".join(
+        f"SELECT '{k}' AS insight, count(*) AS row_count FROM ({sql[k]}) q{i}" for i, k in enumerate(insight_keys)
+    )
+    return {"qa_suite": suite, "run_insights": counts, "insight_summary": _summary()}
