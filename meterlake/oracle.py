@@ -130,7 +130,7 @@ GOLD_CTES = """gin AS (
   FROM dq
   WHERE dq_action <> 'DROP'
 ),
-peak_ranked AS (
+group_first AS (
   SELECT collection_date, dno_alias, secondary_substation_unique_id,
          total_consumption_active_import AS pc, data_collection_log_timestamp AS pt,
          row_number() OVER (PARTITION BY collection_date, dno_alias, secondary_substation_unique_id
@@ -138,7 +138,7 @@ peak_ranked AS (
                                      data_collection_log_timestamp ASC NULLS FIRST) AS rn
   FROM gin
 ),
-stats AS (
+group_stats AS (
   SELECT collection_date, dno_alias, secondary_substation_unique_id,
          sum(total_consumption_active_import) AS daily_total_consumption,
          avg(total_consumption_active_import) AS avg_half_hour_consumption,
@@ -153,8 +153,8 @@ peak AS (
          r.pc AS peak_consumption, r.pt AS peak_timestamp,
          s.daily_total_consumption, s.avg_half_hour_consumption, s.avg_active_devices,
          s.feeder_count, s.reading_count
-  FROM stats s
-  LEFT JOIN peak_ranked r
+  FROM group_stats s
+  LEFT JOIN group_first r
     ON r.rn = 1 AND s.collection_date = r.collection_date AND s.dno_alias = r.dno_alias
    AND s.secondary_substation_unique_id = r.secondary_substation_unique_id
 ),
@@ -212,136 +212,150 @@ SILVER_SELECT = (
 
 def _qa_freshness(day: str, variant: str = "clean") -> str:
     return with_layers(variant) + f"""
-SELECT '{day}' AS run_date, count(*) AS row_count,
-       CASE WHEN count(*) > 0 THEN 'PASS' ELSE 'FAIL' END AS freshness_status
-FROM dq WHERE collection_date = DATE '{day}'"""
+SELECT '{day}' AS run_date, n AS row_count, IF(n > 0, 'PASS', 'FAIL') AS freshness_status
+FROM (SELECT count(*) AS n FROM dq WHERE collection_date = DATE '{day}') day_rows"""
 
 
 def _qa_completeness(day: str, variant: str = "clean") -> str:
     return with_layers(variant) + f""",
-slots AS (SELECT half_hour_slot FROM profile WHERE consumption_date = DATE '{day}'),
-expected AS (SELECT CAST(seq AS INTEGER) AS half_hour_slot FROM range(0, 48) t(seq)),
-missing AS (
-  SELECT e.half_hour_slot FROM expected e LEFT JOIN slots s ON s.half_hour_slot = e.half_hour_slot
-  WHERE s.half_hour_slot IS NULL
-),
-ts_check AS (
-  SELECT count(DISTINCT strftime(data_collection_log_timestamp, '%H:%M')) AS distinct_times
-  FROM dq WHERE collection_date = DATE '{day}'
+day_profile AS (SELECT half_hour_slot FROM profile WHERE consumption_date = DATE '{day}'),
+slot_grid AS (SELECT CAST(range AS INTEGER) AS slot FROM range(48)),
+measures AS (
+  SELECT (SELECT count(*) FROM day_profile) AS profile_rows,
+         (SELECT count(*) FROM slot_grid g
+           WHERE NOT EXISTS (SELECT 1 FROM day_profile p WHERE p.half_hour_slot = g.slot)) AS gaps,
+         (SELECT count(DISTINCT strftime(data_collection_log_timestamp, '%H:%M'))
+            FROM dq WHERE collection_date = DATE '{day}') AS clock_times
 )
-SELECT '{day}' AS run_date,
-       (SELECT count(*) FROM slots) AS slot_rows,
-       (SELECT count(*) FROM missing) AS missing_slot_count,
-       (SELECT distinct_times FROM ts_check) AS distinct_timestamp_count,
-       CASE WHEN (SELECT count(*) FROM missing) = 0 AND (SELECT distinct_times FROM ts_check) = 48
-            THEN 'PASS' ELSE 'FAIL' END AS completeness_status"""
+SELECT '{day}' AS run_date, profile_rows AS slot_rows, gaps AS missing_slot_count,
+       clock_times AS distinct_timestamp_count,
+       IF(gaps = 0 AND clock_times = 48, 'PASS', 'FAIL') AS completeness_status
+FROM measures"""
 
 
 def _qa_uniqueness(day: str, variant: str = "clean") -> str:
     return with_layers(variant) + f""",
-peak_dupes AS (
-  SELECT consumption_date, secondary_substation_unique_id, count(*) AS c FROM peak
-  WHERE consumption_date = DATE '{day}' GROUP BY 1, 2 HAVING count(*) > 1
-),
-profile_dupes AS (
-  SELECT consumption_date, half_hour_slot, count(*) AS c FROM profile
-  WHERE consumption_date = DATE '{day}' GROUP BY 1, 2 HAVING count(*) > 1
+key_sizes AS (
+  SELECT 'peak' AS tbl, count(*) AS c FROM peak WHERE consumption_date = DATE '{day}'
+  GROUP BY consumption_date, secondary_substation_unique_id
+  UNION ALL
+  SELECT 'profile' AS tbl, count(*) AS c FROM profile WHERE consumption_date = DATE '{day}'
+  GROUP BY consumption_date, half_hour_slot
 )
 SELECT '{day}' AS run_date,
-       (SELECT count(*) FROM peak_dupes) AS peak_duplicate_key_count,
-       (SELECT count(*) FROM profile_dupes) AS profile_duplicate_key_count,
-       CASE WHEN (SELECT count(*) FROM peak_dupes) = 0 AND (SELECT count(*) FROM profile_dupes) = 0
-            THEN 'PASS' ELSE 'FAIL' END AS uniqueness_status"""
+       count(*) FILTER (WHERE tbl = 'peak' AND c > 1) AS peak_duplicate_key_count,
+       count(*) FILTER (WHERE tbl = 'profile' AND c > 1) AS profile_duplicate_key_count,
+       IF(count(*) FILTER (WHERE c > 1) = 0, 'PASS', 'FAIL') AS uniqueness_status
+FROM key_sizes"""
+
+
+def _flag(cond: str) -> str:
+    """1/0 per row summed: NULL over no rows, 0 when the condition is never TRUE."""
+    return f"CAST(sum(IF({cond}, 1, 0)) AS BIGINT)"
 
 
 def _qa_nulls(day: str, variant: str = "clean") -> str:
-    s = "CAST(SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT)"
-    a = s.format(c="secondary_substation_unique_id")
-    b = s.format(c="data_collection_log_timestamp")
-    c = s.format(c="total_consumption_active_import")
     return with_layers(variant) + f"""
-SELECT '{day}' AS run_date, {a} AS null_substation_id, {b} AS null_timestamp, {c} AS null_consumption,
-       CASE WHEN {a} = 0 AND {b} = 0 AND {c} = 0 THEN 'PASS' ELSE 'FAIL' END AS null_check_status
-FROM dq WHERE collection_date = DATE '{day}'"""
+SELECT '{day}' AS run_date, a AS null_substation_id, b AS null_timestamp, c AS null_consumption,
+       IF(a + b + c = 0, 'PASS', 'FAIL') AS null_check_status
+FROM (
+  SELECT {_flag("secondary_substation_unique_id IS NULL")} AS a,
+         {_flag("data_collection_log_timestamp IS NULL")} AS b,
+         {_flag("total_consumption_active_import IS NULL")} AS c
+  FROM dq WHERE collection_date = DATE '{day}'
+) sums"""
 
 
 def _qa_business_rules(day: str, variant: str = "clean") -> str:
-    flag = "CAST(SUM(CASE WHEN {c} THEN 1 ELSE 0 END) AS BIGINT)"
     return with_layers(variant) + f""",
-current_day AS (
-  SELECT count(*) AS row_count, avg(total_consumption_active_import) AS avg_consumption
-  FROM dq WHERE collection_date = DATE '{day}'
-),
-previous_day AS (
-  SELECT collection_date, count(*) AS row_count, avg(total_consumption_active_import) AS avg_consumption
-  FROM dq WHERE collection_date < DATE '{day}'
-  GROUP BY collection_date ORDER BY collection_date DESC LIMIT 1
-),
-rule_violations AS (
-  SELECT {flag.format(c="aggregated_device_count_active <= 0")} AS bad_active_devices,
-         {flag.format(c="total_consumption_active_import < 0")} AS bad_consumption,
-         {flag.format(c="consumption_per_active_device < 0")} AS bad_consumption_per_device
+today AS (
+  SELECT count(*) AS n, avg(total_consumption_active_import) AS mean_c,
+         {_flag("aggregated_device_count_active <= 0")} AS bad_dev,
+         {_flag("total_consumption_active_import < 0")} AS bad_c,
+         {_flag("consumption_per_active_device < 0")} AS bad_pd
   FROM dq WHERE collection_date = DATE '{day}'
 ),
-peak_violations AS (
-  SELECT count(*) AS bad_peak_rows FROM peak
-  WHERE consumption_date = DATE '{day}' AND peak_consumption > daily_total_consumption
-),
-res AS (
-SELECT '{day}' AS run_date, rv.bad_active_devices, rv.bad_consumption, rv.bad_consumption_per_device,
-       pv.bad_peak_rows, cd.row_count AS current_row_count, pd.row_count AS previous_row_count,
-       CASE WHEN pd.row_count IS NULL OR pd.row_count = 0 THEN NULL
-            ELSE abs((cd.row_count - pd.row_count) / CAST(pd.row_count AS DOUBLE)) END AS row_count_change_ratio,
-       cd.avg_consumption AS current_avg_consumption, pd.avg_consumption AS previous_avg_consumption,
-       CASE WHEN pd.avg_consumption IS NULL OR pd.avg_consumption = 0 THEN NULL
-            ELSE abs((cd.avg_consumption - pd.avg_consumption) / pd.avg_consumption) END
-         AS avg_consumption_change_ratio,
-       CASE WHEN rv.bad_active_devices = 0 AND rv.bad_consumption = 0 AND rv.bad_consumption_per_device = 0
-             AND pv.bad_peak_rows = 0
-             AND (pd.row_count IS NULL OR abs((cd.row_count - pd.row_count) / CAST(pd.row_count AS DOUBLE)) <= 0.20)
-             AND (pd.avg_consumption IS NULL
-                  OR abs((cd.avg_consumption - pd.avg_consumption) / pd.avg_consumption) <= 0.30)
-            THEN 'PASS' ELSE 'FAIL' END AS business_rule_status
-FROM rule_violations rv CROSS JOIN peak_violations pv CROSS JOIN current_day cd LEFT JOIN previous_day pd ON TRUE
+earlier AS (
+  SELECT count(*) AS n, avg(total_consumption_active_import) AS mean_c
+  FROM dq
+  WHERE collection_date = (SELECT max(collection_date) FROM dq WHERE collection_date < DATE '{day}')
+  HAVING count(*) > 0
+),
+drift AS (
+  SELECT t.*, e.n AS prev_n, e.mean_c AS prev_mean,
+         (SELECT count(*) FROM peak WHERE consumption_date = DATE '{day}'
+             AND peak_consumption > daily_total_consumption) AS bad_peak,
+         abs((t.n - e.n) / NULLIF(CAST(e.n AS DOUBLE), 0)) AS row_drift,
+         abs((t.mean_c - e.mean_c) / NULLIF(e.mean_c, 0)) AS mean_drift
+  FROM today t LEFT JOIN earlier e ON e.n IS NOT NULL
 )
-SELECT run_date, bad_active_devices, bad_consumption, bad_consumption_per_device, bad_peak_rows,
-       current_row_count, previous_row_count, {f32("row_count_change_ratio")},
-       {f32("current_avg_consumption")}, {f32("previous_avg_consumption")},
-       {f32("avg_consumption_change_ratio")}, business_rule_status
-FROM res"""
+SELECT '{day}' AS run_date, bad_dev AS bad_active_devices, bad_c AS bad_consumption,
+       bad_pd AS bad_consumption_per_device, bad_peak AS bad_peak_rows,
+       n AS current_row_count, prev_n AS previous_row_count, {f32("row_drift", "row_count_change_ratio")},
+       {f32("mean_c", "current_avg_consumption")}, {f32("prev_mean", "previous_avg_consumption")},
+       {f32("mean_drift", "avg_consumption_change_ratio")},
+       CASE WHEN bad_dev = 0 AND bad_c = 0 AND bad_pd = 0 AND bad_peak = 0
+                 AND (prev_n IS NULL OR row_drift <= 0.2) AND (prev_mean IS NULL OR mean_drift <= 0.3)
+            THEN 'PASS' ELSE 'FAIL' END AS business_rule_status
+FROM drift"""
 
 
 def _insights() -> dict[str, str]:
     L = with_layers("clean")
-    day_type = "CASE WHEN isodow(consumption_date) IN (6, 7) THEN 'weekend' ELSE 'weekday' END"
+    kind = "IF(isodow(consumption_date) >= 6, 'weekend', 'weekday')"
+    fleet = "(SELECT sum(daily_total_consumption) FROM peak)"
+    ramp = f"""
+SELECT {kind} AS day_type,
+       {f32("avg(avg_consumption) FILTER (WHERE half_hour_slot BETWEEN 34 AND 41)", "evening_avg")},
+       {f32("avg(avg_consumption) FILTER (WHERE half_hour_slot BETWEEN 4 AND 11)", "night_avg")},
+       {f32("avg(avg_consumption) FILTER (WHERE half_hour_slot BETWEEN 34 AND 41)"
+            " / NULLIF(avg(avg_consumption) FILTER (WHERE half_hour_slot BETWEEN 4 AND 11), 0)",
+            "evening_to_night_ratio")}
+FROM profile GROUP BY 1"""
+    outlier = f""",
+site_means AS (
+  SELECT dno_alias AS dno, secondary_substation_unique_id, avg(daily_total_consumption) AS site_mean
+  FROM peak GROUP BY 1, 2
+)
+SELECT dno AS dno_alias, {f32("avg(site_mean)", "dno_mean")}, {f32("quantile_disc(site_mean, 0.5)", "dno_median")},
+       {f32("avg(site_mean) / NULLIF(quantile_disc(site_mean, 0.5), 0)", "mean_to_median_ratio")}
+FROM site_means GROUP BY dno"""
+    site_totals = """,
+site_totals AS (
+  SELECT secondary_substation_unique_id AS site, sum(daily_total_consumption) AS site_total FROM peak GROUP BY 1
+),
+ordered AS (
+  SELECT site, site_total,
+         row_number() OVER (ORDER BY site_total DESC NULLS LAST, site ASC NULLS FIRST) AS pos
+  FROM site_totals
+)"""
+    hour_counts = """
+SELECT CAST(hour(peak_timestamp) AS INTEGER) AS peak_hour, count(*) AS substation_days FROM peak GROUP BY 1"""
+    share = f"""
+SELECT dno_alias, {f32("sum(daily_total_consumption)", "total_consumption")},
+       {f32(f"sum(daily_total_consumption) / NULLIF({fleet}, 0)", "share_of_total")}{{extra}}
+FROM peak GROUP BY 1"""
     return {
         "insight_date_coverage": L + """
-SELECT 'gold_peak_demand_substation_day' AS table_name, min(consumption_date) AS min_date,
-       max(consumption_date) AS max_date, count(DISTINCT consumption_date) AS populated_days, count(*) AS row_count
-FROM peak
-UNION ALL
-SELECT 'gold_avg_load_profile_day', min(consumption_date), max(consumption_date),
-       count(DISTINCT consumption_date), count(*)
-FROM profile""",
+SELECT tbl AS table_name, min(d) AS min_date, max(d) AS max_date, count(DISTINCT d) AS populated_days,
+       count(*) AS row_count
+FROM (SELECT 'gold_peak_demand_substation_day' AS tbl, consumption_date AS d FROM peak
+      UNION ALL SELECT 'gold_avg_load_profile_day', consumption_date FROM profile) both_tables
+GROUP BY tbl""",
         "insight_top_substations": L + f"""
 SELECT dno_alias, secondary_substation_unique_id, count(*) AS active_days,
        {f32("avg(daily_total_consumption)", "avg_daily_total_consumption")},
        {f32("max(peak_consumption)", "max_observed_peak")},
        {f32("avg(peak_consumption)", "avg_peak_consumption")}
 FROM peak GROUP BY 1, 2
-ORDER BY avg(daily_total_consumption) DESC NULLS LAST, dno_alias ASC NULLS FIRST,
-         secondary_substation_unique_id ASC NULLS FIRST
+ORDER BY avg(daily_total_consumption) DESC NULLS LAST, 1 ASC NULLS FIRST, 2 ASC NULLS FIRST
 LIMIT 15""",
-        "insight_system_peak_day": L + f""",
-daily AS (
-  SELECT consumption_date, dno_alias, sum(daily_total_consumption) AS system_daily_total,
-         max(peak_consumption) AS max_substation_peak,
-         count(DISTINCT secondary_substation_unique_id) AS active_substations
-  FROM peak GROUP BY 1, 2
-)
-SELECT consumption_date, dno_alias, {f32("system_daily_total")}, {f32("max_substation_peak")}, active_substations
-FROM daily
-ORDER BY daily.system_daily_total DESC NULLS LAST, consumption_date ASC NULLS FIRST, dno_alias ASC NULLS FIRST
+        "insight_system_peak_day": L + f"""
+SELECT consumption_date, dno_alias, {f32("sum(daily_total_consumption)", "system_daily_total")},
+       {f32("max(peak_consumption)", "max_substation_peak")},
+       count(DISTINCT secondary_substation_unique_id) AS active_substations
+FROM peak GROUP BY 1, 2
+ORDER BY sum(daily_total_consumption) DESC NULLS LAST, 1 ASC NULLS FIRST, 2 ASC NULLS FIRST
 LIMIT 20""",
         "insight_load_shape": L + f"""
 SELECT hour_of_day, minute_of_hour, half_hour_slot,
@@ -349,120 +363,47 @@ SELECT hour_of_day, minute_of_hour, half_hour_slot,
        {f32("avg(total_consumption)", "mean_slot_total_consumption")},
        CAST(sum(reading_count) AS BIGINT) AS total_readings
 FROM profile GROUP BY 1, 2, 3""",
-        "insight_weekday_weekend_profile": L + f""",
-labeled AS (SELECT {day_type} AS day_type, half_hour_slot, avg_consumption FROM profile)
-SELECT day_type, half_hour_slot, {f32("avg(avg_consumption)", "mean_avg_consumption")},
+        "insight_weekday_weekend_profile": L + f"""
+SELECT {kind} AS day_type, half_hour_slot, {f32("avg(avg_consumption)", "mean_avg_consumption")},
        count(*) AS contributing_day_slots
-FROM labeled GROUP BY 1, 2""",
-        "insight_substation_concentration": L + f""",
-substation_totals AS (
-  SELECT secondary_substation_unique_id, sum(daily_total_consumption) AS total_consumption FROM peak GROUP BY 1
-),
-ranked AS (
-  SELECT secondary_substation_unique_id, total_consumption,
-         row_number() OVER (ORDER BY total_consumption DESC NULLS LAST,
-                                     secondary_substation_unique_id ASC NULLS FIRST) AS rn,
-         sum(total_consumption) OVER () AS fleet_total_consumption
-  FROM substation_totals
-)
-SELECT CAST(rn AS INTEGER) AS rn, secondary_substation_unique_id, {f32("total_consumption")},
-       {f32("fleet_total_consumption")},
-       {f32("total_consumption / NULLIF(fleet_total_consumption, 0)", "share_of_total")}
-FROM ranked WHERE rn <= 20""",
-        "insight_peak_window": L + f""",
-h AS (SELECT hour(peak_timestamp) AS peak_hour, count(*) AS n FROM peak GROUP BY 1),
-t AS (SELECT sum(n) AS total_n FROM h)
-SELECT CAST(sum(CASE WHEN peak_hour BETWEEN 17 AND 20 THEN n ELSE 0 END) AS BIGINT) AS evening_peak_events,
-       {f32("sum(CASE WHEN peak_hour BETWEEN 17 AND 20 THEN n ELSE 0 END) / CAST(max(total_n) AS DOUBLE)", "evening_peak_share")},
-       CAST(sum(CASE WHEN peak_hour BETWEEN 0 AND 5 THEN n ELSE 0 END) AS BIGINT) AS overnight_peak_events,
-       {f32("sum(CASE WHEN peak_hour BETWEEN 0 AND 5 THEN n ELSE 0 END) / CAST(max(total_n) AS DOUBLE)", "overnight_peak_share")},
-       CAST(max(total_n) AS BIGINT) AS total_events
-FROM h CROSS JOIN t""",
-        "insight_volatility": L + f""",
-d AS (SELECT consumption_date, sum(daily_total_consumption) AS day_total FROM peak GROUP BY 1)
-SELECT count(*) AS days, {f32("avg(day_total)", "mean_day_total")},
-       {f32("stddev_pop(day_total)", "stddev_day_total")},
-       {f32("stddev_pop(day_total) / NULLIF(avg(day_total), 0)", "cv_day_total")}
-FROM d""",
-        "insight_evening_ramp": L + f""",
-labeled AS (SELECT {day_type} AS day_type, half_hour_slot, avg_consumption FROM profile),
-agg AS (
-  SELECT day_type,
-         avg(CASE WHEN half_hour_slot BETWEEN 34 AND 41 THEN avg_consumption END) AS evening_avg,
-         avg(CASE WHEN half_hour_slot BETWEEN 4 AND 11 THEN avg_consumption END) AS night_avg
-  FROM labeled GROUP BY 1
-)
-SELECT day_type, {f32("evening_avg")}, {f32("night_avg")},
-       {f32("evening_avg / NULLIF(night_avg, 0)", "evening_to_night_ratio")}
-FROM agg""",
-        "insight_dno_outlier_screen": L + f""",
-s AS (
-  SELECT dno_alias, secondary_substation_unique_id, avg(daily_total_consumption) AS mean_daily_total
-  FROM peak GROUP BY 1, 2
-),
-d AS (
-  SELECT dno_alias, avg(mean_daily_total) AS dno_mean, quantile_disc(mean_daily_total, 0.5) AS dno_median
-  FROM s GROUP BY 1
-)
-SELECT dno_alias, {f32("dno_mean")}, {f32("dno_median")},
-       {f32("dno_mean / NULLIF(dno_median, 0)", "mean_to_median_ratio")}
-FROM d""",
-        "insight_dno_share": L + f"""
-SELECT dno_alias, {f32("sum(daily_total_consumption)", "total_consumption")},
-       {f32("sum(daily_total_consumption) / sum(sum(daily_total_consumption)) OVER ()", "share_of_total")}
-FROM peak GROUP BY 1""",
-        "insight_peak_hour_distribution": L + """
-SELECT CAST(hour(peak_timestamp) AS INTEGER) AS peak_hour, count(*) AS substation_days FROM peak GROUP BY 1""",
-        "chart_dno_share": L + f""",
-base AS (
-  SELECT dno_alias, sum(daily_total_consumption) AS total_consumption,
-         sum(daily_total_consumption) / sum(sum(daily_total_consumption)) OVER () AS share_of_total
-  FROM peak GROUP BY 1
-)
-SELECT dno_alias, {f32("total_consumption")}, {f32("share_of_total")}, {f32("share_of_total * 100", "share_pct")}
-FROM base""",
+FROM profile GROUP BY 1, 2""",
+        "insight_substation_concentration": L + site_totals + f"""
+SELECT CAST(pos AS INTEGER) AS rn, site AS secondary_substation_unique_id, {f32("site_total", "total_consumption")},
+       {f32(fleet, "fleet_total_consumption")},
+       {f32(f"site_total / NULLIF({fleet}, 0)", "share_of_total")}
+FROM ordered WHERE pos <= 20""",
+        "insight_peak_window": L + f"""
+SELECT IF(n > 0, evening, NULL) AS evening_peak_events, {f32("evening / CAST(n AS DOUBLE)", "evening_peak_share")},
+       IF(n > 0, overnight, NULL) AS overnight_peak_events,
+       {f32("overnight / CAST(n AS DOUBLE)", "overnight_peak_share")}, IF(n > 0, n, NULL) AS total_events
+FROM (
+  SELECT count(*) AS n,
+         count(*) FILTER (WHERE hour(peak_timestamp) BETWEEN 17 AND 20) AS evening,
+         count(*) FILTER (WHERE hour(peak_timestamp) BETWEEN 0 AND 5) AS overnight
+  FROM peak
+) hours""",
+        "insight_volatility": L + f"""
+SELECT count(*) AS days, {f32("avg(t)", "mean_day_total")}, {f32("stddev_pop(t)", "stddev_day_total")},
+       {f32("stddev_pop(t) / NULLIF(avg(t), 0)", "cv_day_total")}
+FROM (SELECT consumption_date, sum(daily_total_consumption) AS t FROM peak GROUP BY 1) per_day""",
+        "insight_evening_ramp": L + ramp,
+        "insight_dno_outlier_screen": L + outlier,
+        "insight_dno_share": L + share.format(extra=""),
+        "insight_peak_hour_distribution": L + hour_counts,
+        "chart_dno_share": L + share.format(
+            extra=",\n       " + f32(f"sum(daily_total_consumption) / NULLIF({fleet}, 0) * 100", "share_pct")
+        ),
         "chart_load_shape": L + f"""
 SELECT half_hour_slot, {f32("avg(avg_consumption)", "mean_slot_consumption")} FROM profile GROUP BY 1""",
-        "chart_peak_hour": L + """
-SELECT CAST(hour(peak_timestamp) AS INTEGER) AS peak_hour, count(*) AS substation_days FROM peak GROUP BY 1""",
-        "chart_concentration": L + f""",
-substation_totals AS (
-  SELECT secondary_substation_unique_id, sum(daily_total_consumption) AS total_consumption FROM peak GROUP BY 1
-),
-ranked AS (
-  SELECT row_number() OVER (ORDER BY total_consumption DESC NULLS LAST,
-                                     secondary_substation_unique_id ASC NULLS FIRST) AS rn,
-         total_consumption, total_consumption / sum(total_consumption) OVER () AS share_of_total
-  FROM substation_totals
-),
-top AS (SELECT * FROM ranked WHERE rn <= 10)
-SELECT CAST(rn AS INTEGER) AS rn, {f32("total_consumption")}, {f32("share_of_total")},
-       {f32("share_of_total * 100", "share_pct")},
-       {f32("sum(share_of_total) OVER (ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) * 100", "cum_share_pct")}
-FROM top""",
-        "chart_weekday_weekend": L + f""",
-labeled AS (SELECT {day_type} AS day_type, half_hour_slot, avg_consumption FROM profile),
-agg AS (
-  SELECT day_type,
-         avg(CASE WHEN half_hour_slot BETWEEN 34 AND 41 THEN avg_consumption END) AS evening_avg,
-         avg(CASE WHEN half_hour_slot BETWEEN 4 AND 11 THEN avg_consumption END) AS night_avg
-  FROM labeled GROUP BY 1
-)
-SELECT day_type, {f32("evening_avg")}, {f32("night_avg")},
-       {f32("evening_avg / NULLIF(night_avg, 0)", "evening_to_night_ratio")}
-FROM agg""",
-        "chart_dno_outlier": L + f""",
-s AS (
-  SELECT dno_alias, secondary_substation_unique_id, avg(daily_total_consumption) AS mean_daily_total
-  FROM peak GROUP BY 1, 2
-),
-d AS (
-  SELECT dno_alias, avg(mean_daily_total) AS dno_mean, quantile_disc(mean_daily_total, 0.5) AS dno_median
-  FROM s GROUP BY 1
-)
-SELECT dno_alias, {f32("dno_mean")}, {f32("dno_median")},
-       {f32("dno_mean / NULLIF(dno_median, 0)", "mean_to_median_ratio")}
-FROM d""",
+        "chart_peak_hour": L + hour_counts,
+        "chart_concentration": L + site_totals + f""",
+top10 AS (SELECT pos, site_total, site_total / NULLIF({fleet}, 0) AS s FROM ordered WHERE pos <= 10)
+SELECT CAST(pos AS INTEGER) AS rn, {f32("site_total", "total_consumption")}, {f32("s", "share_of_total")},
+       {f32("s * 100", "share_pct")},
+       {f32("(SELECT sum(s) FROM top10 earlier WHERE earlier.pos <= top10.pos) * 100", "cum_share_pct")}
+FROM top10""",
+        "chart_weekday_weekend": L + ramp,
+        "chart_dno_outlier": L + outlier,
     }
 
 
@@ -578,18 +519,16 @@ FROM bronze WHERE secondary_substation_unique_id IS NOT NULL GROUP BY 1, 2, 3"""
        (SELECT count(*) FROM peak) AS peak_count,
        (SELECT count(*) FROM profile) AS load_profile_count""",
         "missing_slots": with_layers()
-        + """, dates AS (SELECT DISTINCT consumption_date FROM profile),
-expected AS (
-  SELECT d.consumption_date, CAST(s.seq AS INTEGER) AS half_hour_slot FROM dates d, range(0, 48) s(seq)
-)
-SELECT e.consumption_date, e.half_hour_slot
-FROM expected e LEFT JOIN profile p
-  ON p.consumption_date = e.consumption_date AND p.half_hour_slot = e.half_hour_slot
-WHERE p.half_hour_slot IS NULL""",
+        + """
+SELECT d.consumption_date, CAST(g.range AS INTEGER) AS half_hour_slot
+FROM (SELECT DISTINCT consumption_date FROM profile) d, range(48) g
+WHERE NOT EXISTS (
+  SELECT 1 FROM profile p WHERE p.consumption_date = d.consumption_date AND p.half_hour_slot = g.range
+)""",
         "previous_day": with_layers(upto="dq")
         + f"""SELECT collection_date, count(*) AS row_count, avg(total_consumption_active_import) AS avg_consumption
-FROM dq WHERE collection_date < DATE '{day}'
-GROUP BY collection_date ORDER BY collection_date DESC LIMIT 1""",
+FROM dq WHERE collection_date = (SELECT max(collection_date) FROM dq WHERE collection_date < DATE '{day}')
+GROUP BY collection_date""",
         "qa_freshness": _qa_freshness(day),
         "qa_freshness_empty_day": _qa_freshness(EMPTY_DATE),
         "qa_completeness": _qa_completeness(day),
