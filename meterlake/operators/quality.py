@@ -9,7 +9,9 @@ otherwise a sort-merge join whose skewed reading partitions AQE splits.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.config import DEFAULT_MIN_HISTORY_ROWS, DEFAULT_ZSCORE_THRESHOLD
@@ -96,6 +98,19 @@ def baseline_from_moments(moments: DataFrame) -> DataFrame:
     )
 
 
+def _hard_rules() -> dict[str, Column]:
+    """Named validity rules; a reading that breaks any of them is dropped from Gold."""
+    substation = F.col(SUBSTATION)
+    value = F.col(CONSUMPTION)
+    devices = F.col(DEVICES)
+    return {
+        "substation_missing_or_blank": substation.isNull() | (F.trim(substation) == F.lit("")),
+        "time_missing": F.col(TS).isNull(),
+        "consumption_missing_or_negative": value.isNull() | (value < F.lit(0.0)),
+        "devices_missing_or_not_positive": devices.isNull() | (devices <= F.lit(0)),
+    }
+
+
 def apply_zscore_quality_flag(
     current: DataFrame,
     baseline: DataFrame,
@@ -106,52 +121,38 @@ def apply_zscore_quality_flag(
     """Attach the feeder baseline and the quality decision to Silver rows.
 
     ``baseline`` is either history rows (aggregated here) or the output of
-    :func:`feeder_baseline`. Rules, in priority order:
+    :func:`feeder_baseline` / :func:`baseline_from_moments`. Decision, first match wins:
 
-    * DROP / INVALID_RULE / FAIL: substation NULL or blank, time NULL,
-      consumption NULL or negative, device count NULL or <= 0.
-    * CLIP / ZSCORE_CLIPPED: enough history, stddev > 0 and
-      ``|x - mean| / stddev > threshold``; the value is replaced by
-      ``mean + threshold * stddev`` (the cap is one-sided, also for low readings).
+    * DROP / INVALID_RULE / FAIL when a rule of :func:`_hard_rules` is broken;
+    * CLIP / ZSCORE_CLIPPED when the feeder has ``min_history_rows`` rows, a
+      positive stddev and ``|x - mean| / stddev > threshold``; the value becomes
+      ``mean + threshold * stddev`` (one cap, used for low outliers too);
     * KEEP otherwise.
     """
     stats = baseline if set(BASELINE_COLUMNS) <= set(baseline.columns) else feeder_baseline(baseline)
-    stats = stats.select("composite_feeder_id", *BASELINE_COLUMNS)
-    joined = current.join(stats, on="composite_feeder_id", how="left")
-
-    x = F.col(CONSUMPTION)
-    mean = F.col("zscore_mean")
-    std = F.col("zscore_stddev")
-    enough_history = F.col("zscore_history_count") >= F.lit(min_history_rows)
-    has_std = std.isNotNull() & (std > F.lit(0.0))
-    scored = enough_history & has_std
-    zscore = F.when(scored, F.abs((x - mean) / std))
-    is_outlier = scored & (zscore > F.lit(float(threshold)))
-    cap = mean + std * F.lit(float(threshold))
+    with_stats = current.join(stats.select("composite_feeder_id", *BASELINE_COLUMNS), "composite_feeder_id", "left")
 
-    substation = F.col(SUBSTATION)
-    is_invalid = (
-        substation.isNull()
-        | (F.trim(substation) == F.lit(""))
-        | F.col(TS).isNull()
-        | x.isNull()
-        | (x < F.lit(0.0))
-        | F.col(DEVICES).isNull()
-        | (F.col(DEVICES) <= F.lit(0))
-    )
-    action = F.when(is_invalid, F.lit("DROP")).when(is_outlier, F.lit("CLIP")).otherwise(F.lit("KEEP"))
-    reason = F.when(is_invalid, F.lit("INVALID_RULE")).when(is_outlier, F.lit("ZSCORE_CLIPPED"))
+    t = F.lit(float(threshold))
+    mu, sigma, rows = F.col("zscore_mean"), F.col("zscore_stddev"), F.col("zscore_history_count")
+    comparable = (rows >= F.lit(min_history_rows)) & sigma.isNotNull() & (sigma > F.lit(0.0))
+    z = F.when(comparable, F.abs((F.col(CONSUMPTION) - mu) / sigma))
+    broken = reduce(lambda a, b: a | b, _hard_rules().values())
+    verdict = F.when(broken, F.lit("DROP")).when(comparable & (z > t), F.lit("CLIP")).otherwise(F.lit("KEEP"))
+    reasons = {"DROP": "INVALID_RULE", "CLIP": "ZSCORE_CLIPPED"}
 
-    out_order = [c for c in current.columns if c != "collection_date"]
+    keep = [c for c in current.columns if c != "collection_date"]
     tail = ["collection_date"] if "collection_date" in current.columns else []
-    return joined.select(
-        *out_order,
+    decided = with_stats.select(*keep, *BASELINE_COLUMNS, z.alias("consumption_zscore"), verdict.alias("dq_action"), *tail)
+    action = F.col("dq_action")
+    return decided.select(
+        *keep,
         *BASELINE_COLUMNS,
-        zscore.alias("consumption_zscore"),
-        action.alias("dq_action"),
-        F.when(is_invalid, F.lit("FAIL")).otherwise(F.lit("PASS")).alias("data_quality_flag"),
-        reason.alias("dq_reason"),
-        F.when(action == F.lit("CLIP"), cap).otherwise(x).alias("adjusted_total_consumption_active_import"),
+        "consumption_zscore",
+        "dq_action",
+        F.when(action == "DROP", F.lit("FAIL")).otherwise(F.lit("PASS")).alias("data_quality_flag"),
+        F.when(action == "DROP", F.lit(reasons["DROP"])).when(action == "CLIP", F.lit(reasons["CLIP"])).alias("dq_reason"),
+        F.when(action == "CLIP", mu + sigma * t).otherwise(F.col(CONSUMPTION))
+        .alias("adjusted_total_consumption_active_import"),
         *tail,
     )
 
