@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.operators.silver import CONSUMPTION, DEVICES, SUBSTATION, TS
+from meterlake.session import shared_dir
 from meterlake.schemas import GOLD_PROFILE_COLUMNS
 
 PEAK_KEYS = ["collection_date", "dno_alias", SUBSTATION]
@@ -60,15 +61,59 @@ def build_gold_peak(df: DataFrame) -> DataFrame:
     )
 
 
+def _rank_order():
+    return [F.col(CONSUMPTION).desc_nulls_last(), F.col(TS).asc_nulls_first()]
+
+
 def peak_rank(df: DataFrame) -> DataFrame:
-    """Rank readings within (date, DNO, substation): consumption desc, time asc."""
-    w = Window.partitionBy(*PEAK_KEYS).orderBy(F.col(CONSUMPTION).desc_nulls_last(), F.col(TS).asc_nulls_first())
-    return df.withColumn("peak_rank", F.row_number().over(w))
+    """``peak_rank``: row number within (date, DNO, substation), consumption desc, time asc.
+
+    Skew-safe formulation (a window partitioned by the keys would sort and
+    buffer a hot substation-day in one task):
+
+    1. one global sort on (keys, consumption desc, time asc, row hash); range
+       partitioning cuts a hot group across many partitions (the row hash
+       also separates readings that tie on every sort key);
+    2. ``monotonically_increasing_id`` gives (partition, position) in that order;
+    3. per (group, partition) the first position and the row count are
+       aggregated (partial aggregation, tiny output), and a window over those
+       segments turns the counts of earlier partitions into an offset;
+    4. a join on (group, partition) adds the offset: rank = position - first + 1 + offset.
+
+    The sorted, numbered rows are checkpointed once (eagerly, to the shared
+    checkpoint folder) so steps 3 and 4 read the same partition cut.
+    """
+    order = [F.asc_nulls_first(k) for k in PEAK_KEYS] + _rank_order() + [F.xxhash64(*df.columns).asc()]
+    ids = df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id())
+    ids = ids.withColumns({"_part": F.shiftright("_id", 33), "_pos": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))})
+    # Both branches below must see the same partition cut; two range exchanges
+    # would sample their own bounds. A reliable checkpoint (shared storage) fixes it.
+    shared_dir(df.sparkSession)
+    ids = ids.checkpoint(eager=True)
+    segments = ids.groupBy(*PEAK_KEYS, "_part").agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*PEAK_KEYS).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    segments = segments.select(
+        *[F.col(k).alias(f"_seg_{i}") for i, k in enumerate(PEAK_KEYS)],
+        F.col("_part").alias("_seg_part"),
+        "_first",
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"),
+    )
+    cond = [F.col(k).eqNullSafe(F.col(f"_seg_{i}")) for i, k in enumerate(PEAK_KEYS)]
+    joined = ids.join(segments, on=cond + [F.col("_part") == F.col("_seg_part")], how="inner")
+    rank = (F.col("_pos") - F.col("_first") + 1 + F.col("_offset")).cast("int")
+    return joined.select(*df.columns, rank.alias("peak_rank"))
+
+
+def peak_rows(df: DataFrame) -> DataFrame:
+    """Rank-1 rows per group. The window limit runs before the shuffle
+    (WindowGroupLimit), so a hot group sends one row per map task."""
+    w = Window.partitionBy(*PEAK_KEYS).orderBy(*_rank_order())
+    return df.withColumn("peak_rank", F.row_number().over(w)).filter(F.col("peak_rank") == 1)
 
 
 def build_gold_peak_ranked(df: DataFrame) -> DataFrame:
     """Same table via rank-1 rows joined back to the statistics (two shuffles more)."""
-    top = peak_rank(df).filter(F.col("peak_rank") == 1).select(
+    top = peak_rows(df).select(
         *PEAK_KEYS, F.col(CONSUMPTION).alias("peak_consumption"), F.col(TS).alias("peak_timestamp")
     )
     stats = df.groupBy(*PEAK_KEYS).agg(*_daily_stats())

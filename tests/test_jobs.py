@@ -139,3 +139,30 @@ def test_moments_baseline_gives_the_same_silver(spark, tmp_warehouse):
                                 F.round("zscore_stddev", 9).alias("s")).collect())
 
     assert rows(full) == rows(mom)
+
+
+def test_per_day_backfill_stops_at_first_failure_unless_told(spark, tmp_warehouse, monkeypatch):
+    import pytest
+
+    from meterlake.plans import jobs
+
+    calls = []
+    real = jobs.daily_transform
+
+    def flaky(spark_, cfg, bronze=None):
+        calls.append(str(cfg.run_date))
+        if str(cfg.run_date) == "2024-01-11":
+            raise RuntimeError("boom")
+        return real(spark_, cfg, bronze=bronze)
+
+    monkeypatch.setattr(jobs, "daily_transform", flaky)
+    cfg = load_config(warehouse_uri=tmp_warehouse, run_date="2024-01-12")
+    bronze = readings(spark, SF_SMALL)
+    with pytest.raises(RuntimeError):
+        jobs.backfill_range(spark, cfg, "2024-01-10", "2024-01-12", bronze=bronze, per_day=True)
+    assert calls == ["2024-01-10", "2024-01-11"]
+    calls.clear()
+    with pytest.raises(RuntimeError):
+        jobs.backfill_range(spark, cfg, "2024-01-10", "2024-01-12", bronze=bronze, per_day=True,
+                            continue_on_failure=True)
+    assert calls == ["2024-01-10", "2024-01-11", "2024-01-12"]

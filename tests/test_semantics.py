@@ -207,3 +207,26 @@ def test_summary_has_the_findings(spark):
     ]
     text = I.render_findings(rows)
     assert len(text) == len(rows) and text[0].startswith("Top substation")
+
+
+def test_rank_of_a_hot_group_split_across_partitions(spark):
+    from meterlake.operators import peak_rank
+
+    rows = [
+        (date(2024, 1, 1), "A", "HOT", f"HOT-F{i % 7}", float(i % 50), datetime(2024, 1, 1, (i * 7) % 24, 0), 1)
+        for i in range(400)
+    ] + [(date(2024, 1, 1), "A", "COLD", "COLD-F1", 3.0, datetime(2024, 1, 1, 1, 0), 1)]
+    schema = (
+        "collection_date date, dno_alias string, secondary_substation_unique_id string, composite_feeder_id string, "
+        "total_consumption_active_import double, data_collection_log_timestamp timestamp, "
+        "aggregated_device_count_active bigint"
+    )
+    df = spark.createDataFrame(rows, schema).repartition(8)
+    ranked = peak_rank(df)
+    assert ranked.rdd.getNumPartitions() >= 1
+    hot = sorted((r.peak_rank, r.total_consumption_active_import, r.data_collection_log_timestamp)
+                 for r in ranked.filter("secondary_substation_unique_id = 'HOT'").collect())
+    assert [h[0] for h in hot] == list(range(1, 401))
+    expected = sorted(((r[4], r[5]) for r in rows[:400]), key=lambda v: (-v[0], v[1]))
+    assert [(h[1], h[2]) for h in hot] == expected
+    assert ranked.filter("secondary_substation_unique_id = 'COLD'").collect()[0].peak_rank == 1
