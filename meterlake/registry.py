@@ -119,6 +119,12 @@ def q_parquet_profile(spark, sf):
     return B.parquet_profile(_bronze(spark, sf, "dirty"))
 
 
+def q_parquet_footer_profile(spark, sf):
+    """Row groups, rows and the time range of the source file, from its footer statistics."""
+    ensure_utc(spark)
+    return B.footer_profile(spark, f"{sf.rstrip('/')}/events.parquet", "ts").drop("schema")
+
+
 def q_silver_profile(spark, sf):
     return B.silver_profile(_layers(spark, sf).silver)
 
@@ -341,6 +347,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "date_range_slice": q_date_range_slice,
         "source_date_profile": q_source_date_profile,
         "parquet_profile": q_parquet_profile,
+        "parquet_footer_profile": q_parquet_footer_profile,
         "silver_profile": q_silver_profile,
         "preview": q_preview,
         "silver_build": q_silver_build,
