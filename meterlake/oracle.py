@@ -561,6 +561,12 @@ UNION ALL SELECT 'gold_peak', count(*) FROM peak
 UNION ALL SELECT 'gold_profile', count(*) FROM profile"""
     return {
         "daily_transform": day + counts,
+        "run_log": day
+        + f"""
+SELECT DATE '{RUN_DATE}' AS run_date, 'meter-daily-pipeline' AS pipeline_name, 'SUCCESS' AS status,
+       (SELECT count(*) FROM dq) AS input_row_count, (SELECT count(*) FROM dq) AS silver_row_count,
+       (SELECT count(*) FROM peak) AS peak_table_row_count, (SELECT count(*) FROM profile) AS load_profile_row_count,
+       '' AS error_message, 'dev' AS code_version""",
         "write_silver": day + f"SELECT {DQ_SELECT} FROM dq",
         "write_silver_moments": day + f"SELECT {DQ_SELECT} FROM dq",
         "write_gold_peak": day + f"SELECT {PEAK_SELECT} FROM peak",

@@ -215,7 +215,9 @@ def test_rank_of_a_hot_group_split_across_partitions(spark):
     rows = [
         (date(2024, 1, 1), "A", "HOT", f"HOT-F{i % 7}", float(i % 50), datetime(2024, 1, 1, (i * 7) % 24, 0), 1)
         for i in range(400)
-    ] + [(date(2024, 1, 1), "A", "COLD", "COLD-F1", 3.0, datetime(2024, 1, 1, 1, 0), 1)]
+    ] + [(date(2024, 1, 1), "A", "COLD", "COLD-F1", 3.0, datetime(2024, 1, 1, 1, 0), 1)] + [
+        (date(2024, 1, 1), "A", "COPY", "COPY-F1", 7.0, datetime(2024, 1, 1, 2, 0), 1)
+    ] * 300
     schema = (
         "collection_date date, dno_alias string, secondary_substation_unique_id string, composite_feeder_id string, "
         "total_consumption_active_import double, data_collection_log_timestamp timestamp, "
@@ -230,3 +232,5 @@ def test_rank_of_a_hot_group_split_across_partitions(spark):
     expected = sorted(((r[4], r[5]) for r in rows[:400]), key=lambda v: (-v[0], v[1]))
     assert [(h[1], h[2]) for h in hot] == expected
     assert ranked.filter("secondary_substation_unique_id = 'COLD'").collect()[0].peak_rank == 1
+    copies = sorted(r.peak_rank for r in ranked.filter("secondary_substation_unique_id = 'COPY'").collect())
+    assert copies == list(range(1, 301))
