@@ -46,7 +46,8 @@ def _print(df, n: int = 100) -> None:
         print(json.dumps(row.asDict(recursive=True), default=str))
 
 
-def main(argv: list[str] | None = None) -> int:
+def main(argv: list[str] | None = None, spark=None) -> int:
+    """Run one command; a session passed in is used and left running."""
     parser = build_parser("meterlake jobs")
     parser.add_argument("command", choices=["transform", "backfill", "build-moments", "qa", "insights", "sql",
                                             "source-profile"])
@@ -59,7 +60,8 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--save-json")
     args, _unknown = parser.parse_known_args(argv)
     cfg = load_config(args)
-    spark = get_spark(f"meterlake-{args.command}")
+    owns_session = spark is None
+    spark = spark if spark is not None else get_spark(f"meterlake-{args.command}")
 
     from meterlake.plans import jobs
     from meterlake.sources.bronze import parquet_profile, read_bronze, source_date_profile
@@ -86,6 +88,8 @@ def main(argv: list[str] | None = None) -> int:
                 qa.assert_all_pass(qa.qa_suite(silver, peak, profile, cfg.run_date))
             except RuntimeError as exc:
                 print(exc, file=sys.stderr)
+                if owns_session:
+                    spark.stop()
                 return 1
     elif args.command == "insights":
         from meterlake.plans import insights
@@ -110,7 +114,8 @@ def main(argv: list[str] | None = None) -> int:
         bronze = read_bronze(spark, cfg.source_uri)
         _print(source_date_profile(bronze, cfg.run_date))
         _print(parquet_profile(bronze))
-    spark.stop()
+    if owns_session:
+        spark.stop()
     return 0
 
 
