@@ -75,14 +75,15 @@ def qa_completeness(silver: DataFrame, profile: DataFrame, run_date) -> DataFram
         F.count(F.lit(1)).alias("slot_rows"),
         F.count_distinct(F.when(slot.between(0, SLOTS_PER_DAY - 1), slot)).alias("present"),
     )
-    missing = (F.lit(SLOTS_PER_DAY) - F.col("present")).cast("bigint")
-    return agg.select(
+    # each scalar subquery is projected once; later expressions use the column
+    measured = agg.select(
         F.lit(str(run_date)).alias("run_date"),
         "slot_rows",
-        missing.alias("missing_slot_count"),
+        (F.lit(SLOTS_PER_DAY) - F.col("present")).cast("bigint").alias("missing_slot_count"),
         distinct_times.alias("distinct_timestamp_count"),
-        _status((missing == 0) & (distinct_times == SLOTS_PER_DAY)).alias("completeness_status"),
     )
+    ok = (F.col("missing_slot_count") == 0) & (F.col("distinct_timestamp_count") == SLOTS_PER_DAY)
+    return measured.withColumn("completeness_status", _status(ok))
 
 
 def _duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -94,12 +95,13 @@ def qa_uniqueness(peak: DataFrame, profile: DataFrame, run_date) -> DataFrame:
     profile_dupes = _duplicate_keys(gold_day(profile, run_date), ["consumption_date", "half_hour_slot"])
     profile_count = profile_dupes.agg(F.count(F.lit(1))).scalar()
     peak_dupes = _duplicate_keys(gold_day(peak, run_date), ["consumption_date", SUB])
-    return peak_dupes.agg(F.count(F.lit(1)).alias("peak_duplicate_key_count")).select(
+    measured = peak_dupes.agg(F.count(F.lit(1)).alias("peak_duplicate_key_count")).select(
         F.lit(str(run_date)).alias("run_date"),
         "peak_duplicate_key_count",
         profile_count.alias("profile_duplicate_key_count"),
-        _status((F.col("peak_duplicate_key_count") == 0) & (profile_count == 0)).alias("uniqueness_status"),
     )
+    ok = (F.col("peak_duplicate_key_count") == 0) & (F.col("profile_duplicate_key_count") == 0)
+    return measured.withColumn("uniqueness_status", _status(ok))
 
 
 def qa_nulls(silver: DataFrame, run_date) -> DataFrame:
@@ -136,44 +138,47 @@ def qa_business_rules(silver: DataFrame, peak: DataFrame, run_date) -> DataFrame
     prev = previous_day(silver, run_date).agg(
         F.struct(F.max("row_count").alias("n"), F.max("avg_consumption").alias("a"))
     ).scalar()
-    prev_n = prev.getField("n")
-    prev_avg = prev.getField("a")
     bad_peak = gold_day(peak, run_date).agg(
         F.count_if(F.col("peak_consumption") > F.col("daily_total_consumption"))
     ).scalar()
 
-    cur = silver_day(silver, run_date).agg(
+    # scalar subqueries are projected once into columns; the drift logic below
+    # refers to those columns, so each subquery appears (and runs) once
+    measured = silver_day(silver, run_date).agg(
         _flag_sum(F.col("aggregated_device_count_active") <= 0).alias("bad_active_devices"),
         _flag_sum(F.col(CONSUMPTION) < 0).alias("bad_consumption"),
         _flag_sum(F.col("consumption_per_active_device") < 0).alias("bad_consumption_per_device"),
         F.count(F.lit(1)).alias("current_row_count"),
         F.avg(CONSUMPTION).alias("current_avg_consumption"),
-    )
-    cur_n = F.col("current_row_count")
-    cur_avg = F.col("current_avg_consumption")
+    ).select("*", bad_peak.cast("bigint").alias("bad_peak_rows"), prev.alias("previous"))
+
+    cur_n, cur_avg = F.col("current_row_count"), F.col("current_avg_consumption")
+    prev_n, prev_avg = F.col("previous.n"), F.col("previous.a")
     row_ratio = F.abs(F.try_divide((cur_n - prev_n).cast("double"), prev_n.cast("double")))
     avg_ratio = F.abs(F.try_divide(cur_avg - prev_avg, prev_avg))
-    ok = (
-        (F.col("bad_active_devices") == 0)
-        & (F.col("bad_consumption") == 0)
-        & (F.col("bad_consumption_per_device") == 0)
-        & (F.col("bad_peak_rows") == 0)
-        & (prev_n.isNull() | (row_ratio <= F.lit(ROW_DRIFT_LIMIT)))
-        & (prev_avg.isNull() | (avg_ratio <= F.lit(AVG_DRIFT_LIMIT)))
-    )
-    return cur.select(
+    with_drift = measured.select(
         F.lit(str(run_date)).alias("run_date"),
         "bad_active_devices",
         "bad_consumption",
         "bad_consumption_per_device",
-        bad_peak.cast("bigint").alias("bad_peak_rows"),
-        cur_n,
+        "bad_peak_rows",
+        "current_row_count",
         prev_n.cast("bigint").alias("previous_row_count"),
         F.when(prev_n.isNotNull() & (prev_n != 0), row_ratio).alias("row_count_change_ratio"),
-        cur_avg,
+        "current_avg_consumption",
         prev_avg.alias("previous_avg_consumption"),
         F.when(prev_avg.isNotNull() & (prev_avg != 0), avg_ratio).alias("avg_consumption_change_ratio"),
-    ).withColumn("business_rule_status", _status(ok))
+    )
+    ok = (
+        (F.col("bad_active_devices") == 0)
+        & (F.col("bad_consumption") == 0)
+        & (F.col("bad_consumption_per_device") == 0)
+        & (F.col("bad_peak_rows") == 0)
+        & (F.col("previous_row_count").isNull() | (F.col("row_count_change_ratio") <= F.lit(ROW_DRIFT_LIMIT)))
+        # a zero previous average leaves the ratio NULL, which fails the check
+        & (F.col("previous_avg_consumption").isNull() | (F.col("avg_consumption_change_ratio") <= F.lit(AVG_DRIFT_LIMIT)))
+    )
+    return with_drift.withColumn("business_rule_status", _status(ok))
 
 
 CHECKS = ["qa_freshness", "qa_completeness", "qa_uniqueness", "qa_nulls", "qa_business_rules"]
