@@ -2,7 +2,7 @@
 
 The batch jobs are the engine; this module only decides *when* and *which
 days* to run. A file stream over the Bronze folder sees new parquet files;
-for each micro-batch the range of reading dates it touched is re-run with
+for each micro-batch the days it touched (as contiguous spans) are re-run with
 :func:`meterlake.plans.jobs.backfill_range` (all-history baseline, whole-day
 overwrites), so late readings replace their days idempotently. The stream
 checkpoint lives under the shared checkpoint folder, so a restarted driver
@@ -11,7 +11,7 @@ resumes after the last processed file.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,11 +20,18 @@ from meterlake.schemas import BRONZE
 from meterlake.session import ensure_utc, scratch_path
 
 
-def touched_days(batch: DataFrame) -> tuple | None:
-    """(first, last) reading date in a micro-batch, or None (one aggregate row)."""
+def touched_days(batch: DataFrame) -> list[tuple]:
+    """Contiguous (first, last) day spans touched by a micro-batch.
+
+    Only the distinct reading dates come back to the driver (at most one row
+    per day), already folded into spans by a window over those few dates.
+    """
     d = F.to_date("data_collection_log_timestamp")
-    row = batch.agg(F.min(d).alias("lo"), F.max(d).alias("hi")).first()
-    return None if row is None or row["lo"] is None else (row["lo"], row["hi"])
+    days = batch.select(d.alias("d")).where(F.col("d").isNotNull()).distinct()
+    # consecutive days share (day - its position in date order)
+    span_key = F.date_sub(F.col("d"), F.row_number().over(Window.orderBy("d")))
+    spans = days.withColumn("k", span_key).groupBy("k").agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
+    return [(r["lo"], r["hi"]) for r in spans.orderBy("lo").collect()]
 
 
 def start_incremental_transform(
@@ -43,9 +50,8 @@ def start_incremental_transform(
     stream = spark.readStream.schema(BRONZE).parquet(cfg.source_uri).select("data_collection_log_timestamp")
 
     def run_batch(batch: DataFrame, epoch_id: int) -> None:
-        span = touched_days(batch)
-        if span is not None:
-            backfill_range(spark, cfg, span[0], span[1], bronze=read_bronze(spark, cfg.source_uri))
+        for lo, hi in touched_days(batch):
+            backfill_range(spark, cfg, lo, hi, bronze=read_bronze(spark, cfg.source_uri))
 
     writer = stream.writeStream.foreachBatch(run_batch).option(
         "checkpointLocation", checkpoint_uri or scratch_path(spark, "stream-checkpoint")

@@ -166,3 +166,17 @@ def test_per_day_backfill_stops_at_first_failure_unless_told(spark, tmp_warehous
         jobs.backfill_range(spark, cfg, "2024-01-10", "2024-01-12", bronze=bronze, per_day=True,
                             continue_on_failure=True)
     assert calls == ["2024-01-10", "2024-01-11", "2024-01-12"]
+
+
+def test_touched_days_are_folded_into_contiguous_spans(spark):
+    from datetime import date, datetime
+
+    from meterlake.streaming import touched_days
+
+    ts = [datetime(2024, 1, d, 3, 0) for d in (2, 3, 3, 4, 9, 20, 21)] + [None]
+    batch = spark.createDataFrame([(t,) for t in ts], "data_collection_log_timestamp timestamp")
+    assert touched_days(batch) == [
+        (date(2024, 1, 2), date(2024, 1, 4)),
+        (date(2024, 1, 9), date(2024, 1, 9)),
+        (date(2024, 1, 20), date(2024, 1, 21)),
+    ]
