@@ -51,9 +51,18 @@ def _rows(obs: Observation) -> int:
 
 
 def build_moments(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame) -> None:
-    """(Re)write the whole per-(feeder, day) moments table from Bronze."""
+    """(Re)write the whole per-(feeder, day) moments table from Bronze.
+
+    A full rebuild replaces every partition (static overwrite), so days that
+    left Bronze do not keep stale moments.
+    """
     moments = feeder_day_moments(bronze)
-    moments.write.mode("overwrite").partitionBy("reading_date").parquet(cfg.moments_uri)
+    (
+        moments.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("reading_date")
+        .parquet(cfg.moments_uri)
+    )
 
 
 def refresh_moments(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame, days: list[date]) -> None:
