@@ -25,6 +25,9 @@ def test_cli_commands(spark, tmp_warehouse, capsys):
     assert cli.main(["qa", *common], spark=spark) == 0
     out = capsys.readouterr().out
     assert "qa_business_rules" in out and "freshness_status" in out
+    # ~33 readings a day at this scale: completeness fails, so strict mode exits 1
+    assert cli.main(["qa", *common, "--strict"], spark=spark) == 1
+    assert "qa_completeness" in capsys.readouterr().err
 
     assert cli.main(["insights", *common], spark=spark) == 0
     assert "Top substation" in capsys.readouterr().out
