@@ -180,3 +180,14 @@ def test_touched_days_are_folded_into_contiguous_spans(spark):
         (date(2024, 1, 9), date(2024, 1, 9)),
         (date(2024, 1, 20), date(2024, 1, 21)),
     ]
+
+
+def test_registered_views_hide_days_outside_the_projected_range(spark, tmp_warehouse):
+    from meterlake.sinks.writers import register_tables
+
+    base = f"{tmp_warehouse}/proj"
+    days = ["2023-12-31", "2024-01-02", "2999-01-01"]
+    df = spark.createDataFrame([(1, d) for d in days], "x int, d string").withColumn("d", F.col("d").cast("date"))
+    df.write.partitionBy("d").parquet(base)
+    register_tables(spark, {"proj_view": (base, "d")})
+    assert [str(r.d) for r in spark.table("proj_view").collect()] == ["2024-01-02"]
