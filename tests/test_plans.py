@@ -116,3 +116,19 @@ def test_footer_profile_equals_scan_profile(spark, tmp_warehouse):
     assert foot.row_count == scan.row_count and foot.file_count == 3
     assert foot.row_groups_without_stats == 0
     assert (foot.min_timestamp, foot.max_timestamp) == (scan.min_timestamp, scan.max_timestamp)
+
+
+def test_gold_from_written_silver_reads_only_needed_columns(spark, tmp_warehouse):
+    from meterlake.operators import build_gold_load_profile, gold_input
+
+    L = build_layers(readings(spark, SF_SMALL))
+    path = f"{tmp_warehouse}/silver_day"
+    L.silver.write.parquet(path)
+    gin = gold_input(spark.read.parquet(path))
+    for df in (build_gold_peak(gin), build_gold_load_profile(gin)):
+        schema = [line for line in plan(df).splitlines() if "ReadSchema" in line][0]
+        for unused in ("geometry", "bbox", "zscore_mean", "consumption_zscore", "dataset_id"):
+            assert unused not in schema
+        assert "adjusted_total_consumption_active_import" in schema
+        pushed = [line for line in plan(df).splitlines() if "PushedFilters" in line][0]
+        assert "dq_action" in pushed  # the DROP filter reaches the scan
