@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.schemas import RUN_LOG
@@ -42,9 +42,7 @@ def overwrite_partitions(df: DataFrame, base: str, key: str, days: list[date]) -
     previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        written = F.collect_set(F.col(key).cast("string")).alias("days")
-        from pyspark.sql import Observation
-
+        written = F.collect_set(F.col(key).cast("string")).alias("days")  # bounded by the days written
         obs = Observation(f"written_{key}")
         (
             df.observe(obs, written)
