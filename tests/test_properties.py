@@ -111,3 +111,64 @@ def test_zscore_policy_matches_brute_force(spark, history, current, threshold, m
             assert math.isclose(r.adjusted_total_consumption_active_import, mean + threshold * std, rel_tol=1e-9)
         else:
             assert r.adjusted_total_consumption_active_import == v
+
+
+QA_SILVER = (
+    "collection_date date, aggregated_device_count_active bigint, total_consumption_active_import double, "
+    "consumption_per_active_device double"
+)
+QA_PEAK = "consumption_date date, peak_consumption double, daily_total_consumption double"
+qa_row = st.tuples(
+    st.sampled_from([date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 3)]),
+    st.one_of(st.none(), st.integers(-1, 3)),
+    st.one_of(st.none(), st.integers(-2, 6).map(float)),
+    st.one_of(st.none(), st.integers(-1, 2).map(float)),
+)
+peak_row = st.tuples(
+    st.sampled_from([date(2024, 1, 2), date(2024, 1, 3)]),
+    st.one_of(st.none(), st.integers(0, 9).map(float)),
+    st.one_of(st.none(), st.integers(0, 9).map(float)),
+)
+
+
+def _brute_rules(rows, peaks, day):
+    cur = [r for r in rows if r[0] == day]
+
+    def flag(idx, bad):
+        return sum(1 for r in cur if r[idx] is not None and bad(r[idx])) if cur else None
+
+    bad_dev, bad_c, bad_pd = flag(1, lambda v: v <= 0), flag(2, lambda v: v < 0), flag(3, lambda v: v < 0)
+    bad_peak = sum(1 for p in peaks if p[0] == day and p[1] is not None and p[2] is not None and p[1] > p[2])
+    earlier = [r[0] for r in rows if r[0] < day]
+    prev = [r for r in rows if earlier and r[0] == max(earlier)]
+
+    def mean(rs):
+        vals = [r[2] for r in rs if r[2] is not None]
+        return sum(vals) / len(vals) if vals else None
+
+    cur_n, cur_avg = len(cur), mean(cur)
+    prev_n = len(prev) if prev else None
+    prev_avg = mean(prev) if prev else None
+    row_ratio = abs((cur_n - prev_n) / float(prev_n)) if prev_n else None
+    avg_ratio = abs((cur_avg - prev_avg) / prev_avg) if prev_avg not in (None, 0.0) and cur_avg is not None else None
+    ok = (
+        bad_dev == 0 and bad_c == 0 and bad_pd == 0 and bad_peak == 0
+        and (prev_n is None or (row_ratio is not None and row_ratio <= 0.2))
+        and (prev_avg is None or (avg_ratio is not None and avg_ratio <= 0.3))
+    )
+    return (bad_dev, bad_c, bad_pd, bad_peak, cur_n, prev_n, row_ratio, avg_ratio, "PASS" if ok else "FAIL")
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(qa_row, min_size=0, max_size=14), st.lists(peak_row, min_size=0, max_size=4))
+def test_business_rules_match_brute_force(spark, rows, peaks):
+    from meterlake.plans.qa import qa_business_rules
+
+    day = date(2024, 1, 3)
+    silver = spark.createDataFrame(rows, QA_SILVER)
+    peak = spark.createDataFrame(peaks, QA_PEAK)
+    r = qa_business_rules(silver, peak, day).collect()[0]
+    got = (r.bad_active_devices, r.bad_consumption, r.bad_consumption_per_device, r.bad_peak_rows,
+           r.current_row_count, r.previous_row_count, r.row_count_change_ratio, r.avg_consumption_change_ratio,
+           r.business_rule_status)
+    assert got == _brute_rules(rows, peaks, day)
