@@ -10,7 +10,8 @@ Commands:
 * ``insights``       the insight queries and the summary findings
 * ``sql``            ``--query TEXT`` or ``--sql-file PATH`` over the registered tables, ``--max-rows``,
                      ``--save-json PATH``
-* ``source-profile`` row count of Bronze on ``--run-date`` plus its time range
+* ``source-profile`` row count of Bronze on ``--run-date``, its time range (scan and footer statistics),
+                     files, row groups and schema
 """
 
 from __future__ import annotations
@@ -111,9 +112,13 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         if args.save_json:
             export_json(df, args.save_json)
     elif args.command == "source-profile":
+        from meterlake.sources.bronze import footer_profile
+
         bronze = read_bronze(spark, cfg.source_uri)
         _print(source_date_profile(bronze, cfg.run_date))
         _print(parquet_profile(bronze))
+        _print(footer_profile(spark, cfg.source_uri))
+        print(bronze.schema.treeString())
     if owns_session:
         spark.stop()
     return 0

@@ -43,3 +43,6 @@ def test_cli_commands(spark, tmp_warehouse, capsys):
     assert cli.main(["source-profile", *common], spark=spark) == 0
     lines = capsys.readouterr().out.strip().splitlines()
     assert json.loads(lines[0])["row_count"] > 0
+    footer = json.loads(lines[2])
+    assert footer["row_count"] == json.loads(lines[1])["row_count"] and footer["row_group_count"] >= 1
+    assert any("data_collection_log_timestamp" in line for line in lines[3:])
