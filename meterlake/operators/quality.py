@@ -98,7 +98,7 @@ def baseline_from_moments(moments: DataFrame) -> DataFrame:
     )
 
 
-def _hard_rules() -> dict[str, Column]:
+def hard_rules() -> dict[str, Column]:
     """Named validity rules; a reading that breaks any of them is dropped from Gold."""
     substation = F.col(SUBSTATION)
     value = F.col(CONSUMPTION)
@@ -123,7 +123,7 @@ def apply_zscore_quality_flag(
     ``baseline`` is either history rows (aggregated here) or the output of
     :func:`feeder_baseline` / :func:`baseline_from_moments`. Decision, first match wins:
 
-    * DROP / INVALID_RULE / FAIL when a rule of :func:`_hard_rules` is broken;
+    * DROP / INVALID_RULE / FAIL when a rule of :func:`hard_rules` is broken;
     * CLIP / ZSCORE_CLIPPED when the feeder has ``min_history_rows`` rows, a
       positive stddev and ``|x - mean| / stddev > threshold``; the value becomes
       ``mean + threshold * stddev`` (one cap, used for low outliers too);
@@ -136,7 +136,7 @@ def apply_zscore_quality_flag(
     mu, sigma, rows = F.col("zscore_mean"), F.col("zscore_stddev"), F.col("zscore_history_count")
     comparable = (rows >= F.lit(min_history_rows)) & sigma.isNotNull() & (sigma > F.lit(0.0))
     z = F.when(comparable, F.abs((F.col(CONSUMPTION) - mu) / sigma))
-    broken = reduce(lambda a, b: a | b, _hard_rules().values())
+    broken = reduce(lambda a, b: a | b, hard_rules().values())
     verdict = F.when(broken, F.lit("DROP")).when(comparable & (z > t), F.lit("CLIP")).otherwise(F.lit("KEEP"))
     reasons = {"DROP": "INVALID_RULE", "CLIP": "ZSCORE_CLIPPED"}
 

@@ -6,7 +6,7 @@ use them directly.
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from meterlake.config import DEFAULT_MIN_HISTORY_ROWS, DEFAULT_ZSCORE_THRESHOLD
 from meterlake.functions.columns import as_timestamp
 from meterlake.operators.gold import build_gold_load_profile, build_gold_peak
-from meterlake.operators.quality import apply_zscore_quality_flag, feeder_baseline, gold_input
+from meterlake.operators.quality import apply_zscore_quality_flag, feeder_baseline, gold_input, hard_rules
 from meterlake.operators.silver import TS, build_silver
 from meterlake.sources.bronze import date_range_slice, run_date_slice
 
@@ -32,7 +32,9 @@ class Layers:
 
     @cached_property
     def gold_in(self) -> DataFrame:
-        return gold_input(self.silver)
+        # DROP depends only on a reading's own columns, so invalid readings are
+        # filtered before the baseline join (the baseline itself still uses all Bronze)
+        return gold_input(silver_with_quality(self.bronze, valid_only=True, **self._kwargs))
 
     @cached_property
     def peak(self) -> DataFrame:
@@ -61,6 +63,7 @@ def silver_with_quality(
     threshold: float = DEFAULT_ZSCORE_THRESHOLD,
     min_history_rows: int = DEFAULT_MIN_HISTORY_ROWS,
     baseline: DataFrame | None = None,
+    valid_only: bool = False,
 ) -> DataFrame:
     """Silver rows of the run with quality columns.
 
@@ -70,6 +73,8 @@ def silver_with_quality(
     """
     stats = baseline if baseline is not None else feeder_baseline(bronze)
     current = build_silver(current_rows(bronze, run_date, start, end))
+    if valid_only:
+        current = current.filter(~reduce(lambda a, b: a | b, hard_rules().values()))
     return apply_zscore_quality_flag(current, stats, threshold=threshold, min_history_rows=min_history_rows)
 
 
