@@ -46,3 +46,23 @@ def test_cli_commands(spark, tmp_warehouse, capsys):
     footer = json.loads(lines[2])
     assert footer["row_count"] == json.loads(lines[1])["row_count"] and footer["row_group_count"] >= 1
     assert any("data_collection_log_timestamp" in line for line in lines[3:])
+
+
+def test_cli_moments_mode_matches_full_scan(spark, tmp_warehouse, capsys):
+    from pyspark.sql import functions as F
+
+    bronze = f"{tmp_warehouse}/bronze"
+    readings(spark, SF_SMALL, "dirty").write.parquet(bronze)
+    base = ["--source-uri", bronze, "--run-date", "2024-01-12"]
+    full = [*base, "--warehouse-uri", f"{tmp_warehouse}/full"]
+    mom = [*base, "--warehouse-uri", f"{tmp_warehouse}/mom", "--baseline-mode", "moments"]
+    assert cli.main(["transform", *full], spark=spark) == 0
+    assert cli.main(["build-moments", *mom], spark=spark) == 0
+    assert cli.main(["transform", *mom], spark=spark) == 0
+    capsys.readouterr()
+
+    def silver(root):
+        df = spark.read.parquet(f"{tmp_warehouse}/{root}/silver/half_hourly_clean")
+        return sorted(df.select("dataset_id", "dq_action", F.round("adjusted_total_consumption_active_import", 6)).collect())
+
+    assert silver("full") == silver("mom") and len(silver("full")) > 0
