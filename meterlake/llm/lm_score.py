@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.llm.shared import Bitmap, crc_part, materialize, narrow, release, texts
+from meterlake.llm.words import spark_hash
 
 #: Words that are tokens of their own in pairs; words and pairs whose counts the tasks have at hand.
 VOCABULARY = 2**15
@@ -367,21 +368,3 @@ def score_batches(batches: Iterator[pa.RecordBatch], m: Model, pair_bits: Bitmap
                 out, size = [], 0
     if out:
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
-
-
-def spark_hash(values: np.ndarray) -> np.ndarray:
-    """Spark's xxhash64 of long values, the same for the tasks' bitmap look-ups."""
-    with np.errstate(over="ignore"):
-        h = np.uint64(42 + 8) + _P5
-        x = values.astype(np.int64).view(np.uint64) * _P2
-        x = ((x << np.uint64(31)) | (x >> np.uint64(33))) * _P1
-        h = h ^ x
-        h = ((h << np.uint64(27)) | (h >> np.uint64(37))) * _P1 + _P4
-        h = (h ^ (h >> np.uint64(33))) * _P2
-        h = (h ^ (h >> np.uint64(29))) * _P3
-        return h ^ (h >> np.uint64(32))
-
-
-# Fixed values of the published 64-bit xxHash.
-_P1, _P2, _P3 = np.uint64(0x9E3779B185EBCA87), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
-_P4, _P5 = np.uint64(0x85EBCA77C2B2AE63), np.uint64(0x27D4EB2F165667C5)

@@ -99,6 +99,46 @@ def dual(table: DataFrame, sized: DataFrame) -> DataFrame:
     return state
 
 
+def measured(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> dict[str, Column]:
+    """What the mix needs of a row: its source, its size, and a dither in [0, 1) from its values."""
+    mark = F.xxhash64(docs[id_col].cast("long"), docs[text_col].cast("string"), F.lit(11))
+    return {
+        "source": docs[source_col].cast("string"),
+        "size": sizes(docs, text_col),
+        "dither": F.pmod(mark, F.lit(2**40)) / float(2**40),
+    }
+
+
+def rate_of(tilt: Column, mean: Column, size: Column) -> Column:
+    """The tilted rate of a document; without a tilt its source goes twice."""
+    tilted = F.exp(F.least(tilt * size / mean, F.lit(700.0)))
+    rate = F.when(tilt.isNull(), float(MOST_COPIES)).otherwise(F.least(F.lit(float(MOST_COPIES)), tilted))
+    return F.when(size == 0, 0.0).otherwise(rate)
+
+
+def copies_of(rate: Column, dither: Column, shift: Column, size: Column) -> Column:
+    """Whole copies: floor(rate + dither + shift), within 0 and 2; a text without words has none."""
+    whole = F.floor(rate + dither + F.coalesce(shift, F.lit(0.0)))
+    within = F.least(F.lit(MOST_COPIES), F.greatest(F.lit(0), whole))
+    return F.when(size == 0, F.lit(0)).otherwise(within).cast("long")
+
+
+def plan_sources(rows: DataFrame, share: float = SHARE) -> DataFrame:
+    """rows (source, size, dither) -> a row for each source: source_size, target, mean, tilt, shift."""
+    sized = materialize(rows.groupBy("source", "size").agg(F.count("*").alias("n")), "mix-sizes")
+    by_source = sized.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
+    state = dual(targets(by_source, share), sized)
+    plan = state.select(F.col("source").alias("source_"), "source_size", "target", "tilt", "mean")
+    rated = rows.join(plan, F.col("source").eqNullSafe(F.col("source_"))).select(
+        "source", "target", "size", "dither", rate_of(F.col("tilt"), F.col("mean"), F.col("size")).alias("rate")
+    )
+    shift = thresholds(rated).withColumnRenamed("source_", "with_shift")
+    out = plan.join(shift, F.col("source_").eqNullSafe(F.col("with_shift")), "left").drop("with_shift")
+    out = materialize(out.withColumnRenamed("source_", "source"), "mix-plan")
+    release(sized, state)
+    return out
+
+
 def mix_sources(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -106,48 +146,42 @@ def mix_sources(
     source_col: str = "source",
     share: float = SHARE,
 ) -> DataFrame:
-    """doc_id, size, source_size, target, rate, copies, taken of each row.
+    """doc_id, source, size, source_size, target, rate, copies, taken of each row.
 
     ``copies`` is 0, 1 or 2 and ``taken`` = copies * size. Null texts and texts
     without words have size 0 and no copies. Rows that repeat, also with the same
-    id, are mixed each by itself, in an order that depends on the rows' values
-    alone, so that reruns agree. An empty table gives no rows.
+    id, are mixed each by itself, by their values alone, so that reruns agree and
+    equal rows fare alike. An empty table gives no rows.
     """
     rows = docs.select(
-        docs[id_col].cast("long").alias("doc_id"),
-        docs[source_col].cast("string").alias("source"),
-        sizes(docs, text_col).alias("size"),
-        F.xxhash64(docs[id_col].cast("long"), docs[text_col].cast("string"), F.lit(11)).alias("mark"),
+        docs[id_col].cast("long").alias("doc_id"), *[c.alias(n) for n, c in measured(docs, id_col, text_col, source_col).items()]
     )
     rows = materialize(rows, "mix-rows")
-    sized = materialize(rows.groupBy("source", "size").agg(F.count("*").alias("n")), "mix-sizes")
-    by_source = sized.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
-    table = targets(by_source, share)
-    state = dual(table, sized)
-    # nothing else is needed of a source than its row: a join by source, without a group of its documents
-    small = state.select(F.col("source").alias("source_"), "source_size", "target", "tilt", "mean")
-    rated = rows.join(small, F.col("source").eqNullSafe(F.col("source_"))).drop("source_")
-    two = float(MOST_COPIES)
-    rate = F.when(F.col("tilt").isNull(), two).otherwise(
-        F.least(F.lit(two), F.exp(F.least(F.col("tilt") * F.col("size") / F.col("mean"), F.lit(700.0))))
-    )
-    rate = F.when(F.col("size") == 0, 0.0).otherwise(rate)
-    # dither in [0, 1): a hash of the row
-    dither = F.pmod(F.col("mark"), F.lit(2**40)) / float(2**40)
-    rated = materialize(rated.withColumns({"rate": rate, "dither": dither}), "mix-rated")
-    shift = thresholds(rated)
-    out = rated.join(shift, F.col("source").eqNullSafe(F.col("source_")), "left").drop("source_")
-    copies = copies_at(F.coalesce(F.col("shift"), F.lit(0.0)))
-    out = out.withColumn("copies", copies)
-    return out.select(
-        "doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken")
-    )
+    plan = plan_sources(rows, share).withColumnRenamed("source", "source_")
+    both = rows.join(plan, F.col("source").eqNullSafe(F.col("source_")))
+    both = both.withColumn("rate", rate_of(F.col("tilt"), F.col("mean"), F.col("size")))
+    both = both.withColumn("copies", copies_of(F.col("rate"), F.col("dither"), F.col("shift"), F.col("size")))
+    taken = (F.col("copies") * F.col("size")).alias("taken")
+    return both.select("doc_id", "source", "size", "source_size", "target", "rate", "copies", taken)
 
 
-def copies_at(shift: Column) -> Column:
-    """Whole copies: floor(rate + dither + shift), within 0 and 2."""
-    whole = F.floor(F.col("rate") + F.col("dither") + shift)
-    return F.when(F.col("size") == 0, F.lit(0)).otherwise(F.least(F.lit(MOST_COPIES), F.greatest(F.lit(0), whole))).cast("long")
+def with_copies(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    share: float = SHARE,
+) -> DataFrame:
+    """The rows of docs that the mix takes, with the column ``copies``: how often each goes in."""
+    values = measured(docs, id_col, text_col, source_col)
+    plan = plan_sources(materialize(docs.select(*[c.alias(n) for n, c in values.items()]), "mix-rows"), share)
+    plan = plan.select(*[F.col(c).alias(f"_mix_{c}") for c in plan.columns])
+    both = docs.join(plan, values["source"].eqNullSafe(F.col("_mix_source")))
+    rate = rate_of(F.col("_mix_tilt"), F.col("_mix_mean"), values["size"])
+    copies = copies_of(rate, values["dither"], F.col("_mix_shift"), values["size"])
+    return both.withColumn("_mix_copies", copies).where("_mix_copies > 0").select(
+        *[docs[c] for c in docs.columns], F.col("_mix_copies").alias("copies")
+    )
 
 
 def thresholds(rated: DataFrame) -> DataFrame:

@@ -161,6 +161,23 @@ def score(
     return narrow(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
 
 
+def keep_good(docs: DataFrame, model: np.ndarray, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of docs whose text scores ``least`` or more; their columns are left alone."""
+    shipped = docs.sparkSession.sparkContext.broadcast(model.astype(np.float32))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w = shipped.value
+        for batch in batches:
+            on = []
+            for text in batch.column(batch.schema.names.index(text_col)).cast(pa.binary()):
+                at, x = features(text.as_buffer().to_pybytes() if text.is_valid else b"")
+                s = min(35.0, max(-35.0, float(w[-1]) + float(w[at] @ x)))
+                on.append(1.0 / (1.0 + np.exp(-s)) >= least)
+            yield batch.filter(pa.array(on, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id):
     """Rows whose labels are never learned from."""
     return crc_part(doc_id, 3) == 1

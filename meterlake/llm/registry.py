@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.llm import decontaminate, line_rules, lm_score, mixing, quality_model, secrets, token_counts, warc
+from meterlake.llm import decontaminate, line_rules, lm_score, mixing, ngram_join, passages, quality_model, secrets, token_counts, warc
 from meterlake.llm.shared import rows_of
 from meterlake.session import scratch_path
 
@@ -32,6 +32,10 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_guess")
 
 
+def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(rows_of(spark, sf_dir, "documents"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.archive_pages(rows_of(spark, sf_dir, "pages"), path)
@@ -45,6 +49,11 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.jaccard_components(rows_of(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(rows_of(spark, sf_dir, "documents"), rows_of(spark, sf_dir, "benchmark"))
 
@@ -83,7 +92,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         for f in (
             op1_token_counts,
             op2_secrets,
+            op3_passages,
             op4_warc,
+            op5_ngram_jaccard,
             op6_decontaminate,
             op7_quality,
             op8_lm_score,

@@ -60,3 +60,21 @@ def shingles(words: np.ndarray, n: int = 5) -> np.ndarray:
         for i in range(k):
             out = mix(out * _STEP + words[i : i + count])
     return out
+
+
+def spark_hash(values: np.ndarray) -> np.ndarray:
+    """What Spark's xxhash64 gives for long values, so that tasks can look them up in a bitmap."""
+    with np.errstate(over="ignore"):
+        h = np.uint64(42 + 8) + _P5
+        x = values.astype(np.int64).view(np.uint64) * _P2
+        x = ((x << np.uint64(31)) | (x >> np.uint64(33))) * _P1
+        h = h ^ x
+        h = ((h << np.uint64(27)) | (h >> np.uint64(37))) * _P1 + _P4
+        h = (h ^ (h >> np.uint64(33))) * _P2
+        h = (h ^ (h >> np.uint64(29))) * _P3
+        return h ^ (h >> np.uint64(32))
+
+
+# Fixed values of the published 64-bit xxHash.
+_P1, _P2, _P3 = np.uint64(0x9E3779B185EBCA87), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
+_P4, _P5 = np.uint64(0x85EBCA77C2B2AE63), np.uint64(0x27D4EB2F165667C5)
