@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.llm import decontaminate, mixing, ngram_join, quality_model, secrets
-from meterlake.llm.shared import materialize, rows_of
+from meterlake.llm.shared import fresh, materialize, rows_of
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,10 +28,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents in which a test item is found. Equal texts share the decision, which is made by text."""
-    marked = docs.withColumn("_mark", F.xxhash64("text"))
-    leaks = decontaminate.find_leaks(marked, rows_of(spark, sf_dir, "benchmark"), id_col="_mark")
-    leaks = leaks.select(F.col("doc_id").alias("_leak")).distinct()
-    return marked.join(leaks, F.col("_mark") == F.col("_leak"), "left_anti").drop("_mark")
+    mark = fresh(docs, "mark")
+    marked = docs.withColumn(mark, F.xxhash64("text"))
+    leaks = decontaminate.find_leaks(marked, rows_of(spark, sf_dir, "benchmark"), id_col=mark)
+    leaks = leaks.select(F.col("doc_id").alias(fresh(marked, "leak"))).distinct()
+    return marked.join(leaks, marked[mark] == leaks[leaks.columns[0]], "left_anti").drop(mark)
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -172,15 +172,18 @@ def with_copies(
     source_col: str = "source",
     share: float = SHARE,
 ) -> DataFrame:
-    """The rows of docs that the mix takes, with the column ``copies``: how often each goes in."""
+    """The rows of docs that the mix takes, with the column ``copies``: how often each goes in.
+
+    A column of docs that has this name already is replaced.
+    """
     values = measured(docs, id_col, text_col, source_col)
     plan = plan_sources(materialize(docs.select(*[c.alias(n) for n, c in values.items()]), "mix-rows"), share)
     plan = plan.select(*[F.col(c).alias(f"_mix_{c}") for c in plan.columns])
-    both = docs.join(plan, values["source"].eqNullSafe(F.col("_mix_source")))
+    both = docs.join(plan, values["source"].eqNullSafe(plan["_mix_source"]))
     rate = rate_of(F.col("_mix_tilt"), F.col("_mix_mean"), values["size"])
     copies = copies_of(rate, values["dither"], F.col("_mix_shift"), values["size"])
     return both.withColumn("_mix_copies", copies).where("_mix_copies > 0").select(
-        *[docs[c] for c in docs.columns], F.col("_mix_copies").alias("copies")
+        *[docs[c] for c in docs.columns if c.lower() != "copies"], F.col("_mix_copies").alias("copies")
     )
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.llm.components import components
-from meterlake.llm.shared import OUT_BYTES, Bitmap, materialize, release, texts
+from meterlake.llm.shared import OUT_BYTES, Bitmap, commonest, fresh, materialize, release, texts
 from meterlake.llm.words import WordHashes, shingles
 
 #: Words of a gram, and the least similarity in percent.
@@ -93,9 +93,11 @@ def common_grams(docs: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).view(np.int64) if parts else [], pa.int64())], ["gram"])
 
     share = docs.where(F.pmod(F.xxhash64("text"), F.lit(ORDER_SHARE)) == 0)
-    counts = share.mapInArrow(grams, "gram long").groupBy("gram").count().where("count > 2")
-    top = counts.orderBy(F.desc("count"), "gram").limit(ORDER_SIZE).toPandas()
-    return top["gram"].to_numpy(np.int64)[::-1].view(np.uint64)
+    counts = share.mapInArrow(grams, "gram long").groupBy("gram").agg(F.count("*").alias("n")).where("n > 2")
+    counts = materialize(counts, "jaccard-order")
+    top = commonest(counts, "n", ORDER_SIZE)[0].toArrow().sort_by([("n", "ascending"), ("gram", "ascending")])
+    release(counts)
+    return top["gram"].to_numpy().view(np.uint64)
 
 
 def similar_sizes(a: Column, b: Column) -> Column:
@@ -235,13 +237,12 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
     kept = found.groupBy(*[c.alias(f"g{i}") for i, c in enumerate(group)]).agg(F.min(order).alias("first"))
     kept = kept.select(F.col("first.doc_id").alias("_kept_id"), F.col("first.mark").alias("_kept_mark")).distinct()
-    mark = F.xxhash64(docs[text_col].cast("string"))
-    own = docs[id_col].cast("long")
-    marked = docs.withColumn("_mark", mark)
-    stays = marked.join(
-        kept, (marked["_mark"] == F.col("_kept_mark")) & own.eqNullSafe(F.col("_kept_id")), "left_semi"
-    )
-    return stays.dropDuplicates([id_col, "_mark"]).drop("_mark")
+    mark = fresh(docs, "mark")
+    marked = docs.withColumn(mark, F.xxhash64(docs[text_col].cast("string")))
+    own = marked[id_col].cast("long")
+    kept = kept.select(F.col("_kept_id").alias(fresh(marked, "kept_id")), F.col("_kept_mark").alias(fresh(marked, "kept_mark")))
+    same = (marked[mark] == kept[kept.columns[1]]) & own.eqNullSafe(kept[kept.columns[0]])
+    return marked.join(kept, same, "left_semi").dropDuplicates([id_col, mark]).drop(mark)
 
 
 def gather_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:

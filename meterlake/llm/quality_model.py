@@ -131,8 +131,8 @@ def train(
         # a shard has max_train / MOST_SHARDS rows or so; one that did not move a bucket holds the common value
         shards = sharded.groupBy("shard").applyInPandas(learn, "bucket long, z double, n double")
         table = shards.groupBy("bucket").agg(F.count("*").alias("k"), F.sum("z").alias("z"), F.sum("n").alias("n"))
-        got = table.toPandas()  # 2**BITS + 1 rows at most
-        if not len(got):
+        got = table.toArrow()  # 2**BITS + 1 rows at most
+        if not got.num_rows:
             break
         at, k = got["bucket"].to_numpy(), got["k"].to_numpy()
         z[at] = (got["z"].to_numpy() + (count - k) * z[at]) / count

@@ -21,6 +21,14 @@ def narrow(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write to a fresh folder under spark.checkpoint.dir and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
@@ -41,6 +49,23 @@ def release(*dfs: DataFrame) -> None:
             folder.getFileSystem(jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def commonest(df: DataFrame, count: str, most: int) -> tuple[DataFrame, DataFrame]:
+    """The rows with the largest counts, ``most`` at most, and all others.
+
+    The cut is at a step of a 16th of a power of two, found from a histogram of at
+    most 1024 steps; rows of equal count stay together.
+    """
+    step = F.floor(16 * F.log2(F.col(count))).cast("int")
+    steps = {r[0]: r[1] for r in df.groupBy(step).count().collect()}
+    cut, taken = 2**31 - 1, 0
+    for s in sorted(steps, reverse=True):
+        taken += steps[s]
+        if taken > most:
+            break
+        cut = s
+    return df.where(step >= cut), df.where(step < cut)
+
+
 class Bitmap:
     """A set of 64-bit hashes as a bitmap of bounded size; false positives only.
 
