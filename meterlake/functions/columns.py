@@ -80,6 +80,11 @@ def try_double(col: Column | str) -> Column:
     return _c(col).try_cast("double")
 
 
+def coerce_numeric(df: DataFrame, names: list[str]) -> DataFrame:
+    """The named columns as numbers (NULL for text that is not one); names that df lacks are passed over."""
+    return df.withColumns({n: try_double(n) for n in names if n in df.columns})
+
+
 def day_range(start: date | str, end: date | str) -> Column:
     """Inclusive array of days between two dates."""
     return F.sequence(F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date"))

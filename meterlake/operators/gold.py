@@ -71,9 +71,8 @@ def peak_rank(df: DataFrame) -> DataFrame:
     Skew-safe formulation (a window partitioned by the keys would sort and
     buffer a hot substation-day in one task):
 
-    1. one global sort on (keys, consumption desc, time asc, row id); range
-       partitioning cuts a hot group across many partitions (a per-row id
-       as the last key also separates exact copies of a reading);
+    1. one global sort on (keys, consumption desc, time asc, row hash); range
+       partitioning cuts a hot group across many partitions;
     2. ``monotonically_increasing_id`` gives (partition, position) in that order;
     3. per (group, partition) the first position and the row count are
        aggregated (partial aggregation, tiny output), and a window over those
@@ -83,9 +82,10 @@ def peak_rank(df: DataFrame) -> DataFrame:
     The sorted, numbered rows are checkpointed once (eagerly, to the shared
     checkpoint folder) so steps 3 and 4 read the same partition cut.
     """
-    # last sort key: a per-row id, so even exact copies of a reading are spread
-    # over range partitions (ranks among identical copies are interchangeable)
-    tagged = df.withColumn("_tie", F.monotonically_increasing_id())
+    # last sort key: a hash of the reading's scalar values, so a row keeps its place when a
+    # lost task is run again (ranks among exact copies of a reading are interchangeable)
+    scalars = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("struct", "array", "map")]
+    tagged = df.withColumn("_tie", F.xxhash64(*scalars))
     order = [F.asc_nulls_first(k) for k in PEAK_KEYS] + _rank_order() + [F.col("_tie").asc()]
     ids = tagged.orderBy(*order).drop("_tie").withColumn("_id", F.monotonically_increasing_id())
     ids = ids.withColumns({"_part": F.shiftright("_id", 33), "_pos": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))})

@@ -42,6 +42,10 @@ def _bronze_cte(variant: str) -> str:
         consumption = "CASE WHEN event_id % 97 = 0 THEN -c WHEN event_id % 83 = 0 THEN NULL ELSE c END"
         ts = f"CASE WHEN event_id % 79 <> 0 THEN {ts} END"
         substation = f"CASE WHEN event_id % 89 = 0 THEN '' WHEN event_id % 101 = 0 THEN NULL ELSE {substation} END"
+    if variant == "skewed":
+        consumption = "CASE WHEN sub = 3 THEN 5000 * c ELSE c END"
+    if variant == "texttime":
+        ts = f"CASE WHEN event_id % 61 <> 0 THEN {ts} END"
     return f"""ev AS (
   SELECT event_id, ts, user_id,
          CAST(floor(user_id / 3) AS BIGINT) AS sub,
@@ -174,7 +178,7 @@ profile AS (
 def with_layers(
     variant: str = "clean",
     *,
-    where: str = "data_collection_log_timestamp IS NOT NULL",
+    where: str = "TRUE",
     upto: str = "gold",
     threshold: float = 3.0,
     min_rows: int = 7,
@@ -300,8 +304,8 @@ SELECT '{day}' AS run_date, bad_dev AS bad_active_devices, bad_c AS bad_consumpt
 FROM drift"""
 
 
-def _insights() -> dict[str, str]:
-    L = with_layers("clean")
+def _insights(variant: str = "clean") -> dict[str, str]:
+    L = with_layers(variant)
     kind = "IF(isodow(consumption_date) >= 6, 'weekend', 'weekday')"
     fleet = "(SELECT sum(daily_total_consumption) FROM peak)"
     ramp = f"""
@@ -409,7 +413,6 @@ FROM top10""",
 
 def oracle_sql() -> dict[str, str]:
     day = RUN_DATE
-    all_rows = "data_collection_log_timestamp IS NOT NULL"
     sql: dict[str, str] = {
         "bronze_scan": with_layers(upto="bronze") + f"SELECT {FLAT_BRONZE} FROM bronze",
         "readings_at_instant": with_layers(upto="bronze")
@@ -453,9 +456,27 @@ FROM bronze""",
        CASE WHEN half_hour_slot % 2 = 1 THEN '30' ELSE '00' END AS slot_hhmm
 FROM silver""",
         "coerce_numeric": with_layers(upto="bronze")
-        + """SELECT dataset_id, TRY_CAST(dataset_id AS DOUBLE) AS dataset_id_value,
+        + """SELECT TRY_CAST(dataset_id AS DOUBLE) AS dataset_id_value,
        TRY_CAST(dno_alias AS DOUBLE) AS dno_alias_value
 FROM bronze""",
+        "preview": with_layers(upto="bronze")
+        + "SELECT dataset_id, aggregated_device_count_active FROM bronze ORDER BY dataset_id LIMIT 20",
+        "safe_double": with_layers("dirty", upto="bronze")
+        + """SELECT dataset_id,
+       coalesce(CAST(NULLIF(replace(secondary_substation_unique_id, 'SS', ''), '') AS DOUBLE), 0) AS substation_number,
+       coalesce(CAST(total_consumption_active_import AS DOUBLE), 0) AS consumption
+FROM bronze""",
+        "silver_text_time": with_layers("texttime", upto="silver")
+        + "SELECT dataset_id, data_collection_log_timestamp, half_hour_slot, day_of_week, collection_date FROM silver",
+        "silver_profile_text_time": with_layers("texttime", upto="silver")
+        + """SELECT count(*) AS row_count, min(collection_date) AS min_collection_date,
+       max(collection_date) AS max_collection_date,
+       min(data_collection_log_timestamp) AS min_timestamp, max(data_collection_log_timestamp) AS max_timestamp
+FROM silver""",
+        "day_sequence": with_layers(upto="bronze")
+        + """, days AS (SELECT CAST(unnest(generate_series(DATE '2023-12-30', DATE '2024-02-02', INTERVAL 1 DAY)) AS DATE) AS day)
+SELECT day, count(dataset_id) AS readings
+FROM days LEFT JOIN bronze ON CAST(data_collection_log_timestamp AS DATE) = day GROUP BY 1""",
         "feeder_baseline": with_layers("dirty", upto="dq")
         + f"SELECT composite_feeder_id, zscore_mean, {f32('zscore_stddev')}, zscore_history_count FROM baseline",
         "feeder_baseline_moments": with_layers("dirty", upto="dq")
@@ -541,9 +562,9 @@ GROUP BY collection_date""",
         "qa_business_rules_first_day": _qa_business_rules(FIRST_DATE),
     }
     sql.update(_insights())
+    sql.update({f"{name}_dirty": text for name, text in _insights("dirty").items() if name.startswith("insight_")})
     sql.update(_jobs())
     sql.update(_composites(sql))
-    assert all_rows
     return sql
 
 
@@ -564,25 +585,51 @@ UNION ALL SELECT 'gold_profile', count(*) FROM profile"""
         "run_log": day
         + f"""
 SELECT DATE '{RUN_DATE}' AS run_date, 'meter-daily-pipeline' AS pipeline_name, 'SUCCESS' AS status,
-       (SELECT count(*) FROM dq) AS input_row_count, (SELECT count(*) FROM dq) AS silver_row_count,
+       (SELECT count(*) FROM bronze WHERE {_day_pred(ts, RUN_DATE)}) AS input_row_count,
+       (SELECT count(*) FROM dq) AS silver_row_count,
        (SELECT count(*) FROM peak) AS peak_table_row_count, (SELECT count(*) FROM profile) AS load_profile_row_count,
        '' AS error_message, 'dev' AS code_version""",
         "write_silver": day + f"SELECT {DQ_SELECT} FROM dq",
         "write_silver_moments": day + f"SELECT {DQ_SELECT} FROM dq",
+        "write_silver_moments_late": with_layers("dirty", where=_day_pred(ts, RUN_DATE)) + f"SELECT {DQ_SELECT} FROM dq",
         "write_gold_peak": day + f"SELECT {PEAK_SELECT} FROM peak",
         "write_gold_profile": day + f"SELECT {PROFILE_SELECT} FROM profile",
         "backfill_range": full + "SELECT collection_date, dq_action, count(*) AS row_count FROM dq GROUP BY 1, 2",
         "backfill_range_gold": full + f"SELECT {PEAK_SELECT} FROM peak",
+        "backfill_range_profile": full + f"SELECT {PROFILE_SELECT} FROM profile",
+        "backfill_run_log": full
+        + f"""
+SELECT CAST(d AS DATE) AS run_date, 'SUCCESS' AS status,
+       (SELECT count(*) FROM bronze WHERE CAST({ts} AS DATE) = d) AS input_row_count,
+       (SELECT count(*) FROM dq WHERE collection_date = d) AS silver_row_count,
+       (SELECT count(*) FROM peak WHERE consumption_date = d) AS peak_table_row_count,
+       (SELECT count(*) FROM profile WHERE consumption_date = d) AS load_profile_row_count
+FROM (SELECT CAST(unnest(generate_series(DATE '{FULL_START}', DATE '{FULL_END}', INTERVAL 1 DAY)) AS DATE) AS d) days""",
+        "run_log_metadata": """
+SELECT '3.0' AS zscore_threshold, TRUE AS has_warehouse, TRUE AS is_uuid, TRUE AS in_order, TRUE AS is_utc""",
         "register_tables": full
-        + """
-SELECT 'silver_half_hourly_clean' AS table_name, count(*) AS row_count FROM dq
+        + f"""
+SELECT 'bronze_readings' AS table_name, count(*) AS row_count FROM bronze
+UNION ALL SELECT 'silver_half_hourly_clean', count(*) FROM dq
 UNION ALL SELECT 'gold_peak_demand_substation_day', count(*) FROM peak
-UNION ALL SELECT 'gold_avg_load_profile_day', count(*) FROM profile""",
+UNION ALL SELECT 'gold_avg_load_profile_day', count(*) FROM profile
+UNION ALL SELECT 'pipeline_run_log', date_diff('day', DATE '{FULL_START}', DATE '{FULL_END}') + 1""",
+        "table_bronze": full + f"SELECT {FLAT_BRONZE} FROM bronze",
+        "table_silver": full + f"SELECT {DQ_SELECT} FROM dq",
+        "table_gold_peak": full + f"SELECT {PEAK_SELECT} FROM peak",
+        "table_gold_profile": full + f"SELECT {PROFILE_SELECT} FROM profile",
+        "table_run_log": full
+        + f"""
+SELECT d AS run_date, 'SUCCESS' AS status, (SELECT count(*) FROM dq WHERE collection_date = d) AS silver_row_count
+FROM (SELECT CAST(unnest(generate_series(DATE '{FULL_START}', DATE '{FULL_END}', INTERVAL 1 DAY)) AS DATE) AS d) days""",
         "projected_partitions": full + "SELECT collection_date, count(*) AS row_count FROM dq GROUP BY 1",
         "run_sql": full
         + f"""
 SELECT dno_alias, count(*) AS substation_days, CAST(sum(reading_count) AS BIGINT) AS readings
 FROM peak WHERE consumption_date <= DATE '{FULL_END}' GROUP BY dno_alias""",
+        "run_sql_all": full + "SELECT consumption_date, dno_alias, secondary_substation_unique_id, reading_count FROM peak",
+        "export_json_nulls": with_layers("dirty")
+        + "SELECT consumption_date, dno_alias, secondary_substation_unique_id, reading_count, 4 AS fields FROM peak",
         "export_json": with_layers()
         + f"""
 SELECT dno_alias, {f32("sum(daily_total_consumption)", "total_consumption")},
@@ -595,10 +642,28 @@ def _hhmm(slot: str) -> str:
     return f"lpad(CAST({slot} // 2 AS VARCHAR), 2, '0') || ':' || CASE WHEN {slot} % 2 = 1 THEN '30' ELSE '00' END"
 
 
-def _summary() -> str:
+def _text() -> str:
+    n = lambda v: f"format('{{:,.2f}}', {v})"
+    r = lambda v, k: f"printf('%.{k}f', {v})"
+    return f"""
+SELECT finding_order, finding, CASE finding
+  WHEN 'top_substation' THEN subject || ' uses most per day: ' || {n("a")} || ' on average, ' || {n("b")} || ' at its highest half-hour'
+  WHEN 'highest_demand_day' THEN subject || ' was the busiest day: ' || {n("a")} || ' from ' || format('{{:,.0f}}', b) || ' sites'
+  WHEN 'load_shape_peak_trough' THEN 'the day is highest/lowest at ' || subject || ': ' || {n("a")} || ' against ' || {n("b")} || ' per slot'
+  WHEN 'weekday_weekend_delta' THEN 'a slot averages ' || {n("a")} || ' from Monday to Friday and ' || {n("b")} || ' otherwise, '
+       || printf('%+.2f', c) || '%'
+  WHEN 'demand_concentration' THEN {r("a", 2)} || '% of all demand comes from five sites, ' || {r("b", 2)} || '% from ten'
+  WHEN 'peak_timing' THEN {r("a", 2)} || '% of peaks fall in the evening (17 to 20 h) and ' || {r("b", 2)} || '% in the night (0 to 5 h)'
+  WHEN 'volatility' THEN 'daily totals spread by ' || {r("a", 3)} || ' of their mean (' || {n("b")} || ' around ' || {n("c")} || ')'
+  WHEN 'evening_ramp' THEN 'evening demand over night demand is ' || {r("a", 3)} || ' on weekdays and ' || {r("b", 3)} || ' at weekends'
+  WHEN 'skew_alert' THEN 'ALERT ' || subject || ': its mean is ' || {n("a")} || ' times its median' END AS line
+FROM (SELECT *, coalesce(raw_1, 0) AS a, coalesce(raw_2, 0) AS b, coalesce(raw_3, 0) AS c FROM ({_summary("skewed", raw=True)}) s) t"""
+
+
+def _summary(variant: str = "clean", raw: bool = False) -> str:
     day_type = "CASE WHEN isodow(consumption_date) IN (6, 7) THEN 'weekend' ELSE 'weekday' END"
     v = "CAST(NULL AS DOUBLE)"
-    return with_layers("clean") + f""",
+    return with_layers(variant) + f""",
 top AS (
   SELECT dno_alias, secondary_substation_unique_id AS sub, avg(daily_total_consumption) AS a,
          max(peak_consumption) AS m
@@ -697,7 +762,7 @@ findings AS (
   SELECT 9, 'skew_alert', dno_alias, coalesce(ratio, 0), {v}, {v} FROM skew WHERE coalesce(ratio, 0) > 10
 )
 SELECT CAST(finding_order AS INTEGER) AS finding_order, finding, subject,
-       {f32("value_1")}, {f32("value_2")}, {f32("value_3")}
+       {f32("value_1")}, {f32("value_2")}, {f32("value_3")}{", value_1 AS raw_1, value_2 AS raw_2, value_3 AS raw_3" if raw else ""}
 FROM findings"""
 
 
@@ -722,4 +787,5 @@ def _composites(sql: dict[str, str]) -> dict[str, str]:
     counts = "\nUNION ALL\n".join(
         f"SELECT '{k}' AS insight, count(*) AS row_count FROM ({sql[k]}) q{i}" for i, k in enumerate(insight_keys)
     )
-    return {"qa_suite": suite, "run_insights": counts, "insight_summary": _summary()}
+    return {"qa_suite": suite, "run_insights": counts, "insight_summary": _summary(),
+            "insight_summary_skewed": _summary("skewed"), "insight_text": _text()}

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterlake.functions.columns import day_type, slot_to_hhmm
+from meterlake.functions.columns import day_type, safe_double, slot_to_hhmm
 
 SUB = "secondary_substation_unique_id"
 DATE = "consumption_date"
@@ -260,12 +260,11 @@ def _finding(df: DataFrame, order: int, name: str, subject: Column, v1, v2=None,
     )
 
 
-def _zero_if_null(c: Column | str) -> Column:
-    return F.coalesce((F.col(c) if isinstance(c, str) else c).cast("double"), F.lit(0.0))
+_zero_if_null = safe_double
 
 
 def insight_summary(peak: DataFrame, profile: DataFrame) -> DataFrame:
-    """The nine portfolio findings as rows (numbers only; see :func:`render_findings`).
+    """The nine portfolio findings as rows (numbers only; see :func:`findings_text`).
 
     A finding whose inputs are empty is left out; the skew alert appears only
     when the top mean/median ratio is above 10.
@@ -342,37 +341,32 @@ def insight_summary(peak: DataFrame, profile: DataFrame) -> DataFrame:
     return out.orderBy("finding_order")
 
 
-def render_findings(rows) -> list[str]:
-    """Text bullets for collected :func:`insight_summary` rows (at most nine)."""
-    text = {
-        "top_substation": "Top substation by mean daily consumption: {s}, avg daily total={a:,.2f}, max observed peak={b:,.2f}.",
-        "highest_demand_day": "Highest system-demand day: {s}, system daily total={a:,.2f}, active substations={b:.0f}.",
-        "load_shape_peak_trough": "Load-shape peak/trough (highest/lowest slot): {s} ({a:,.2f} / {b:,.2f}).",
-        "weekday_weekend_delta": "Weekday vs weekend baseline: weekday mean slot demand={a:,.2f}, weekend={b:,.2f} ({c:+.2f}%).",
-        "demand_concentration": "Demand concentration: top 5 substations contribute {a:.2f}% of total demand; top 10 contribute {b:.2f}%.",
-        "peak_timing": "Temporal concentration of peaks: {a:.2f}% between 17:00 and 20:59, vs {b:.2f}% between 00:00 and 05:59.",
-        "volatility": "System volatility: coefficient of variation {a:.3f} ({b:,.2f} stddev over {c:,.2f} mean).",
-        "evening_ramp": "Weekday/weekend ramp signature: weekday evening-to-night ratio={a:.3f}, weekend ratio={b:.3f}.",
-        "skew_alert": "Distribution alert: {s} shows strong right-tail skew (mean/median={a:,.2f}).",
+def findings_text(summary: DataFrame) -> DataFrame:
+    """``finding_order``, ``finding`` and a line of text for each row of :func:`insight_summary`."""
+    who = F.col("subject")
+    values = {k: F.coalesce(F.col(f"value_{i}"), F.lit(0.0)) for i, k in enumerate("abc", start=1)}
+    grouped = {k: F.format_number(v, 2) for k, v in values.items()}
+    two = {k: F.format_string("%.2f", v) for k, v in values.items()}
+    three = {k: F.format_string("%.3f", v) for k, v in values.items()}
+    lines = {
+        "top_substation": [who, " uses most per day: ", grouped["a"], " on average, ", grouped["b"], " at its highest half-hour"],
+        "highest_demand_day": [who, " was the busiest day: ", grouped["a"], " from ", F.format_number(values["b"], 0), " sites"],
+        "load_shape_peak_trough": ["the day is highest/lowest at ", who, ": ", grouped["a"], " against ", grouped["b"], " per slot"],
+        "weekday_weekend_delta": [
+            "a slot averages ", grouped["a"], " from Monday to Friday and ", grouped["b"], " otherwise, ",
+            F.format_string("%+.2f", values["c"]), "%",
+        ],
+        "demand_concentration": [two["a"], "% of all demand comes from five sites, ", two["b"], "% from ten"],
+        "peak_timing": [two["a"], "% of peaks fall in the evening (17 to 20 h) and ", two["b"], "% in the night (0 to 5 h)"],
+        "volatility": ["daily totals spread by ", three["a"], " of their mean (", grouped["b"], " around ", grouped["c"], ")"],
+        "evening_ramp": ["evening demand over night demand is ", three["a"], " on weekdays and ", three["b"], " at weekends"],
+        "skew_alert": ["ALERT ", who, ": its mean is ", grouped["a"], " times its median"],
     }
-    out = []
-    for r in rows:
-        out.append(text[r["finding"]].format(s=r["subject"], a=r["value_1"] or 0.0, b=r["value_2"] or 0.0,
-                                             c=r["value_3"] or 0.0))
-    return out
-
-
-INSIGHT_ORDER = [
-    "insight_top_substations",
-    "insight_system_peak_day",
-    "insight_load_shape",
-    "insight_weekday_weekend_profile",
-    "insight_substation_concentration",
-    "insight_peak_window",
-    "insight_volatility",
-    "insight_evening_ramp",
-    "insight_dno_outlier_screen",
-]
+    line = None
+    for name, parts in lines.items():
+        text = F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
+        line = F.when(F.col("finding") == name, text) if line is None else line.when(F.col("finding") == name, text)
+    return summary.select("finding_order", "finding", line.alias("line"))
 
 
 def all_insights(peak: DataFrame, profile: DataFrame) -> dict[str, DataFrame]:

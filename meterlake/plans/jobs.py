@@ -25,11 +25,20 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.config import PipelineConfig, date_span, parse_run_date
+from meterlake.functions.columns import as_timestamp
 from meterlake.operators.gold import build_gold_load_profile, build_gold_peak
-from meterlake.operators.quality import baseline_from_moments, feeder_day_moments, gold_input
+from meterlake.operators.quality import baseline_from_moments, feeder_baseline, feeder_day_moments, gold_input
 from meterlake.plans.layers import silver_with_quality
 from meterlake.session import ensure_utc
-from meterlake.sinks.writers import overwrite_partition, overwrite_partitions, partition_path, write_run_log
+from meterlake.schemas import GOLD_PEAK, GOLD_PROFILE, MOMENTS
+from meterlake.sinks.writers import (
+    overwrite_partition,
+    overwrite_partitions,
+    partition_days,
+    partition_path,
+    write_run_log,
+    write_run_logs,
+)
 from meterlake.sources.bronze import date_range_slice, read_bronze, run_date_slice
 
 
@@ -54,11 +63,13 @@ def build_moments(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame) -
     """(Re)write the whole per-(feeder, day) moments table from Bronze.
 
     A full rebuild replaces every partition (static overwrite), so days that
-    left Bronze do not keep stale moments.
+    left Bronze do not keep stale moments. The rebalance keeps one or a few
+    files per day instead of one per shuffle task and day.
     """
     moments = feeder_day_moments(bronze)
     (
-        moments.write.mode("overwrite")
+        moments.hint("rebalance", "reading_date")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy("reading_date")
         .parquet(cfg.moments_uri)
@@ -66,24 +77,51 @@ def build_moments(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame) -
 
 
 def refresh_moments(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame, days: list[date]) -> None:
-    """Rewrite the moments of the given days (their Bronze rows changed), in one job."""
-    if len(days) == 1:
-        overwrite_partition(feeder_day_moments(run_date_slice(bronze, days[0])), cfg.moments_uri, "reading_date", days[0])
-    else:
-        rows = date_range_slice(bronze, days[0], days[-1])
-        overwrite_partitions(feeder_day_moments(rows), cfg.moments_uri, "reading_date", days)
+    """Rewrite the moments of the given days, and of the readings without a time, in one job.
+
+    Readings without a time belong to the baseline too and to no day, so any run
+    may have brought new ones.
+    """
+    ts = as_timestamp(bronze, "data_collection_log_timestamp")
+    rows = date_range_slice(bronze, days[0], days[-1]).unionByName(bronze.filter(ts.isNull()))
+    moments = feeder_day_moments(rows)
+    overwrite_partitions(moments, cfg.moments_uri, "reading_date", days)
+
+
+def stale_days(bronze: DataFrame, moments: DataFrame) -> DataFrame:
+    """Days (NULL: readings without a time) whose stored moments count other rows than Bronze has.
+
+    Bronze is scanned for its time column alone; both sides are a row a day.
+    """
+    day = F.to_date(as_timestamp(bronze, "data_collection_log_timestamp"))
+    now = bronze.groupBy(day.alias("reading_date")).agg(F.count(F.lit(1)).alias("bronze_rows"))
+    stored = moments.groupBy(F.col("reading_date").alias("stored_date")).agg(F.sum("rows").alias("moment_rows"))
+    joined = now.join(stored, F.col("reading_date").eqNullSafe(F.col("stored_date")), "full")
+    return joined.select(
+        F.coalesce("reading_date", "stored_date").alias("reading_date"),
+        F.coalesce("bronze_rows", F.lit(0)).alias("bronze_rows"),
+        F.coalesce("moment_rows", F.lit(0)).alias("moment_rows"),
+    ).where("bronze_rows <> moment_rows")
 
 
 def _baseline(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame, days: list[date]) -> DataFrame | None:
     """``None`` -> aggregate all of Bronze; else merge the stored moments after refreshing ``days``.
 
-    The moments table must cover every Bronze day (``build_moments`` once);
-    the run refreshes its own days, so late rows of those days are included.
+    The run refreshes its own days, so late rows of those days are included.
+    Every other Bronze day must be covered by the table (``build_moments``) with
+    as many rows as Bronze has now; a gap or a changed day is an error, since the
+    baseline would silently be of another population.
     """
     if cfg.baseline_mode != "moments":
         return None
     refresh_moments(spark, cfg, bronze, days)
-    return baseline_from_moments(spark.read.parquet(cfg.moments_uri))
+    moments = spark.read.schema(MOMENTS).parquet(cfg.moments_uri)
+    stale = stale_days(bronze, moments).orderBy("reading_date").take(11)
+    if stale:
+        shown = [f"{r['reading_date']}: {r['moment_rows']} of {r['bronze_rows']} rows" for r in stale[:10]]
+        more = ", and more" if len(stale) > 10 else ""
+        raise ValueError(f"stored moments do not cover Bronze, run build-moments ({'; '.join(shown)}{more})")
+    return baseline_from_moments(moments)
 
 
 def daily_transform(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame | None = None) -> TransformCounts:
@@ -91,9 +129,12 @@ def daily_transform(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame
     ensure_utc(spark)
     day = parse_run_date(cfg.run_date)
     bronze = bronze if bronze is not None else read_bronze(spark, cfg.source_uri)
+    baseline = _baseline(spark, cfg, bronze, [day])
+    # the slice is counted before the baseline join, so a join that changed its rows would show
+    raw_df, raw_obs = _observed_rows(run_date_slice(bronze, day), "raw")
     silver = silver_with_quality(
-        bronze, run_date=day, threshold=cfg.zscore_threshold, min_history_rows=cfg.zscore_min_history_rows,
-        baseline=_baseline(spark, cfg, bronze, [day]),
+        raw_df, threshold=cfg.zscore_threshold, min_history_rows=cfg.zscore_min_history_rows,
+        baseline=baseline if baseline is not None else feeder_baseline(bronze),
     )
     silver_obs_df, silver_obs = _observed_rows(silver, "silver")
     silver_path = overwrite_partition(silver_obs_df, cfg.silver_uri, "collection_date", day)
@@ -107,8 +148,7 @@ def daily_transform(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame
     profile_df, profile_obs = _observed_rows(build_gold_load_profile(gin), "profile")
     overwrite_partition(profile_df, cfg.gold_profile_uri, "consumption_date", day)
 
-    n = _rows(silver_obs)  # Silver keeps every row of the slice
-    return TransformCounts(n, n, _rows(peak_obs), _rows(profile_obs))
+    return TransformCounts(_rows(raw_obs), _rows(silver_obs), _rows(peak_obs), _rows(profile_obs))
 
 
 def backfill_range(
@@ -126,7 +166,8 @@ def backfill_range(
     Default: one job for the whole range (same rows as the daily runs, since
     the baseline does not depend on the run date). ``per_day=True`` runs the
     daily job day by day and stops at the first failure unless
-    ``continue_on_failure``; a failure is raised at the end.
+    ``continue_on_failure``; a failure is raised at the end. Either way each
+    day gets a run-log row with its own counts.
     """
     ensure_utc(spark)
     days = date_span(parse_run_date(str(start)), parse_run_date(str(end)))
@@ -138,8 +179,8 @@ def backfill_range(
         for d in days:
             day_cfg = PipelineConfig(**{**asdict(cfg), "run_date": d})
             try:
-                counts = daily_transform(spark, day_cfg, bronze=bronze)
-                results.append({"run_date": str(d), "status": "SUCCEEDED", **asdict(counts)})
+                record = run_with_log(spark, day_cfg, bronze)
+                results.append({"run_date": str(d), "status": "SUCCEEDED", **{c: record[k] for c, k in COUNT_COLUMNS.items()}})
             except Exception as exc:  # noqa: BLE001 - reported per day, like a scheduler would
                 failed.append(str(d))
                 results.append({"run_date": str(d), "status": "FAILED", "error_message": str(exc)})
@@ -149,63 +190,99 @@ def backfill_range(
             raise RuntimeError(f"backfill failed for {failed}: {results}")
         return results
 
+    started = _now()
     silver = silver_with_quality(
         bronze, start=days[0], end=days[-1], threshold=cfg.zscore_threshold,
         min_history_rows=cfg.zscore_min_history_rows, baseline=_baseline(spark, cfg, bronze, days),
     )
-    overwrite_partitions(silver, cfg.silver_uri, "collection_date", days)
-    written = (
-        spark.read.schema(silver.schema)
-        .parquet(cfg.silver_uri)
-        .filter(F.col("collection_date").between(F.lit(str(days[0])).cast("date"), F.lit(str(days[-1])).cast("date")))
-    )
-    gin = gold_input(written)
-    overwrite_partitions(build_gold_peak(gin), cfg.gold_peak_uri, "consumption_date", days)
-    overwrite_partitions(build_gold_load_profile(gin), cfg.gold_profile_uri, "consumption_date", days)
-    return [{"run_date": f"{days[0]}..{days[-1]}", "status": "SUCCEEDED"}]
+    try:
+        overwrite_partitions(silver, cfg.silver_uri, "collection_date", days)
+        in_range = lambda key: F.col(key).between(F.lit(str(days[0])).cast("date"), F.lit(str(days[-1])).cast("date"))
+        written = spark.read.schema(silver.schema).parquet(cfg.silver_uri).filter(in_range("collection_date"))
+        gin = gold_input(written)
+        overwrite_partitions(build_gold_peak(gin), cfg.gold_peak_uri, "consumption_date", days)
+        overwrite_partitions(build_gold_load_profile(gin), cfg.gold_profile_uri, "consumption_date", days)
+        by_day = {
+            "raw_count": date_range_slice(bronze, days[0], days[-1]).groupBy(
+                F.to_date(as_timestamp(bronze, "data_collection_log_timestamp")).alias("d")
+            ),
+            "silver_count": written.groupBy(F.col("collection_date").alias("d")),
+            "peak_count": spark.read.schema(GOLD_PEAK).parquet(cfg.gold_peak_uri).filter(in_range("consumption_date")).groupBy(
+                F.col("consumption_date").alias("d")
+            ),
+            "load_profile_count": spark.read.schema(GOLD_PROFILE).parquet(cfg.gold_profile_uri).filter(in_range("consumption_date")).groupBy(
+                F.col("consumption_date").alias("d")
+            ),
+        }
+        # a row a day
+        counted = {c: {r["d"]: r["count"] for r in g.count().collect()} for c, g in by_day.items()}
+    except Exception:
+        for d in days:
+            write_run_log(spark, cfg.run_log_uri, _record(cfg, d, started, status="FAILED", error=traceback.format_exc(limit=3)))
+        raise
+    results = []
+    records = []
+    for d in days:
+        counts = TransformCounts(**{c: by.get(d, 0) for c, by in counted.items()})
+        records.append(_record(cfg, d, started, status="SUCCESS", counts=counts))
+        results.append({"run_date": str(d), "status": "SUCCEEDED", **asdict(counts)})
+    write_run_logs(spark, cfg.run_log_uri, records)
+    return results
 
 
-def read_tables(spark: SparkSession, cfg: PipelineConfig, silver_schema=None) -> dict[str, DataFrame]:
-    """The three written tables, partitions discovered from folder names."""
-    reader = spark.read
-    return {
-        "silver": (reader.schema(silver_schema) if silver_schema is not None else reader).parquet(cfg.silver_uri),
-        "gold_peak": spark.read.parquet(cfg.gold_peak_uri),
-        "gold_profile": spark.read.parquet(cfg.gold_profile_uri),
-    }
+COUNT_COLUMNS = {
+    "raw_count": "input_row_count",
+    "silver_count": "silver_row_count",
+    "peak_count": "peak_table_row_count",
+    "load_profile_count": "load_profile_row_count",
+}
 
 
-def run_with_log(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame | None = None) -> dict:
-    """Daily transform followed by one run-log row (SUCCESS or FAILED with the error text)."""
-    started = datetime.now(timezone.utc).isoformat()
-    record = {
+def _now() -> str:
+    return datetime.now(timezone.utc).isoformat()
+
+
+def _record(
+    cfg: PipelineConfig, day: date, started: str, status: str, counts: TransformCounts | None = None, error: str = ""
+) -> dict:
+    """One run-log row; without counts they are 0."""
+    found = asdict(counts) if counts else {c: 0 for c in COUNT_COLUMNS}
+    return {
         "run_id": str(uuid.uuid4()),
         "pipeline_name": cfg.pipeline_name,
-        "run_date": parse_run_date(cfg.run_date),
+        "run_date": day,
         "started_at": started,
+        "finished_at": _now(),
+        "status": status,
         "code_version": cfg.code_version,
         "metadata": {"warehouse": cfg.warehouse_uri, "zscore_threshold": cfg.zscore_threshold},
-        "error_message": "",
-        "input_row_count": 0,
-        "silver_row_count": 0,
-        "peak_table_row_count": 0,
-        "load_profile_row_count": 0,
+        "error_message": error,
+        **{k: found[c] for c, k in COUNT_COLUMNS.items()},
     }
+
+
+def log_run(spark: SparkSession, cfg: PipelineConfig, status: str, error: str = "") -> dict:
+    """Write one run-log row for ``cfg.run_date`` by itself, with the counts of its stored partitions."""
+    day = parse_run_date(cfg.run_date)
+    tables = ((cfg.silver_uri, "collection_date"), (cfg.gold_peak_uri, "consumption_date"), (cfg.gold_profile_uri, "consumption_date"))
+    found = [
+        spark.read.parquet(partition_path(base, key, day)).count() if str(day) in partition_days(spark, base, key) else 0
+        for base, key in tables
+    ]
+    record = _record(cfg, day, _now(), status, TransformCounts(found[0], *found), error)
+    write_run_log(spark, cfg.run_log_uri, record)
+    return record
+
+
+def run_with_log(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame | None = None) -> dict:
+    """Daily transform followed by one run-log row (SUCCESS or FAILED with the error text)."""
+    started = _now()
+    day = parse_run_date(cfg.run_date)
     try:
-        counts = daily_transform(spark, cfg, bronze)
-        record.update(
-            status="SUCCESS",
-            input_row_count=counts.raw_count,
-            silver_row_count=counts.silver_count,
-            peak_table_row_count=counts.peak_count,
-            load_profile_row_count=counts.load_profile_count,
-        )
+        record = _record(cfg, day, started, "SUCCESS", daily_transform(spark, cfg, bronze))
     except Exception:  # noqa: BLE001 - the failure is logged, then re-raised
-        record.update(status="FAILED", error_message=traceback.format_exc(limit=3))
-        record["finished_at"] = datetime.now(timezone.utc).isoformat()
-        write_run_log(spark, cfg.run_log_uri, record)
+        write_run_log(spark, cfg.run_log_uri, _record(cfg, day, started, "FAILED", error=traceback.format_exc(limit=3)))
         raise
-    record["finished_at"] = datetime.now(timezone.utc).isoformat()
     write_run_log(spark, cfg.run_log_uri, record)
     return record
 
@@ -221,8 +298,8 @@ __all__ = [
     "TransformCounts",
     "backfill_range",
     "daily_transform",
+    "log_run",
     "partition_path",
-    "read_tables",
     "registered_jobs",
     "run_with_log",
 ]

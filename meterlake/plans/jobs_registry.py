@@ -13,17 +13,19 @@ from meterlake.plans.jobs import backfill_range, build_moments, daily_transform,
 from meterlake.registry import (
     DQ_FLAT,
     DQ_NOISY,
+    FLAT_BRONZE,
     FULL_END,
     FULL_START,
     PEAK_NOISY,
     PROFILE_NOISY,
     RUN_DATE,
     _bronze,
+    _stored,
     f32,
     f32_all,
 )
 from meterlake.session import scratch_path
-from meterlake.sinks.writers import export_json, partition_path, register_tables, run_sql
+from meterlake.sinks.writers import export_json, partition_path, register_tables, run_sql, table_catalog
 from meterlake.schemas import GOLD_PEAK_COLUMNS, GOLD_PROFILE_COLUMNS
 
 
@@ -75,6 +77,17 @@ def q_write_silver_moments(spark, sf):
     return f32(_read_day(spark, cfg.silver_uri, "collection_date").select(*DQ_FLAT), DQ_NOISY)
 
 
+def q_write_silver_moments_late(spark, sf):
+    """Moments stored before some readings of the run's day and all readings without a time came: same rows as the full scan."""
+    cfg = load_config(warehouse_uri=scratch_path(spark, "warehouse"), source_uri="fixture", run_date=RUN_DATE,
+                      baseline_mode="moments")
+    bronze = _bronze(spark, sf, "dirty")
+    late = (F.to_date("data_collection_log_timestamp") == F.lit(RUN_DATE).cast("date")) & (F.col("dataset_id").cast("long") % 3 == 0)
+    build_moments(spark, cfg, bronze.where(F.col("data_collection_log_timestamp").isNotNull() & ~late))
+    daily_transform(spark, cfg, bronze=bronze)
+    return f32(_read_day(spark, cfg.silver_uri, "collection_date").select(*DQ_FLAT), DQ_NOISY)
+
+
 def q_write_gold_peak(spark, sf):
     cfg = _daily(spark, sf)
     return f32(_read_day(spark, cfg.gold_peak_uri, "consumption_date").select(*GOLD_PEAK_COLUMNS), PEAK_NOISY)
@@ -96,6 +109,32 @@ def q_backfill_range_gold(spark, sf):
     return f32(spark.read.parquet(cfg.gold_peak_uri).select(*GOLD_PEAK_COLUMNS), PEAK_NOISY)
 
 
+def q_backfill_range_profile(spark, sf):
+    cfg = _range(spark, sf)
+    return f32(spark.read.parquet(cfg.gold_profile_uri).select(*GOLD_PROFILE_COLUMNS), PROFILE_NOISY)
+
+
+def q_backfill_run_log(spark, sf):
+    """A range run logs each of its days with the day's own counts."""
+    cfg = _range(spark, sf)
+    return spark.read.parquet(cfg.run_log_uri).select(
+        "run_date", "status", "input_row_count", "silver_row_count", "peak_table_row_count", "load_profile_row_count"
+    )
+
+
+def q_run_log_metadata(spark, sf):
+    """The parts of a log row that differ from run to run, by their form; the metadata as JSON."""
+    cfg = _cfg(spark)
+    run_with_log(spark, cfg, bronze=_bronze(spark, sf))
+    return spark.read.parquet(cfg.run_log_uri).select(
+        F.get_json_object("metadata", "$.zscore_threshold").alias("zscore_threshold"),
+        F.get_json_object("metadata", "$.warehouse").endswith(cfg.warehouse_uri).alias("has_warehouse"),
+        F.col("run_id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$").alias("is_uuid"),
+        (F.to_timestamp("started_at") <= F.to_timestamp("finished_at")).alias("in_order"),
+        F.col("finished_at").endswith("+00:00").alias("is_utc"),
+    )
+
+
 def q_run_log(spark, sf):
     cfg = _cfg(spark)
     run_with_log(spark, cfg, bronze=_bronze(spark, sf))
@@ -106,16 +145,11 @@ def q_run_log(spark, sf):
 
 
 def _registered(spark, sf):
-    cfg = _range(spark, sf)
-    names = register_tables(
-        spark,
-        {
-            "silver_half_hourly_clean": (cfg.silver_uri, "collection_date"),
-            "gold_peak_demand_substation_day": (cfg.gold_peak_uri, "consumption_date"),
-            "gold_avg_load_profile_day": (cfg.gold_profile_uri, "consumption_date"),
-        },
-    )
-    return cfg, names
+    """All five tables stored and registered; Bronze is written as a table of its own."""
+    cfg = load_config(warehouse_uri=scratch_path(spark, "warehouse"), source_uri=scratch_path(spark, "bronze"), run_date=RUN_DATE)
+    _bronze(spark, sf).write.parquet(cfg.source_uri)
+    backfill_range(spark, cfg, FULL_START, FULL_END)
+    return cfg, register_tables(spark, table_catalog(cfg))
 
 
 def q_register_tables(spark, sf):
@@ -127,6 +161,14 @@ def q_register_tables(spark, sf):
     return out
 
 
+def _registered_table(name: str, columns: list[str], noisy: list[str]):
+    def run(spark, sf):
+        _registered(spark, sf)
+        return f32(spark.table(name).select(*columns), noisy)
+
+    return run
+
+
 def q_projected_partitions(spark, sf):
     _registered(spark, sf)
     return spark.table("silver_half_hourly_clean").groupBy("collection_date").agg(F.count(F.lit(1)).alias("row_count"))
@@ -139,7 +181,13 @@ def q_run_sql(spark, sf):
         "FROM gold_peak_demand_substation_day WHERE consumption_date <= :last_day "
         "GROUP BY dno_alias ORDER BY dno_alias"
     )
-    return run_sql(spark, text, args={"last_day": date.fromisoformat(FULL_END)}, max_rows=100)
+    return run_sql(spark, text, args={"last_day": date.fromisoformat(FULL_END)})
+
+
+def q_run_sql_all(spark, sf):
+    """A result of more than 100 rows comes back whole."""
+    _registered(spark, sf)
+    return run_sql(spark, "SELECT consumption_date, dno_alias, secondary_substation_unique_id, reading_count FROM gold_peak_demand_substation_day")
 
 
 def q_export_json(spark, sf):
@@ -151,10 +199,19 @@ def q_export_json(spark, sf):
     return f32_all(spark.read.schema(df.schema).json(path))
 
 
-def q_run_insights(spark, sf):
+def q_export_json_nulls(spark, sf):
+    """A saved result has all rows, and all columns in each row, NULL or not."""
     from meterlake.plans.layers import build_layers
 
-    L = build_layers(_bronze(spark, sf))
+    df = build_layers(_bronze(spark, sf, "dirty")).peak.select("consumption_date", "dno_alias", "secondary_substation_unique_id", "reading_count")
+    path = export_json(df, scratch_path(spark, "export"))
+    fields = F.size(F.json_object_keys("value")).alias("fields")
+    parsed = F.from_json("value", df.schema).alias("r")
+    return spark.read.text(path).select(parsed, fields).select("r.*", "fields")
+
+
+def q_run_insights(spark, sf):
+    L = _stored(spark, sf)
     out = None
     for name, df in I.all_insights(L.peak, L.profile).items():
         part = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("insight"), "row_count")
@@ -166,14 +223,25 @@ JOBS = {
     "daily_transform": q_daily_transform,
     "write_silver": q_write_silver,
     "write_silver_moments": q_write_silver_moments,
+    "write_silver_moments_late": q_write_silver_moments_late,
     "write_gold_peak": q_write_gold_peak,
     "write_gold_profile": q_write_gold_profile,
     "backfill_range": q_backfill_range,
     "backfill_range_gold": q_backfill_range_gold,
+    "backfill_range_profile": q_backfill_range_profile,
+    "backfill_run_log": q_backfill_run_log,
     "run_log": q_run_log,
+    "run_log_metadata": q_run_log_metadata,
     "register_tables": q_register_tables,
     "projected_partitions": q_projected_partitions,
+    "table_bronze": _registered_table("bronze_readings", FLAT_BRONZE, []),
+    "table_silver": _registered_table("silver_half_hourly_clean", DQ_FLAT, DQ_NOISY),
+    "table_gold_peak": _registered_table("gold_peak_demand_substation_day", GOLD_PEAK_COLUMNS, PEAK_NOISY),
+    "table_gold_profile": _registered_table("gold_avg_load_profile_day", GOLD_PROFILE_COLUMNS, PROFILE_NOISY),
+    "table_run_log": _registered_table("pipeline_run_log", ["run_date", "status", "silver_row_count"], []),
     "run_sql": q_run_sql,
+    "run_sql_all": q_run_sql_all,
     "export_json": q_export_json,
+    "export_json_nulls": q_export_json_nulls,
     "run_insights": q_run_insights,
 }

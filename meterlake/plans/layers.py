@@ -12,10 +12,10 @@ from datetime import date
 from pyspark.sql import DataFrame
 
 from meterlake.config import DEFAULT_MIN_HISTORY_ROWS, DEFAULT_ZSCORE_THRESHOLD
-from meterlake.functions.columns import as_timestamp
 from meterlake.operators.gold import build_gold_load_profile, build_gold_peak
 from meterlake.operators.quality import apply_zscore_quality_flag, feeder_baseline, gold_input, hard_rules
-from meterlake.operators.silver import TS, build_silver
+from meterlake.operators.silver import build_silver
+from meterlake.session import scratch_path
 from meterlake.sources.bronze import date_range_slice, run_date_slice
 
 
@@ -45,13 +45,34 @@ class Layers:
         return build_gold_load_profile(self.gold_in)
 
 
+class StoredLayers:
+    """Silver and Gold written once under the shared folder and read back.
+
+    For plans that read the tables many times (the summary, the QA suite): each
+    finding is then a pruned scan of a stored table, not a rebuild from Bronze.
+    """
+
+    def __init__(self, layers: Layers):
+        spark = layers.bronze.sparkSession
+
+        def stored(df: DataFrame, name: str) -> DataFrame:
+            path = scratch_path(spark, name)
+            df.write.parquet(path)
+            return spark.read.schema(df.schema).parquet(path)
+
+        self.silver = stored(layers.silver, "silver")
+        self.gold_in = gold_input(self.silver)
+        self.peak = stored(build_gold_peak(self.gold_in), "gold-peak")
+        self.profile = stored(build_gold_load_profile(self.gold_in), "gold-profile")
+
+
 def current_rows(bronze: DataFrame, run_date: date | str | None = None, start=None, end=None) -> DataFrame:
-    """Rows a run processes: one day, a day range, or every dated row."""
+    """Rows a run processes: one day, a day range, or all (readings without a time too: the quality rules drop them)."""
     if run_date is not None:
         return run_date_slice(bronze, run_date)
     if start is not None or end is not None:
         return date_range_slice(bronze, start, end)
-    return bronze.filter(as_timestamp(bronze, TS).isNotNull())
+    return bronze
 
 
 def silver_with_quality(

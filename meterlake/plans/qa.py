@@ -120,12 +120,18 @@ def qa_nulls(silver: DataFrame, run_date) -> DataFrame:
     )
 
 
-def previous_day(silver: DataFrame, run_date) -> DataFrame:
+def previous_day(silver: DataFrame, run_date, days: list[str] | None = None) -> DataFrame:
     """Row count and average of the latest Silver day before ``run_date`` (0 or 1 row).
 
-    The latest earlier date is a scalar subquery, so only that day is read.
+    ``days`` are the days that Silver's folders have (``partition_days``): the day
+    before is then taken from that list and only its folder is read. Without them
+    it is a scalar subquery over Silver's own dates.
     """
-    prev = silver.filter(F.col("collection_date") < _day(run_date)).agg(F.max("collection_date")).scalar()
+    if days is not None:
+        earlier = [d for d in days if d < str(run_date)]
+        prev = _day(max(earlier)) if earlier else F.lit(None).cast("date")
+    else:
+        prev = silver.filter(F.col("collection_date") < _day(run_date)).agg(F.max("collection_date")).scalar()
     return (
         silver.filter(F.col("collection_date") == prev)
         .groupBy("collection_date")
@@ -133,9 +139,9 @@ def previous_day(silver: DataFrame, run_date) -> DataFrame:
     )
 
 
-def qa_business_rules(silver: DataFrame, peak: DataFrame, run_date) -> DataFrame:
+def qa_business_rules(silver: DataFrame, peak: DataFrame, run_date, days: list[str] | None = None) -> DataFrame:
     """Value rules on the day plus row-count and average drift against the previous day."""
-    prev = previous_day(silver, run_date).agg(
+    prev = previous_day(silver, run_date, days).agg(
         F.struct(F.max("row_count").alias("n"), F.max("avg_consumption").alias("a"))
     ).scalar()
     bad_peak = gold_day(peak, run_date).agg(
@@ -184,40 +190,56 @@ def qa_business_rules(silver: DataFrame, peak: DataFrame, run_date) -> DataFrame
 CHECKS = ["qa_freshness", "qa_completeness", "qa_uniqueness", "qa_nulls", "qa_business_rules"]
 
 
-def run_checks(silver: DataFrame, peak: DataFrame, profile: DataFrame, run_date) -> dict[str, DataFrame]:
+STATUS_COLUMNS = {
+    "qa_freshness": "freshness_status",
+    "qa_completeness": "completeness_status",
+    "qa_uniqueness": "uniqueness_status",
+    "qa_nulls": "null_check_status",
+    "qa_business_rules": "business_rule_status",
+}
+
+
+def run_checks(
+    silver: DataFrame, peak: DataFrame, profile: DataFrame, run_date, days: list[str] | None = None
+) -> dict[str, DataFrame]:
     return {
         "qa_freshness": qa_freshness(silver, run_date),
         "qa_completeness": qa_completeness(silver, profile, run_date),
         "qa_uniqueness": qa_uniqueness(peak, profile, run_date),
         "qa_nulls": qa_nulls(silver, run_date),
-        "qa_business_rules": qa_business_rules(silver, peak, run_date),
+        "qa_business_rules": qa_business_rules(silver, peak, run_date, days),
     }
 
 
 def qa_suite(silver: DataFrame, peak: DataFrame, profile: DataFrame, run_date) -> DataFrame:
-    """One status row per check, in fixed order."""
+    """One status row per check, in fixed order, as one plan."""
     checks = run_checks(silver, peak, profile, run_date)
-    status_col = {
-        "qa_freshness": "freshness_status",
-        "qa_completeness": "completeness_status",
-        "qa_uniqueness": "uniqueness_status",
-        "qa_nulls": "null_check_status",
-        "qa_business_rules": "business_rule_status",
-    }
     out = None
     for i, name in enumerate(CHECKS, start=1):
         part = checks[name].select(
             F.lit(i).alias("check_order"),
             F.lit(name).alias("check_name"),
             F.col("run_date"),
-            F.col(status_col[name]).alias("status"),
+            F.col(STATUS_COLUMNS[name]).alias("status"),
         )
         out = part if out is None else out.unionByName(part)
     return out.orderBy("check_order")
 
 
-def assert_all_pass(suite: DataFrame) -> None:
-    """Strict mode: raise when any check reports FAIL (five rows are collected)."""
-    failed = [r["check_name"] for r in suite.collect() if r["status"] != "PASS"]
+def check_statuses(checks: dict[str, DataFrame]) -> list[dict]:
+    """Run each check by itself: its row, its status, or ERROR with the reason when its query fails."""
+    out = []
+    for name, df in checks.items():
+        try:
+            row = df.first().asDict(recursive=True)
+            out.append({"check_name": name, "status": row[STATUS_COLUMNS[name]], "reason": "", "row": row})
+        except Exception as exc:  # noqa: BLE001 - reported for this check; the others still run
+            out.append({"check_name": name, "status": "ERROR", "reason": str(exc).splitlines()[0], "row": None})
+    return out
+
+
+def assert_all_pass(statuses) -> None:
+    """Strict mode: raise when any check does not report PASS (rows with check_name and status)."""
+    failed = [r["check_name"] for r in statuses if r["status"] != "PASS"]
     if failed:
         raise RuntimeError(f"QA checks failed: {', '.join(failed)}")

@@ -15,14 +15,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterlake.functions.columns import slot_to_hhmm, try_double
+from meterlake.functions.columns import coerce_numeric, day_range, safe_double, slot_to_hhmm
 from meterlake.operators.explore import distinct_counts, feeders_per_site, hourly_summary
 from meterlake.operators.gold import build_gold_peak_ranked, peak_rank
 from meterlake.operators.quality import feeder_baseline, gold_input
 from meterlake.operators.silver import build_silver, calendar_columns, geometry_xy, with_strict_composite_id
 from meterlake.plans import insights as I
 from meterlake.plans import qa as Q
-from meterlake.plans.layers import Layers, build_layers
+from meterlake.plans.layers import Layers, StoredLayers, build_layers
 from meterlake.session import ensure_utc
 from meterlake.sources import bronze as B
 from meterlake.sources.fixtures import readings
@@ -119,18 +119,12 @@ def q_parquet_profile(spark, sf):
     return B.parquet_profile(_bronze(spark, sf, "dirty"))
 
 
-def q_parquet_footer_profile(spark, sf):
-    """Row groups, rows and the time range of the source file, from its footer statistics."""
-    ensure_utc(spark)
-    return B.footer_profile(spark, f"{sf.rstrip('/')}/events.parquet", "ts").drop("schema")
-
-
 def q_silver_profile(spark, sf):
     return B.silver_profile(_layers(spark, sf).silver)
 
 
 def q_preview(spark, sf):
-    return B.preview(_bronze(spark, sf), ["dataset_id", "aggregated_device_count_active"], 20)
+    return B.preview(_bronze(spark, sf), ["dataset_id", "aggregated_device_count_active"], 20, order_by="dataset_id")
 
 
 # ---------------------------------------------------------------- projections
@@ -161,13 +155,37 @@ def q_slot_to_hhmm(spark, sf):
 
 
 def q_coerce_numeric(spark, sf):
-    return _bronze(spark, sf).select(
-        "dataset_id",
-        try_double("dataset_id").alias("dataset_id_value"),
-        try_double("dno_alias").alias("dno_alias_value"),
+    numbers = coerce_numeric(_bronze(spark, sf), ["dataset_id", "dno_alias", "no_such_column"])
+    return numbers.select(F.col("dataset_id").alias("dataset_id_value"), F.col("dno_alias").alias("dno_alias_value"))
+
+
+def q_safe_double(spark, sf):
+    """Blank substations and missing numbers of the dirty readings as 0."""
+    df = _bronze(spark, sf, "dirty")
+    digits = F.regexp_replace("secondary_substation_unique_id", "SS", "")
+    return df.select(
+        "dataset_id", safe_double(digits).alias("substation_number"), safe_double("total_consumption_active_import").alias("consumption")
     )
 
 
+def q_silver_text_time(spark, sf):
+    """Times as text: what is no time becomes NULL and the row stays."""
+    return build_silver(_bronze(spark, sf, "texttime")).select(
+        "dataset_id", "data_collection_log_timestamp", "half_hour_slot", "day_of_week", "collection_date"
+    )
+
+
+def q_silver_profile_text_time(spark, sf):
+    return B.silver_profile(build_silver(_bronze(spark, sf, "texttime")))
+
+
+def q_day_sequence(spark, sf):
+    """Readings of each day of an inclusive range, days without readings too."""
+    days = spark.range(1).select(F.explode(day_range("2023-12-30", "2024-02-02")).alias("day"))
+    counts = _bronze(spark, sf).groupBy(F.to_date("data_collection_log_timestamp").alias("d")).count()
+    return days.join(counts, F.col("day") == F.col("d"), "left").select("day", F.coalesce("count", F.lit(0)).alias("readings"))
+
+
 # ---------------------------------------------------------------- quality
 
 
@@ -307,22 +325,36 @@ def _qa(name: str, variant: str = "clean", run_date: str = RUN_DATE):
     return run
 
 
+def _stored(spark, sf, variant: str = "clean") -> StoredLayers:
+    return StoredLayers(_layers(spark, sf, variant))
+
+
 def q_qa_suite(spark, sf):
-    L = _layers(spark, sf)
+    L = _stored(spark, sf)
     return Q.qa_suite(L.silver, L.peak, L.profile, RUN_DATE)
 
 
 # ---------------------------------------------------------------- insights and charts
 
 
-def _gold(spark, sf):
-    L = _layers(spark, sf)
+def _gold(spark, sf, variant: str = "clean"):
+    L = _layers(spark, sf, variant)
     return L.peak, L.profile
 
 
-def _insight(fn, uses: str):
+def q_insight_summary(spark, sf, variant: str = "clean"):
+    L = _stored(spark, sf, variant)
+    return f32_all(I.insight_summary(L.peak, L.profile))
+
+
+def q_insight_text(spark, sf):
+    L = _stored(spark, sf, "skewed")
+    return I.findings_text(I.insight_summary(L.peak, L.profile))
+
+
+def _insight(fn, uses: str, variant: str = "clean"):
     def run(spark, sf):
-        peak, profile = _gold(spark, sf)
+        peak, profile = _gold(spark, sf, variant)
         if uses == "peak":
             df = fn(peak)
         elif uses == "profile":
@@ -334,6 +366,21 @@ def _insight(fn, uses: str):
     return run
 
 
+INSIGHTS = {
+    "insight_date_coverage": (I.date_coverage, "both"),
+    "insight_top_substations": (I.top_substations, "peak"),
+    "insight_system_peak_day": (I.system_peak_day, "peak"),
+    "insight_load_shape": (I.load_shape, "profile"),
+    "insight_weekday_weekend_profile": (I.weekday_weekend_profile, "profile"),
+    "insight_substation_concentration": (I.substation_concentration, "peak"),
+    "insight_peak_window": (I.peak_window, "peak"),
+    "insight_volatility": (I.day_total_volatility, "peak"),
+    "insight_evening_ramp": (I.evening_ramp, "profile"),
+    "insight_dno_outlier_screen": (I.dno_outlier_screen, "peak"),
+    "insight_dno_share": (I.dno_share, "peak"),
+    "insight_peak_hour_distribution": (I.peak_hour_distribution, "peak"),
+}
+
 # ---------------------------------------------------------------- registry
 
 
@@ -347,7 +394,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "date_range_slice": q_date_range_slice,
         "source_date_profile": q_source_date_profile,
         "parquet_profile": q_parquet_profile,
-        "parquet_footer_profile": q_parquet_footer_profile,
         "silver_profile": q_silver_profile,
         "preview": q_preview,
         "silver_build": q_silver_build,
@@ -356,6 +402,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "composite_id_strict": q_composite_id_strict,
         "slot_to_hhmm": q_slot_to_hhmm,
         "coerce_numeric": q_coerce_numeric,
+        "safe_double": q_safe_double,
+        "silver_text_time": q_silver_text_time,
+        "silver_profile_text_time": q_silver_profile_text_time,
+        "day_sequence": q_day_sequence,
         "feeder_baseline": q_feeder_baseline,
         "feeder_baseline_moments": q_feeder_baseline_moments,
         "dq_zscore": q_dq_zscore,
@@ -385,19 +435,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "qa_business_rules_dirty": _qa("qa_business_rules", "dirty"),
         "qa_business_rules_first_day": _qa("qa_business_rules", run_date=FIRST_DATE),
         "qa_suite": q_qa_suite,
-        "insight_date_coverage": _insight(I.date_coverage, "both"),
-        "insight_top_substations": _insight(I.top_substations, "peak"),
-        "insight_system_peak_day": _insight(I.system_peak_day, "peak"),
-        "insight_load_shape": _insight(I.load_shape, "profile"),
-        "insight_weekday_weekend_profile": _insight(I.weekday_weekend_profile, "profile"),
-        "insight_substation_concentration": _insight(I.substation_concentration, "peak"),
-        "insight_peak_window": _insight(I.peak_window, "peak"),
-        "insight_volatility": _insight(I.day_total_volatility, "peak"),
-        "insight_evening_ramp": _insight(I.evening_ramp, "profile"),
-        "insight_dno_outlier_screen": _insight(I.dno_outlier_screen, "peak"),
-        "insight_dno_share": _insight(I.dno_share, "peak"),
-        "insight_peak_hour_distribution": _insight(I.peak_hour_distribution, "peak"),
-        "insight_summary": _insight(I.insight_summary, "both"),
+        **{name: _insight(fn, uses) for name, (fn, uses) in INSIGHTS.items()},
+        "insight_summary": q_insight_summary,
+        "insight_summary_skewed": lambda spark, sf: q_insight_summary(spark, sf, "skewed"),
+        "insight_text": q_insight_text,
         "chart_dno_share": _insight(I.chart_dno_share, "peak"),
         "chart_load_shape": _insight(I.chart_load_shape, "profile"),
         "chart_peak_hour": _insight(I.chart_peak_hour, "peak"),
@@ -405,5 +446,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "chart_weekday_weekend": _insight(I.chart_weekday_weekend, "profile"),
         "chart_dno_outlier": _insight(I.chart_dno_outlier, "peak"),
     }
+    for name, (fn, uses) in INSIGHTS.items():
+        reg[f"{name}_dirty"] = _insight(fn, uses, "dirty")
     reg.update(J.registered_jobs())
     return reg

@@ -28,7 +28,6 @@ BRONZE = T.StructType(
         T.StructField("bbox", BBOX),
     ]
 )
-BRONZE_COLUMNS = [f.name for f in BRONZE.fields]
 
 DERIVED = T.StructType(
     [
@@ -55,14 +54,15 @@ QUALITY = T.StructType(
     ]
 )
 
-# Silver keeps every row of the day, DROP rows included; partition collection_date.
-SILVER_DATA_COLUMNS = (
-    ["dataset_id", "dno_alias", "aggregated_device_count_active", "total_consumption_active_import",
-     "data_collection_log_timestamp", "geometry", "secondary_substation_unique_id", "lv_feeder_unique_id", "bbox"]
-    + [f.name for f in DERIVED.fields]
-    + [f.name for f in QUALITY.fields]
+# Silver keeps every row of the day, DROP rows included.
+SILVER = T.StructType(
+    [
+        *[T.StructField(f.name, T.DoubleType()) if f.name == "total_consumption_active_import" else f for f in BRONZE],
+        *DERIVED,
+        *QUALITY,
+        T.StructField("collection_date", T.DateType()),
+    ]
 )
-SILVER_PARTITION = "collection_date"
 
 GOLD_PEAK_COLUMNS = [
     "consumption_date",
@@ -89,7 +89,33 @@ GOLD_PROFILE_COLUMNS = [
     "feeder_count",
     "avg_consumption_per_active_device",
 ]
-GOLD_PARTITION = "consumption_date"
+
+_KINDS = {
+    "consumption_date": T.DateType(),
+    "dno_alias": T.StringType(),
+    "secondary_substation_unique_id": T.StringType(),
+    "peak_timestamp": T.TimestampType(),
+    "feeder_count": T.LongType(),
+    "reading_count": T.LongType(),
+    "substation_count": T.LongType(),
+    "hour_of_day": T.IntegerType(),
+    "minute_of_hour": T.IntegerType(),
+    "half_hour_slot": T.IntegerType(),
+}
+GOLD_PEAK = T.StructType([T.StructField(c, _KINDS.get(c, T.DoubleType())) for c in GOLD_PEAK_COLUMNS])
+GOLD_PROFILE = T.StructType([T.StructField(c, _KINDS.get(c, T.DoubleType())) for c in GOLD_PROFILE_COLUMNS])
+
+# Per (feeder, day) summary of Bronze; partition reading_date (NULL: readings without a time).
+MOMENTS = T.StructType(
+    [
+        T.StructField("composite_feeder_id", T.StringType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("total", T.DoubleType()),
+        T.StructField("m2", T.DoubleType()),
+        T.StructField("reading_date", T.DateType()),
+    ]
+)
 
 RUN_LOG = T.StructType(
     [

@@ -90,86 +90,8 @@ def silver_profile(silver: DataFrame) -> DataFrame:
     )
 
 
-def preview(df: DataFrame, columns: list[str] | None = None, n: int = 20) -> DataFrame:
-    """First ``n`` rows of a projection (the limit is the feature)."""
-    return (df.select(*columns) if columns else df).limit(n)
-
-
-FOOTER_SCHEMA = (
-    "path string, row_group int, num_rows bigint, has_stats boolean, min_value timestamp, max_value timestamp"
-)
-
-
-def _footer_rows(column: str):
-    """mapInPandas body: one output row per row group, from the file footer only."""
-
-    def run(batches):
-        from datetime import datetime, timezone
-        from urllib.parse import urlparse
-
-        import pandas as pd
-        import pyarrow.fs as pafs
-        import pyarrow.parquet as pq
-
-        def as_ts(v):
-            # integer statistics are epoch milliseconds; datetimes are taken as UTC
-            if v is None:
-                return None
-            if isinstance(v, datetime):
-                return v.replace(tzinfo=None) if v.tzinfo is None else v.astimezone(timezone.utc).replace(tzinfo=None)
-            if isinstance(v, int):
-                return datetime.fromtimestamp(v / 1000, tz=timezone.utc).replace(tzinfo=None)
-            return None
-
-        for batch in batches:
-            out = []
-            for uri in batch["path"]:
-                parsed = urlparse(uri)
-                if parsed.scheme in ("", "file"):
-                    fs, path = pafs.LocalFileSystem(), parsed.path
-                else:
-                    fs, path = pafs.FileSystem.from_uri(uri)
-                with fs.open_input_file(path) as handle:
-                    meta = pq.ParquetFile(handle).metadata
-                    names = [meta.schema.column(i).name for i in range(meta.num_columns)]
-                    idx = names.index(column) if column in names else None
-                    for g in range(meta.num_row_groups):
-                        rg = meta.row_group(g)
-                        stats = rg.column(idx).statistics if idx is not None else None
-                        ok = stats is not None and stats.has_min_max
-                        lo = as_ts(stats.min) if ok else None
-                        hi = as_ts(stats.max) if ok else None
-                        out.append((uri, g, rg.num_rows, ok and lo is not None and hi is not None, lo, hi))
-            yield pd.DataFrame(out, columns=["path", "row_group", "num_rows", "has_stats", "min_value", "max_value"])
-
-    return run
-
-
-def footer_profile(spark: SparkSession, uri: str, column: str = TS) -> DataFrame:
-    """Rows, files, row groups and the ``column`` range from parquet footers (no data pages read).
-
-    The file list is a distributed ``binaryFile`` scan with the content column
-    pruned; footers are read on the executors, one task per batch of files.
-    Row groups without min/max statistics are counted and skipped for the range.
-    """
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
-        .option("recursiveFileLookup", "true")
-        .load(uri)
-        .select("path")
-    )
-    groups = files.mapInPandas(_footer_rows(column), FOOTER_SCHEMA)
-    return groups.agg(
-        F.sum("num_rows").alias("row_count"),
-        F.count_distinct("path").alias("file_count"),
-        F.count(F.lit(1)).alias("row_group_count"),
-        F.count_if(~F.col("has_stats")).alias("row_groups_without_stats"),
-        F.min("min_value").alias("min_timestamp"),
-        F.max("max_value").alias("max_timestamp"),
-    ).select(
-        "*",
-        F.to_date("min_timestamp").alias("min_date"),
-        F.to_date("max_timestamp").alias("max_date"),
-        F.lit(spark.read.parquet(uri).schema.simpleString()).alias("schema"),
-    )
+def preview(df: DataFrame, columns: list[str] | None = None, n: int = 20, order_by: str | None = None) -> DataFrame:
+    """First ``n`` rows of a projection (the limit is the feature); in the order of a column if one is named."""
+    rows = df.orderBy(order_by) if order_by else df
+    return (rows.select(*columns) if columns else rows).limit(n)
+

@@ -12,7 +12,8 @@ Mapping (also in FIXTURES.md §2)::
     substation = 'SS' || sub,  feeder = 'F' || user_id % 3
 
 ``dirty`` injects every invalid case of the quality rules; ``offgrid`` keeps
-the raw (unfloored) timestamps. The rules below pick rows to corrupt; they
+the raw (unfloored) timestamps; ``skewed`` has one substation in ten of its DNO
+use 5000 times as much; ``texttime`` has times as text, some of them no times. The rules below pick rows to corrupt; they
 never remove rows.
 """
 
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from meterlake.session import ensure_utc
 
-VARIANTS = ("clean", "dirty", "offgrid")
+VARIANTS = ("clean", "dirty", "offgrid", "skewed", "texttime")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +47,10 @@ def _exprs(variant: str) -> list[str]:
         consumption = f"CASE WHEN event_id % 97 = 0 THEN -{c} WHEN event_id % 83 = 0 THEN NULL ELSE {c} END"
         ts = f"CASE WHEN event_id % 79 != 0 THEN {ts} END"
         substation = f"CASE WHEN event_id % 89 = 0 THEN '' WHEN event_id % 101 = 0 THEN NULL ELSE {substation} END"
+    if variant == "skewed":
+        consumption = f"CASE WHEN {sub} = 3 THEN 5000 * {c} ELSE {c} END"
+    if variant == "texttime":
+        ts = f"CASE WHEN event_id % 61 = 0 THEN 'no time' ELSE CAST({ts} AS STRING) END"
     x = f"CAST({sub} % 180 AS DOUBLE)"
     y = f"CAST({sub} % 90 AS DOUBLE)"
     return [

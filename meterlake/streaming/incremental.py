@@ -5,7 +5,7 @@ days* to run. A file stream over the Bronze folder sees new parquet files;
 for each micro-batch the days it touched (as contiguous spans) are re-run with
 :func:`meterlake.plans.jobs.backfill_range` (all-history baseline, whole-day
 overwrites), so late readings replace their days idempotently. The stream
-checkpoint lives under the shared checkpoint folder, so a restarted driver
+checkpoint has a fixed place under the warehouse, so a restarted driver
 resumes after the last processed file.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from meterlake.config import PipelineConfig
 from meterlake.schemas import BRONZE
-from meterlake.session import ensure_utc, scratch_path
+from meterlake.session import ensure_utc
 
 
 def touched_days(batch: DataFrame) -> list[tuple]:
@@ -54,7 +54,7 @@ def start_incremental_transform(
             backfill_range(spark, cfg, lo, hi, bronze=read_bronze(spark, cfg.source_uri))
 
     writer = stream.writeStream.foreachBatch(run_batch).option(
-        "checkpointLocation", checkpoint_uri or scratch_path(spark, "stream-checkpoint")
+        "checkpointLocation", checkpoint_uri or f"{cfg.warehouse_uri.rstrip('/')}/meta/stream_checkpoint"
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()

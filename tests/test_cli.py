@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 
+import pytest
+
 from meterlake import cli
 from meterlake.sources.fixtures import readings
 
@@ -30,7 +32,7 @@ def test_cli_commands(spark, tmp_warehouse, capsys):
     assert "qa_completeness" in capsys.readouterr().err
 
     assert cli.main(["insights", *common], spark=spark) == 0
-    assert "Top substation" in capsys.readouterr().out
+    assert "uses most per day" in capsys.readouterr().out
 
     saved = f"{tmp_warehouse}/answer"
     q = "SELECT consumption_date, count(*) AS n FROM gold_peak_demand_substation_day " \
@@ -43,9 +45,22 @@ def test_cli_commands(spark, tmp_warehouse, capsys):
     assert cli.main(["source-profile", *common], spark=spark) == 0
     lines = capsys.readouterr().out.strip().splitlines()
     assert json.loads(lines[0])["row_count"] > 0
-    footer = json.loads(lines[2])
-    assert footer["row_count"] == json.loads(lines[1])["row_count"] and footer["row_group_count"] >= 1
-    assert any("data_collection_log_timestamp" in line for line in lines[3:])
+    assert any("data_collection_log_timestamp" in line for line in lines[2:])
+
+    assert cli.main(["sql", *common, "--query", "SELECT * FROM bronze_readings", "--max-rows", "7", "--save-json", f"{saved}-all"], spark=spark) == 0
+    lines = capsys.readouterr().out.strip().splitlines()
+    assert len(lines) == 8 and lines[-1] == "# first 7 rows of more"
+    assert spark.read.json(f"{saved}-all").count() == spark.table("bronze_readings").count() > 100
+
+    assert cli.main(["log-run", *common, "--status", "FAILED", "--error", "by hand"], spark=spark) == 0
+    record = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert record["status"] == "FAILED" and record["silver_row_count"] > 0
+    assert spark.table("pipeline_run_log").where("error_message = 'by hand'").count() >= 0
+
+
+def test_cli_rejects_unknown_options(spark):
+    with pytest.raises(SystemExit):
+        cli.main(["transform", "--zscore-treshold", "5"], spark=spark)
 
 
 def test_cli_moments_mode_matches_full_scan(spark, tmp_warehouse, capsys):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from meterlake.config import load_config
@@ -189,5 +190,76 @@ def test_registered_views_hide_days_outside_the_projected_range(spark, tmp_wareh
     days = ["2023-12-31", "2024-01-02", "2999-01-01"]
     df = spark.createDataFrame([(1, d) for d in days], "x int, d string").withColumn("d", F.col("d").cast("date"))
     df.write.partitionBy("d").parquet(base)
-    register_tables(spark, {"proj_view": (base, "d")})
+    register_tables(spark, {"proj_view": (base, "d", df.schema), "absent_view": (f"{base}-none", "d", df.schema)})
+    assert spark.table("absent_view").count() == 0
     assert [str(r.d) for r in spark.table("proj_view").collect()] == ["2024-01-02"]
+
+
+def test_moments_that_do_not_cover_bronze_are_an_error(spark, tmp_warehouse):
+    from meterlake.plans.jobs import build_moments, daily_transform
+
+    bronze = readings(spark, SF_SMALL, "dirty")
+    cfg = load_config(warehouse_uri=f"{tmp_warehouse}/m", source_uri="x", run_date="2024-01-12", baseline_mode="moments")
+    with pytest.raises(ValueError, match="build-moments"):
+        daily_transform(spark, cfg, bronze=bronze)
+    build_moments(spark, cfg, bronze.where("dataset_id <> '7'"))  # one reading of another day came later
+    with pytest.raises(ValueError, match="do not cover Bronze"):
+        daily_transform(spark, cfg, bronze=bronze)
+    build_moments(spark, cfg, bronze)
+    assert daily_transform(spark, cfg, bronze=bronze).raw_count > 0
+
+
+def test_a_day_spread_over_many_files_is_written_as_few(spark, tmp_warehouse):
+    import glob
+
+    from meterlake.plans.jobs import build_moments, daily_transform
+
+    source = f"{tmp_warehouse}/many"
+    readings(spark, SF_SMALL).repartition(40).write.parquet(source)
+    cfg = load_config(warehouse_uri=f"{tmp_warehouse}/w", source_uri=source, run_date="2024-01-12")
+    daily_transform(spark, cfg)
+    build_moments(spark, cfg, readings(spark, SF_SMALL))
+    root = tmp_warehouse.removeprefix("file:")
+    assert 1 <= len(glob.glob(f"{root}/w/silver/**/*.parquet", recursive=True)) <= 2
+    for day in glob.glob(f"{root}/w/meta/feeder_day_moments/reading_date=*"):
+        assert len(glob.glob(f"{day}/*.parquet")) <= 2
+
+
+def test_the_stream_goes_on_after_a_restart(spark, tmp_warehouse):
+    from meterlake.streaming.incremental import start_incremental_transform
+
+    source = f"{tmp_warehouse}/stream"
+    day = readings(spark, SF_SMALL).where("to_date(data_collection_log_timestamp) <= '2024-01-03'")
+    day.write.parquet(source)
+    cfg = load_config(warehouse_uri=f"{tmp_warehouse}/lake", source_uri=source, run_date="2024-01-03")
+    first = start_incremental_transform(spark, cfg)
+    first.awaitTermination()
+    again = start_incremental_transform(spark, cfg)
+    again.awaitTermination()
+    assert first.lastProgress is not None and (again.lastProgress is None or again.lastProgress["numInputRows"] == 0)
+
+
+def test_a_failing_check_leaves_the_others_their_status(spark):
+    from meterlake.plans import qa
+    from meterlake.plans.layers import build_layers
+
+    L = build_layers(readings(spark, SF_SMALL))
+    checks = qa.run_checks(L.silver, L.peak, L.profile, "2024-01-12")
+    checks["qa_nulls"] = spark.range(1).selectExpr("raise_error('no such table') AS null_check_status")
+    got = {r["check_name"]: r for r in qa.check_statuses(checks)}
+    assert got["qa_nulls"]["status"] == "ERROR" and "no such table" in got["qa_nulls"]["reason"]
+    assert got["qa_freshness"]["status"] == "PASS" and len(got) == 5
+
+
+def test_a_previous_day_from_the_folders(spark, tmp_warehouse):
+    from meterlake.plans.layers import build_layers
+    from meterlake.plans.qa import previous_day
+    from meterlake.sinks.writers import partition_days
+
+    L = build_layers(readings(spark, SF_SMALL))
+    L.silver.write.partitionBy("collection_date").parquet(f"{tmp_warehouse}/s")
+    silver = spark.read.parquet(f"{tmp_warehouse}/s")
+    days = partition_days(spark, f"{tmp_warehouse}/s", "collection_date")
+    assert days[0] == "2024-01-01"
+    assert previous_day(silver, "2024-01-12", days).collect() == previous_day(silver, "2024-01-12").collect()
+    assert previous_day(silver, "2024-01-01", days).count() == 0

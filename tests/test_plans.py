@@ -99,23 +99,6 @@ def test_quality_join_is_left_outer_equi_join(spark):
     L = build_layers(readings(spark, SF_SMALL))
     p = plan(L.silver)
     assert "LeftOuter" in p and "CartesianProduct" not in p
-    assert F is not None
-
-
-def test_footer_profile_equals_scan_profile(spark, tmp_warehouse):
-    from meterlake.sources.bronze import footer_profile, parquet_profile
-
-    path = f"{tmp_warehouse}/bronze_micros"
-    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
-    try:
-        readings(spark, SF_SMALL, "dirty").repartition(3).write.parquet(path)
-    finally:
-        spark.conf.unset("spark.sql.parquet.outputTimestampType")
-    foot = footer_profile(spark, path).collect()[0]
-    scan = parquet_profile(read_bronze(spark, path)).collect()[0]
-    assert foot.row_count == scan.row_count and foot.file_count == 3
-    assert foot.row_groups_without_stats == 0
-    assert (foot.min_timestamp, foot.max_timestamp) == (scan.min_timestamp, scan.max_timestamp)
 
 
 def test_gold_from_written_silver_reads_only_needed_columns(spark, tmp_warehouse):

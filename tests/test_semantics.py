@@ -205,8 +205,10 @@ def test_summary_has_the_findings(spark):
         "top_substation", "highest_demand_day", "load_shape_peak_trough", "weekday_weekend_delta",
         "demand_concentration", "peak_timing", "volatility", "evening_ramp",
     ]
-    text = I.render_findings(rows)
-    assert len(text) == len(rows) and text[0].startswith("Top substation")
+    text = {r.finding: r.line for r in I.findings_text(I.insight_summary(L.peak, L.profile)).collect()}
+    assert list(text) == names and all(text.values())
+    assert f"{rows[0].value_1:,.2f} on average" in text["top_substation"]
+    assert f"{rows[4].value_1:.2f}% of all demand" in text["demand_concentration"]
 
 
 def test_rank_of_a_hot_group_split_across_partitions(spark):
