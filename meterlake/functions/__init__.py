@@ -1,5 +1,6 @@
 from meterlake.functions.columns import (  # noqa: F401
     as_timestamp,
+    coerce_numeric,
     composite_id,
     composite_id_strict,
     day_range,
