@@ -26,12 +26,13 @@ def components(links: DataFrame) -> DataFrame:
         least = sym.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
         least = least.select("node", F.least("m", "node").alias("m"))
         # large star: larger neighbours go to the smallest
-        large = sym.join(least, F.col("a") == F.col("node")).where("b > a AND b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = sym.join(least, F.col("a") == F.col("node")).where("b > a AND b <> m")
+        large = large.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         # small star: a node and its smaller neighbours go to the smallest of them
         least = large.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
         met = large.join(least, F.col("a") == F.col("node"))
-        small = met.select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e"))
-        new = materialize(small.select("e.a", "e.b").where("a <> b").distinct(), "links")
+        small = met.select(F.explode(F.array("b", "a")).alias("a"), F.col("m").alias("b"))
+        new = materialize(small.where("a <> b").distinct(), "links")
         seen = _mark(new)
         release(edges)
         edges = new

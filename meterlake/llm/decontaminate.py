@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.llm.shared import Bitmap, materialize, narrow, release, texts
-from meterlake.llm.words import Recent, shingles
+from meterlake.llm.words import Recent, distinct, shingles
 
 #: Words of a seed; seeds of an item at least, and as a share of its grams.
 GRAM, LEAST_SEEDS, SEED_SHARE = 4, 8, 0.5
@@ -91,7 +91,7 @@ def find_leaks(
         for batch in batches:
             for item_id, text in texts(batch):
                 words = words_of(text)
-                found = np.unique(shingles(words, gram)).view(np.int64)
+                found = distinct(shingles(words, gram)).view(np.int64)
                 if len(found):
                     yield pa.RecordBatch.from_pydict(
                         {
@@ -111,7 +111,7 @@ def find_leaks(
         for batch in batches:
             parts = [np.empty(0, np.uint64)]
             for _, text in texts(batch):
-                found = np.unique(shingles(words_of(text), gram))
+                found = distinct(shingles(words_of(text), gram))
                 parts.append(found[bits.has(found)])
             yield pa.RecordBatch.from_pydict({"gram": pa.array(np.concatenate(parts).view(np.int64))})
 

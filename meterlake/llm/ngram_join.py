@@ -9,9 +9,9 @@ of the shared gram rule out are dropped at once. For the entries that remain the
 overlap is completed over the rest of the columns.
 
 Large groups of near copies never give all their pairs. A first product pairs each
-gram's rows with one of them alone, and the links found are closed to components.
-A second product then pairs rows of different components only, which finds every
-link that can still change a component.
+gram's rows with one of them alone, and the links found are closed to components; a
+few more rounds do so with other rows. The last product pairs rows of different
+components only, which finds every link that can still change a component.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from meterlake.llm.components import components
 from meterlake.llm.shared import OUT_BYTES, Bitmap, commonest, fresh, materialize, release, texts
-from meterlake.llm.words import WordHashes, shingles
+from meterlake.llm.words import distinct, shingles, word_hashes
 
 #: Words of a gram, and the least similarity in percent.
 GRAM = 5
@@ -36,15 +36,12 @@ PERCENT = 80
 #: never which links are found.
 ORDER_SHARE = 16
 ORDER_SIZE = 2**17
-
-_HASHES: list[WordHashes] = []
-
+#: Rounds that pair each gram's rows with one of them before all open pairs are made.
+STAR_ROUNDS = 3
 
 def gram_set(text: bytes, gram: int = GRAM) -> np.ndarray:
     """Distinct grams of a text, sorted."""
-    if not _HASHES:
-        _HASHES.append(WordHashes())
-    return np.unique(shingles(_HASHES[0].of(text), gram))
+    return distinct(shingles(word_hashes(text), gram))
 
 
 def set_id(grams: np.ndarray) -> int:
@@ -178,39 +175,52 @@ def jaccard_components(
     shared = first_block(None).groupBy("gram").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).where("low < high")
     shared = materialize(shared.select("gram", F.col("low").alias("hub")), "jaccard-shared")
     bits = spark.sparkContext.broadcast(Bitmap.of(shared, "gram", shared.count()))
-    block = first_block(bits).join(shared, "gram").groupBy("gram", "sid").agg(F.first("n").alias("n"), F.first("at").alias("at"), F.first("hub").alias("hub"))
-    block = materialize(block, "jaccard-block")
+    same = [F.first(c).alias(c) for c in ("n", "at", "hub")]
+    block = materialize(first_block(bits).join(shared, "gram").groupBy("gram", "sid").agg(*same), "jaccard-block")
 
     # product of each gram's rows with one of them
     hubs = block.where("sid = hub").select("gram", "sid", "n", "at")
     first = block.where("sid <> hub").alias("a").join(hubs.alias("b"), F.col("a.gram") == F.col("b.gram")).where(may_reach("a", "b"))
-    tested = materialize(first.select(F.col("a.sid").alias("a"), F.col("b.sid").alias("b")).distinct(), "jaccard-pairs")
-    sets = gather_sets(rows, block.select("sid").distinct())
-    links = materialize(verified(tested, sets), "jaccard-links")
+    tested = materialize(first.select(F.greatest("a.sid", "b.sid").alias("a"), F.least("a.sid", "b.sid").alias("b")).distinct(), "jaccard-pairs")
+    links = verified(tested, block, rows)
     roots = components(links)
 
-    # product over rows of different components, by pairs of components that share a gram
-    placed = block.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    mixed = placed.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("gram")
-    open_rows = materialize(placed.join(mixed, "gram").select("gram", "sid", "n", "at", "root"), "jaccard-open")
-    groups = open_rows.groupBy("gram", "root").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    x, y = groups.alias("x"), groups.alias("y")
-    met = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.root") < F.col("y.root"))).where(
-        (100 * F.col("x.most") >= PERCENT * F.col("y.least")) & (100 * F.col("y.most") >= PERCENT * F.col("x.least"))
-    )
-    met = met.select(F.col("x.gram").alias("both"), F.col("x.root").alias("left"), F.col("y.root").alias("right"))
-    second = (
-        met.join(open_rows.alias("a"), (F.col("a.gram") == F.col("both")) & (F.col("a.root") == F.col("left")))
-        .join(open_rows.alias("b"), (F.col("b.gram") == F.col("both")) & (F.col("b.root") == F.col("right")))
-        .where(may_reach("a", "b"))
-        .select(F.greatest("a.sid", "b.sid").alias("a"), F.least("a.sid", "b.sid").alias("b"))
-        .distinct()
-    )
-    done = tested.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    more = verified(second.join(done, ["a", "b"], "left_anti"), sets)
-    both = materialize(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more), "jaccard-links")
-    final = components(both).withColumnRenamed("node", "sid")
-    release(links, tested, open_rows, sets, block, shared)
+    def open_now() -> DataFrame:
+        """Rows of grams that still join different components, with their component."""
+        placed = block.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+        mixed = placed.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+        return materialize(placed.join(mixed.select("gram"), "gram").select("gram", "sid", "n", "at", "root"), "jaccard-open")
+
+    def extend(found: DataFrame) -> DataFrame:
+        return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found))
+
+    # the same with other rows in turn: each round is linear, and merges most of what can be merged
+    for turn in range(STAR_ROUNDS):
+        rest = open_now()
+        rank = F.xxhash64("gram", "sid", F.lit(turn))
+        hub = rest.groupBy("gram").agg(F.min(F.struct(rank.alias("rank"), "sid", "n", "at", "root")).alias("hub"))
+        hub = hub.select("gram", *[F.col(f"hub.{c}").alias(c) for c in ("sid", "n", "at", "root")])
+        met = rest.alias("a").join(hub.alias("b"), F.col("a.gram") == F.col("b.gram"))
+        pairs = materialize(untested(met.where((F.col("a.root") != F.col("b.root")) & may_reach("a", "b")), tested), "jaccard-pairs")
+        found = verified(pairs, block, rows)
+        release(rest)
+        tested = tested.unionByName(pairs)
+        if found.isEmpty():
+            break
+        roots = extend(found)
+
+    # product over all rows of different components: a gram's largest component against its other rows, and those
+    # against each other
+    rest = open_now()
+    most = rest.groupBy("gram", "root").agg(F.count("*").alias("k")).groupBy("gram").agg(F.max(F.struct("k", "root")).alias("most"))
+    most = most.select(F.col("gram").alias("of"), F.col("most.root").alias("main"))
+    minor = rest.join(most, (F.col("gram") == F.col("of")) & (F.col("root") != F.col("main"))).alias("a")
+    across = F.col("a.root") != F.col("b.root")
+    once = (F.col("b.root") == F.col("a.main")) | (F.col("a.sid") < F.col("b.sid"))
+    met = minor.join(rest.alias("b"), (F.col("a.gram") == F.col("b.gram")) & across & once & may_reach("a", "b"))
+    more = verified(untested(met, tested), block, rows)
+    final = extend(more).withColumnRenamed("node", "sid")
+    release(links, more, rest, block, shared)
 
     # a document's component: the smallest id of all its sets
     with_root = described.join(final, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
@@ -248,6 +258,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def gather_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """(sid, grams) of the wanted sets, each once, written. A bitmap drops most others before the join."""
     count = wanted.count()
+    if not count:
+        return rows.sparkSession.createDataFrame([], "sid long, grams binary")
     bits = rows.sparkSession.sparkContext.broadcast(Bitmap.of(wanted, "sid", count))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,8 +285,33 @@ def gather_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     return materialize(found.join(wanted, "sid", "left_semi").dropDuplicates(["sid"]), "jaccard-sets")
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole sets overlap enough."""
+def untested(met: DataFrame, tested: DataFrame) -> DataFrame:
+    """The distinct pairs of a joined with b that were not tested yet, larger id first."""
+    pairs = met.select(F.greatest("a.sid", "b.sid").alias("a"), F.least("a.sid", "b.sid").alias("b")).distinct()
+    return pairs.join(tested, ["a", "b"], "left_anti")
+
+
+def likely(pairs: DataFrame, block: DataFrame) -> DataFrame:
+    """The pairs whose overlap in the first block leaves them able to reach the least overlap.
+
+    Take the set whose prefix ends first in the order of columns. Grams shared up
+    to there are in both prefixes and counted; beyond, it has no more than its own
+    rest, one less than PERCENT % of its size. ``block`` lacks grams of one set
+    alone, which do not count.
+    """
+    held = block.groupBy("sid").agg(F.collect_list("gram").alias("grams"), F.first("n").alias("n"))
+    left = held.select(F.col("sid").alias("a"), F.col("grams").alias("left"), F.col("n").alias("na"))
+    right = held.select(F.col("sid").alias("b"), F.col("grams").alias("right"), F.col("n").alias("nb"))
+    both = pairs.join(left, "a").join(right, "b")
+    rest = F.expr(f"({PERCENT} * greatest(na, nb) + 99) div 100 - 1")
+    most = F.size(F.array_intersect("left", "right")) + rest
+    return both.where((100 + PERCENT) * most >= PERCENT * (F.col("na") + F.col("nb"))).select("a", "b")
+
+
+def verified(pairs: DataFrame, block: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose whole sets overlap enough, written."""
+    pairs = materialize(likely(pairs, block), "jaccard-likely")
+    sets = gather_sets(rows, pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "sid"))
     left = sets.select(F.col("sid").alias("a"), F.col("grams").alias("left"))
     right = sets.select(F.col("sid").alias("b"), F.col("grams").alias("right"))
 
@@ -288,4 +325,6 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(on, pa.bool_()))
 
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return joined.mapInArrow(run, "a long, b long")
+    links = materialize(joined.mapInArrow(run, "a long, b long"), "jaccard-links")
+    release(pairs, sets)
+    return links

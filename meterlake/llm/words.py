@@ -5,7 +5,6 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-_STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -21,6 +20,9 @@ class Recent(dict):
     def __init__(self, compute):
         self.compute, self.old = compute, {}
 
+    def has(self, key) -> bool:
+        return key in self or key in self.old
+
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
@@ -32,16 +34,67 @@ class Recent(dict):
         return value
 
 
-class WordHashes(Recent):
-    """word -> 64-bit hash."""
+#: Bytes of text that are hashed together, and the longest word that is hashed so.
+BLOCK, LONGEST = 1 << 17, 256
+_SPACE = b" \t\n\x0b\x0c\r"
+_SOLID = np.array([b not in _SPACE for b in range(256)])
+#: A random value for each byte, equal for a letter and its capital.
+_VALUE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64)
+_VALUE[65:91] = _VALUE[97:123]
+_BASE = 0x9E3779B97F4A7C15
+_POWER = np.cumprod(np.full(2 * BLOCK, _BASE, dtype=np.uint64))
+_BACK = np.cumprod(np.full(2 * BLOCK, pow(_BASE, -1, 2**64), dtype=np.uint64))
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """64-bit hashes of the words of a text, A-Z lower-cased, split at space and \\t to \\r.
 
-    def __init__(self):
-        super().__init__(xxhash.xxh3_64_intdigest)
+    A word's hash is a polynomial in its bytes, found for all words of a block at
+    once from running sums. Words too long for that are hashed one by one.
+    """
+    if len(text) <= BLOCK:
+        return _block(text)
+    parts, at = [], 0
+    while at < len(text):
+        end = at + BLOCK
+        if end < len(text):  # to the end of a word
+            cut = max(text.rfind(c, at, end) for c in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c"))
+            if cut < 0:
+                ends = [i for c in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c") if (i := text.find(c, end)) >= 0]
+                cut = min(ends, default=len(text) - 1)
+            end = cut + 1
+        parts.append(_block(text[at:end]))
+        at = end
+    return np.concatenate(parts)
+
+
+def _block(text: bytes) -> np.ndarray:
+    codes = np.frombuffer(text, dtype=np.uint8)
+    solid = np.zeros(len(codes) + 2, dtype=np.int8)
+    solid[1:-1] = _SOLID[codes]
+    edge = np.diff(solid)
+    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    size = end - start
+    long = size > LONGEST
+    if len(codes) > len(_POWER):
+        long[:] = True
+        out = np.empty(len(start), dtype=np.uint64)
+    else:
+        with np.errstate(over="ignore"):
+            total = np.zeros(len(codes) + 1, dtype=np.uint64)
+            np.cumsum(_VALUE[codes] * _POWER[: len(codes)], out=total[1:])
+            out = mix((total[end] - total[start]) * _BACK[start] + size.astype(np.uint64))
+    for i in np.flatnonzero(long):
+        out[i] = xxhash.xxh3_64_intdigest(text[start[i] : end[i]].lower())
+    return out
 
-    def of(self, text: bytes) -> np.ndarray:
-        """Hashes of the words of a text, A-Z lower-cased, split at space and \\t to \\r."""
-        words = text.lower().split()  # bytes: both act on ASCII alone
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values, sorted."""
+    values = np.sort(values)
+    if len(values) < 2:
+        return values
+    return values[np.concatenate([[True], values[1:] != values[:-1]])]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -49,6 +102,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: An odd factor for each place of a shingle.
+_PLACE = np.random.default_rng(5).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
 def shingles(words: np.ndarray, n: int = 5) -> np.ndarray:
     """Hash of each run of n words in order; of the whole sequence where it is shorter; none without words."""
     k = min(n, len(words))
@@ -58,8 +115,8 @@ def shingles(words: np.ndarray, n: int = 5) -> np.ndarray:
     with np.errstate(over="ignore"):
         out = np.full(count, np.uint64(k))
         for i in range(k):
-            out = mix(out * _STEP + words[i : i + count])
-    return out
+            out += words[i : i + count] * _PLACE[i]
+    return mix(out)
 
 
 def spark_hash(values: np.ndarray) -> np.ndarray:
