@@ -85,7 +85,9 @@ def dual(table: DataFrame, sized: DataFrame) -> DataFrame:
         )
         step = (F.col("target") - F.col("got")) / F.col("slope")
         bounded = F.greatest(F.lit(-2.0), F.least(F.lit(2.0), step))
-        new = F.when(F.col("tilt").isNotNull(), F.col("tilt") + F.when(F.col("slope") > 0, bounded).otherwise(F.signum(F.col("target") - F.col("got")) * -0.5))
+        # without a slope all documents go twice: back, for a target below that
+        back = F.when(F.col("slope") > 0, bounded).otherwise(F.lit(-0.5))
+        new = F.when(F.col("tilt").isNotNull(), F.col("tilt") + back)
         error = F.max(F.abs(F.col("target") - F.col("got")) / F.col("target"))
         joined = state.join(sums, F.col("source").eqNullSafe(F.col("source_")))
         moved = joined.withColumn("new", new).drop("tilt", "source_")

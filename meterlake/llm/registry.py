@@ -117,6 +117,19 @@ ORACLE_SQL = {
                CASE WHEN kept IS NOT NULL AND page_id IS DISTINCT FROM kept THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN kept IS NOT NULL AND page_id IS DISTINCT FROM kept THEN kept END AS refers_to
         FROM p LEFT JOIN g ON p.html = g.html""",
+    "op5_ngram_jaccard": f"""
+        WITH RECURSIVE d AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS w FROM documents),
+        s AS (SELECT r, doc_id, list_distinct(CASE
+                  WHEN len(w) >= {ngram_join.GRAM} THEN list_transform(range(1, len(w) - {ngram_join.GRAM - 2}), lambda i: hash(array_to_string(w[i:i + {ngram_join.GRAM - 1}], ' ')))
+                  WHEN len(w) > 0 THEN [hash(array_to_string(w, ' '))] ELSE [] END) AS grams FROM d),
+        g AS (SELECT r, len(grams) AS n, unnest(grams) AS gram FROM s),
+        link AS (SELECT a.r AS a, b.r AS b FROM g a JOIN g b ON a.gram = b.gram AND a.r <> b.r
+                 GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= {ngram_join.PERCENT} * (a.n + b.n - count(*))),
+        reach AS (SELECT r, r AS other FROM s UNION SELECT reach.r, link.b FROM reach JOIN link ON reach.other = link.a)
+        SELECT s.doc_id, len(s.grams)::BIGINT AS n_shingles, min(o.doc_id) AS component_id
+        FROM s JOIN reach USING (r) JOIN s o ON o.r = reach.other GROUP BY s.r, s.doc_id, len(s.grams)""",
     "op9_quality_rules": f"""
         WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
         w AS (SELECT *, regexp_extract_all(text, '{_WORD}') AS words,

@@ -171,7 +171,8 @@ class WarcReader(DataSourceReader):
         listed = manifest(files, base)
         if not listed:  # archives made elsewhere: one partition a file
             found = files.get_file_info(fs.FileSelector(base, recursive=True, allow_not_found=True))
-            listed = [{"name": f.path[len(base.rstrip("/")) + 1 :], "size": f.size, "starts": [0]} for f in found if f.path.endswith((".warc.gz", ".warc"))]
+            names = {f.path[len(base.rstrip("/")) + 1 :]: f.size for f in found}
+            listed = [{"name": n, "size": s, "starts": [0]} for n, s in names.items() if n.endswith((".warc.gz", ".warc"))]
         return [
             Span(f["name"], start, end)
             for f in listed
