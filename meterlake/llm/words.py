@@ -46,6 +46,13 @@ _POWER = np.cumprod(np.full(2 * BLOCK, _BASE, dtype=np.uint64))
 _BACK = np.cumprod(np.full(2 * BLOCK, pow(_BASE, -1, 2**64), dtype=np.uint64))
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of the base of running sums, and those of its inverse."""
+    if n <= len(_POWER):
+        return _POWER[:n], _BACK[:n]
+    return np.cumprod(np.full(n, _BASE, dtype=np.uint64)), np.cumprod(np.full(n, pow(_BASE, -1, 2**64), dtype=np.uint64))
+
+
 def word_hashes(text: bytes) -> np.ndarray:
     """64-bit hashes of the words of a text, A-Z lower-cased, split at space and \\t to \\r.
 
