@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meterlake.session import scratch_path
@@ -150,16 +150,10 @@ def ranked(df: DataFrame, key: str, rank: str) -> DataFrame:
     flag = F.col(key).isNull()
     parts = df.repartitionByRange(flag, F.col(key).asc_nulls_last())
     spread = materialize(parts.withColumn("_part", F.spark_partition_id()), "ranked")
+    # a row for each partition
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     counts = spread.groupBy("_part").count()
-    before = counts.select(F.col("_part").alias("_earlier"), "count")
-    offsets = (
-        counts.select("_part")
-        .join(before, F.col("_earlier") < F.col("_part"), "left")
-        .groupBy("_part")
-        .agg(F.coalesce(F.sum("count"), F.lit(0)).alias("_offset"))
-    )
-    from pyspark.sql import Window
-
+    offsets = counts.select("_part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_offset"))
     own = Window.partitionBy("_part").orderBy(F.col(key).asc_nulls_last())
     return (
         spread.withColumn("_own", F.row_number().over(own) - 1)
