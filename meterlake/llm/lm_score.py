@@ -20,6 +20,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.llm.shared import Bitmap, crc_part, materialize, narrow, release, texts
+from meterlake.llm.shared import Bitmap, commonest, crc_part, materialize, narrow, release, texts
 from meterlake.llm.words import spark_hash
 
 #: Words that are tokens of their own in pairs; words and pairs whose counts the tasks have at hand.
@@ -105,20 +106,19 @@ def word_counts(train: DataFrame) -> DataFrame:
 def gather_words(counts: DataFrame, documents: int) -> Words:
     """counts: the table of word_counts, written."""
     row = counts.agg(F.count("*").alias("kinds"), F.coalesce(F.sum("n"), F.lit(0)).alias("total")).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(HOT_WORDS).toPandas()  # of fixed size
-    n = top["n"].to_numpy(np.int64)
+    top = commonest(counts, "n", HOT_WORDS)[0].toArrow().sort_by([("n", "descending"), ("word", "ascending")])
+    n = top["n"].to_numpy()
     by_token = np.zeros(SIDE, dtype=np.int64)
     by_token[: min(len(n), VOCABULARY)] = n[:VOCABULARY]
     by_token[OTHER] = row["total"] - n[:VOCABULARY].sum()
     by_token[END] = documents
-    number = {bytes(w): i for i, w in enumerate(top["word"])}
+    number = {w: i for i, w in enumerate(top["word"].to_pylist())}
     return Words(number, n, by_token, row["kinds"] + (documents > 0), row["total"] + documents)
 
 
 def ranks(words: list[bytes], number: dict[bytes, int]) -> np.ndarray:
     """The words' places among the hot words; -1 for all others."""
-    get = number.get
-    return np.fromiter((get(w, -1) for w in words), dtype=np.int64, count=len(words))
+    return np.fromiter(map(number.get, words, repeat(-1)), dtype=np.int64, count=len(words))
 
 
 def pairs_of(rank: np.ndarray) -> np.ndarray:
@@ -163,17 +163,17 @@ def pair_counts(train: DataFrame, words: Words, held) -> DataFrame:
 
 def per_context(pairs: DataFrame, n: str) -> np.ndarray:
     """Sums of n by context, over the pairs that have an estimate; a table of fixed size."""
-    rows = pairs.where(F.expr(n) >= LEAST_PAIR).groupBy(F.expr(f"pair div {SIDE}").alias("context")).agg(F.sum(F.expr(n)).alias("n")).toPandas()
+    rows = pairs.where(F.expr(n) >= LEAST_PAIR).groupBy(F.expr(f"pair div {SIDE}").alias("context")).agg(F.sum(F.expr(n)).alias("n")).toArrow()
     out = np.zeros(SIDE, dtype=np.int64)
-    out[rows["context"].to_numpy(dtype=np.int64)] = rows["n"].to_numpy()
+    out[rows["context"].to_numpy()] = rows["n"].to_numpy()
     return out
 
 
 def per_token(pairs: DataFrame) -> np.ndarray:
     """Held-out counts by token; a table of fixed size."""
-    rows = pairs.where("held > 0").groupBy(F.expr(f"pair % {SIDE}").alias("token")).agg(F.sum("held").alias("n")).toPandas()
+    rows = pairs.where("held > 0").groupBy(F.expr(f"pair % {SIDE}").alias("token")).agg(F.sum("held").alias("n")).toArrow()
     out = np.zeros(SIDE, dtype=np.int64)
-    out[rows["token"].to_numpy(dtype=np.int64)] = rows["n"].to_numpy()
+    out[rows["token"].to_numpy()] = rows["n"].to_numpy()
     return out
 
 
@@ -268,14 +268,12 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     pairs = materialize(pairs, "lm-pairs")
     weights = learn_weights(pairs, words)
     known = pairs.where(F.col("n") >= LEAST_PAIR)
-    top = known.orderBy(F.desc("n"), "pair").limit(HOT_PAIRS).select("pair", "n").toPandas().sort_values("pair")  # of fixed size
-    model = Model(words, weights, per_context(pairs, "n"), top["pair"].to_numpy(np.int64), top["n"].to_numpy(np.int64))
-    # the others: no commoner than the rarest hot pair or word
-    least = int(model.hot_n.min()) if len(model.hot_n) >= HOT_PAIRS else 0
-    cold_pairs = known.where(F.col("n") <= least).select("pair", "n", F.xxhash64("pair").alias("key"))
+    hot, rest = commonest(known.select("pair", "n"), "n", HOT_PAIRS)
+    top = hot.toArrow().sort_by("pair")  # of fixed size
+    model = Model(words, weights, per_context(pairs, "n"), top["pair"].to_numpy(), top["n"].to_numpy())
+    cold_pairs = rest.select("pair", "n", F.xxhash64("pair").alias("key"))
     pair_bits = Bitmap.of(cold_pairs, "key", cold_pairs.count())
-    least = int(words.n.min()) if len(words.n) >= HOT_WORDS else 0
-    cold_words = counts.where(F.col("n") <= least).select(F.xxhash64("word").alias("key"), "n")
+    cold_words = commonest(counts, "n", HOT_WORDS)[1].select(F.xxhash64("word").alias("key"), "n")
     twice = cold_words.where("n > 1")
     word_bits = Bitmap.of(twice, "key", twice.count())
     shipped = spark.sparkContext.broadcast((model, pair_bits, word_bits))  # tables of bounded size
@@ -285,12 +283,16 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     parts = rows.withColumn("learned", training(F.col("doc_id"))).mapInArrow(local, _PARTS)
     parts = materialize(parts.withColumn("row", F.monotonically_increasing_id()), "lm-parts")
-    far_words = parts.select("row", F.explode(F.arrays_zip("words", "word_n")).alias("w")).select("row", F.col("w.words").alias("key"), F.col("w.word_n").alias("k"))
+    far_words = parts.select("row", F.explode(F.arrays_zip("words", "word_n")).alias("w"))
+    far_words = far_words.select("row", F.col("w.words").alias("key"), F.col("w.word_n").alias("k"))
     seen = F.coalesce(F.col("n"), F.lit(0))
+    share = F.col("k") * F.log10(seen + ADD)
+    found = F.when(seen > 0, F.col("k")).otherwise(0).cast("long")
     by_word = far_words.join(cold_words, "key", "left").select(
-        "row", (F.col("k") * F.log10(seen + ADD)).alias("base"), (F.col("k") * F.log10(seen + ADD)).alias("own"), F.when(seen > 0, F.col("k")).otherwise(0).cast("long").alias("known")
+        "row", share.alias("base"), share.alias("own"), found.alias("known")
     )
-    far_pairs = parts.select("row", F.explode(F.arrays_zip("pairs", "pair_n")).alias("p")).select("row", F.col("p.pairs").alias("pair"), F.col("p.pair_n").alias("k"))
+    far_pairs = parts.select("row", F.explode(F.arrays_zip("pairs", "pair_n")).alias("p"))
+    far_pairs = far_pairs.select("row", F.col("p.pairs").alias("pair"), F.col("p.pair_n").alias("k"))
 
     def price(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shipped.value[0]
@@ -300,7 +302,8 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(own)], ["row", "own"])
 
     joined = far_pairs.join(cold_pairs.select("pair", "n"), "pair", "left").select("row", "pair", "k", seen.alias("n"))
-    by_pair = joined.mapInArrow(price, "row long, own double").select("row", F.lit(0.0).alias("base"), "own", F.lit(0).cast("long").alias("known"))
+    none = [F.lit(0.0).alias("base"), "own", F.lit(0).cast("long").alias("known")]
+    by_pair = joined.mapInArrow(price, "row long, own double").select("row", *none)
     far = by_word.unionByName(by_pair).groupBy("row").agg(*[F.sum(c).alias(f"far_{c}") for c in ("base", "own", "known")])
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     out = parts.drop("words", "word_n", "pairs", "pair_n").join(far, "row", "left")
