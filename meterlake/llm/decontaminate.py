@@ -14,12 +14,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.llm.shared import Bitmap, materialize, narrow, release, texts
-from meterlake.llm.words import Recent, distinct, shingles
+from meterlake.llm.words import distinct, shingles, word_hashes
 
 #: Words of a seed; seeds of an item at least, and as a share of its grams.
 GRAM, LEAST_SEEDS, SEED_SHARE = 4, 8, 0.5
@@ -28,13 +27,14 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST_SIMILARITY = 0.5
 
 _SIGNS = b".,;:!?\"'()[]{}"
-_WORD = Recent(lambda w: xxhash.xxh3_64_intdigest(w.strip(_SIGNS) or w))
+_APART = bytes.maketrans(_SIGNS, b" " * len(_SIGNS))
+#: The bitmaps have so many bits for each gram of the items: nearly no other gram passes.
+BITS_EACH = 2**13
 
 
 def words_of(text: bytes) -> np.ndarray:
-    """Hashes of the words, A-Z lower-cased and without signs around them."""
-    words = text.lower().split()
-    return np.fromiter(map(_WORD.__getitem__, words), dtype=np.uint64, count=len(words))
+    """Hashes of the words, A-Z lower-cased; the usual signs separate words too."""
+    return word_hashes(text.translate(_APART))
 
 
 def align(item: np.ndarray, segment: np.ndarray) -> tuple[int, int, int]:
@@ -80,7 +80,7 @@ def find_leaks(
     """doc_id, item_id, similarity, start_word, end_word of each document and item that align well enough.
 
     ``similarity`` is the alignment's score as a share of the item's score with
-    itself; the words are the best segment's. Rows that repeat an id count as one
+    itself; the words, counted as by ``words_of``, are the best segment's. Rows that repeat an id count as one
     document. Null or empty texts and items match nothing; an item of fewer words
     than a seed has its whole text as its seed. Empty tables give no rows.
     """
@@ -103,7 +103,7 @@ def find_leaks(
 
     grams = materialize(tests.mapInArrow(item_grams, "item_id long, gram long, words binary"), "item-grams")
     wanted = grams.select("gram").distinct()
-    shipped = spark.sparkContext.broadcast(Bitmap.of(wanted, "gram", wanted.count()))
+    shipped = spark.sparkContext.broadcast(Bitmap.of(wanted, "gram", wanted.count(), BITS_EACH))
     longest = (grams.agg(F.max(F.octet_length("words"))).first()[0] or 0) // 8
 
     def doc_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,7 +125,7 @@ def find_leaks(
     seeds = materialize(seeds.select("item_id", "gram", "words"), "seeds")
     release(grams)
     chosen = seeds.select("gram").distinct()
-    seeded = spark.sparkContext.broadcast(Bitmap.of(chosen, "gram", chosen.count()))
+    seeded = spark.sparkContext.broadcast(Bitmap.of(chosen, "gram", chosen.count(), BITS_EACH))
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of each document, the runs of words around its seeds; each reaches an item's length to both sides."""

@@ -80,8 +80,9 @@ class Bitmap:
         self.data, self.bits = data, bits
 
     @staticmethod
-    def of(df: DataFrame, hash_col: str, entries: int) -> Bitmap:
-        bits = min(Bitmap.MAX_BITS, max(16, math.ceil(math.log2(16 * entries + 1))))
+    def of(df: DataFrame, hash_col: str, entries: int, each: int = 16) -> Bitmap:
+        """``each`` bits for each of the entries, within the bound."""
+        bits = min(Bitmap.MAX_BITS, max(16, math.ceil(math.log2(each * entries + 1))))
         slot = F.expr(f"({hash_col} & {(1 << bits) - 1}L) + 1")
         rows = (
             df.select(slot.alias("slot"))
