@@ -28,11 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterlake.llm.shared import OUT_BYTES, narrow, texts
+from meterlake.llm.shared import narrow, texts
 from meterlake.llm.words import Recent
 
 #: Pairs of tokens that a task remembers.
 REMEMBERED = 400_000
+#: Text whose new words are looked at together.
+GROUP_BYTES = 8_000_000
 
 # Fixed values of the vocabulary's splitting rule: after an apostrophe that
 # starts a piece, these letters belong to it.
@@ -87,6 +89,7 @@ class PrefixTable:
         self.final = {t[i:]: -1 for t in self.final for i in range(len(t))} | self.final
         self.chunks = Recent(self._chunk)
         self.word = Recent(self._word).__getitem__
+        self.before, self.counts, self.entries = "", [], ([0], [0])
 
     def apart(self, left: int, right: int, limit: int | None = None) -> bool:
         """Do the two tokens stay apart when their characters are encoded together?
@@ -152,16 +155,37 @@ class PrefixTable:
         raise ValueError(f"no token ends {piece[:n]!r}")
 
     def _word(self, text: str) -> list[int]:
-        """Counts at the prefixes of a piece that the splitting rule keeps whole."""
-        last, count = [0], [0]
+        """Counts at the prefixes of a piece that the splitting rule keeps whole.
+
+        The entries of the prefix that it shares with the piece before are used
+        again: pieces in alphabetical order have few new prefixes.
+        """
+        same, (last, count) = 0, self.entries
+        for a, b in zip(text, self.before):
+            if a != b:
+                break
+            same += 1
         if text.isascii():
             piece, ends = text, range(1, len(text) + 1)  # ASCII letters and signs stand for themselves
         else:
             coded = [c.encode("utf-8") for c in text]
             piece = "".join([self.symbol[b] for c in coded for b in c])
             ends = np.cumsum([len(c) for c in coded]).tolist()
+        kept = ends[same - 1] if same else 0
+        del last[kept + 1 :], count[kept + 1 :]
+        self.before = ""
         self.grow(piece, last, count)
-        return [self.closed(piece, n, last, count) for n in ends]
+        out = self.counts[:same] + [self.closed(piece, n, last, count) for n in ends[same:]]
+        self.before, self.counts = text, out
+        return out
+
+    def learn(self, texts: list[bytes]) -> None:
+        """Fill in the chunks of several texts, in alphabetical order."""
+        chunks = set()
+        for text in texts:
+            chunks.update(text.translate(_TO_SPACE).decode("utf-8").split(" "))
+        for chunk in sorted((c for c in chunks if not self.chunks.has(c)), key=str.lower):
+            self.chunks[chunk]
 
     def deltas(self, text: bytes) -> bytes:
         """One signed byte a code point of the text: the change of the count at that prefix."""
@@ -349,23 +373,32 @@ def prefix_counts(
         schema = pa.schema(
             [(f.name, pa.binary() if f.name == "prefix_deltas" else pa.int64()) for f in _SCHEMA]
         )
-        rows: list[tuple] = []
-        size = 0
-        for batch in batches:
-            for doc_id, text in texts(batch):
+        for group in groups(batches):
+            table.learn([text for _, text in group])
+            rows = []
+            for doc_id, text in group:
                 deltas = table.deltas(text)
                 at = np.cumsum(np.frombuffer(deltas, dtype=np.int8), dtype=np.int64)
                 n = int(at[-1]) if len(at) else 0
                 within = np.flatnonzero(at <= budget) if n > budget else ()
                 fits = len(at) if n <= budget else int(within[-1]) + 1 if len(within) else 0
                 rows.append((doc_id, len(text), len(at), n, fits, deltas if keep_prefixes else None))
-                size += 48 + len(deltas) * keep_prefixes
-                if size > OUT_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-                    rows, size = [], 0
-        if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int | None, bytes]]]:
+        """Rows of about GROUP_BYTES of text together."""
+        group: list[tuple[int | None, bytes]] = []
+        size = 0
+        for batch in batches:
+            for row in texts(batch):
+                group.append(row)
+                size += len(row[1]) + 100
+                if size > GROUP_BYTES:
+                    yield group
+                    group, size = [], 0
+        if group:
+            yield group
+
     return narrow(docs, id_col, text_col).mapInArrow(count, _SCHEMA)
 
 
