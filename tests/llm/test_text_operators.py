@@ -231,6 +231,51 @@ def test_compact_windows_hold_the_minimum_of_every_stretch():
             assert int(values[i : i + width].argmin()) + i in at
 
 
+def test_edited_passages_are_verified_wherever_the_edit_is():
+    from meterlake.llm.passages import GRAM, LEAST_WORDS, matches
+    from meterlake.llm.words import shingles
+
+    rng = np.random.default_rng(8)
+    fresh = lambda n: rng.integers(1, 2**62, n, dtype=np.uint64)
+    similar = lambda a, b: len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+    tried = 0
+    for n in (50, 51, 57, 66, 75, 84, 90):
+        for at in range(n):
+            for kind in ("changed", "put in", "left out"):
+                passage = fresh(n)
+                edited = np.concatenate([passage[:at], fresh(int(kind != "left out")), passage[at + (kind != "put in") :]])
+                true = similar(shingles(passage, GRAM), shingles(edited, GRAM))
+                if true < 0.8 or len(edited) < LEAST_WORDS:
+                    continue
+                tried += 1
+                x, y = (shingles(np.concatenate([fresh(40), p, fresh(40)]), GRAM) for p in (passage, edited))
+                got = list(matches(x, y))
+                assert any(s < 40 + n and e > 40 for s, e, *_ in got), (n, at, kind)
+                for s, e, u, v, like in got:
+                    assert min(e - s, v - u) >= LEAST_WORDS - GRAM + 1 and like >= 0.8 and like == similar(x[s:e], y[u:v])
+    assert tried > 1000
+
+
+def test_matches_exist_where_brute_force_has_one(monkeypatch):
+    from meterlake.llm import passages
+
+    monkeypatch.setattr(passages, "WIDTH", 6)
+    rng, kinds = np.random.default_rng(6), 10**6
+    both = 0
+    for _ in range(150):
+        x = rng.integers(0, kinds, 14)
+        y = np.delete(x, rng.integers(0, 14, rng.integers(0, 3)))
+        y = np.insert(y, rng.integers(0, len(y), rng.integers(0, 3)), rng.integers(0, kinds))
+        y[rng.integers(0, len(y), rng.integers(0, 3))] = rng.integers(0, kinds)
+        ranges = lambda n: [(s, e) for s in range(n) for e in range(s + 6, n + 1)]
+        left, right = ([set(z[s:e].tolist()) for s, e in ranges(len(z))] for z in (x, y))
+        true = any(len(a & b) >= 0.8 * len(a | b) for a in left for b in right)
+        got = list(passages.matches(x.astype(np.uint32), y.astype(np.uint32)))
+        assert bool(got) == true, (x, y)
+        both |= 1 << true
+    assert both == 3
+
+
 # ---------------------------------------------------------------- WARC
 
 
