@@ -1,11 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-Each test item gives its word n-grams. How often each occurs in the documents is
-counted over all of them; an item's rarest grams are its seeds. Documents that
-hold a seed give the segment of words around it, and each segment is aligned with
-the items of its seeds: a local alignment by words, so that edited copies with
-words changed, added or left out still score. Items and documents meet by a join
-on grams; before it, a bitmap of bounded size drops the grams that no item has.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
+
+Each test item gives its word n-grams, and all of them are seeds: an edit may leave
+only common ones. Documents that hold a seed give the segment of words around it,
+and each segment is aligned with the items of its seeds: a local alignment by
+words, so that edited copies with words changed, added or left out still score.
+Items and documents meet by a join on grams; before it, a bitmap of bounded size
+drops the grams that no item has, and pairs that have too few words in common for
+the least score are not aligned.
 """
 
 from __future__ import annotations
@@ -14,14 +15,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterlake.llm.shared import Bitmap, materialize, narrow, release, texts
+from meterlake.llm.shared import Bitmap, materialize, narrow, texts
 from meterlake.llm.words import distinct, shingles, word_hashes
 
-#: Words of a seed; seeds of an item at least, and as a share of its grams.
-GRAM, LEAST_SEEDS, SEED_SHARE = 4, 8, 0.5
+#: Words of a seed.
+GRAM = 4
 #: Scores of the alignment, and the least score as a share of the item's own.
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST_SIMILARITY = 0.5
@@ -67,6 +68,15 @@ def align(item: np.ndarray, segment: np.ndarray) -> tuple[int, int, int]:
     return best
 
 
+def common_words(item: np.ndarray, segment: np.ndarray) -> int:
+    """Words of the item that the segment has too, as often as both have them: an alignment matches no more."""
+    kinds, n = np.unique(item, return_counts=True)
+    at = np.searchsorted(kinds, segment)
+    at[at == len(kinds)] = 0
+    found = np.bincount(at[kinds[at] == segment], minlength=len(kinds))
+    return int(np.minimum(n, found).sum())
+
+
 def find_leaks(
     docs: DataFrame,
     items: DataFrame,
@@ -101,31 +111,11 @@ def find_leaks(
                         }
                     )
 
-    grams = materialize(tests.mapInArrow(item_grams, "item_id long, gram long, words binary"), "item-grams")
-    wanted = grams.select("gram").distinct()
-    shipped = spark.sparkContext.broadcast(Bitmap.of(wanted, "gram", wanted.count(), BITS_EACH))
-    longest = (grams.agg(F.max(F.octet_length("words"))).first()[0] or 0) // 8
-
-    def doc_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shipped.value
-        for batch in batches:
-            parts = [np.empty(0, np.uint64)]
-            for _, text in texts(batch):
-                found = distinct(shingles(words_of(text), gram))
-                parts.append(found[bits.has(found)])
-            yield pa.RecordBatch.from_pydict({"gram": pa.array(np.concatenate(parts).view(np.int64))})
-
-    rows = narrow(docs, id_col, text_col)
-    counts = rows.mapInArrow(doc_grams, "gram long").groupBy("gram").agg(F.count("*").alias("df"))
-    # an item's grams: as many as it has words
-    rank = Window.partitionBy("item_id", "words").orderBy("df", "gram")
-    size = F.count("*").over(Window.partitionBy("item_id", "words"))
-    ranked = grams.join(counts, "gram").withColumns({"rank": F.row_number().over(rank), "size": size})
-    seeds = ranked.where(F.col("rank") <= F.greatest(F.lit(LEAST_SEEDS), F.ceil(F.col("size") * SEED_SHARE)))
-    seeds = materialize(seeds.select("item_id", "gram", "words"), "seeds")
-    release(grams)
+    seeds = materialize(tests.mapInArrow(item_grams, "item_id long, gram long, words binary"), "seeds")
     chosen = seeds.select("gram").distinct()
     seeded = spark.sparkContext.broadcast(Bitmap.of(chosen, "gram", chosen.count(), BITS_EACH))
+    longest = (seeds.agg(F.max(F.octet_length("words"))).first()[0] or 0) // 8
+    rows = narrow(docs, id_col, text_col)
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of each document, the runs of words around its seeds; each reaches an item's length to both sides."""
@@ -169,8 +159,10 @@ def find_leaks(
         for batch in batches:
             out = []
             for doc_id, start, words, item_id, item in zip(*(c.to_pylist() for c in batch.columns)):
-                own = np.frombuffer(item, np.uint64)
-                points, first, last = align(own, np.frombuffer(words, np.uint64))
+                own, segment = np.frombuffer(item, np.uint64), np.frombuffer(words, np.uint64)
+                if common_words(own, segment) < least * len(own):
+                    continue
+                points, first, last = align(own, segment)
                 if points >= least * MATCH * len(own):
                     out.append((doc_id, item_id, points / (MATCH * len(own)), start + first, start + last))
             names = ["doc_id", "item_id", "similarity", "start_word", "end_word"]

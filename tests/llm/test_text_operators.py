@@ -438,6 +438,24 @@ def test_leaks_exact_and_edited_are_found(spark, messy):
     assert find_leaks(messy, tests.limit(0)).count() == 0 and find_leaks(messy.limit(0), tests).count() == 0
 
 
+def test_edited_copies_beside_an_exact_one_are_found(spark):
+    from meterlake.llm.decontaminate import find_leaks
+
+    rng = random.Random(21)
+    items, rows, true = [prose(rng, 38).split() for _ in range(40)], [], {}
+    for i, item in enumerate(items):
+        edited = list(item)
+        for at in rng.sample(range(38), 6 if i % 2 else 8):
+            edited[at] = f"edit{at}x{i}"
+        rows += [(i, " ".join(item), "s"), (100 + i, " ".join([prose(rng, 50), *edited, prose(rng, 50)]), "s")]
+        true[i, i] = 1.0
+        if brute_align(item, edited) >= 38 and any(edited[k : k + 4] == item[k : k + 4] for k in range(35)):
+            true[100 + i, i] = brute_align(item, rows[-1][1].split()) / 76
+    tests = spark.createDataFrame([(i, " ".join(item)) for i, item in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.similarity for r in find_leaks(frame(spark, rows), tests).collect()}
+    assert len(true) > 70 and true.items() <= got.items()
+
+
 # ---------------------------------------------------------------- quality model
 
 
