@@ -35,7 +35,7 @@ _ASSIGN_HINT = re.compile(r"[:=]")
 # A wider credential context for the guess cost: key word, separator, then a value
 # without white space or quotes.
 CONTEXT = re.compile(
-    r"""(?:passwords?|passwd|passphrase|passcode|pwd|secret|token|api[ _-]?key|access[ _-]?key|private[ _-]?key|credentials?|auth)["']?[ \t]{0,8}(?:[:=]|=>|:=)[ \t]{0,8}["']?([^\s"'<>,;]{6,256})""",
+    r"""(?:passwords?|passwd|passphrase|passcode|pwd|secret|token|api[ _-]?key|access[ _-]?key|private[ _-]?key|credentials?|auth)["']?[ \t]{0,8}(?:[:=]|=>|:=)[ \t]{0,8}["']?([^\s"'<>,;]{6,})""",
     re.IGNORECASE | re.ASCII,
 )
 #: Least log10 of guesses for a value to be a secret.
@@ -79,7 +79,7 @@ def _alphabet(value: str) -> int:
 
 
 def spans(value: str, words: dict[str, int]) -> Iterator[tuple[int, int, float, str]]:
-    """(start, end, log10 guesses, kind) of each recognised span of the value."""
+    """(start, end, log10 guesses, kind) of each recognised span of the value; linear in its length."""
     low, n = value.lower(), len(value)
     plain = low.translate(LEET)
     for i in range(n):
@@ -91,31 +91,32 @@ def spans(value: str, words: dict[str, int]) -> Iterator[tuple[int, int, float,
                     break
     for m in _DATE.finditer(value):
         yield m.start(), m.end(), 4.6 if m.end() - m.start() > 4 else 2.1, "date"
-    i = 0
-    while i < n:  # runs of one step: repeats, sequences, keyboard walks
-        for kind in ("repeat", "sequence", "walk"):
-            j = i + 1
-            step = ord(low[j]) - ord(low[i]) if j < n else 0
-            while j < n and (
-                low[j] == low[i]
-                if kind == "repeat"
-                else ord(low[j]) - ord(low[j - 1]) == step and abs(step) == 1
-                if kind == "sequence"
-                else (low[j - 1], low[j]) in NEIGHBOURS
-            ):
-                j += 1
+    # runs of one step: repeats, sequences, keyboard walks; ends[kind][i] is the end of the one that starts at i
+    ends = {kind: [*range(1, n + 1)] for kind in ("repeat", "sequence", "walk")}
+    for i in range(n - 2, -1, -1):
+        if low[i] == low[i + 1]:
+            ends["repeat"][i] = ends["repeat"][i + 1]
+        step = ord(low[i + 1]) - ord(low[i])
+        if abs(step) == 1:
+            on = i + 2 < n and ord(low[i + 2]) - ord(low[i + 1]) == step
+            ends["sequence"][i] = ends["sequence"][i + 1] if on else i + 2
+        if (low[i], low[i + 1]) in NEIGHBOURS:
+            ends["walk"][i] = ends["walk"][i + 1]
+    for i in range(n):
+        for kind, end in ends.items():
+            j = end[i]
             if j - i >= 3:
                 base = {"repeat": _alphabet(value[i]), "sequence": 26, "walk": 47 * 4}[kind]
                 yield i, j, math.log10(base * (j - i)), kind
-        i += 1
     for size in range(2, min(8, n // 2) + 1):  # repeats of a block
         i = 0
         while i + 2 * size <= n:
-            j = i + size
-            while value[j : j + size] == value[i : i + size] and len(value[j : j + size]) == size:
-                j += size
-            if j - i >= 2 * size and len(set(value[i : i + size])) > 1:
-                block = size * math.log10(_alphabet(value[i : i + size]))
+            block, j = value[i : i + size], i + size
+            if len(set(block)) > 1:
+                while value[j : j + size] == block:
+                    j += size
+            if j - i >= 2 * size:
+                block = size * math.log10(_alphabet(block))
                 yield i, j, block + math.log10((j - i) // size), "repeat"
                 i = j
             else:

@@ -191,6 +191,23 @@ def test_guess_cost_is_the_least_over_all_segmentations():
     assert guess_cost("changeme123")[0] < 9 < guess_cost("Zx9$kQ!vT2")[0]
 
 
+def test_long_credentials_are_masked_to_their_end(spark):
+    from meterlake.llm.secrets import find, guess_cost, mask_secrets
+
+    rng = random.Random(3)
+    signs = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
+    for key in ("private_key", "access_key", "credentials", "auth", "passphrase"):
+        for size in (200, 256, 257, 1700, 5000):
+            value = "".join(rng.choice(signs) for _ in range(size)) + "=="
+            text = f"see {key}: {value} and more"
+            assert find(text)[1] == [(text.index(value), 3, text.index(value) + len(value))], (key, size)
+            assert mask_secrets(frame(spark, [(1, text, "s")])).first().text == f"see {key}: [guess] and more" if size == 1700 else True
+    value = "".join(rng.choice(signs + "$%&#") for _ in range(600))
+    assert "password=" + value[-40:] not in (text := f"x password={value} y") and find(text)[1][-1][2] == text.index(" y")
+    for value in ("a" * 100_000, "abc" * 30_000, "ab" * 50_000 + "Zx9$kQ!vT2"):  # linear in the length
+        assert guess_cost(value)[1][-1][1] == len(value)
+
+
 # ---------------------------------------------------------------- passages
 
 
