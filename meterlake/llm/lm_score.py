@@ -7,12 +7,11 @@ expectation-maximisation: one tenth of the training documents is held out, its
 counts are deleted from the estimates, and the weights maximise the likelihood of
 the held-out counts; the final estimates use all training counts.
 
-The commonest VOCABULARY training words are tokens of their own in contexts and
-after them. All other words share one class there; within the class a word's share
-is its smoothed count. So contexts stay a table of fixed size that can be sent to
-the tasks. Counts of words and of token pairs grow with the corpus and stay with
-Spark: the commonest (tables of fixed size) are looked up in the tasks, all others
-meet their exact counts in a join.
+Every training word is a token, as a context and after one, and every pair counts,
+also one seen once; a word that training lacks is the token OTHER. The commonest
+words have small numbers, all others a hash. Counts of words and of token pairs
+grow with the corpus and stay with Spark: the commonest (tables of fixed size) are
+a cache in the tasks, all others meet their exact counts in joins.
 """
 
 from __future__ import annotations
@@ -29,14 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.llm.shared import Bitmap, commonest, crc_part, materialize, narrow, release, texts
-from meterlake.llm.words import spark_hash
+from meterlake.llm.words import mix, spark_hash
 
-#: Words that are tokens of their own in pairs; words and pairs whose counts the tasks have at hand.
-VOCABULARY = 2**15
-HOT_WORDS = 2**17
+#: Words and pairs whose counts the tasks have at hand; such words have small numbers as tokens.
+HOT_WORDS = VOCABULARY = 2**17
 HOT_PAIRS = 2**18
-#: Pairs seen fewer times than this in training have no estimate of their own.
-LEAST_PAIR = 2
+#: Pairs seen so often in training have an estimate of their own: all.
+LEAST_PAIR = 1
 #: Smoothing of word counts, and steps of expectation-maximisation.
 ADD = 0.1
 EM_STEPS = 8
@@ -44,7 +42,7 @@ BUCKETS = 12
 #: Entries of a task's tables of partial counts.
 PARTIAL = 300_000
 
-# Numbers of the tokens that are not words of the vocabulary.
+# Numbers of the tokens that are not hot words; all other words have negative numbers.
 OTHER, END = VOCABULARY, VOCABULARY + 1
 START = VOCABULARY + 2  # as a context alone
 SIDE = VOCABULARY + 3
@@ -63,54 +61,62 @@ def training(doc_id):
     return crc_part(doc_id, 10) != 0
 
 
+def held_out(doc_id):
+    """Of the training texts, those that the weights are learned from."""
+    return crc_part(doc_id, 10) == 1
+
+
 @dataclass
 class Words:
     """Counts of the training words: what tasks need of them."""
 
     number: dict[bytes, int]  # of the hot words, commonest first
     n: np.ndarray  # their counts
-    tokens: np.ndarray  # counts by token: VOCABULARY words, OTHER, END
+    tokens: np.ndarray  # counts by token: hot words, OTHER, END
     kinds: int  # V, with the end
     total: int  # N, with the ends
 
     @property
     def uniform(self) -> float:
-        return 1.0 / (min(len(self.number), VOCABULARY) + 2)
+        """Over all training words, OTHER and the end."""
+        return 1.0 / (self.words + 2)
 
     @property
-    def other_bottom(self) -> float:
-        """log10 of the OTHER class's smoothed size, with room for words that training lacks."""
-        kinds = max(0, self.kinds - 1 - VOCABULARY)
-        return float(np.log10(self.tokens[OTHER] + ADD * (kinds + 1)))
+    def words(self) -> int:
+        return self.kinds - (self.tokens[END] > 0)
 
 
 def word_counts(train: DataFrame) -> DataFrame:
-    """(word, n) over the training texts; tasks add up first."""
+    """(word, n, held) over the training texts, and the part in held-out texts; tasks add up first."""
+    rows = train.withColumn("out", held_out(F.col("doc_id")))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        seen: tuple[Counter, Counter] = Counter(), Counter()
         for batch in batches:
-            for _, text in texts(batch):
-                seen.update(tokens(text))
-                if len(seen) >= PARTIAL:
-                    yield as_batch(seen)
-                    seen.clear()
-        yield as_batch(seen)
+            for (_, text), out in zip(texts(batch), batch.column(2).to_pylist()):
+                seen[bool(out)].update(tokens(text))
+                if len(seen[0]) + len(seen[1]) >= PARTIAL:
+                    yield from as_batches(seen)
+                    for part in seen:
+                        part.clear()
+        yield from as_batches(seen)
 
-    def as_batch(seen: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
+    def as_batches(seen: tuple[Counter, Counter]) -> Iterator[pa.RecordBatch]:
+        for out, part in enumerate(seen):
+            n = pa.array(list(part.values()), pa.int64())
+            held = n if out else pa.array(np.zeros(len(part), np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(list(part), pa.binary()), n, held], ["word", "n", "held"])
 
-    return train.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(count, "word binary, n long, held long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("held").alias("held"))
 
 
 def gather_words(counts: DataFrame, documents: int) -> Words:
     """counts: the table of word_counts, written."""
     row = counts.agg(F.count("*").alias("kinds"), F.coalesce(F.sum("n"), F.lit(0)).alias("total")).first()
-    top = commonest(counts, "n", HOT_WORDS)[0].toArrow().sort_by([("n", "descending"), ("word", "ascending")])
+    top = commonest(counts.select("word", "n"), "n", HOT_WORDS)[0].toArrow().sort_by([("n", "descending"), ("word", "ascending")])
     n = top["n"].to_numpy()
     by_token = np.zeros(SIDE, dtype=np.int64)
     by_token[: min(len(n), VOCABULARY)] = n[:VOCABULARY]
-    by_token[OTHER] = row["total"] - n[:VOCABULARY].sum()
     by_token[END] = documents
     number = {w: i for i, w in enumerate(top["word"].to_pylist())}
     return Words(number, n, by_token, row["kinds"] + (documents > 0), row["total"] + documents)
@@ -121,92 +127,125 @@ def ranks(words: list[bytes], number: dict[bytes, int]) -> np.ndarray:
     return np.fromiter(map(number.get, words, repeat(-1)), dtype=np.int64, count=len(words))
 
 
-def pairs_of(rank: np.ndarray) -> np.ndarray:
-    """The token pairs of a text, from START to END."""
+def word_id(word: bytes) -> int:
+    """The token of a word that is not hot: a hash below zero."""
+    return xxhash.xxh64_intdigest(word, seed=42) | 1 << 63
+
+
+def pairs_of(found: list[bytes], rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The token pairs of a text, from START to END: contexts and the tokens after them."""
     ids = np.empty(len(rank) + 2, dtype=np.int64)
     ids[0], ids[-1] = START, END
-    ids[1:-1] = np.where((rank < 0) | (rank >= VOCABULARY), OTHER, rank)
-    return ids[:-1] * SIDE + ids[1:]
+    ids[1:-1] = rank
+    cold = np.flatnonzero(rank < 0)
+    ids[cold + 1] = np.fromiter((word_id(found[k]) for k in cold.tolist()), dtype=np.uint64, count=len(cold)).view(np.int64)
+    return ids[:-1], ids[1:]
+
+
+def pair_id(context: np.ndarray, token: np.ndarray) -> np.ndarray:
+    """context * SIDE + token of small numbers, a hash below zero of others."""
+    with np.errstate(over="ignore"):
+        mixed = mix(mix(context.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15) + token.view(np.uint64)) | np.uint64(1 << 63)
+    return np.where((context < 0) | (token < 0), mixed.view(np.int64), context * SIDE + token)
 
 
 def pair_counts(train: DataFrame, words: Words, held) -> DataFrame:
-    """(pair, n, held) over the training texts: the count of each token pair, and its part in held-out texts."""
+    """(pair, context, token, n, held) over the training texts: the count of each token pair, and its part in held-out texts."""
     shipped = train.sparkSession.sparkContext.broadcast(words.number)
     rows = train.withColumn("held", held)
-    schema = pa.schema([("pair", pa.int64()), ("n", pa.int64()), ("held", pa.int64())])
+    names = ["pair", "context", "token", "n", "held"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[list[np.ndarray]] = [[], []]
+        parts: list[tuple] = []
         size = 0
         for batch in batches:
             for (_, text), out in zip(texts(batch), batch.column(2).to_pylist()):
-                found = pairs_of(ranks(tokens(text), shipped.value))
-                parts[bool(out)].append(found)
-                size += len(found)
+                found = tokens(text)
+                context, token = pairs_of(found, ranks(found, shipped.value))
+                parts.append((context, token, np.full(len(token), bool(out))))
+                size += len(token)
                 if size >= 4 * PARTIAL:
                     yield as_batch(parts)
-                    parts, size = [[], []], 0
-        yield as_batch(parts)
+                    parts, size = [], 0
+        if parts:
+            yield as_batch(parts)
 
-    def as_batch(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
-        none = np.empty(0, np.int64)
-        own, out = (np.concatenate([none, *p]) for p in parts)
-        pairs, where = np.unique(np.concatenate([own, out]), return_inverse=True)
+    def as_batch(parts: list[tuple]) -> pa.RecordBatch:
+        context, token, out = (np.concatenate(p) for p in zip(*parts))
+        pairs, first, where = np.unique(pair_id(context, token), return_index=True, return_inverse=True)
         n = np.bincount(where, minlength=len(pairs))
-        h = np.bincount(where[len(own) :], minlength=len(pairs))
-        return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n, pa.int64()), pa.array(h, pa.int64())], schema=schema)
+        h = np.bincount(where[out], minlength=len(pairs))
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (pairs, context[first], token[first], n, h)], names)
 
-    return rows.mapInArrow(count, "pair long, n long, held long").groupBy("pair").agg(
+    return rows.mapInArrow(count, ", ".join(f"{c} long" for c in names)).groupBy("pair", "context", "token").agg(
         F.sum("n").alias("n"), F.sum("held").alias("held")
     )
 
 
 def per_context(pairs: DataFrame, n: str) -> np.ndarray:
-    """Sums of n by context, over the pairs that have an estimate; a table of fixed size."""
-    rows = pairs.where(F.expr(n) >= LEAST_PAIR).groupBy(F.expr(f"pair div {SIDE}").alias("context")).agg(F.sum(F.expr(n)).alias("n")).toArrow()
+    """Sums of n by context, of the small numbers; a table of fixed size."""
+    rows = pairs.where("context >= 0").groupBy("context").agg(F.sum(F.expr(n)).alias("n")).toArrow()
     out = np.zeros(SIDE, dtype=np.int64)
     out[rows["context"].to_numpy()] = rows["n"].to_numpy()
     return out
 
 
 def per_token(pairs: DataFrame) -> np.ndarray:
-    """Held-out counts by token; a table of fixed size."""
-    rows = pairs.where("held > 0").groupBy(F.expr(f"pair % {SIDE}").alias("token")).agg(F.sum("held").alias("n")).toArrow()
+    """Held-out counts by token, of the small numbers; a table of fixed size."""
+    rows = pairs.where("held > 0 AND token >= 0").groupBy("token").agg(F.sum("held").alias("n")).toArrow()
     out = np.zeros(SIDE, dtype=np.int64)
     out[rows["token"].to_numpy()] = rows["n"].to_numpy()
     return out
 
 
-def learn_weights(pairs: DataFrame, words: Words) -> np.ndarray:
+def with_counts(rows: DataFrame, cold: DataFrame | None, n: str = "n") -> DataFrame:
+    """rows with ``context_n`` and ``token_n``: ``n`` of the words of negative numbers, 0 for those cold lacks and small numbers."""
+    for side in ("context", "token"):
+        name = f"{side}_n"
+        if cold is None:
+            rows = rows.withColumn(name, F.lit(0).cast("long"))
+            continue
+        found = cold.select(F.col("id").alias("cold"), F.expr(n).alias(name))
+        # small numbers meet nothing: they are spread out, not gathered by word
+        key = F.when(F.col(side) < 0, F.col(side)).otherwise(F.xxhash64(*rows.columns).bitwiseAND(2**63 - 1))
+        rows = rows.withColumn("cold", key).join(found, "cold", "left").drop("cold")
+        rows = rows.withColumn(name, F.coalesce(name, F.lit(0).cast("long")))
+    return rows
+
+
+def learn_weights(pairs: DataFrame, words: Words, cold: DataFrame | None = None) -> np.ndarray:
     """Mixture weights (BUCKETS x 3: pair, token, uniform) by EM on the held-out counts.
 
     Each step is one aggregate over the pairs that the held-out texts have: the
-    sums of responsibilities, a row for each bucket. A bucket without held-out
+    sums of responsibilities, a row for each bucket. ``cold`` has (id, n, held) of
+    the words that are not hot. A bucket without held-out
     counts keeps its first weights; an unseen context gives the pair none.
     """
     held = pairs.where("held > 0")
     spark = pairs.sparkSession
     kept = per_context(pairs, "(n - held)")
     tokens_left = words.tokens - per_token(pairs)
+    all_n = max(1, words.total - (pairs.agg(F.sum("held")).first()[0] or 0))
     shipped = spark.sparkContext.broadcast((kept, tokens_left))  # of fixed size
     uniform = words.uniform
 
     def estimates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context_n, token_n = shipped.value
-        all_n = max(1, int(token_n.sum()))
         for batch in batches:
-            pair, n, out = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            context, token = pair // SIDE, pair % SIDE
-            left = n - out
-            seen = context_n[context]
-            p2 = np.where(left >= LEAST_PAIR, left / np.maximum(1, seen), 0.0)
+            context, token, n, out, far_context, far_token = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            seen = np.where(context < 0, far_context, context_n[np.maximum(0, context)])
+            of_token = np.where(token < 0, far_token, token_n[np.maximum(0, token)])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket(seen)), pa.array(p2), pa.array(token_n[token] / all_n), pa.array(out, pa.int64())],
+                [pa.array(bucket(seen)), pa.array((n - out) / np.maximum(1, seen)), pa.array(of_token / all_n), pa.array(out, pa.int64())],
                 ["bucket", "p2", "p1", "held"],
             )
 
+    held = with_counts(held.select("context", "token", "n", "held"), cold, "n - held")
     rows = materialize(
-        held.select("pair", "n", "held").mapInArrow(estimates, "bucket long, p2 double, p1 double, held long"), "lm-held"
+        held.select("context", "token", "n", "held", "context_n", "token_n").mapInArrow(
+            estimates, "bucket long, p2 double, p1 double, held long"
+        ),
+        "lm-held",
     )
     weights = np.tile([0.4, 0.5, 0.1], (BUCKETS, 1))
     weights[0] = [0.0, 0.9, 0.1]
@@ -234,18 +273,24 @@ def learn_weights(pairs: DataFrame, words: Words) -> np.ndarray:
 class Model:
     words: Words
     weights: np.ndarray
-    context: np.ndarray  # sums of the pairs' counts by context
+    context: np.ndarray  # sums of the pairs' counts by context, of the small numbers
     hot: np.ndarray  # commonest pairs, sorted, and their counts
     hot_n: np.ndarray
 
     def probability(self, pair: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """Of token pairs that training has n times (0: no estimate)."""
+        """Of pairs of small numbers that training has n times."""
         context, token = pair // SIDE, pair % SIDE
-        seen = self.context[context]
+        return self.mixed(n, self.context[context], self.words.tokens[token])
+
+    def mixed(self, n: np.ndarray, seen: np.ndarray, token_n: np.ndarray) -> np.ndarray:
+        """From the counts of a pair, of its context and of its token."""
         w = self.weights[bucket(seen)]
-        p2 = n / np.maximum(1, seen)
-        p1 = self.words.tokens[token] / max(1, self.words.total)
-        return w[:, 0] * p2 + w[:, 1] * p1 + w[:, 2] * self.words.uniform
+        return w[:, 0] * n / np.maximum(1, seen) + w[:, 1] * token_n / max(1, self.words.total) + w[:, 2] * self.words.uniform
+
+    def price(self, context: np.ndarray, token: np.ndarray, n: np.ndarray, far_context: np.ndarray, far_token: np.ndarray) -> np.ndarray:
+        """log10 of the probabilities; the far counts hold for negative numbers."""
+        seen = np.where(context < 0, far_context, self.context[np.maximum(0, context)])
+        return np.log10(self.mixed(n, seen, np.where(token < 0, far_token, self.words.tokens[np.maximum(0, token)])))
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -263,17 +308,17 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     documents = train.select("doc_id").count()
     counts = materialize(word_counts(train), "lm-words")
     words = gather_words(counts, documents)
-    held = crc_part(F.col("doc_id"), 10) == 1
-    pairs = pair_counts(train, words, held).where((F.col("n") >= LEAST_PAIR) | (F.col("held") > 0))
-    pairs = materialize(pairs, "lm-pairs")
-    weights = learn_weights(pairs, words)
-    known = pairs.where(F.col("n") >= LEAST_PAIR)
-    hot, rest = commonest(known.select("pair", "n"), "n", HOT_PAIRS)
-    top = hot.toArrow().sort_by("pair")  # of fixed size
+    held = held_out(F.col("doc_id"))
+    rare = commonest(counts, "n", HOT_WORDS)[1]
+    cold_words = rare.select(F.xxhash64("word").alias("key"), F.expr("xxhash64(word) | shiftleft(1L, 63)").alias("id"), "n", "held")
+    pairs = materialize(pair_counts(train, words, held), "lm-pairs")
+    weights = learn_weights(pairs, words, cold_words)
+    hot, rest = commonest(pairs.where("pair >= 0").drop("held"), "n", HOT_PAIRS)
+    top = hot.select("pair", "n").toArrow().sort_by("pair")  # of fixed size
     model = Model(words, weights, per_context(pairs, "n"), top["pair"].to_numpy(), top["n"].to_numpy())
-    cold_pairs = rest.select("pair", "n", F.xxhash64("pair").alias("key"))
-    pair_bits = Bitmap.of(cold_pairs, "key", cold_pairs.count())
-    cold_words = commonest(counts, "n", HOT_WORDS)[1].select(F.xxhash64("word").alias("key"), "n")
+    cold_pairs = pairs.where("pair < 0").drop("held").unionByName(rest)
+    pair_keys = cold_pairs.where("n > 1").select(F.xxhash64("pair").alias("key"))
+    pair_bits = Bitmap.of(pair_keys, "key", pair_keys.count())
     twice = cold_words.where("n > 1")
     word_bits = Bitmap.of(twice, "key", twice.count())
     shipped = spark.sparkContext.broadcast((model, pair_bits, word_bits))  # tables of bounded size
@@ -289,24 +334,24 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     share = F.col("k") * F.log10(seen + ADD)
     found = F.when(seen > 0, F.col("k")).otherwise(0).cast("long")
     by_word = far_words.join(cold_words, "key", "left").select(
-        "row", share.alias("base"), share.alias("own"), found.alias("known")
+        "row", share.alias("base"), F.lit(0.0).alias("own"), found.alias("known")
     )
-    far_pairs = parts.select("row", F.explode(F.arrays_zip("pairs", "pair_n")).alias("p"))
-    far_pairs = far_pairs.select("row", F.col("p.pairs").alias("pair"), F.col("p.pair_n").alias("k"))
+    far_pairs = parts.select("row", F.explode(F.arrays_zip("contexts", "followers", "pair_n")).alias("p"))
+    far_pairs = far_pairs.select("row", F.col("p.contexts").alias("context"), F.col("p.followers").alias("token"), F.col("p.pair_n").alias("k"))
 
     def price(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shipped.value[0]
         for batch in batches:
-            row, pair, k, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            own = k * np.log10(m.probability(pair, n))
-            yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(own)], ["row", "own"])
+            row, k, *counted = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(k * m.price(*counted))], ["row", "own"])
 
-    joined = far_pairs.join(cold_pairs.select("pair", "n"), "pair", "left").select("row", "pair", "k", seen.alias("n"))
+    joined = far_pairs.join(cold_pairs.drop("pair"), ["context", "token"], "left").withColumn("n", seen)
+    joined = with_counts(joined, cold_words).select("row", "k", "context", "token", "n", "context_n", "token_n")
     none = [F.lit(0.0).alias("base"), "own", F.lit(0).cast("long").alias("known")]
     by_pair = joined.mapInArrow(price, "row long, own double").select("row", *none)
     far = by_word.unionByName(by_pair).groupBy("row").agg(*[F.sum(c).alias(f"far_{c}") for c in ("base", "own", "known")])
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    out = parts.drop("words", "word_n", "pairs", "pair_n").join(far, "row", "left")
+    out = parts.drop("words", "word_n", "contexts", "followers", "pair_n").join(far, "row", "left")
     return out.select(
         "doc_id",
         F.coalesce(crc_part(F.col("doc_id"), 10) == 0, F.lit(False)).alias("held_out"),
@@ -320,19 +365,20 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 _PARTS = (
     "doc_id long, n_tokens long, known long, base double, own double, "
-    "words array<bigint>, word_n array<int>, pairs array<bigint>, pair_n array<int>"
+    "words array<bigint>, word_n array<int>, contexts array<bigint>, followers array<bigint>, pair_n array<int>"
 )
 
 
 def score_batches(batches: Iterator[pa.RecordBatch], m: Model, pair_bits: Bitmap, word_bits: Bitmap) -> Iterator[pa.RecordBatch]:
     """A row for each document: the sums over what the task knows, and the words and pairs whose counts are elsewhere.
 
-    A word of a learned text that is neither hot nor in the bitmap occurs once.
+    A word or pair of a learned text that is neither hot nor in the bitmap occurs once.
     """
     w = m.words
     schema = pa.schema(
         [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("own", pa.float64())]
-        + [("words", pa.list_(pa.int64())), ("word_n", pa.list_(pa.int32())), ("pairs", pa.list_(pa.int64())), ("pair_n", pa.list_(pa.int32()))]
+        + [("words", pa.list_(pa.int64())), ("word_n", pa.list_(pa.int32()))]
+        + [("contexts", pa.list_(pa.int64())), ("followers", pa.list_(pa.int64())), ("pair_n", pa.list_(pa.int32()))]
     )
     bottom = np.log10(w.total + ADD * (w.kinds + 1))
     of_word = np.log10(w.n + ADD)
@@ -344,28 +390,33 @@ def score_batches(batches: Iterator[pa.RecordBatch], m: Model, pair_bits: Bitmap
             found = tokens(text)
             rank = ranks(found, w.number)
             hot = rank >= 0
-            pair, k = np.unique(pairs_of(rank), return_counts=True)
+            context, token = pairs_of(found, rank)
+            pair, first, k = np.unique(pair_id(context, token), return_index=True, return_counts=True)
+            context, token = context[first], token[first]
             strange = Counter([t for t, h in zip(found, hot.tolist()) if not h])
             keys = np.fromiter((xxhash.xxh64_intdigest(t, seed=42) for t in strange), dtype=np.uint64, count=len(strange))
             n = np.fromiter(strange.values(), dtype=np.int64, count=len(strange))
             once = np.zeros(len(n), bool) if not learned else ~word_bits.has(keys)
             base = float(of_word[rank[hot]].sum()) + of_end + int(n[once].sum()) * np.log10(1 + ADD)
-            classed = rank >= VOCABULARY
-            own = float(of_word[rank[classed]].sum()) + int(n[once].sum()) * np.log10(1 + ADD)
-            own -= (int(classed.sum()) + int(n.sum())) * w.other_bottom
             known = int(hot.sum()) + int(n[once].sum()) + int(w.tokens[END] > 0)
             at = np.searchsorted(m.hot, pair)
             at[at == len(m.hot)] = 0
             near = m.hot[at] == pair if len(m.hot) else np.zeros(len(pair), bool)
-            far = ~near & pair_bits.has(spark_hash(pair))
+            n_pair = np.where(near, m.hot_n[at], 1) if len(m.hot) else np.ones(len(pair), np.int64)
+            if learned:  # each cold count is 1, or to be met
+                far = ~near & pair_bits.has(spark_hash(pair))
+                for side in (context, token):
+                    far |= (side < 0) & word_bits.has(side.view(np.uint64))
+            else:
+                far = ~near
             here = ~far
-            seen = np.where(near, m.hot_n[at], 0) if len(m.hot) else np.zeros(len(pair), np.int64)
-            own += float((k[here] * np.log10(m.probability(pair[here], seen[here]))).sum())
+            ones = np.ones(int(here.sum()), np.int64)
+            own = float((k[here] * m.price(context[here], token[here], n_pair[here], ones, ones)).sum())
             base -= (len(found) + 1) * bottom
             out.append(
-                (doc_id, len(found) + 1, known, base, own, keys[~once].view(np.int64).tolist(), n[~once].tolist(), pair[far].tolist(), k[far].tolist())
+                (doc_id, len(found) + 1, known, base, own, keys[~once].view(np.int64).tolist(), n[~once].tolist(), context[far].tolist(), token[far].tolist(), k[far].tolist())
             )
-            size += 100 + 12 * int((~once).sum() + far.sum())
+            size += 100 + 12 * int((~once).sum()) + 20 * int(far.sum())
             if size >= 2_000_000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
                 out, size = [], 0

@@ -548,6 +548,38 @@ def test_mixture_is_a_distribution_over_tokens(spark):
         assert p.min() > 0 and p.sum() == pytest.approx(1, abs=1e-6)
 
 
+def test_every_word_is_a_context_and_every_pair_counts(spark, monkeypatch):
+    """Scores equal a plain model in which no word or pair is left out, also where most are not at hand in the tasks."""
+    from meterlake.llm import lm_score as M
+
+    rng = random.Random(17)
+    rows = [(i, prose(rng, rng.randint(1, 60)) + f" rare{i % 23} single{i} end{i}", "s") for i in range(120)]
+    df, got = frame(spark, rows), {}
+    for hot in (M.HOT_WORDS, 40):
+        monkeypatch.setattr(M, "HOT_WORDS", hot)
+        monkeypatch.setattr(M, "HOT_PAIRS", hot)
+        kept = {}
+        learn = M.learn_weights
+        with monkeypatch.context() as m:
+            m.setattr(M, "learn_weights", lambda *a: kept.setdefault("w", learn(*a)))
+            got[hot] = {r.doc_id: r.score for r in M.score_texts(df).collect()}
+        pairs, count, total = collections.Counter(), collections.Counter(), 0
+        learned = [words(t) for i, t, _ in rows if crc(i, 10) != 0]
+        for w in learned:
+            pairs.update(zip([None, *w], [*w, "end"]))
+            count.update([None, *w, "end"])
+        total = sum(count.values()) - len(learned)
+        uniform = 1 / (len(count) - 2 + 2)
+        for i, t, _ in rows:
+            w, score = words(t), 0.0
+            for a, b in zip([None, *w], [*w, "end"]):
+                a2, b1, u = kept["w"][int(M.bucket(np.array([count[a]]))[0])]
+                score += math.log10(a2 * pairs[a, b] / max(1, count[a]) + b1 * count[b] / total + u * uniform)
+            assert got[hot][i] == pytest.approx(score, abs=1e-6), (hot, i)
+    small, large = got.values()
+    assert all(large[i] == pytest.approx(small[i], abs=1e-6) for i in large)
+
+
 # ---------------------------------------------------------------- line rules
 
 
