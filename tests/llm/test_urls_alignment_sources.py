@@ -228,6 +228,27 @@ def test_alignment_equals_the_definition(spark, tokenizers):
     assert sum(w[1] == 0 for w in want) == 3
 
 
+def test_ranks_give_the_ids_of_the_library(tokenizers):
+    from meterlake.llm.token_alignment import Aligner
+
+    paths, a, _ = tokenizers
+    tool = Aligner(*paths)
+    assert tool.ranks
+    ids = lambda t: a.encode(t, add_special_tokens=False).ids
+    rng = random.Random(1)
+    parts = [" ", " ", "  ", "\n", "\t", "word", "Word", "don't", "'s", "'S", "123", "é", "中文", "🙂", "!", "...", ";\r", "\x85", "\u3000", "\xa0",
+             "\x1c", "\u200b", "\ufeff", "▁", "_", "<|endoftext|>", "\x00", "internationalization", "ﬁ", "\u180e", "\v", "²", "Ⅷ", "a" * 50]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 12)))
+        assert tool.ids_a(text) == ids(text), repr(text)
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for i in range(0, len(points), 64):  # every code point beside letters, digits, signs and blanks
+        text = "".join(f"x{c}1{c}!{c} {c}{c}" for c in points[i : i + 64])
+        assert tool.ids_a(text) == ids(text), (hex(i), repr(points[i]))
+    tool.ranks = None
+    assert tool.ids_a("a text") == ids("a text")
+
+
 def test_alignment_of_an_empty_table(spark, tokenizers):
     from meterlake.llm.token_alignment import align_documents
 
