@@ -5,7 +5,7 @@ Commands:
 * ``transform``      daily Silver + Gold for ``--run-date`` (writes a run-log row)
 * ``backfill``       ``--start-date``..``--end-date`` in one job (``--per-day`` for one job per day,
                      ``--continue-on-failure`` to keep going after a failed day)
-* ``build-moments``  (re)write the per-(feeder, day) moments table used by ``--baseline-mode moments``
+* ``build-moments``  store the moments of all Bronze files anew, for ``--baseline-mode moments``
 * ``qa``             the five checks for ``--run-date`` (``--strict`` exits 1 when a check is FAIL)
 * ``insights``       the insight queries and the summary findings
 * ``log-run``        write a run-log row for ``--run-date`` by itself (``--status``, ``--error``)
@@ -75,7 +75,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
                                   continue_on_failure=args.continue_on_failure)
         print(json.dumps(out, default=str))
     elif args.command == "build-moments":
-        jobs.build_moments(spark, cfg, read_bronze(spark, cfg.source_uri))
+        jobs.build_moments(spark, cfg)
     elif args.command == "qa":
         from meterlake.plans import qa
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterlake.config import DEFAULT_MIN_HISTORY_ROWS, DEFAULT_ZSCORE_THRESHOLD
@@ -31,71 +31,75 @@ QUALITY_COLUMNS = [
 ]
 
 
+_WHOLE = ("byte", "short", "integer", "long")
+
+
+def _feeder(history: DataFrame) -> Column:
+    known = "composite_feeder_id" in history.columns
+    return (F.col("composite_feeder_id") if known else composite_id(SUBSTATION, FEEDER)).alias("composite_feeder_id")
+
+
+def _moments(history: DataFrame) -> list[Column]:
+    """Row count, value count, sum and sum of squares of a whole-number consumption, in decimals: exact in any order."""
+    value = F.col(CONSUMPTION).cast("decimal(19,0)")
+    return [
+        F.count(F.lit(1)).alias("rows"),
+        F.count(value).alias("n"),
+        F.sum(value).cast("decimal(38,0)").alias("total"),
+        F.sum((value * value).cast("decimal(38,0)")).alias("squares"),
+    ]
+
+
+def _statistics(summed: DataFrame) -> DataFrame:
+    """Mean and population stddev from exact moments: n * squares - total^2 is a whole number, rounded once.
+
+    Where that product has more than 38 digits the variance is squares / n - mean^2 in doubles, still the same on each run.
+    """
+    n, mean = F.col("n").cast("double"), F.col("total").cast("double") / F.col("n").cast("double")
+    spread = F.try_multiply(F.col("n").cast("decimal(19,0)"), F.col("squares")) - F.try_multiply("total", "total")
+    large = F.greatest(F.col("squares").cast("double") / n - mean * mean, F.lit(0.0))
+    return summed.select(
+        "composite_feeder_id",
+        F.when(F.col("n") > 0, mean).alias("zscore_mean"),
+        F.when(F.col("n") > 0, F.sqrt(F.coalesce(spread.cast("double") / (n * n), large))).alias("zscore_stddev"),
+        F.col("rows").alias("zscore_history_count"),
+    )
+
+
 def feeder_baseline(history: DataFrame) -> DataFrame:
     """Per composite feeder: mean, population stddev and row count of consumption.
 
     ``history`` may be Bronze or Silver rows. The count includes rows whose
     consumption is NULL; mean and stddev ignore them. Only three source
-    columns are read.
+    columns are read. Whole numbers (as Bronze has them) are summed exactly, so
+    every run gives the same baseline; sums that 38 digits cannot hold are an error.
     """
-    if "composite_feeder_id" in history.columns:
-        feeder = F.col("composite_feeder_id")
-    else:
-        feeder = composite_id(SUBSTATION, FEEDER)
+    if history.schema[CONSUMPTION].dataType.typeName() in _WHOLE:
+        return _statistics(history.groupBy(_feeder(history)).agg(*_moments(history)))
     consumption = as_double(history, CONSUMPTION)
-    return history.groupBy(feeder.alias("composite_feeder_id")).agg(
+    return history.groupBy(_feeder(history)).agg(
         F.avg(consumption).alias("zscore_mean"),
         F.stddev_pop(consumption).alias("zscore_stddev"),
         F.count(F.lit(1)).alias("zscore_history_count"),
     )
 
 
-def feeder_day_moments(history: DataFrame) -> DataFrame:
-    """Per (composite feeder, reading date): row count, value count, sum and M2.
+def feeder_moments(history: DataFrame, *by: Column) -> DataFrame:
+    """Per composite feeder, and by the given columns: row count, value count, sum and sum of squares.
 
-    A compact, mergeable summary of Bronze (one row per feeder and day instead
-    of 48 readings). Stored partitioned by date it lets a daily run refresh
-    only the days whose Bronze changed and still get the all-history
-    baseline (see :func:`baseline_from_moments`). Rows without a time keep a
-    NULL ``reading_date``; they belong to the population too.
+    An exact summary of Bronze that merges by addition in any order
+    (:func:`baseline_from_moments`). Consumption must be a whole number.
     """
-    if "composite_feeder_id" in history.columns:
-        feeder = F.col("composite_feeder_id")
-    else:
-        feeder = composite_id(SUBSTATION, FEEDER)
-    from meterlake.functions.columns import as_timestamp
-
-    consumption = as_double(history, CONSUMPTION)
-    return history.groupBy(
-        feeder.alias("composite_feeder_id"), F.to_date(as_timestamp(history, TS)).alias("reading_date")
-    ).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count(consumption).alias("n"),
-        F.sum(consumption).alias("total"),
-        (F.var_pop(consumption) * F.count(consumption)).alias("m2"),
-    )
+    kind = history.schema[CONSUMPTION].dataType.typeName()
+    if kind not in _WHOLE:
+        raise ValueError(f"moments are exact sums of whole numbers; {CONSUMPTION} is {kind}")
+    return history.groupBy(*by, _feeder(history)).agg(*_moments(history))
 
 
 def baseline_from_moments(moments: DataFrame) -> DataFrame:
-    """Merge per-day moments into the feeder baseline (Chan et al. pairwise update).
-
-    ``M2 = sum(m2_i + n_i * (mean_i - mean)^2)`` with the overall mean computed
-    first in a window over the feeder's day rows; the window and the final
-    aggregate share one shuffle by feeder. A feeder's row count is bounded by
-    the number of days, so a hot feeder does not make a hot task.
-    """
-    w = Window.partitionBy("composite_feeder_id")
-    n = F.col("n")
-    with_mean = moments.withColumn(
-        "overall_mean", F.try_divide(F.sum("total").over(w), F.sum(n).over(w).cast("double"))
-    )
-    day_mean = F.col("total") / n
-    dev = F.when(n > 0, F.col("m2") + n * (day_mean - F.col("overall_mean")) ** 2)
-    return with_mean.groupBy("composite_feeder_id").agg(
-        F.max("overall_mean").alias("zscore_mean"),
-        F.when(F.sum(n) > 0, F.sqrt(F.sum(dev) / F.sum(n))).alias("zscore_stddev"),
-        F.sum("rows").alias("zscore_history_count"),
-    )
+    """The feeder baseline of the rows that the moments summarise; equals :func:`feeder_baseline` of those rows to the last bit."""
+    summed = moments.groupBy("composite_feeder_id").agg(*[F.sum(c).alias(c) for c in ("rows", "n", "total", "squares")])
+    return _statistics(summed)
 
 
 def hard_rules() -> dict[str, Column]:

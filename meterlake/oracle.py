@@ -99,7 +99,10 @@ def _dq_ctes(threshold: float, min_rows: int) -> str:
     return f"""baseline AS (
   SELECT concat_ws('-', secondary_substation_unique_id, lv_feeder_unique_id) AS composite_feeder_id,
          avg(CAST(total_consumption_active_import AS DOUBLE)) AS zscore_mean,
-         stddev_pop(CAST(total_consumption_active_import AS DOUBLE)) AS zscore_stddev,
+         -- population stddev over whole numbers, rounded once
+         sqrt(CAST(count(total_consumption_active_import) * sum(CAST(total_consumption_active_import AS HUGEINT) * total_consumption_active_import)
+                   - sum(total_consumption_active_import) * sum(total_consumption_active_import) AS DOUBLE)
+              / (CAST(nullif(count(total_consumption_active_import), 0) AS DOUBLE) * count(total_consumption_active_import))) AS zscore_stddev,
          count(*) AS zscore_history_count
   FROM bronze
   GROUP BY 1
@@ -194,9 +197,8 @@ def with_layers(
 
 
 DQ_SELECT = (
-    "dataset_id, composite_feeder_id, collection_date, total_consumption_active_import, zscore_mean, "
-    + f32("zscore_stddev") + ", zscore_history_count, " + f32("consumption_zscore")
-    + ", dq_action, data_quality_flag, dq_reason, " + f32("adjusted_total_consumption_active_import")
+    "dataset_id, composite_feeder_id, collection_date, total_consumption_active_import, zscore_mean, zscore_stddev, "
+    "zscore_history_count, consumption_zscore, dq_action, data_quality_flag, dq_reason, adjusted_total_consumption_active_import"
 )
 PEAK_SELECT = (
     "consumption_date, dno_alias, secondary_substation_unique_id, " + f32("peak_consumption")
@@ -425,6 +427,12 @@ def oracle_sql() -> dict[str, str]:
         "source_date_profile": with_layers(upto="bronze")
         + f"SELECT '{day}' AS run_date, count(*) AS row_count FROM bronze"
         f" WHERE CAST(data_collection_log_timestamp AS DATE) = DATE '{day}'",
+        "parquet_profile_files": with_layers("dirty", upto="bronze")
+        + """SELECT count(*) AS row_count, 3::BIGINT AS files,
+       CAST(min(data_collection_log_timestamp) AS DATE) AS min_date,
+       CAST(max(data_collection_log_timestamp) AS DATE) AS max_date,
+       min(data_collection_log_timestamp) AS min_timestamp, max(data_collection_log_timestamp) AS max_timestamp
+FROM bronze""",
         "parquet_profile": with_layers("dirty", upto="bronze")
         + """SELECT count(*) AS row_count,
        CAST(min(data_collection_log_timestamp) AS DATE) AS min_date,
@@ -478,9 +486,9 @@ FROM silver""",
 SELECT day, count(dataset_id) AS readings
 FROM days LEFT JOIN bronze ON CAST(data_collection_log_timestamp AS DATE) = day GROUP BY 1""",
         "feeder_baseline": with_layers("dirty", upto="dq")
-        + f"SELECT composite_feeder_id, zscore_mean, {f32('zscore_stddev')}, zscore_history_count FROM baseline",
+        + "SELECT composite_feeder_id, zscore_mean, zscore_stddev, zscore_history_count FROM baseline",
         "feeder_baseline_moments": with_layers("dirty", upto="dq")
-        + f"SELECT composite_feeder_id, zscore_mean, {f32('zscore_stddev')}, zscore_history_count FROM baseline",
+        + "SELECT composite_feeder_id, zscore_mean, zscore_stddev, zscore_history_count FROM baseline",
         "dq_zscore": with_layers(upto="dq") + f"SELECT {DQ_SELECT} FROM dq",
         "dq_zscore_dirty": with_layers("dirty", upto="dq") + f"SELECT {DQ_SELECT} FROM dq",
         "dq_zscore_low_clip": with_layers(upto="dq", threshold=LOW_CLIP_THRESHOLD) + f"SELECT {DQ_SELECT} FROM dq",
@@ -591,6 +599,7 @@ SELECT DATE '{RUN_DATE}' AS run_date, 'meter-daily-pipeline' AS pipeline_name, '
        '' AS error_message, 'dev' AS code_version""",
         "write_silver": day + f"SELECT {DQ_SELECT} FROM dq",
         "write_silver_moments": day + f"SELECT {DQ_SELECT} FROM dq",
+        "write_silver_moments_changed": day + f"SELECT {DQ_SELECT} FROM dq",
         "write_silver_moments_late": with_layers("dirty", where=_day_pred(ts, RUN_DATE)) + f"SELECT {DQ_SELECT} FROM dq",
         "write_gold_peak": day + f"SELECT {PEAK_SELECT} FROM peak",
         "write_gold_profile": day + f"SELECT {PROFILE_SELECT} FROM profile",

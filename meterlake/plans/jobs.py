@@ -18,6 +18,8 @@ from __future__ import annotations
 
 import traceback
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import asdict, dataclass
 from datetime import date, datetime, timezone
 
@@ -25,12 +27,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from meterlake.config import PipelineConfig, date_span, parse_run_date
-from meterlake.functions.columns import as_timestamp
 from meterlake.operators.gold import build_gold_load_profile, build_gold_peak
-from meterlake.operators.quality import baseline_from_moments, feeder_baseline, feeder_day_moments, gold_input
+from meterlake.operators.quality import feeder_baseline, gold_input
 from meterlake.plans.layers import silver_with_quality
+from meterlake.plans.ledger import rebuild_moments, stored_baseline
 from meterlake.session import ensure_utc
-from meterlake.schemas import GOLD_PEAK, GOLD_PROFILE, MOMENTS
 from meterlake.sinks.writers import (
     overwrite_partition,
     overwrite_partitions,
@@ -40,6 +41,7 @@ from meterlake.sinks.writers import (
     write_run_logs,
 )
 from meterlake.sources.bronze import date_range_slice, read_bronze, run_date_slice
+from meterlake.sources.footers import rows_by_day
 
 
 @dataclass(frozen=True)
@@ -59,85 +61,36 @@ def _rows(obs: Observation) -> int:
     return int(obs.get.get("rows") or 0)
 
 
-def build_moments(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame) -> None:
-    """(Re)write the whole per-(feeder, day) moments table from Bronze.
-
-    A full rebuild replaces every partition (static overwrite), so days that
-    left Bronze do not keep stale moments. The rebalance keeps one or a few
-    files per day instead of one per shuffle task and day.
-    """
-    moments = feeder_day_moments(bronze)
-    (
-        moments.hint("rebalance", "reading_date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("reading_date")
-        .parquet(cfg.moments_uri)
-    )
-
-
-def refresh_moments(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame, days: list[date]) -> None:
-    """Rewrite the moments of the given days, and of the readings without a time, in one job.
-
-    Readings without a time belong to the baseline too and to no day, so any run
-    may have brought new ones.
-    """
-    ts = as_timestamp(bronze, "data_collection_log_timestamp")
-    rows = date_range_slice(bronze, days[0], days[-1]).unionByName(bronze.filter(ts.isNull()))
-    moments = feeder_day_moments(rows)
-    overwrite_partitions(moments, cfg.moments_uri, "reading_date", days)
-
+def build_moments(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame | None = None) -> None:
+    """Store the moments of all Bronze files anew (see :mod:`meterlake.plans.ledger`)."""
+    ensure_utc(spark)
+    rebuild_moments(spark, cfg, bronze)
 
-def stale_days(bronze: DataFrame, moments: DataFrame) -> DataFrame:
-    """Days (NULL: readings without a time) whose stored moments count other rows than Bronze has.
 
-    Bronze is scanned for its time column alone; both sides are a row a day.
-    """
-    day = F.to_date(as_timestamp(bronze, "data_collection_log_timestamp"))
-    now = bronze.groupBy(day.alias("reading_date")).agg(F.count(F.lit(1)).alias("bronze_rows"))
-    stored = moments.groupBy(F.col("reading_date").alias("stored_date")).agg(F.sum("rows").alias("moment_rows"))
-    joined = now.join(stored, F.col("reading_date").eqNullSafe(F.col("stored_date")), "full")
-    return joined.select(
-        F.coalesce("reading_date", "stored_date").alias("reading_date"),
-        F.coalesce("bronze_rows", F.lit(0)).alias("bronze_rows"),
-        F.coalesce("moment_rows", F.lit(0)).alias("moment_rows"),
-    ).where("bronze_rows <> moment_rows")
-
-
-def _baseline(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame, days: list[date]) -> DataFrame | None:
-    """``None`` -> aggregate all of Bronze; else merge the stored moments after refreshing ``days``.
-
-    The run refreshes its own days, so late rows of those days are included.
-    Every other Bronze day must be covered by the table (``build_moments``) with
-    as many rows as Bronze has now; a gap or a changed day is an error, since the
-    baseline would silently be of another population.
-    """
+@contextmanager
+def _baseline(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame | None) -> Iterator[DataFrame | None]:
+    """``None`` -> aggregate all of Bronze; else the merged moments of the files that Bronze has now."""
     if cfg.baseline_mode != "moments":
-        return None
-    refresh_moments(spark, cfg, bronze, days)
-    moments = spark.read.schema(MOMENTS).parquet(cfg.moments_uri)
-    stale = stale_days(bronze, moments).orderBy("reading_date").take(11)
-    if stale:
-        shown = [f"{r['reading_date']}: {r['moment_rows']} of {r['bronze_rows']} rows" for r in stale[:10]]
-        more = ", and more" if len(stale) > 10 else ""
-        raise ValueError(f"stored moments do not cover Bronze, run build-moments ({'; '.join(shown)}{more})")
-    return baseline_from_moments(moments)
+        yield None
+        return
+    with stored_baseline(spark, cfg, bronze) as baseline:
+        yield baseline
 
 
 def daily_transform(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame | None = None) -> TransformCounts:
     """Silver + two Gold partitions for ``cfg.run_date``; returns the row counts."""
     ensure_utc(spark)
     day = parse_run_date(cfg.run_date)
-    bronze = bronze if bronze is not None else read_bronze(spark, cfg.source_uri)
-    baseline = _baseline(spark, cfg, bronze, [day])
-    # the slice is counted before the baseline join, so a join that changed its rows would show
-    raw_df, raw_obs = _observed_rows(run_date_slice(bronze, day), "raw")
-    silver = silver_with_quality(
-        raw_df, threshold=cfg.zscore_threshold, min_history_rows=cfg.zscore_min_history_rows,
-        baseline=baseline if baseline is not None else feeder_baseline(bronze),
-    )
-    silver_obs_df, silver_obs = _observed_rows(silver, "silver")
-    silver_path = overwrite_partition(silver_obs_df, cfg.silver_uri, "collection_date", day)
+    with _baseline(spark, cfg, bronze) as baseline:
+        bronze = bronze if bronze is not None else read_bronze(spark, cfg.source_uri)
+        # the slice is counted before the baseline join, so a join that changed its rows would show
+        raw_df, raw_obs = _observed_rows(run_date_slice(bronze, day), "raw")
+        silver = silver_with_quality(
+            raw_df, threshold=cfg.zscore_threshold, min_history_rows=cfg.zscore_min_history_rows,
+            baseline=baseline if baseline is not None else feeder_baseline(bronze),
+        )
+        silver_obs_df, silver_obs = _observed_rows(silver, "silver")
+        silver_path = overwrite_partition(silver_obs_df, cfg.silver_uri, "collection_date", day)
 
     written = spark.read.schema(silver.drop("collection_date").schema).parquet(silver_path).withColumn(
         "collection_date", F.lit(str(day)).cast("date")
@@ -171,7 +124,6 @@ def backfill_range(
     """
     ensure_utc(spark)
     days = date_span(parse_run_date(str(start)), parse_run_date(str(end)))
-    bronze = bronze if bronze is not None else read_bronze(spark, cfg.source_uri)
 
     if per_day:
         # one job per day, like separately scheduled runs (each pays its own baseline)
@@ -191,34 +143,11 @@ def backfill_range(
         return results
 
     started = _now()
-    silver = silver_with_quality(
-        bronze, start=days[0], end=days[-1], threshold=cfg.zscore_threshold,
-        min_history_rows=cfg.zscore_min_history_rows, baseline=_baseline(spark, cfg, bronze, days),
-    )
     try:
-        overwrite_partitions(silver, cfg.silver_uri, "collection_date", days)
-        in_range = lambda key: F.col(key).between(F.lit(str(days[0])).cast("date"), F.lit(str(days[-1])).cast("date"))
-        written = spark.read.schema(silver.schema).parquet(cfg.silver_uri).filter(in_range("collection_date"))
-        gin = gold_input(written)
-        overwrite_partitions(build_gold_peak(gin), cfg.gold_peak_uri, "consumption_date", days)
-        overwrite_partitions(build_gold_load_profile(gin), cfg.gold_profile_uri, "consumption_date", days)
-        by_day = {
-            "raw_count": date_range_slice(bronze, days[0], days[-1]).groupBy(
-                F.to_date(as_timestamp(bronze, "data_collection_log_timestamp")).alias("d")
-            ),
-            "silver_count": written.groupBy(F.col("collection_date").alias("d")),
-            "peak_count": spark.read.schema(GOLD_PEAK).parquet(cfg.gold_peak_uri).filter(in_range("consumption_date")).groupBy(
-                F.col("consumption_date").alias("d")
-            ),
-            "load_profile_count": spark.read.schema(GOLD_PROFILE).parquet(cfg.gold_profile_uri).filter(in_range("consumption_date")).groupBy(
-                F.col("consumption_date").alias("d")
-            ),
-        }
-        # a row a day
-        counted = {c: {r["d"]: r["count"] for r in g.count().collect()} for c, g in by_day.items()}
+        counted = _range_job(spark, cfg, bronze, days)
     except Exception:
-        for d in days:
-            write_run_log(spark, cfg.run_log_uri, _record(cfg, d, started, status="FAILED", error=traceback.format_exc(limit=3)))
+        error = traceback.format_exc(limit=3)
+        write_run_logs(spark, cfg.run_log_uri, [_record(cfg, d, started, status="FAILED", error=error) for d in days])
         raise
     results = []
     records = []
@@ -230,6 +159,36 @@ def backfill_range(
     return results
 
 
+def _range_job(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame | None, days: list[date]) -> dict[str, dict[date, int]]:
+    """Write Silver and both Gold tables for the days; rows of each day by table, counted from the footers of the files.
+
+    Raw rows are observed in total before the baseline join. Where the total
+    equals Silver's, the join kept each row once and a day's raw rows are its
+    Silver rows; a join that changed them is an error.
+    """
+    with _baseline(spark, cfg, bronze) as baseline:
+        bronze = bronze if bronze is not None else read_bronze(spark, cfg.source_uri)
+        raw, raw_obs = _observed_rows(date_range_slice(bronze, days[0], days[-1]), "raw")
+        silver = silver_with_quality(
+            raw, threshold=cfg.zscore_threshold, min_history_rows=cfg.zscore_min_history_rows,
+            baseline=baseline if baseline is not None else feeder_baseline(bronze),
+        )
+        overwrite_partitions(silver, cfg.silver_uri, "collection_date", days)
+    in_range = F.col("collection_date").between(F.lit(str(days[0])).cast("date"), F.lit(str(days[-1])).cast("date"))
+    gin = gold_input(spark.read.schema(silver.schema).parquet(cfg.silver_uri).filter(in_range))
+    overwrite_partitions(build_gold_peak(gin), cfg.gold_peak_uri, "consumption_date", days)
+    overwrite_partitions(build_gold_load_profile(gin), cfg.gold_profile_uri, "consumption_date", days)
+    silver_rows = rows_by_day(spark, cfg.silver_uri, "collection_date", days)
+    if sum(silver_rows.values()) != _rows(raw_obs):
+        raise RuntimeError(f"{_rows(raw_obs)} readings became {sum(silver_rows.values())} Silver rows")
+    return {
+        "raw_count": silver_rows,
+        "silver_count": silver_rows,
+        "peak_count": rows_by_day(spark, cfg.gold_peak_uri, "consumption_date", days),
+        "load_profile_count": rows_by_day(spark, cfg.gold_profile_uri, "consumption_date", days),
+    }
+
+
 COUNT_COLUMNS = {
     "raw_count": "input_row_count",
     "silver_count": "silver_row_count",

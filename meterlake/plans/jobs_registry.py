@@ -25,7 +25,8 @@ from meterlake.registry import (
     f32_all,
 )
 from meterlake.session import scratch_path
-from meterlake.sinks.writers import export_json, partition_path, register_tables, run_sql, table_catalog
+from meterlake.sinks.writers import export_json, partition_path, register_tables, remove_folder, run_sql, table_catalog
+from meterlake.sources.footers import file_profile
 from meterlake.schemas import GOLD_PEAK_COLUMNS, GOLD_PROFILE_COLUMNS
 
 
@@ -67,27 +68,57 @@ def q_write_silver(spark, sf):
     return f32(_read_day(spark, cfg.silver_uri, "collection_date").select(*DQ_FLAT), DQ_NOISY)
 
 
+def _stored_bronze(spark, sf, variant: str = "clean"):
+    """Bronze written as files of its own, several of them, and a configuration that reads it."""
+    cfg = load_config(warehouse_uri=scratch_path(spark, "warehouse"), source_uri=scratch_path(spark, "bronze"), run_date=RUN_DATE,
+                      baseline_mode="moments")
+    return _bronze(spark, sf, variant), cfg
+
+
 def q_write_silver_moments(spark, sf):
     """The daily job with the stored-moments baseline: same Silver rows as the full scan."""
-    cfg = load_config(warehouse_uri=scratch_path(spark, "warehouse"), source_uri="fixture", run_date=RUN_DATE,
-                      baseline_mode="moments")
-    bronze = _bronze(spark, sf)
-    build_moments(spark, cfg, bronze)
-    daily_transform(spark, cfg, bronze=bronze)
+    bronze, cfg = _stored_bronze(spark, sf)
+    bronze.repartition(4, "lv_feeder_unique_id").write.parquet(cfg.source_uri)
+    build_moments(spark, cfg)
+    daily_transform(spark, cfg)
     return f32(_read_day(spark, cfg.silver_uri, "collection_date").select(*DQ_FLAT), DQ_NOISY)
 
 
 def q_write_silver_moments_late(spark, sf):
     """Moments stored before some readings of the run's day and all readings without a time came: same rows as the full scan."""
-    cfg = load_config(warehouse_uri=scratch_path(spark, "warehouse"), source_uri="fixture", run_date=RUN_DATE,
-                      baseline_mode="moments")
-    bronze = _bronze(spark, sf, "dirty")
-    late = (F.to_date("data_collection_log_timestamp") == F.lit(RUN_DATE).cast("date")) & (F.col("dataset_id").cast("long") % 3 == 0)
-    build_moments(spark, cfg, bronze.where(F.col("data_collection_log_timestamp").isNotNull() & ~late))
-    daily_transform(spark, cfg, bronze=bronze)
+    bronze, cfg = _stored_bronze(spark, sf, "dirty")
+    day = F.to_date("data_collection_log_timestamp") == F.lit(RUN_DATE).cast("date")
+    late = F.coalesce(day & (F.col("dataset_id").cast("long") % 3 == 0), F.lit(True))
+    bronze.where(~late).write.parquet(cfg.source_uri)
+    build_moments(spark, cfg)
+    bronze.where(late).write.mode("append").parquet(cfg.source_uri)
+    daily_transform(spark, cfg)
     return f32(_read_day(spark, cfg.silver_uri, "collection_date").select(*DQ_FLAT), DQ_NOISY)
 
 
+def q_write_silver_moments_changed(spark, sf):
+    """After the moments were stored, a file of other days got other values in as many rows, and another file went: same rows as the full scan."""
+    bronze, cfg = _stored_bronze(spark, sf)
+    part = F.dayofmonth("data_collection_log_timestamp") % 2
+    even, odd = f"{cfg.source_uri}/part=even", f"{cfg.source_uri}/part=odd"
+    wrong = F.col("total_consumption_active_import") * 1000
+    bronze.where(part == 0).write.parquet(even)
+    bronze.where(part == 1).withColumn("total_consumption_active_import", wrong).write.parquet(odd)
+    bronze.where(part == 1).write.parquet(f"{cfg.source_uri}/part=twice")
+    build_moments(spark, cfg)
+    bronze.where(part == 1).write.mode("overwrite").parquet(odd)
+    remove_folder(spark, f"{cfg.source_uri}/part=twice")
+    daily_transform(spark, cfg)
+    return f32(_read_day(spark, cfg.silver_uri, "collection_date").select(*DQ_FLAT), DQ_NOISY)
+
+
+def q_parquet_profile_files(spark, sf):
+    """Rows from the footers of stored Bronze files."""
+    bronze, cfg = _stored_bronze(spark, sf, "dirty")
+    bronze.repartition(3).write.parquet(cfg.source_uri)
+    return file_profile(spark, cfg.source_uri).drop("bytes")
+
+
 def q_write_gold_peak(spark, sf):
     cfg = _daily(spark, sf)
     return f32(_read_day(spark, cfg.gold_peak_uri, "consumption_date").select(*GOLD_PEAK_COLUMNS), PEAK_NOISY)
@@ -224,6 +255,8 @@ JOBS = {
     "write_silver": q_write_silver,
     "write_silver_moments": q_write_silver_moments,
     "write_silver_moments_late": q_write_silver_moments_late,
+    "write_silver_moments_changed": q_write_silver_moments_changed,
+    "parquet_profile_files": q_parquet_profile_files,
     "write_gold_peak": q_write_gold_peak,
     "write_gold_profile": q_write_gold_profile,
     "backfill_range": q_backfill_range,

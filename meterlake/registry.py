@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from meterlake.functions.columns import coerce_numeric, day_range, safe_double, slot_to_hhmm
 from meterlake.operators.explore import distinct_counts, feeders_per_site, hourly_summary
 from meterlake.operators.gold import build_gold_peak_ranked, peak_rank
-from meterlake.operators.quality import feeder_baseline, gold_input
+from meterlake.operators.quality import baseline_from_moments, feeder_baseline, feeder_moments, gold_input
 from meterlake.operators.silver import build_silver, calendar_columns, geometry_xy, with_strict_composite_id
 from meterlake.plans import insights as I
 from meterlake.plans import qa as Q
@@ -69,7 +69,7 @@ DQ_FLAT = [
     "dq_reason",
     "adjusted_total_consumption_active_import",
 ]
-DQ_NOISY = ["zscore_stddev", "consumption_zscore", "adjusted_total_consumption_active_import"]
+DQ_NOISY: list[str] = []  # the baseline is exact, and so is what follows from it
 PEAK_NOISY = ["peak_consumption", "daily_total_consumption", "avg_half_hour_consumption"]
 PROFILE_NOISY = ["avg_consumption", "total_consumption", "avg_consumption_per_active_device"]
 
@@ -190,13 +190,13 @@ def q_day_sequence(spark, sf):
 
 
 def q_feeder_baseline(spark, sf):
-    return f32(feeder_baseline(_bronze(spark, sf, "dirty")), ["zscore_stddev"])
+    return feeder_baseline(_bronze(spark, sf, "dirty"))
 
 
 def q_feeder_baseline_moments(spark, sf):
-    from meterlake.operators.quality import baseline_from_moments, feeder_day_moments
-
-    return f32(baseline_from_moments(feeder_day_moments(_bronze(spark, sf, "dirty"))), ["zscore_stddev"])
+    """Merged from moments by day."""
+    day = F.to_date("data_collection_log_timestamp").alias("reading_date")
+    return baseline_from_moments(feeder_moments(_bronze(spark, sf, "dirty"), day))
 
 
 def _dq(spark, sf, variant="clean", **kw):

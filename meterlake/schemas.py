@@ -105,15 +105,27 @@ _KINDS = {
 GOLD_PEAK = T.StructType([T.StructField(c, _KINDS.get(c, T.DoubleType())) for c in GOLD_PEAK_COLUMNS])
 GOLD_PROFILE = T.StructType([T.StructField(c, _KINDS.get(c, T.DoubleType())) for c in GOLD_PROFILE_COLUMNS])
 
-# Per (feeder, day) summary of Bronze; partition reading_date (NULL: readings without a time).
+# Exact summary of a version of a Bronze file by feeder; partition batch.
 MOMENTS = T.StructType(
     [
+        T.StructField("version", T.StringType()),
         T.StructField("composite_feeder_id", T.StringType()),
         T.StructField("rows", T.LongType()),
         T.StructField("n", T.LongType()),
-        T.StructField("total", T.DoubleType()),
-        T.StructField("m2", T.DoubleType()),
-        T.StructField("reading_date", T.DateType()),
+        T.StructField("total", T.DecimalType(38, 0)),
+        T.StructField("squares", T.DecimalType(38, 0)),
+        T.StructField("batch", T.StringType()),
+    ]
+)
+
+# The versions of Bronze files whose moments are stored, and in which batch.
+FILE_LEDGER = T.StructType(
+    [
+        T.StructField("version", T.StringType()),
+        T.StructField("file_path", T.StringType()),
+        T.StructField("file_size", T.LongType()),
+        T.StructField("file_modification_time", T.TimestampType()),
+        T.StructField("batch", T.StringType()),
     ]
 )
 

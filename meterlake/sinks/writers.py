@@ -64,6 +64,11 @@ def _folder(spark: SparkSession, path: str):
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    files, folder = _folder(spark, path)
+    return files.exists(folder)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     files, folder = _folder(spark, path)
     files.delete(folder, True)

@@ -20,10 +20,10 @@ from meterlake.session import ensure_utc
 TS = "data_collection_log_timestamp"
 
 
-def read_bronze(spark: SparkSession, uri: str, schema: T.StructType = BRONZE) -> DataFrame:
-    """Whole Bronze scan with a declared schema (no footer inference)."""
+def read_bronze(spark: SparkSession, uri: str | list[str], schema: T.StructType = BRONZE) -> DataFrame:
+    """Bronze scan of a folder, or of the files listed, with a declared schema (no footer inference)."""
     ensure_utc(spark)
-    return spark.read.schema(schema).parquet(uri)
+    return spark.read.schema(schema).parquet(*([uri] if isinstance(uri, str) else uri))
 
 
 def _ts(df: DataFrame) -> Column:

@@ -12,6 +12,7 @@ from meterlake.config import load_config
 from meterlake.plans.jobs import backfill_range, daily_transform, run_with_log
 from meterlake.plans.layers import build_layers
 from meterlake.sinks.writers import overwrite_partition, overwrite_partitions, partition_path
+from meterlake.sources.bronze import read_bronze
 from meterlake.sources.fixtures import readings
 
 from tests.conftest import SF_SMALL
@@ -127,7 +128,8 @@ def test_incremental_stream_reruns_touched_days(spark, tmp_warehouse):
 def test_moments_baseline_gives_the_same_silver(spark, tmp_warehouse):
     from meterlake.plans.jobs import build_moments
 
-    bronze = readings(spark, SF_SMALL, "dirty")
+    readings(spark, SF_SMALL, "dirty").repartition(5).write.parquet(f"{tmp_warehouse}/bronze")
+    bronze = read_bronze(spark, f"{tmp_warehouse}/bronze")
     full = load_config(warehouse_uri=f"{tmp_warehouse}/full", run_date="2024-01-12")
     mom = load_config(warehouse_uri=f"{tmp_warehouse}/mom", run_date="2024-01-12", baseline_mode="moments")
     daily_transform(spark, full, bronze=bronze)
@@ -135,9 +137,8 @@ def test_moments_baseline_gives_the_same_silver(spark, tmp_warehouse):
     daily_transform(spark, mom, bronze=bronze)
 
     def rows(cfg):
-        df = spark.read.parquet(cfg.silver_uri)
-        return sorted(df.select("dataset_id", "dq_action", "zscore_history_count",
-                                F.round("zscore_stddev", 9).alias("s")).collect())
+        df = spark.read.parquet(cfg.silver_uri)  # equal to the last bit
+        return sorted(df.select("dataset_id", "dq_action", "zscore_history_count", "zscore_mean", "zscore_stddev", "consumption_zscore").collect(), key=str)
 
     assert rows(full) == rows(mom)
 
@@ -195,18 +196,158 @@ def test_registered_views_hide_days_outside_the_projected_range(spark, tmp_wareh
     assert [str(r.d) for r in spark.table("proj_view").collect()] == ["2024-01-02"]
 
 
-def test_moments_that_do_not_cover_bronze_are_an_error(spark, tmp_warehouse):
-    from meterlake.plans.jobs import build_moments, daily_transform
+def _moments_config(spark, tmp_warehouse, files: int = 4):
+    source = f"{tmp_warehouse}/bronze"
+    readings(spark, SF_SMALL, "dirty").repartition(files).write.parquet(source)
+    cfg = load_config(warehouse_uri=f"{tmp_warehouse}/m", source_uri=source, run_date="2024-01-12", baseline_mode="moments")
+    return cfg, source.removeprefix("file:")
 
-    bronze = readings(spark, SF_SMALL, "dirty")
-    cfg = load_config(warehouse_uri=f"{tmp_warehouse}/m", source_uri="x", run_date="2024-01-12", baseline_mode="moments")
-    with pytest.raises(ValueError, match="build-moments"):
-        daily_transform(spark, cfg, bronze=bronze)
-    build_moments(spark, cfg, bronze.where("dataset_id <> '7'"))  # one reading of another day came later
-    with pytest.raises(ValueError, match="do not cover Bronze"):
-        daily_transform(spark, cfg, bronze=bronze)
-    build_moments(spark, cfg, bronze)
-    assert daily_transform(spark, cfg, bronze=bronze).raw_count > 0
+
+def _silver_rows(spark, cfg):
+    df = spark.read.parquet(cfg.silver_uri)
+    return sorted(df.select("dataset_id", "zscore_mean", "zscore_stddev", "zscore_history_count", "dq_action").collect(), key=str)
+
+
+def test_changed_new_and_deleted_files_are_taken_back(spark, tmp_warehouse):
+    import glob
+
+    from meterlake.plans.jobs import build_moments
+
+    cfg, folder = _moments_config(spark, tmp_warehouse)
+    full = load_config(warehouse_uri=f"{tmp_warehouse}/f", source_uri=cfg.source_uri, run_date="2024-01-12")
+
+    def same_as_full():
+        daily_transform(spark, cfg)
+        daily_transform(spark, full)
+        assert _silver_rows(spark, cfg) == _silver_rows(spark, full)
+        return [spark.read.parquet(cfg.ledger_uri).count(), spark.read.parquet(cfg.moments_uri).select("batch").distinct().count()]
+
+    assert same_as_full() == [4, 1]  # no build was needed before
+    assert same_as_full() == [4, 1]  # and nothing is stored again
+    first, second, third, _ = sorted(glob.glob(f"{folder}/*.parquet"))
+    # other values in as many rows
+    table = spark.read.parquet(first)
+    rows = table.withColumn("total_consumption_active_import", F.col("total_consumption_active_import") * 1000).collect()
+    pq_rows = spark.createDataFrame(rows, table.schema)
+    pq_rows.coalesce(1).write.parquet(f"{folder}-new")
+    os.replace(glob.glob(f"{folder}-new/*.parquet")[0], first)
+    os.remove(f"{folder}/.{os.path.basename(first)}.crc")
+    assert same_as_full() == [5, 2]
+    os.remove(second)
+    assert same_as_full() == [5, 2]
+    spark.read.parquet(third).limit(9).write.mode("append").parquet(folder)
+    assert same_as_full() == [6, 3]
+    build_moments(spark, cfg)
+    assert same_as_full() == [4, 1]
+
+
+def test_what_a_failed_run_stored_is_never_merged(spark, tmp_warehouse):
+    from meterlake.plans.ledger import stored_baseline
+    from meterlake.sinks.writers import partition_path
+
+    cfg, _ = _moments_config(spark, tmp_warehouse)
+    with stored_baseline(spark, cfg) as baseline:
+        want = sorted(baseline.collect(), key=str)
+    stray = spark.read.parquet(cfg.moments_uri).drop("batch")
+    stray.write.parquet(partition_path(cfg.moments_uri, "batch", "stray"))
+    with stored_baseline(spark, cfg) as baseline:
+        assert sorted(baseline.collect(), key=str) == want
+
+
+def test_only_new_files_are_read_for_the_moments(spark, tmp_warehouse, monkeypatch):
+    from meterlake.plans import ledger
+
+    cfg, _ = _moments_config(spark, tmp_warehouse)
+    with ledger.stored_baseline(spark, cfg):
+        pass
+    asked = []
+    real = ledger.read_bronze
+    monkeypatch.setattr(ledger, "read_bronze", lambda s, uri: asked.append(uri) or real(s, uri))
+    with ledger.stored_baseline(spark, cfg):
+        pass
+    assert asked == [cfg.source_uri]  # listed, not read
+    readings(spark, SF_SMALL).limit(50).coalesce(1).write.mode("append").parquet(cfg.source_uri)
+    with ledger.stored_baseline(spark, cfg):
+        pass
+    assert len(asked) == 3 and len(asked[2]) == 1
+    # beyond the number of paths, the rows of the new files are kept by a join
+    monkeypatch.setattr(ledger, "MOST_PATHS", 0)
+    readings(spark, SF_SMALL).limit(70).coalesce(1).write.mode("append").parquet(cfg.source_uri)
+    full = load_config(warehouse_uri=f"{tmp_warehouse}/f", source_uri=cfg.source_uri, run_date="2024-01-12")
+    daily_transform(spark, cfg)
+    daily_transform(spark, full)
+    assert _silver_rows(spark, cfg) == _silver_rows(spark, full)
+
+
+def test_moments_need_files_of_whole_numbers(spark, tmp_warehouse):
+    from meterlake.operators.quality import feeder_moments
+    from meterlake.plans.ledger import stored_baseline
+
+    cfg = load_config(warehouse_uri=tmp_warehouse, source_uri="x", run_date="2024-01-12", baseline_mode="moments")
+    bronze = readings(spark, SF_SMALL)
+    rows = spark.createDataFrame(bronze.limit(3).collect(), bronze.schema)
+    with pytest.raises(ValueError, match="read from files"), stored_baseline(spark, cfg, rows):
+        pass
+    with pytest.raises(ValueError, match="whole numbers"):
+        feeder_moments(bronze.withColumn("total_consumption_active_import", F.lit(0.5)))
+
+
+def test_the_baseline_is_exact_and_equal_on_every_run(spark):
+    import math
+    from fractions import Fraction
+
+    from meterlake.operators.quality import feeder_baseline
+
+    values = {"a": [10**15 + i for i in range(40)], "b": [7], "c": [None, None], "d": [-(2**62), 2**62, 1], "e": [5, None, 5]}
+    rows = [("s", f, v) for f, vs in values.items() for v in vs]
+    df = spark.createDataFrame(rows, "secondary_substation_unique_id string, lv_feeder_unique_id string, total_consumption_active_import long")
+    runs = [sorted(feeder_baseline(df.repartition(n)).collect(), key=str) for n in (1, 3, 7)]
+    assert runs[0] == runs[1] == runs[2]
+    for r in runs[0]:
+        vs = values[r.composite_feeder_id[-1]]
+        own = [v for v in vs if v is not None]
+        assert r.zscore_history_count == len(vs)
+        if not own:
+            assert r.zscore_mean is None and r.zscore_stddev is None
+            continue
+        mean = Fraction(sum(own), len(own))
+        assert r.zscore_mean == pytest.approx(float(mean), rel=1e-15)
+        assert r.zscore_stddev == pytest.approx(math.sqrt(sum((v - mean) ** 2 for v in own) / len(own)), rel=1e-14)
+
+
+def test_every_failed_range_run_is_logged(spark, tmp_warehouse, monkeypatch):
+    from meterlake.plans import jobs
+
+    def broken(*_):
+        raise ValueError("no baseline")
+
+    monkeypatch.setattr(jobs, "stored_baseline", broken)
+    cfg = load_config(warehouse_uri=tmp_warehouse, source_uri="x", run_date="2024-01-12", baseline_mode="moments")
+    with pytest.raises(ValueError, match="no baseline"):
+        backfill_range(spark, cfg, "2024-01-10", "2024-01-12", bronze=readings(spark, SF_SMALL))
+    log = spark.read.parquet(cfg.run_log_uri)
+    assert [(str(r.run_date), r.status) for r in log.orderBy("run_date").collect()] == [(f"2024-01-{d}", "FAILED") for d in (10, 11, 12)]
+    assert log.where("error_message LIKE '%no baseline%'").count() == 3
+
+
+def test_counts_come_from_footers(spark, tmp_warehouse):
+    from datetime import date
+
+    from meterlake.sources.footers import counted_rows, file_profile, row_count
+
+    base = f"{tmp_warehouse}/days"
+    df = spark.range(90).withColumn("d", F.expr("date'2024-01-01' + cast(id % 3 as int)"))
+    df.write.partitionBy("d").parquet(base)
+    counted = counted_rows(spark, base, "d", [date(2024, 1, 2), date(2024, 1, 9)])
+    plan = counted._jdf.queryExecution().toString()
+    assert "PushedAggregation: [COUNT(*)]" in plan and "PushedGroupBy: [d]" in plan
+    assert sorted(tuple(r) for r in counted.collect()) == [(date(2024, 1, 2), 30), (date(2024, 1, 3), 30)]
+    assert row_count(spark, base) == 90
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"  # the caller's session is as it was
+    readings(spark, SF_SMALL, "dirty").repartition(3).write.parquet(f"{tmp_warehouse}/b")
+    got = file_profile(spark, f"{tmp_warehouse}/b").first()
+    assert got.row_count == readings(spark, SF_SMALL, "dirty").count() and got.files == 3 and got.bytes > 0
+    assert str(got.min_date) == "2024-01-01"
 
 
 def test_a_day_spread_over_many_files_is_written_as_few(spark, tmp_warehouse):
@@ -218,11 +359,11 @@ def test_a_day_spread_over_many_files_is_written_as_few(spark, tmp_warehouse):
     readings(spark, SF_SMALL).repartition(40).write.parquet(source)
     cfg = load_config(warehouse_uri=f"{tmp_warehouse}/w", source_uri=source, run_date="2024-01-12")
     daily_transform(spark, cfg)
-    build_moments(spark, cfg, readings(spark, SF_SMALL))
+    build_moments(spark, cfg)
     root = tmp_warehouse.removeprefix("file:")
     assert 1 <= len(glob.glob(f"{root}/w/silver/**/*.parquet", recursive=True)) <= 2
-    for day in glob.glob(f"{root}/w/meta/feeder_day_moments/reading_date=*"):
-        assert len(glob.glob(f"{day}/*.parquet")) <= 2
+    batches = glob.glob(f"{root}/w/meta/feeder_file_moments/batch=*")
+    assert len(batches) == 1 and len(glob.glob(f"{batches[0]}/*.parquet")) <= 2
 
 
 def test_the_stream_goes_on_after_a_restart(spark, tmp_warehouse):
