@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.operators.silver import CONSUMPTION, DEVICES, SUBSTATION, TS
-from meterlake.session import shared_dir
 from meterlake.schemas import GOLD_PROFILE_COLUMNS
 
 PEAK_KEYS = ["collection_date", "dno_alias", SUBSTATION]
@@ -65,46 +64,69 @@ def _rank_order():
     return [F.col(CONSUMPTION).desc_nulls_last(), F.col(TS).asc_nulls_first()]
 
 
-def peak_rank(df: DataFrame) -> DataFrame:
+#: Groups of more rows than this are cut into pieces that are ranked apart.
+HOT_ROWS = 1_000_000
+#: Pieces of a hot group by value, and of its exact ties.
+PIECES, TIE_PIECES = 64, 16
+_SLOT = 30 * 60 * 1_000_000
+
+
+def peak_rank(df: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``peak_rank``: row number within (date, DNO, substation), consumption desc, time asc.
 
-    Skew-safe formulation (a window partitioned by the keys would sort and
-    buffer a hot substation-day in one task):
+    A window by the keys alone would sort a hot substation-day in one task. So a
+    group of more than ``hot_rows`` readings is cut along its order, and a rank is the
+    number of rows in earlier pieces plus the row number within the own piece:
 
-    1. one global sort on (keys, consumption desc, time asc, row hash); range
-       partitioning cuts a hot group across many partitions;
-    2. ``monotonically_increasing_id`` gives (partition, position) in that order;
-    3. per (group, partition) the first position and the row count are
-       aggregated (partial aggregation, tiny output), and a window over those
-       segments turns the counts of earlier partitions into an offset;
-    4. a join on (group, partition) adds the offset: rank = position - first + 1 + offset.
+    1. a count finds the hot groups, and for them alone an equi-depth histogram of the consumption (``percentile_approx``,
+       merged map-side) gives the cuts; a value that is a cut itself is a piece of its own;
+    2. such a piece, and the one of NULLs, holds a single value, so it is cut further by
+       half-hour, and readings at one instant, whose ranks are interchangeable, by a hash;
+    3. a count by piece, summed along the pieces of a group, gives the offsets; both
+       small tables are joined to the readings.
 
-    The sorted, numbered rows are checkpointed once (eagerly, to the shared
-    checkpoint folder) so steps 3 and 4 read the same partition cut.
+    Cuts are a balance, not a bound on correctness: pieces follow the order whatever they
+    are. Nothing runs before the result is asked for, only columns that are asked for
+    travel, and groups that are not hot see one window.
     """
-    # last sort key: a hash of the reading's scalar values, so a row keeps its place when a
-    # lost task is run again (ranks among exact copies of a reading are interchangeable)
+    value, time = F.col(CONSUMPTION), F.col(TS)
+    code = F.when(F.isnan(value), F.lit(float("-inf"))).otherwise(-value.cast("double"))
+    large = df.groupBy(*PEAK_KEYS).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    within = df.join(_renamed(large.drop("_n"), "_hot"), _same_keys("_hot"), "left_semi")
+    cuts = F.percentile_approx(code, [i / PIECES for i in range(1, PIECES)], 1000).alias("_cuts")
+    hot = _renamed(within.groupBy(*PEAK_KEYS).agg(cuts), "_hot").withColumn("_is_hot", F.lit(True))
     scalars = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("struct", "array", "map")]
-    tagged = df.withColumn("_tie", F.xxhash64(*scalars))
-    order = [F.asc_nulls_first(k) for k in PEAK_KEYS] + _rank_order() + [F.col("_tie").asc()]
-    ids = tagged.orderBy(*order).drop("_tie").withColumn("_id", F.monotonically_increasing_id())
-    ids = ids.withColumns({"_part": F.shiftright("_id", 33), "_pos": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))})
-    # Both branches below must see the same partition cut; two range exchanges
-    # would sample their own bounds. A reliable checkpoint (shared storage) fixes it.
-    shared_dir(df.sparkSession)
-    ids = ids.checkpoint(eager=True)
-    segments = ids.groupBy(*PEAK_KEYS, "_part").agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(*PEAK_KEYS).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    segments = segments.select(
-        *[F.col(k).alias(f"_seg_{i}") for i, k in enumerate(PEAK_KEYS)],
-        F.col("_part").alias("_seg_part"),
-        "_first",
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"),
-    )
-    cond = [F.col(k).eqNullSafe(F.col(f"_seg_{i}")) for i, k in enumerate(PEAK_KEYS)]
-    joined = ids.join(segments, on=cond + [F.col("_part") == F.col("_seg_part")], how="inner")
-    rank = (F.col("_pos") - F.col("_first") + 1 + F.col("_offset")).cast("int")
-    return joined.select(*df.columns, rank.alias("peak_rank"))
+
+    cut = F.array_contains("_cuts", code) & ~code.isin(float("-inf"), float("inf"))
+    single = F.coalesce(value.isNull() | cut, F.lit(False))
+    micros = F.unix_micros(time)
+    start = micros - F.pmod(micros, F.lit(_SLOT))
+    apart = F.coalesce(F.col("_is_hot"), F.lit(False))
+    pieces = {
+        "_piece": F.when(value.isNull(), 2 * PIECES).otherwise(2 * F.size(F.filter("_cuts", lambda c: c < code)) + single.cast("int")),
+        "_slot": F.when(single, F.coalesce(start, F.lit(-(2**62)))),
+        "_late": F.when(single, F.coalesce(micros > start, F.lit(False)).cast("int")),
+        "_tie": F.when(single & F.coalesce(micros == start, F.lit(True)), F.pmod(F.xxhash64(*scalars), F.lit(TIE_PIECES)).cast("int")),
+    }
+    placed = df.join(hot, _same_keys("_hot"), "left")
+    placed = placed.withColumns({c: F.when(apart, F.coalesce(e.cast("bigint"), F.lit(0))).otherwise(0) for c, e in pieces.items()})
+
+    names = list(pieces)
+    counts = placed.where("_is_hot").groupBy(*PEAK_KEYS, *names).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*PEAK_KEYS).orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)  # a row a piece
+    offsets = _renamed(counts.withColumn("_offset", F.sum("_n").over(before)).drop("_n"), "_at")
+    offsets = offsets.withColumnsRenamed({c: f"_at{c}" for c in names})
+    ranked = placed.join(offsets, [*_same_keys("_at"), *[F.col(c) == F.col(f"_at{c}") for c in names]], "left")
+    own = F.row_number().over(Window.partitionBy(*PEAK_KEYS, *names).orderBy(*_rank_order()))
+    return ranked.select(*df.columns, (own + F.coalesce("_offset", F.lit(0))).cast("int").alias("peak_rank"))
+
+
+def _renamed(df: DataFrame, prefix: str) -> DataFrame:
+    return df.withColumnsRenamed({k: f"{prefix}_{k}" for k in PEAK_KEYS})
+
+
+def _same_keys(prefix: str) -> list:
+    return [F.col(k).eqNullSafe(F.col(f"{prefix}_{k}")) for k in PEAK_KEYS]
 
 
 def peak_rows(df: DataFrame) -> DataFrame:

@@ -783,18 +783,25 @@ def _composites(sql: dict[str, str]) -> dict[str, str]:
         ("qa_nulls", "null_check_status"),
         ("qa_business_rules", "business_rule_status"),
     ]
-    suite = "\nUNION ALL\n".join(
-        f"SELECT {i} AS check_order, '{name}' AS check_name, run_date, {col} AS status FROM ({sql[name]}) q{i}"
-        for i, (name, col) in enumerate(checks, start=1)
-    )
-    insight_keys = [
-        "insight_date_coverage", "insight_top_substations", "insight_system_peak_day", "insight_load_shape",
-        "insight_weekday_weekend_profile", "insight_substation_concentration", "insight_peak_window",
-        "insight_volatility", "insight_evening_ramp", "insight_dno_outlier_screen", "insight_dno_share",
-        "insight_peak_hour_distribution",
-    ]
-    counts = "\nUNION ALL\n".join(
-        f"SELECT '{k}' AS insight, count(*) AS row_count FROM ({sql[k]}) q{i}" for i, k in enumerate(insight_keys)
-    )
-    return {"qa_suite": suite, "run_insights": counts, "insight_summary": _summary(),
+    def suite(day: str, variant: str = "clean") -> str:
+        built = [f(day, variant) for f in (_qa_freshness, _qa_completeness, _qa_uniqueness, _qa_nulls, _qa_business_rules)]
+        return "\nUNION ALL\n".join(
+            f"SELECT {i} AS check_order, '{name}' AS check_name, run_date, {col} AS status FROM ({q}) q{i}"
+            for i, ((name, col), q) in enumerate(zip(checks, built), start=1)
+        )
+
+    def contents(suffix: str) -> str:
+        from meterlake.plans.jobs_registry import INSIGHT_COLUMNS
+
+        parts = []
+        for i, (name, (texts, numbers)) in enumerate(INSIGHT_COLUMNS.items()):
+            item = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in texts)
+            values = [f"CAST(CAST({c} AS FLOAT) AS DOUBLE)" for c in numbers] + ["CAST(NULL AS DOUBLE)"] * (3 - len(numbers))
+            shown = ", ".join(f"{v} AS value_{k}" for k, v in enumerate(values, start=1))
+            parts.append(f"SELECT '{name}' AS insight, {item} AS item, {shown} FROM ({sql[name + suffix]}) q{i}")
+        return "\nUNION ALL\n".join(parts)
+
+    return {"qa_suite": suite(RUN_DATE), "qa_suite_dirty": suite(RUN_DATE, "dirty"), "qa_suite_first_day": suite(FIRST_DATE),
+            "qa_suite_empty_day": suite(EMPTY_DATE), "run_insights": contents(""), "run_insights_dirty": contents("_dirty"),
+            "insight_summary": _summary(),
             "insight_summary_skewed": _summary("skewed"), "insight_text": _text()}

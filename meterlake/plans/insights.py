@@ -264,28 +264,33 @@ _zero_if_null = safe_double
 
 
 def insight_summary(peak: DataFrame, profile: DataFrame) -> DataFrame:
-    """The nine portfolio findings as rows (numbers only; see :func:`findings_text`).
+    """The nine portfolio findings as rows (numbers only; see :func:`findings_text`)."""
+    return summary_of(all_insights(peak, profile))
+
+
+def summary_of(found: dict[str, DataFrame]) -> DataFrame:
+    """The findings from the insights (:func:`all_insights` or :func:`grouped_insights`).
 
     A finding whose inputs are empty is left out; the skew alert appears only
     when the top mean/median ratio is above 10.
     """
     parts: list[DataFrame] = []
 
-    top = top_substations(peak, 1)
+    top = found["insight_top_substations"].limit(1)
     parts.append(
         _finding(top, 1, "top_substation",
                  F.concat_ws(" ", F.col(SUB), F.concat(F.lit("("), F.col("dno_alias"), F.lit(")"))),
                  _zero_if_null("avg_daily_total_consumption"), _zero_if_null("max_observed_peak"))
     )
 
-    day = system_peak_day(peak, 1)
+    day = found["insight_system_peak_day"].limit(1)
     parts.append(
         _finding(day, 2, "highest_demand_day",
                  F.concat_ws(" ", F.col(DATE).cast("string"), F.concat(F.lit("("), F.col("dno_alias"), F.lit(")"))),
                  _zero_if_null("system_daily_total"), F.col("active_substations"))
     )
 
-    shape = load_shape(profile).agg(
+    shape = found["insight_load_shape"].agg(
         F.max_by("half_hour_slot", F.struct(F.col("mean_slot_consumption"), -F.col("half_hour_slot"))).alias("hi"),
         F.min_by("half_hour_slot", F.struct(F.col("mean_slot_consumption"), -F.col("half_hour_slot"))).alias("lo"),
         F.max("mean_slot_consumption").alias("hi_v"),
@@ -298,7 +303,7 @@ def insight_summary(peak: DataFrame, profile: DataFrame) -> DataFrame:
                  _zero_if_null("hi_v"), _zero_if_null("lo_v"))
     )
 
-    ww = weekday_weekend_profile(profile)
+    ww = found["insight_weekday_weekend_profile"]
     means = ww.agg(
         F.avg(F.when(F.col("day_type") == "weekday", _zero_if_null("mean_avg_consumption"))).alias("wd"),
         F.avg(F.when(F.col("day_type") == "weekend", _zero_if_null("mean_avg_consumption"))).alias("we"),
@@ -306,7 +311,7 @@ def insight_summary(peak: DataFrame, profile: DataFrame) -> DataFrame:
     delta = F.when(F.col("wd") != 0, (F.col("we") - F.col("wd")) / F.col("wd") * F.lit(100.0)).otherwise(F.lit(0.0))
     parts.append(_finding(means, 4, "weekday_weekend_delta", F.lit("weekend vs weekday"), F.col("wd"), F.col("we"), delta))
 
-    conc = substation_concentration(peak, 10).agg(
+    conc = found["insight_substation_concentration"].where("rn <= 10").agg(
         (F.sum(F.when(F.col("rn") <= 5, _zero_if_null("share_of_total"))) * F.lit(100.0)).alias("top5"),
         (F.sum(_zero_if_null("share_of_total")) * F.lit(100.0)).alias("top10"),
         F.count(F.lit(1)).alias("n"),
@@ -314,17 +319,17 @@ def insight_summary(peak: DataFrame, profile: DataFrame) -> DataFrame:
     parts.append(_finding(conc, 5, "demand_concentration", F.lit("top 5 / top 10 substations"),
                           F.col("top5"), F.col("top10")))
 
-    win = peak_window(peak)  # a global aggregate: always one row
+    win = found["insight_peak_window"]  # a global aggregate: always one row
     parts.append(_finding(win, 6, "peak_timing", F.lit("evening 17-20 / overnight 0-5"),
                           _zero_if_null("evening_peak_share") * F.lit(100.0),
                           _zero_if_null("overnight_peak_share") * F.lit(100.0)))
 
-    vol = day_total_volatility(peak)  # a global aggregate: always one row
+    vol = found["insight_volatility"]  # a global aggregate: always one row
     parts.append(_finding(vol, 7, "volatility", F.lit("daily system total"),
                           _zero_if_null("cv_day_total"), _zero_if_null("stddev_day_total"),
                           _zero_if_null("mean_day_total")))
 
-    ramp = evening_ramp(profile).agg(
+    ramp = found["insight_evening_ramp"].agg(
         F.max(F.when(F.col("day_type") == "weekday", _zero_if_null("evening_to_night_ratio"))).alias("wd"),
         F.max(F.when(F.col("day_type") == "weekend", _zero_if_null("evening_to_night_ratio"))).alias("we"),
         F.count_if(F.col("day_type") == "weekday").alias("n_wd"),
@@ -332,7 +337,7 @@ def insight_summary(peak: DataFrame, profile: DataFrame) -> DataFrame:
     ).filter((F.col("n_wd") > 0) & (F.col("n_we") > 0))
     parts.append(_finding(ramp, 8, "evening_ramp", F.lit("weekday / weekend"), F.col("wd"), F.col("we")))
 
-    skew = dno_outlier_screen(peak).limit(1).filter(_zero_if_null("mean_to_median_ratio") > 10)
+    skew = found["insight_dno_outlier_screen"].limit(1).filter(_zero_if_null("mean_to_median_ratio") > 10)
     parts.append(_finding(skew, 9, "skew_alert", F.col("dno_alias"), _zero_if_null("mean_to_median_ratio")))
 
     out = parts[0]
@@ -384,3 +389,118 @@ def all_insights(peak: DataFrame, profile: DataFrame) -> dict[str, DataFrame]:
         "insight_dno_share": dno_share(peak),
         "insight_peak_hour_distribution": peak_hour_distribution(peak),
     }
+
+
+# ---------------------------------------------------------------- all insights from one aggregation a table
+
+_PEAK_KEYS = [DATE, "dno_alias", SUB, "peak_hour"]
+PEAK_SETS = {"site": ["dno_alias", SUB], "dno_day": [DATE, "dno_alias"], "substation": [SUB], "day": [DATE],
+             "dno": ["dno_alias"], "hour": ["peak_hour"], "all": []}
+_PROFILE_KEYS = [DATE, "hour_of_day", "minute_of_hour", "half_hour_slot", "day_type"]
+PROFILE_SETS = {"slot": ["hour_of_day", "minute_of_hour", "half_hour_slot"], "type_slot": ["day_type", "half_hour_slot"],
+                "type": ["day_type"], "day": [DATE]}
+
+
+def _grouped(df: DataFrame, keys: list[str], sets: dict[str, list[str]], *aggregates: Column) -> DataFrame:
+    """One aggregation over all grouping sets; ``of`` names the set of a row."""
+    rows = df.groupingSets([[F.col(k) for k in s] for s in sets.values()], *keys).agg(F.grouping_id().alias("id"), *aggregates)
+    ids = {sum(1 << i for i, k in enumerate(reversed(keys)) if k not in s): n for n, s in sets.items()}
+    name = F.create_map(*[F.lit(x) for pair in ids.items() for x in pair])
+    return rows.withColumn("of", F.get(F.map_values(F.map_filter(name, lambda k, _: k == F.col("id"))), F.lit(0))).drop("id")
+
+
+def peak_groupings(peak: DataFrame) -> DataFrame:
+    """What the insights need of the peak table, for all its groupings: one scan, one Expand."""
+    hour = F.hour("peak_timestamp")
+
+    def events(first: int, last: int) -> Column:
+        return F.sum(F.when(hour.between(first, last), F.lit(1)).otherwise(F.lit(0))).cast("bigint")
+
+    return _grouped(
+        peak.withColumn("peak_hour", hour), _PEAK_KEYS, PEAK_SETS,
+        F.count(F.lit(1)).alias("n"),
+        F.sum("daily_total_consumption").alias("total"),
+        F.avg("daily_total_consumption").alias("mean_total"),
+        F.max("peak_consumption").alias("max_peak"),
+        F.avg("peak_consumption").alias("mean_peak"),
+        F.count_distinct(SUB).alias("sites"),
+        events(17, 20).alias("evening"),
+        events(0, 5).alias("overnight"),
+    )
+
+
+def profile_groupings(profile: DataFrame) -> DataFrame:
+    """Likewise of the load-profile table."""
+    slot = F.col("half_hour_slot")
+    return _grouped(
+        profile.withColumn("day_type", day_type(DATE)), _PROFILE_KEYS, PROFILE_SETS,
+        F.count(F.lit(1)).alias("n"),
+        F.avg("avg_consumption").alias("mean"),
+        F.avg("total_consumption").alias("mean_total"),
+        F.sum("reading_count").alias("readings"),
+        F.avg(F.when(slot.between(34, 41), F.col("avg_consumption"))).alias("evening"),
+        F.avg(F.when(slot.between(4, 11), F.col("avg_consumption"))).alias("night"),
+    )
+
+
+def grouped_insights(peaks: DataFrame, profiles: DataFrame) -> dict[str, DataFrame]:
+    """The insights of :func:`all_insights` from :func:`peak_groupings` and :func:`profile_groupings` (stored, best)."""
+
+    def peak(name: str) -> DataFrame:
+        return peaks.where(F.col("of") == name)
+
+    def prof(name: str) -> DataFrame:
+        return profiles.where(F.col("of") == name)
+
+    def coverage(days: DataFrame, table: str) -> DataFrame:
+        return days.agg(
+            F.min(DATE).alias("min_date"), F.max(DATE).alias("max_date"), F.count(DATE).alias("populated_days"),
+            F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
+        ).select(F.lit(table).alias("table_name"), "min_date", "max_date", "populated_days", "row_count")
+
+    fleet = peak("all").agg(F.max("total")).scalar()
+    whole = peak("all").agg(*[F.max(c).alias(c) for c in ("evening", "overnight", "n")])
+    means = peak("site").select("dno_alias", SUB, F.col("n").alias("active_days"), F.col("mean_total").alias("avg_daily_total_consumption"),
+                                F.col("max_peak").alias("max_observed_peak"), F.col("mean_peak").alias("avg_peak_consumption"))
+    dno_days = peak("dno_day").select(DATE, "dno_alias", F.col("total").alias("system_daily_total"),
+                                      F.col("max_peak").alias("max_substation_peak"), F.col("sites").alias("active_substations"))
+    by_total = [F.desc_nulls_last("total_consumption"), F.asc_nulls_first(SUB)]
+    top = peak("substation").select(SUB, F.col("total").alias("total_consumption")).orderBy(*by_total).limit(20)
+    screen = peak("site").groupBy("dno_alias").agg(F.avg("mean_total").alias("dno_mean"), F.percentile_approx("mean_total", 0.5).alias("dno_median"))
+    shares = peak("dno").select("dno_alias", F.col("total").alias("total_consumption"))
+    spread = peak("day").agg(F.count(F.lit(1)).alias("days"), F.avg("total").alias("mean_day_total"), F.stddev_pop("total").alias("stddev_day_total"))
+    nulls_first = F.asc_nulls_first
+    return {
+        "insight_date_coverage": coverage(peak("day"), "gold_peak_demand_substation_day").unionByName(
+            coverage(prof("day"), "gold_avg_load_profile_day")
+        ),
+        "insight_top_substations": means.orderBy(F.desc_nulls_last("avg_daily_total_consumption"), nulls_first("dno_alias"), nulls_first(SUB)).limit(15),
+        "insight_system_peak_day": dno_days.orderBy(F.desc_nulls_last("system_daily_total"), nulls_first(DATE), nulls_first("dno_alias")).limit(20),
+        "insight_load_shape": prof("slot").select(
+            "hour_of_day", "minute_of_hour", "half_hour_slot", F.col("mean").alias("mean_slot_consumption"),
+            F.col("mean_total").alias("mean_slot_total_consumption"), F.col("readings").alias("total_readings"),
+        ).orderBy(F.desc_nulls_last("mean_slot_consumption"), nulls_first("half_hour_slot"), nulls_first("minute_of_hour")),
+        "insight_weekday_weekend_profile": prof("type_slot").select(
+            "day_type", "half_hour_slot", F.col("mean").alias("mean_avg_consumption"), F.col("n").alias("contributing_day_slots")
+        ).orderBy("day_type", "half_hour_slot"),
+        "insight_substation_concentration": top.withColumn("rn", F.row_number().over(Window.orderBy(*by_total))).select(
+            "rn", SUB, "total_consumption", fleet.alias("fleet_total_consumption"), _share(F.col("total_consumption"), fleet).alias("share_of_total")
+        ).orderBy("rn"),
+        "insight_peak_window": whole.select(
+            F.col("evening").alias("evening_peak_events"), _share(F.col("evening"), F.col("n")).alias("evening_peak_share"),
+            F.col("overnight").alias("overnight_peak_events"), _share(F.col("overnight"), F.col("n")).alias("overnight_peak_share"),
+            F.when(F.col("n") > 0, F.col("n")).alias("total_events"),
+        ),
+        "insight_volatility": spread.withColumn("cv_day_total", _share(F.col("stddev_day_total"), F.col("mean_day_total"))),
+        "insight_evening_ramp": prof("type").select(
+            "day_type", F.col("evening").alias("evening_avg"), F.col("night").alias("night_avg"),
+            _share(F.col("evening"), F.col("night")).alias("evening_to_night_ratio"),
+        ),
+        "insight_dno_outlier_screen": screen.withColumn("mean_to_median_ratio", _share(F.col("dno_mean"), F.col("dno_median"))).orderBy(
+            F.desc_nulls_last("mean_to_median_ratio"), nulls_first("dno_alias")
+        ),
+        "insight_dno_share": shares.withColumn("share_of_total", _share(F.col("total_consumption"), fleet)).orderBy(
+            F.desc_nulls_last("total_consumption"), nulls_first("dno_alias")
+        ),
+        "insight_peak_hour_distribution": peak("hour").select("peak_hour", F.col("n").alias("substation_days")).orderBy(nulls_first("peak_hour")),
+    }

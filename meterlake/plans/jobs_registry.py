@@ -20,10 +20,10 @@ from meterlake.registry import (
     PROFILE_NOISY,
     RUN_DATE,
     _bronze,
-    _stored,
     f32,
     f32_all,
 )
+from meterlake.plans.layers import build_layers, stored_insights
 from meterlake.session import scratch_path
 from meterlake.sinks.writers import export_json, partition_path, register_tables, remove_folder, run_sql, table_catalog
 from meterlake.sources.footers import file_profile
@@ -222,8 +222,6 @@ def q_run_sql_all(spark, sf):
 
 
 def q_export_json(spark, sf):
-    from meterlake.plans.layers import build_layers
-
     L = build_layers(_bronze(spark, sf))
     df = I.dno_share(L.peak)
     path = export_json(df, scratch_path(spark, "export"))
@@ -232,8 +230,6 @@ def q_export_json(spark, sf):
 
 def q_export_json_nulls(spark, sf):
     """A saved result has all rows, and all columns in each row, NULL or not."""
-    from meterlake.plans.layers import build_layers
-
     df = build_layers(_bronze(spark, sf, "dirty")).peak.select("consumption_date", "dno_alias", "secondary_substation_unique_id", "reading_count")
     path = export_json(df, scratch_path(spark, "export"))
     fields = F.size(F.json_object_keys("value")).alias("fields")
@@ -241,13 +237,43 @@ def q_export_json_nulls(spark, sf):
     return spark.read.text(path).select(parsed, fields).select("r.*", "fields")
 
 
-def q_run_insights(spark, sf):
-    L = _stored(spark, sf)
-    out = None
-    for name, df in I.all_insights(L.peak, L.profile).items():
-        part = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("insight"), "row_count")
-        out = part if out is None else out.unionByName(part)
-    return out
+#: Columns of each insight: those shown as text, those compared as numbers.
+INSIGHT_COLUMNS = {
+    "insight_date_coverage": (["table_name", "min_date", "max_date", "populated_days", "row_count"], []),
+    "insight_top_substations": (
+        ["dno_alias", "secondary_substation_unique_id", "active_days"],
+        ["avg_daily_total_consumption", "max_observed_peak", "avg_peak_consumption"],
+    ),
+    "insight_system_peak_day": (["consumption_date", "dno_alias", "active_substations"], ["system_daily_total", "max_substation_peak"]),
+    "insight_load_shape": (
+        ["hour_of_day", "minute_of_hour", "half_hour_slot", "total_readings"], ["mean_slot_consumption", "mean_slot_total_consumption"],
+    ),
+    "insight_weekday_weekend_profile": (["day_type", "half_hour_slot", "contributing_day_slots"], ["mean_avg_consumption"]),
+    "insight_substation_concentration": (
+        ["rn", "secondary_substation_unique_id"], ["total_consumption", "fleet_total_consumption", "share_of_total"],
+    ),
+    "insight_peak_window": (["evening_peak_events", "overnight_peak_events", "total_events"], ["evening_peak_share", "overnight_peak_share"]),
+    "insight_volatility": (["days"], ["mean_day_total", "stddev_day_total", "cv_day_total"]),
+    "insight_evening_ramp": (["day_type"], ["evening_avg", "night_avg", "evening_to_night_ratio"]),
+    "insight_dno_outlier_screen": (["dno_alias"], ["dno_mean", "dno_median", "mean_to_median_ratio"]),
+    "insight_dno_share": (["dno_alias"], ["total_consumption", "share_of_total"]),
+    "insight_peak_hour_distribution": (["peak_hour", "substation_days"], []),
+}
+
+
+def _run_insights(variant: str):
+    def run(spark, sf):
+        """All rows of all insights, each with its texts joined and its numbers."""
+        found = stored_insights(build_layers(_bronze(spark, sf, variant)))
+        out = None
+        for name, (texts, numbers) in INSIGHT_COLUMNS.items():
+            item = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in texts])
+            values = [F.col(c).cast("float").cast("double") for c in numbers] + [F.lit(None).cast("double")] * (3 - len(numbers))
+            part = found[name].select(F.lit(name).alias("insight"), item.alias("item"), *[v.alias(f"value_{i}") for i, v in enumerate(values, start=1)])
+            out = part if out is None else out.unionByName(part)
+        return out
+
+    return run
 
 
 JOBS = {
@@ -276,5 +302,6 @@ JOBS = {
     "run_sql_all": q_run_sql_all,
     "export_json": q_export_json,
     "export_json_nulls": q_export_json_nulls,
-    "run_insights": q_run_insights,
+    "run_insights": _run_insights("clean"),
+    "run_insights_dirty": _run_insights("dirty"),
 }

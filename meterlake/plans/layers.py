@@ -15,6 +15,7 @@ from meterlake.config import DEFAULT_MIN_HISTORY_ROWS, DEFAULT_ZSCORE_THRESHOLD
 from meterlake.operators.gold import build_gold_load_profile, build_gold_peak
 from meterlake.operators.quality import apply_zscore_quality_flag, feeder_baseline, gold_input, hard_rules
 from meterlake.operators.silver import build_silver
+from meterlake.plans.insights import grouped_insights, peak_groupings, profile_groupings
 from meterlake.session import scratch_path
 from meterlake.sources.bronze import date_range_slice, run_date_slice
 
@@ -45,25 +46,18 @@ class Layers:
         return build_gold_load_profile(self.gold_in)
 
 
-class StoredLayers:
-    """Silver and Gold written once under the shared folder and read back.
+def stored_insights(layers: Layers) -> dict[str, DataFrame]:
+    """The twelve insights, each from the groupings of the two Gold tables, which are aggregated once and stored under the shared folder."""
+    spark = layers.bronze.sparkSession
 
-    For plans that read the tables many times (the summary, the QA suite): each
-    finding is then a pruned scan of a stored table, not a rebuild from Bronze.
-    """
-
-    def __init__(self, layers: Layers):
-        spark = layers.bronze.sparkSession
-
-        def stored(df: DataFrame, name: str) -> DataFrame:
-            path = scratch_path(spark, name)
-            df.write.parquet(path)
-            return spark.read.schema(df.schema).parquet(path)
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
-        self.silver = stored(layers.silver, "silver")
-        self.gold_in = gold_input(self.silver)
-        self.peak = stored(build_gold_peak(self.gold_in), "gold-peak")
-        self.profile = stored(build_gold_load_profile(self.gold_in), "gold-profile")
+    return grouped_insights(
+        stored(peak_groupings(layers.peak), "peak-groupings"), stored(profile_groupings(layers.profile), "profile-groupings")
+    )
 
 
 def current_rows(bronze: DataFrame, run_date: date | str | None = None, start=None, end=None) -> DataFrame:

@@ -73,7 +73,7 @@ def qa_completeness(silver: DataFrame, profile: DataFrame, run_date) -> DataFram
     distinct_times = silver_day(silver, run_date).agg(F.count_distinct(F.date_format(TS, "HH:mm"))).scalar()
     agg = gold_day(profile, run_date).agg(
         F.count(F.lit(1)).alias("slot_rows"),
-        F.count_distinct(F.when(slot.between(0, SLOTS_PER_DAY - 1), slot)).alias("present"),
+        F.count_distinct(_present_slots(slot)).alias("present"),
     )
     # each scalar subquery is projected once; later expressions use the column
     measured = agg.select(
@@ -82,8 +82,23 @@ def qa_completeness(silver: DataFrame, profile: DataFrame, run_date) -> DataFram
         (F.lit(SLOTS_PER_DAY) - F.col("present")).cast("bigint").alias("missing_slot_count"),
         distinct_times.alias("distinct_timestamp_count"),
     )
-    ok = (F.col("missing_slot_count") == 0) & (F.col("distinct_timestamp_count") == SLOTS_PER_DAY)
-    return measured.withColumn("completeness_status", _status(ok))
+    return measured.withColumn("completeness_status", _status(_complete()))
+
+
+def _complete() -> Column:
+    return (F.col("missing_slot_count") == 0) & (F.col("distinct_timestamp_count") == SLOTS_PER_DAY)
+
+
+def _unique() -> Column:
+    return (F.col("peak_duplicate_key_count") == 0) & (F.col("profile_duplicate_key_count") == 0)
+
+
+def _no_nulls() -> Column:
+    return (F.col("null_substation_id") == 0) & (F.col("null_timestamp") == 0) & (F.col("null_consumption") == 0)
+
+
+def _present_slots(slot: Column) -> Column:
+    return F.when(slot.between(0, SLOTS_PER_DAY - 1), slot)
 
 
 def _duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -100,26 +115,35 @@ def qa_uniqueness(peak: DataFrame, profile: DataFrame, run_date) -> DataFrame:
         "peak_duplicate_key_count",
         profile_count.alias("profile_duplicate_key_count"),
     )
-    ok = (F.col("peak_duplicate_key_count") == 0) & (F.col("profile_duplicate_key_count") == 0)
-    return measured.withColumn("uniqueness_status", _status(ok))
+    return measured.withColumn("uniqueness_status", _status(_unique()))
 
 
 def qa_nulls(silver: DataFrame, run_date) -> DataFrame:
-    agg = silver_day(silver, run_date).agg(
-        _flag_sum(F.col(SUB).isNull()).alias("null_substation_id"),
-        _flag_sum(F.col(TS).isNull()).alias("null_timestamp"),
-        _flag_sum(F.col(CONSUMPTION).isNull()).alias("null_consumption"),
-    )
-    ok = (F.col("null_substation_id") == 0) & (F.col("null_timestamp") == 0) & (F.col("null_consumption") == 0)
-    return agg.select(
+    return silver_day(silver, run_date).agg(*_null_counts()).select(
         F.lit(str(run_date)).alias("run_date"),
         "null_substation_id",
         "null_timestamp",
         "null_consumption",
-        _status(ok).alias("null_check_status"),
+        _status(_no_nulls()).alias("null_check_status"),
     )
 
 
+def _null_counts() -> list[Column]:
+    columns = {"null_substation_id": SUB, "null_timestamp": TS, "null_consumption": CONSUMPTION}
+    return [_flag_sum(F.col(c).isNull()).alias(name) for name, c in columns.items()]
+
+
+def _value_counts() -> list[Column]:
+    """The day's broken value rules, its rows and its average."""
+    return [
+        _flag_sum(F.col("aggregated_device_count_active") <= 0).alias("bad_active_devices"),
+        _flag_sum(F.col(CONSUMPTION) < 0).alias("bad_consumption"),
+        _flag_sum(F.col("consumption_per_active_device") < 0).alias("bad_consumption_per_device"),
+        F.count(F.lit(1)).alias("current_row_count"),
+        F.avg(CONSUMPTION).alias("current_avg_consumption"),
+    ]
+
+
 def previous_day(silver: DataFrame, run_date, days: list[str] | None = None) -> DataFrame:
     """Row count and average of the latest Silver day before ``run_date`` (0 or 1 row).
 
@@ -127,18 +151,20 @@ def previous_day(silver: DataFrame, run_date, days: list[str] | None = None) ->
     before is then taken from that list and only its folder is read. Without them
     it is a scalar subquery over Silver's own dates.
     """
-    if days is not None:
-        earlier = [d for d in days if d < str(run_date)]
-        prev = _day(max(earlier)) if earlier else F.lit(None).cast("date")
-    else:
-        prev = silver.filter(F.col("collection_date") < _day(run_date)).agg(F.max("collection_date")).scalar()
     return (
-        silver.filter(F.col("collection_date") == prev)
+        silver.filter(F.col("collection_date") == _day_before(silver, run_date, days))
         .groupBy("collection_date")
         .agg(F.count(F.lit(1)).alias("row_count"), F.avg(CONSUMPTION).alias("avg_consumption"))
     )
 
 
+def _day_before(silver: DataFrame, run_date, days: list[str] | None) -> Column:
+    if days is None:
+        return silver.filter(F.col("collection_date") < _day(run_date)).agg(F.max("collection_date")).scalar()
+    earlier = [d for d in days if d < str(run_date)]
+    return _day(max(earlier)) if earlier else F.lit(None).cast("date")
+
+
 def qa_business_rules(silver: DataFrame, peak: DataFrame, run_date, days: list[str] | None = None) -> DataFrame:
     """Value rules on the day plus row-count and average drift against the previous day."""
     prev = previous_day(silver, run_date, days).agg(
@@ -150,14 +176,14 @@ def qa_business_rules(silver: DataFrame, peak: DataFrame, run_date, days: list[s
 
     # scalar subqueries are projected once into columns; the drift logic below
     # refers to those columns, so each subquery appears (and runs) once
-    measured = silver_day(silver, run_date).agg(
-        _flag_sum(F.col("aggregated_device_count_active") <= 0).alias("bad_active_devices"),
-        _flag_sum(F.col(CONSUMPTION) < 0).alias("bad_consumption"),
-        _flag_sum(F.col("consumption_per_active_device") < 0).alias("bad_consumption_per_device"),
-        F.count(F.lit(1)).alias("current_row_count"),
-        F.avg(CONSUMPTION).alias("current_avg_consumption"),
-    ).select("*", bad_peak.cast("bigint").alias("bad_peak_rows"), prev.alias("previous"))
+    measured = silver_day(silver, run_date).agg(*_value_counts()).select(
+        "*", bad_peak.cast("bigint").alias("bad_peak_rows"), prev.alias("previous")
+    )
+    return _judged(measured, run_date)
 
+
+def _judged(measured: DataFrame, run_date, keep: list[str] | None = None) -> DataFrame:
+    """Drift ratios and status from the day's counts, ``bad_peak_rows`` and ``previous`` (struct n, a); ``keep`` names columns to pass on."""
     cur_n, cur_avg = F.col("current_row_count"), F.col("current_avg_consumption")
     prev_n, prev_avg = F.col("previous.n"), F.col("previous.a")
     row_ratio = F.abs(F.try_divide((cur_n - prev_n).cast("double"), prev_n.cast("double")))
@@ -174,6 +200,7 @@ def qa_business_rules(silver: DataFrame, peak: DataFrame, run_date, days: list[s
         "current_avg_consumption",
         prev_avg.alias("previous_avg_consumption"),
         F.when(prev_avg.isNotNull() & (prev_avg != 0), avg_ratio).alias("avg_consumption_change_ratio"),
+        *(keep or []),
     )
     ok = (
         (F.col("bad_active_devices") == 0)
@@ -211,19 +238,67 @@ def run_checks(
     }
 
 
-def qa_suite(silver: DataFrame, peak: DataFrame, profile: DataFrame, run_date) -> DataFrame:
-    """One status row per check, in fixed order, as one plan."""
-    checks = run_checks(silver, peak, profile, run_date)
-    out = None
-    for i, name in enumerate(CHECKS, start=1):
-        part = checks[name].select(
-            F.lit(i).alias("check_order"),
-            F.lit(name).alias("check_name"),
-            F.col("run_date"),
-            F.col(STATUS_COLUMNS[name]).alias("status"),
-        )
-        out = part if out is None else out.unionByName(part)
-    return out.orderBy("check_order")
+def suite_measures(silver: DataFrame, peak: DataFrame, profile: DataFrame, run_date, days: list[str] | None = None) -> DataFrame:
+    """One row with the numbers of all checks: one aggregate over each table.
+
+    Silver is read once for the run date and the day before, each counter by its day;
+    a Gold table is grouped once by its key, and the groups are counted. ``days`` are the days
+    of Silver's folders (:func:`partition_days`); without them the day before is a scalar subquery.
+    """
+    before = _day_before(silver, run_date, days)
+    both = silver.filter((F.col("collection_date") == _day(run_date)) | (F.col("collection_date") == before))
+    times = F.count_distinct(F.date_format(TS, "HH:mm")).alias("distinct_timestamp_count")
+    by_day = both.groupBy("collection_date").agg(*_null_counts(), *_value_counts(), times)
+    today = F.col("collection_date") == _day(run_date)
+    names = [c for c in by_day.columns if c != "collection_date"]
+    silver_row = by_day.agg(
+        *[F.max(F.when(today, F.col(c))).alias(c) for c in names],
+        F.max(F.when(~today, F.col("current_row_count"))).alias("n"),
+        F.max(F.when(~today, F.col("current_avg_consumption"))).alias("a"),
+    )
+    above = F.count_if(F.col("peak_consumption") > F.col("daily_total_consumption")).alias("above")
+    peak_row = gold_day(peak, run_date).groupBy(SUB).agg(F.count(F.lit(1)).alias("c"), above).agg(
+        F.count_if(F.col("c") > 1).alias("dupes"), F.coalesce(F.sum("above"), F.lit(0)).alias("above")
+    )
+    slot = F.col("half_hour_slot")
+    profile_row = gold_day(profile, run_date).groupBy("half_hour_slot").agg(F.count(F.lit(1)).alias("c")).agg(
+        F.coalesce(F.sum("c"), F.lit(0)).alias("rows"), F.count(_present_slots(slot)).alias("present"), F.count_if(F.col("c") > 1).alias("dupes")
+    )
+    one = silver_row.select(
+        *names,
+        F.struct("n", "a").alias("previous"),
+        peak_row.select(F.struct("*")).scalar().alias("p"),
+        profile_row.select(F.struct("*")).scalar().alias("s"),
+    )
+    zero = F.lit(0).cast("bigint")
+    return one.withColumns(
+        {
+            "distinct_timestamp_count": F.coalesce("distinct_timestamp_count", zero),
+            "current_row_count": F.coalesce("current_row_count", zero),
+            "slot_rows": F.col("s.rows"),
+            "missing_slot_count": (F.lit(SLOTS_PER_DAY) - F.col("s.present")).cast("bigint"),
+            "peak_duplicate_key_count": F.col("p.dupes"),
+            "profile_duplicate_key_count": F.col("s.dupes"),
+            "bad_peak_rows": F.col("p.above"),
+        }
+    ).drop("p", "s")
+
+
+def qa_suite(silver: DataFrame, peak: DataFrame, profile: DataFrame, run_date, days: list[str] | None = None) -> DataFrame:
+    """One status row per check, in fixed order, from one aggregate over each table."""
+    measured = suite_measures(silver, peak, profile, run_date, days)
+    statuses = {
+        "qa_freshness": _status(F.col("current_row_count") > 0),
+        "qa_completeness": _status(_complete()),
+        "qa_uniqueness": _status(_unique()),
+        "qa_nulls": _status(_no_nulls()),
+    }
+    judged = _judged(measured.withColumns({STATUS_COLUMNS[n]: s for n, s in statuses.items()}), run_date, list(STATUS_COLUMNS.values())[:-1])
+    rows = [F.struct(F.lit(i).alias("o"), F.lit(n).alias("n"), F.col(STATUS_COLUMNS[n]).alias("s")) for i, n in enumerate(CHECKS, start=1)]
+    out = judged.select("run_date", F.explode(F.array(*rows)).alias("x"))
+    return out.select(
+        F.col("x.o").alias("check_order"), F.col("x.n").alias("check_name"), "run_date", F.col("x.s").alias("status")
+    ).orderBy("check_order")
 
 
 def check_statuses(checks: dict[str, DataFrame]) -> list[dict]:

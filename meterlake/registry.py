@@ -22,7 +22,7 @@ from meterlake.operators.quality import baseline_from_moments, feeder_baseline,
 from meterlake.operators.silver import build_silver, calendar_columns, geometry_xy, with_strict_composite_id
 from meterlake.plans import insights as I
 from meterlake.plans import qa as Q
-from meterlake.plans.layers import Layers, StoredLayers, build_layers
+from meterlake.plans.layers import Layers, build_layers, stored_insights
 from meterlake.session import ensure_utc
 from meterlake.sources import bronze as B
 from meterlake.sources.fixtures import readings
@@ -325,15 +325,19 @@ def _qa(name: str, variant: str = "clean", run_date: str = RUN_DATE):
     return run
 
 
-def _stored(spark, sf, variant: str = "clean") -> StoredLayers:
-    return StoredLayers(_layers(spark, sf, variant))
-
-
 def q_qa_suite(spark, sf):
-    L = _stored(spark, sf)
+    L = _layers(spark, sf)
     return Q.qa_suite(L.silver, L.peak, L.profile, RUN_DATE)
 
 
+def _suite(variant: str, run_date: str):
+    def run(spark, sf):
+        L = _layers(spark, sf, variant)
+        return Q.qa_suite(L.silver, L.peak, L.profile, run_date)
+
+    return run
+
+
 # ---------------------------------------------------------------- insights and charts
 
 
@@ -343,13 +347,11 @@ def _gold(spark, sf, variant: str = "clean"):
 
 
 def q_insight_summary(spark, sf, variant: str = "clean"):
-    L = _stored(spark, sf, variant)
-    return f32_all(I.insight_summary(L.peak, L.profile))
+    return f32_all(I.summary_of(stored_insights(_layers(spark, sf, variant))))
 
 
 def q_insight_text(spark, sf):
-    L = _stored(spark, sf, "skewed")
-    return I.findings_text(I.insight_summary(L.peak, L.profile))
+    return I.findings_text(I.summary_of(stored_insights(_layers(spark, sf, "skewed"))))
 
 
 def _insight(fn, uses: str, variant: str = "clean"):
@@ -435,6 +437,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "qa_business_rules_dirty": _qa("qa_business_rules", "dirty"),
         "qa_business_rules_first_day": _qa("qa_business_rules", run_date=FIRST_DATE),
         "qa_suite": q_qa_suite,
+        "qa_suite_dirty": _suite("dirty", RUN_DATE),
+        "qa_suite_first_day": _suite("clean", FIRST_DATE),
+        "qa_suite_empty_day": _suite("clean", EMPTY_DATE),
         **{name: _insight(fn, uses) for name, (fn, uses) in INSIGHTS.items()},
         "insight_summary": q_insight_summary,
         "insight_summary_skewed": lambda spark, sf: q_insight_summary(spark, sf, "skewed"),

@@ -115,3 +115,41 @@ def test_gold_from_written_silver_reads_only_needed_columns(spark, tmp_warehouse
         assert "adjusted_total_consumption_active_import" in schema
         pushed = [line for line in plan(df).splitlines() if "PushedFilters" in line][0]
         assert "dq_action" in pushed  # the DROP filter reaches the scan
+
+
+def test_the_suite_reads_each_table_once(spark, tmp_warehouse):
+    from meterlake.sinks.writers import partition_days
+
+    L = build_layers(readings(spark, SF_SMALL))
+    base = f"{tmp_warehouse}/suite"
+    L.silver.write.partitionBy("collection_date").parquet(f"{base}/silver")
+    L.peak.write.partitionBy("consumption_date").parquet(f"{base}/peak")
+    L.profile.write.partitionBy("consumption_date").parquet(f"{base}/profile")
+    tables = [spark.read.parquet(f"{base}/{t}") for t in ("silver", "peak", "profile")]
+    days = partition_days(spark, f"{base}/silver", "collection_date")
+    for day in ("2024-01-12", "2024-01-01", "2024-03-01"):
+        suite = Q.qa_suite(*tables, day, days)
+        p = suite._jdf.queryExecution().executedPlan().toString()
+        assert p.count("FileScan parquet") == 3
+        checks = Q.run_checks(*tables, day, days)
+        want = [checks[n].first()[Q.STATUS_COLUMNS[n]] for n in Q.CHECKS]
+        assert [r.status for r in suite.collect()] == want
+        measures = Q.suite_measures(*tables, day, days).first().asDict()
+        for name in ("qa_completeness", "qa_uniqueness", "qa_nulls"):
+            row = checks[name].first().asDict()
+            assert {k: measures[k] for k in row if k in measures} == {k: v for k, v in row.items() if k in measures}
+
+
+def test_insights_from_groupings_equal_the_single_ones(spark):
+    from meterlake.registry import f32_all
+
+    for variant, where in (("dirty", "true"), ("clean", "false")):
+        L = build_layers(readings(spark, SF_SMALL, variant))
+        peak, profile = L.peak.where(where), L.profile.where(where)
+        grouped = I.grouped_insights(I.peak_groupings(peak), I.profile_groupings(profile))
+        for name, df in I.all_insights(peak, profile).items():
+            got = grouped[name]
+            assert got.dtypes == df.dtypes, name
+            assert sorted(map(str, f32_all(got).collect())) == sorted(map(str, f32_all(df).collect())), name
+    tree = I.peak_groupings(L.peak)._jdf.queryExecution().executedPlan().toString()
+    assert tree.count("Expand [") == 1

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from meterlake.config import load_config, parse_run_date
@@ -226,8 +227,7 @@ def test_rank_of_a_hot_group_split_across_partitions(spark):
         "aggregated_device_count_active bigint"
     )
     df = spark.createDataFrame(rows, schema).repartition(8)
-    ranked = peak_rank(df)
-    assert ranked.rdd.getNumPartitions() >= 1
+    ranked = peak_rank(df, hot_rows=50)
     hot = sorted((r.peak_rank, r.total_consumption_active_import, r.data_collection_log_timestamp)
                  for r in ranked.filter("secondary_substation_unique_id = 'HOT'").collect())
     assert [h[0] for h in hot] == list(range(1, 401))
@@ -236,3 +236,51 @@ def test_rank_of_a_hot_group_split_across_partitions(spark):
     assert ranked.filter("secondary_substation_unique_id = 'COLD'").collect()[0].peak_rank == 1
     copies = sorted(r.peak_rank for r in ranked.filter("secondary_substation_unique_id = 'COPY'").collect())
     assert copies == list(range(1, 301))
+
+
+@pytest.mark.parametrize("hot_rows", [0, 30, 10**6])
+def test_ranks_are_the_same_however_groups_are_cut(spark, hot_rows):
+    import random
+
+    from meterlake.operators import peak_rank
+
+    rng = random.Random(hot_rows)
+    values = [None, float("nan"), float("inf"), float("-inf"), 0.0, -3.5, 7.0, 7.0, 7.0] + [rng.uniform(-5, 50) for _ in range(40)]
+    times = [None] + [datetime(2024, 1, 1, h, m, s) for h in (0, 3, 23) for m in (0, 29, 30) for s in (0, 5)]
+    keys = [(date(2024, 1, 1), "A", "BIG"), (date(2024, 1, 1), None, "BIG"), (date(2024, 1, 2), "B", None), (None, None, "x"), (date(2024, 1, 3), "B", "few")]
+    rows = []
+    for i, key in enumerate(keys):
+        for k in range(3 if key[2] == "few" else 260):
+            v = 7.0 if i == 1 and k % 4 else rng.choice(values)
+            rows.append((*key, f"f{k % 5}", v, rng.choice(times), k))
+    schema = (
+        "collection_date date, dno_alias string, secondary_substation_unique_id string, composite_feeder_id string, "
+        "total_consumption_active_import double, data_collection_log_timestamp timestamp, n bigint"
+    )
+    ranked = peak_rank(spark.createDataFrame(rows, schema).repartition(6), hot_rows)
+    got = {}
+    for r in ranked.collect():
+        got.setdefault(tuple(r)[:3], []).append((r.peak_rank, r.total_consumption_active_import, r.data_collection_log_timestamp))
+
+    def order(value, time):
+        size = (2, 0.0) if value is None else (0, 0.0) if value != value else (1, -value)
+        return (*size, time is not None, time or datetime(1970, 1, 1))
+
+    for key in keys:
+        want = sorted(((r[4], r[5]) for r in rows if r[:3] == key), key=lambda x: order(*x))
+        mine = sorted(got[key], key=lambda x: x[0])
+        assert [m[0] for m in mine] == list(range(1, len(want) + 1))
+        assert [order(*m[1:]) for m in mine] == [order(*w) for w in want]
+
+
+def test_peak_rank_is_lazy_and_reads_what_is_asked_for(spark, tmp_warehouse):
+    from meterlake.operators import peak_rank
+    from meterlake.plans.layers import build_layers
+
+    path = f"{tmp_warehouse}/gold_in"
+    build_layers(readings(spark, SF_SMALL)).gold_in.write.parquet(path)
+    df = peak_rank(spark.read.parquet(path)).select("secondary_substation_unique_id", "peak_rank", "total_consumption_active_import")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in plan and "rangepartitioning" not in plan
+    main = [line for line in plan.splitlines() if "ReadSchema" in line and "geometry" in line]
+    assert not main
