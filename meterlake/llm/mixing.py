@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterlake.llm.line_rules import words_of
-from meterlake.llm.shared import materialize, ranked, release
+from meterlake.llm.shared import fresh, materialize, ranked, release
 
 # Fixed values of the mix.
 WEIGHTS = (3, 1, 2)
@@ -180,12 +180,15 @@ def with_copies(
     """
     values = measured(docs, id_col, text_col, source_col)
     plan = plan_sources(materialize(docs.select(*[c.alias(n) for n, c in values.items()]), "mix-rows"), share)
-    plan = plan.select(*[F.col(c).alias(f"_mix_{c}") for c in plan.columns])
-    both = docs.join(plan, values["source"].eqNullSafe(plan["_mix_source"]))
-    rate = rate_of(F.col("_mix_tilt"), F.col("_mix_mean"), values["size"])
-    copies = copies_of(rate, values["dither"], F.col("_mix_shift"), values["size"])
-    return both.withColumn("_mix_copies", copies).where("_mix_copies > 0").select(
-        *[docs[c] for c in docs.columns if c.lower() != "copies"], F.col("_mix_copies").alias("copies")
+    # names that docs does not have
+    own = {c: fresh(docs, f"_mix_{c}") for c in plan.columns}
+    plan = plan.withColumnsRenamed(own)
+    both = docs.join(plan, values["source"].eqNullSafe(plan[own["source"]]))
+    rate = rate_of(plan[own["tilt"]], plan[own["mean"]], values["size"])
+    taken = fresh(docs, "_mix_copies")
+    copies = copies_of(rate, values["dither"], plan[own["shift"]], values["size"])
+    return both.withColumn(taken, copies).where(F.col(taken) > 0).select(
+        *[docs[c] for c in docs.columns if c.lower() != "copies"], F.col(taken).alias("copies")
     )
 
 

@@ -177,12 +177,14 @@ def jaccard_components(
     bits = spark.sparkContext.broadcast(Bitmap.of(shared, "gram", shared.count()))
     same = [F.first(c).alias(c) for c in ("n", "at", "hub")]
     block = materialize(first_block(bits).join(shared, "gram").groupBy("gram", "sid").agg(*same), "jaccard-block")
+    bits.destroy()
+    order.destroy()
 
     # product of each gram's rows with one of them
     hubs = block.where("sid = hub").select("gram", "sid", "n", "at")
     first = block.where("sid <> hub").alias("a").join(hubs.alias("b"), F.col("a.gram") == F.col("b.gram")).where(may_reach("a", "b"))
     tested = materialize(first.select(F.greatest("a.sid", "b.sid").alias("a"), F.least("a.sid", "b.sid").alias("b")).distinct(), "jaccard-pairs")
-    links = verified(tested, block, rows)
+    links = verified(tested, block, rows, described)
     roots = components(links)
 
     def open_now() -> DataFrame:
@@ -202,7 +204,7 @@ def jaccard_components(
         hub = hub.select("gram", *[F.col(f"hub.{c}").alias(c) for c in ("sid", "n", "at", "root")])
         met = rest.alias("a").join(hub.alias("b"), F.col("a.gram") == F.col("b.gram"))
         pairs = materialize(untested(met.where((F.col("a.root") != F.col("b.root")) & may_reach("a", "b")), tested), "jaccard-pairs")
-        found = verified(pairs, block, rows)
+        found = verified(pairs, block, rows, described)
         release(rest)
         tested = tested.unionByName(pairs)
         if found.isEmpty():
@@ -218,7 +220,7 @@ def jaccard_components(
     across = F.col("a.root") != F.col("b.root")
     once = (F.col("b.root") == F.col("a.main")) | (F.col("a.sid") < F.col("b.sid"))
     met = minor.join(rest.alias("b"), (F.col("a.gram") == F.col("b.gram")) & across & once & may_reach("a", "b"))
-    more = verified(untested(met, tested), block, rows)
+    more = verified(untested(met, tested), block, rows, described)
     final = extend(more).withColumnRenamed("node", "sid")
     release(links, more, rest, block, shared)
 
@@ -255,21 +257,27 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return marked.join(kept, same, "left_semi").dropDuplicates([id_col, mark]).drop(mark)
 
 
-def gather_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(sid, grams) of the wanted sets, each once, written. A bitmap drops most others before the join."""
+def gather_sets(rows: DataFrame, wanted: DataFrame, described: DataFrame) -> DataFrame:
+    """(sid, grams) of the wanted sets, each once, written.
+
+    ``described`` gives one text of each set by its hash; a bitmap of those hashes
+    leaves out nearly all other texts before they are cut into grams.
+    """
     count = wanted.count()
     if not count:
         return rows.sparkSession.createDataFrame([], "sid long, grams binary")
-    bits = rows.sparkSession.sparkContext.broadcast(Bitmap.of(wanted, "sid", count))
+    marks = described.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.min("mark").alias("mark"))
+    bits = rows.sparkSession.sparkContext.broadcast(Bitmap.of(marks, "mark", count))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
+            batch = batch.filter(pa.array(bits.value.has(batch.column(2).to_numpy())))
             sids, sets, size = [], [], 0
             for _, text in texts(batch):
                 grams = gram_set(text)
                 sid = set_id(grams)
-                if sid in seen or not bits.value.has(np.array([sid], np.int64))[0]:
+                if sid in seen:
                     continue
                 seen.add(sid)
                 sids.append(sid)
@@ -281,8 +289,10 @@ def gather_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
             if sids:
                 yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(sets, pa.binary())], ["sid", "grams"])
 
-    found = rows.mapInArrow(run, "sid long, grams binary")
-    return materialize(found.join(wanted, "sid", "left_semi").dropDuplicates(["sid"]), "jaccard-sets")
+    found = rows.withColumn("mark", F.xxhash64("text")).mapInArrow(run, "sid long, grams binary")
+    out = materialize(found.join(wanted, "sid", "left_semi").dropDuplicates(["sid"]), "jaccard-sets")
+    bits.destroy()
+    return out
 
 
 def untested(met: DataFrame, tested: DataFrame) -> DataFrame:
@@ -308,10 +318,10 @@ def likely(pairs: DataFrame, block: DataFrame) -> DataFrame:
     return both.where((100 + PERCENT) * most >= PERCENT * (F.col("na") + F.col("nb"))).select("a", "b")
 
 
-def verified(pairs: DataFrame, block: DataFrame, rows: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, block: DataFrame, rows: DataFrame, described: DataFrame) -> DataFrame:
     """The pairs (a, b) whose whole sets overlap enough, written."""
     pairs = materialize(likely(pairs, block), "jaccard-likely")
-    sets = gather_sets(rows, pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "sid"))
+    sets = gather_sets(rows, pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "sid"), described)
     left = sets.select(F.col("sid").alias("a"), F.col("grams").alias("left"))
     right = sets.select(F.col("sid").alias("b"), F.col("grams").alias("right"))
 

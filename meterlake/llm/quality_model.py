@@ -174,6 +174,9 @@ def keep_good(docs: DataFrame, model: np.ndarray, least: float = 0.5, text_col:
                 s = min(35.0, max(-35.0, float(w[-1]) + float(w[at] @ x)))
                 on.append(1.0 / (1.0 + np.exp(-s)) >= least)
             yield batch.filter(pa.array(on, pa.bool_()))
+        # the worker goes on to other work, which has no use for these words
+        _WORD.forget()
+        _SHAPE.forget()
 
     return docs.mapInArrow(run, docs.schema)
 

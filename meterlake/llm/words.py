@@ -20,6 +20,10 @@ class Recent(dict):
     def __init__(self, compute):
         self.compute, self.old = compute, {}
 
+    def forget(self) -> None:
+        self.clear()
+        self.old = {}
+
     def has(self, key) -> bool:
         return key in self or key in self.old
 

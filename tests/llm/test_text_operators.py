@@ -60,7 +60,7 @@ def messy_rows():
 def messy(spark, messy_rows):
     """The same with columns named like those that operators use inside."""
     df = frame(spark, messy_rows).repartition(5)
-    names = "sid n at gram key words lines root mark rate copies row pair hub doc c l r shard label _mark".split()
+    names = "sid n at gram key words lines root mark rate copies row pair hub doc c l r shard label _mark _mix_tilt _mix_mean _mix_source _mix_copies".split()
     return df.select("*", *[F.lit(i).alias(x) for i, x in enumerate(names)])
 
 
