@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -129,16 +129,17 @@ def register_tables(
     """Temp views over parquet folders: ``name -> (folder, partition column or None, schema)``.
 
     Schemas are declared, so no file is opened for them, and a folder that is not
-    there yet is an empty table. Partitions are discovered from the folder names;
-    the view only shows days from ``first_day`` up to today, so older folders stay
-    invisible and a filter on the partition column prunes folders before any file
-    is opened.
+    there yet is an empty table. The partitions of a view are those from ``first_day`` up
+    to today: their paths are computed from the day names at the top of the table, and
+    only these folders are listed. A filter on the partition column prunes them further
+    before any file is opened. Days that are written later come in when the view is registered again.
     """
+    today = str(datetime.now(timezone.utc).date())
     for name, (path, key, schema) in tables.items():
-        files, folder = _folder(spark, path)
-        df = spark.read.schema(schema).parquet(path) if files.exists(folder) else spark.createDataFrame([], schema)
+        paths = [path] if folder_exists(spark, path) else []
         if key:
-            df = df.filter((F.col(key) >= F.lit(first_day).cast("date")) & (F.col(key) <= F.current_date()))
+            paths = [partition_path(path, key, d) for d in partition_days(spark, path, key) if first_day <= d <= today]
+        df = spark.read.schema(schema).option("basePath", path).parquet(*paths) if paths else spark.createDataFrame([], schema)
         df.createOrReplaceTempView(name)
     return list(tables)
 

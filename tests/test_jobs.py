@@ -194,6 +194,10 @@ def test_registered_views_hide_days_outside_the_projected_range(spark, tmp_wareh
     register_tables(spark, {"proj_view": (base, "d", df.schema), "absent_view": (f"{base}-none", "d", df.schema)})
     assert spark.table("absent_view").count() == 0
     assert [str(r.d) for r in spark.table("proj_view").collect()] == ["2024-01-02"]
+    # the folders of other days are not even listed
+    assert [f.split("/")[-2] for f in spark.table("proj_view").inputFiles()] == ["d=2024-01-02"]
+    register_tables(spark, {"none_view": (base, "d", df.schema)}, first_day="2024-02-01")
+    assert spark.table("none_view").count() == 0
 
 
 def _moments_config(spark, tmp_warehouse, files: int = 4):
