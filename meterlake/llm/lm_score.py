@@ -11,7 +11,9 @@ Every training word is a token, as a context and after one, and every pair count
 also one seen once; a word that training lacks is the token OTHER. The commonest
 words have small numbers, all others a hash. Counts of words and of token pairs
 grow with the corpus and stay with Spark: the commonest (tables of fixed size) are
-a cache in the tasks, all others meet their exact counts in joins.
+a cache in the tasks, all others meet their exact counts in joins. What a learned
+text has and neither the cache nor the bitmap of counts above 1 holds occurs once,
+in that text.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,17 +32,22 @@ from pyspark.sql import functions as F
 from meterlake.llm.shared import Bitmap, commonest, crc_part, materialize, narrow, release, texts
 from meterlake.llm.words import mix, spark_hash
 
-#: Words and pairs whose counts the tasks have at hand; such words have small numbers as tokens.
+#: Words that have small numbers as tokens; more words and pairs whose counts the tasks have at hand, by hash.
 HOT_WORDS = VOCABULARY = 2**17
-HOT_PAIRS = 2**18
+MORE_WORDS = 2**20
+HOT_PAIRS = 2**20
 #: Pairs seen so often in training have an estimate of their own: all.
 LEAST_PAIR = 1
-#: Smoothing of word counts, and steps of expectation-maximisation.
+#: Smoothing of word counts.
 ADD = 0.1
-EM_STEPS = 8
-BUCKETS = 12
-#: Entries of a task's tables of partial counts.
+#: Expectation-maximisation ends when no weight moves more than this, or after so many steps.
+EM_CLOSE, EM_STEPS = 1e-3, 200
+#: Buckets of context counts by powers of two, beyond any count.
+BUCKETS = 64
+#: Entries of a task's tables of partial counts, token pairs that are counted at once, bytes of text that are scored at once.
 PARTIAL = 300_000
+PAIRS_AT_ONCE = 3_000_000
+CHUNK = 1_000_000
 
 # Numbers of the tokens that are not hot words; all other words have negative numbers.
 OTHER, END = VOCABULARY, VOCABULARY + 1
@@ -71,10 +78,15 @@ class Words:
     """Counts of the training words: what tasks need of them."""
 
     number: dict[bytes, int]  # of the hot words, commonest first
-    n: np.ndarray  # their counts
     tokens: np.ndarray  # counts by token: hot words, OTHER, END
+    held: np.ndarray  # the part of them in held-out texts
+    more: np.ndarray  # hashes of further words, sorted, and their counts
+    more_n: np.ndarray
+    documents: int
+    held_documents: int
     kinds: int  # V, with the end
     total: int  # N, with the ends
+    held_total: int
 
     @property
     def uniform(self) -> float:
@@ -85,6 +97,12 @@ class Words:
     def words(self) -> int:
         return self.kinds - (self.tokens[END] > 0)
 
+    def contexts(self, held: bool = False) -> np.ndarray:
+        """How often each small number is a context: a word as often as it comes, START once a text."""
+        out = (self.held if held else self.tokens).copy()
+        out[END], out[START] = 0, self.held_documents if held else self.documents
+        return out
+
 
 def word_counts(train: DataFrame) -> DataFrame:
     """(word, n, held) over the training texts, and the part in held-out texts; tasks add up first."""
@@ -110,124 +128,149 @@ def word_counts(train: DataFrame) -> DataFrame:
     return rows.mapInArrow(count, "word binary, n long, held long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("held").alias("held"))
 
 
-def gather_words(counts: DataFrame, documents: int) -> Words:
-    """counts: the table of word_counts, written."""
-    row = counts.agg(F.count("*").alias("kinds"), F.coalesce(F.sum("n"), F.lit(0)).alias("total")).first()
-    top = commonest(counts.select("word", "n"), "n", HOT_WORDS)[0].toArrow().sort_by([("n", "descending"), ("word", "ascending")])
-    n = top["n"].to_numpy()
-    by_token = np.zeros(SIDE, dtype=np.int64)
-    by_token[: min(len(n), VOCABULARY)] = n[:VOCABULARY]
-    by_token[END] = documents
-    number = {w: i for i, w in enumerate(top["word"].to_pylist())}
-    return Words(number, n, by_token, row["kinds"] + (documents > 0), row["total"] + documents)
+def cold_words(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, id, n, held) of the words that are not hot: those at hand in the tasks, and all others."""
+    rest = commonest(counts, "n", HOT_WORDS)[1]
+    return commonest(rest.select(F.xxhash64("word").alias("key"), F.expr("xxhash64(word) | shiftleft(1L, 63)").alias("id"), "n", "held"), "n", MORE_WORDS)
 
 
-def ranks(words: list[bytes], number: dict[bytes, int]) -> np.ndarray:
-    """The words' places among the hot words; -1 for all others."""
-    return np.fromiter(map(number.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+def gather_words(counts: DataFrame, documents: int, held_documents: int, more: DataFrame | None = None) -> Words:
+    """counts: the table of word_counts, written; ``more``: the first part of cold_words."""
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
+    row = counts.agg(F.count("*").alias("kinds"), total("n"), total("held")).first()
+    top = commonest(counts, "n", HOT_WORDS)[0].toArrow().sort_by([("n", "descending"), ("word", "ascending")])
+    by_token, held = np.zeros(SIDE, dtype=np.int64), np.zeros(SIDE, dtype=np.int64)
+    by_token[: len(top)], held[: len(top)] = top["n"].to_numpy(), top["held"].to_numpy()
+    by_token[END], held[END] = documents, held_documents
+    number = {w: i for i, w in enumerate(top["word"].to_pylist())}
+    none = np.empty(0, np.int64)
+    far = more.select("id", "n").toArrow().sort_by("id") if more is not None else {"id": none, "n": none}
+    ids, n = (np.asarray(far[c]) for c in ("id", "n"))  # of fixed size
+    kinds = row["kinds"] + (documents > 0)
+    return Words(number, by_token, held, ids, n, documents, held_documents, kinds, row["n"] + documents, row["held"] + held_documents)
 
 
 def word_id(word: bytes) -> int:
     """The token of a word that is not hot: a hash below zero."""
-    return xxhash.xxh64_intdigest(word, seed=42) | 1 << 63
+    return (xxhash.xxh64_intdigest(word, seed=42) | 1 << 63) - (1 << 64)
 
 
-def pairs_of(found: list[bytes], rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The token pairs of a text, from START to END: contexts and the tokens after them."""
-    ids = np.empty(len(rank) + 2, dtype=np.int64)
-    ids[0], ids[-1] = START, END
-    ids[1:-1] = rank
+def pairs_of(found: list[list[bytes]], number: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The token pairs of some texts, each from START to END: contexts, the tokens after them, and the text's place."""
+    size = np.array([len(words) for words in found], dtype=np.int64)
+    words = list(chain.from_iterable(found))
+    rank = np.fromiter(map(number.get, words, repeat(-1)), dtype=np.int64, count=len(words))
     cold = np.flatnonzero(rank < 0)
-    ids[cold + 1] = np.fromiter((word_id(found[k]) for k in cold.tolist()), dtype=np.uint64, count=len(cold)).view(np.int64)
-    return ids[:-1], ids[1:]
+    rank[cold] = np.fromiter((word_id(words[k]) for k in cold.tolist()), dtype=np.int64, count=len(cold))
+    ids = np.full(len(words) + 2 * len(found), START, dtype=np.int64)
+    ids[np.arange(len(words)) + 2 * np.repeat(np.arange(len(found)), size) + 1] = rank
+    ids[np.cumsum(size + 2) - 1] = END
+    return ids[ids != END], ids[ids != START], np.repeat(np.arange(len(found)), size + 1)
 
 
 def pair_id(context: np.ndarray, token: np.ndarray) -> np.ndarray:
     """context * SIDE + token of small numbers, a hash below zero of others."""
     with np.errstate(over="ignore"):
         mixed = mix(mix(context.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15) + token.view(np.uint64)) | np.uint64(1 << 63)
-    return np.where((context < 0) | (token < 0), mixed.view(np.int64), context * SIDE + token)
+        return np.where((context < 0) | (token < 0), mixed.view(np.int64), context * SIDE + token)
+
+
+def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[list[bytes]], np.ndarray]]:
+    """Of rows (doc_id, text, mark): ids, words and marks of some texts at a time, whole texts and about CHUNK bytes."""
+    for batch in batches:
+        ids, found, marks, size = [], [], [], 0
+        for (doc_id, text), mark in zip(texts(batch), batch.column(2).to_pylist()):
+            ids.append(doc_id)
+            found.append(tokens(text))
+            marks.append(bool(mark))
+            size += len(text)
+            if size >= CHUNK:
+                yield ids, found, np.array(marks)
+                ids, found, marks, size = [], [], [], 0
+        if ids:
+            yield ids, found, np.array(marks)
 
 
 def pair_counts(train: DataFrame, words: Words, held) -> DataFrame:
-    """(pair, context, token, n, held) over the training texts: the count of each token pair, and its part in held-out texts."""
+    """(pair, n, held) over the training texts: the count of each token pair, and its part in held-out texts."""
     shipped = train.sparkSession.sparkContext.broadcast(words.number)
     rows = train.withColumn("held", held)
-    names = ["pair", "context", "token", "n", "held"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[tuple] = []
         size = 0
-        for batch in batches:
-            for (_, text), out in zip(texts(batch), batch.column(2).to_pylist()):
-                found = tokens(text)
-                context, token = pairs_of(found, ranks(found, shipped.value))
-                parts.append((context, token, np.full(len(token), bool(out))))
-                size += len(token)
-                if size >= 4 * PARTIAL:
-                    yield as_batch(parts)
-                    parts, size = [], 0
+        for _, found, out in chunks(batches):
+            context, token, of = pairs_of(found, shipped.value)
+            parts.append((pair_id(context, token), out[of]))
+            size += len(of)
+            if size >= PAIRS_AT_ONCE:
+                yield as_batch(parts)
+                parts, size = [], 0
         if parts:
             yield as_batch(parts)
 
     def as_batch(parts: list[tuple]) -> pa.RecordBatch:
-        context, token, out = (np.concatenate(p) for p in zip(*parts))
-        pairs, first, where = np.unique(pair_id(context, token), return_index=True, return_inverse=True)
-        n = np.bincount(where, minlength=len(pairs))
-        h = np.bincount(where[out], minlength=len(pairs))
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (pairs, context[first], token[first], n, h)], names)
-
-    return rows.mapInArrow(count, ", ".join(f"{c} long" for c in names)).groupBy("pair", "context", "token").agg(
-        F.sum("n").alias("n"), F.sum("held").alias("held")
-    )
+        pairs, out = (np.concatenate(p) for p in zip(*parts))
+        order = np.argsort(pairs)
+        pairs = pairs[order]
+        first = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1]))
+        n = np.diff(np.append(first, len(pairs)))
+        h = np.add.reduceat(out[order].astype(np.int64), first)
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (pairs[first], n, h)], ["pair", "n", "held"])
+
+    return rows.mapInArrow(count, "pair long, n long, held long").groupBy("pair").agg(F.sum("n").alias("n"), F.sum("held").alias("held"))
 
 
-def per_context(pairs: DataFrame, n: str) -> np.ndarray:
-    """Sums of n by context, of the small numbers; a table of fixed size."""
-    rows = pairs.where("context >= 0").groupBy("context").agg(F.sum(F.expr(n)).alias("n")).toArrow()
-    out = np.zeros(SIDE, dtype=np.int64)
-    out[rows["context"].to_numpy()] = rows["n"].to_numpy()
-    return out
+def sides_of(rows: DataFrame, words: Words) -> DataFrame:
+    """(pair, context, token), each once, of the pairs with a word that is not hot."""
+    shipped = rows.sparkSession.sparkContext.broadcast(words.number)
 
+    def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, found, _ in chunks(batches):
+            context, token, _ = pairs_of(found, shipped.value)
+            far = (context < 0) | (token < 0)
+            context, token = context[far], token[far]
+            pairs, first = np.unique(pair_id(context, token), return_index=True)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (pairs, context[first], token[first])], ["pair", "context", "token"])
 
-def per_token(pairs: DataFrame) -> np.ndarray:
-    """Held-out counts by token, of the small numbers; a table of fixed size."""
-    rows = pairs.where("held > 0 AND token >= 0").groupBy("token").agg(F.sum("held").alias("n")).toArrow()
-    out = np.zeros(SIDE, dtype=np.int64)
-    out[rows["token"].to_numpy()] = rows["n"].to_numpy()
-    return out
+    found = rows.withColumn("mark", F.lit(True)).mapInArrow(sides, "pair long, context long, token long")
+    return found.groupBy("pair").agg(F.min("context").alias("context"), F.min("token").alias("token"))
 
 
-def with_counts(rows: DataFrame, cold: DataFrame | None, n: str = "n") -> DataFrame:
-    """rows with ``context_n`` and ``token_n``: ``n`` of the words of negative numbers, 0 for those cold lacks and small numbers."""
+def with_counts(rows: DataFrame, cold: DataFrame, n: str = "n") -> DataFrame:
+    """rows with ``context_n`` and ``token_n``: ``n`` of the words of negative numbers that cold has, else what the rows have."""
     for side in ("context", "token"):
-        name = f"{side}_n"
-        if cold is None:
-            rows = rows.withColumn(name, F.lit(0).cast("long"))
-            continue
-        found = cold.select(F.col("id").alias("cold"), F.expr(n).alias(name))
+        found = cold.select(F.col("id").alias("cold"), F.expr(n).alias("found"))
         # small numbers meet nothing: they are spread out, not gathered by word
         key = F.when(F.col(side) < 0, F.col(side)).otherwise(F.xxhash64(*rows.columns).bitwiseAND(2**63 - 1))
-        rows = rows.withColumn("cold", key).join(found, "cold", "left").drop("cold")
-        rows = rows.withColumn(name, F.coalesce(name, F.lit(0).cast("long")))
+        rows = rows.withColumn("cold", key).join(found, "cold", "left")
+        rows = rows.withColumn(f"{side}_n", F.coalesce("found", f"{side}_n")).drop("cold", "found")
     return rows
 
 
-def learn_weights(pairs: DataFrame, words: Words, cold: DataFrame | None = None) -> np.ndarray:
+def learn_weights(pairs: DataFrame, words: Words, sides: DataFrame | None = None, cold: DataFrame | None = None) -> np.ndarray:
     """Mixture weights (BUCKETS x 3: pair, token, uniform) by EM on the held-out counts.
 
-    Each step is one aggregate over the pairs that the held-out texts have: the
-    sums of responsibilities, a row for each bucket. ``cold`` has (id, n, held) of
-    the words that are not hot. A bucket without held-out
-    counts keeps its first weights; an unseen context gives the pair none.
+    Each step is one aggregate over the held-out pairs, equal estimates together:
+    the sums of responsibilities, a row for each bucket. ``sides`` has the tokens of
+    the held-out pairs with a word that is not hot, ``cold`` (id, n, held) of those
+    words. A bucket without held-out counts keeps its first weights; an unseen
+    context gives the pair none.
     """
-    held = pairs.where("held > 0")
     spark = pairs.sparkSession
-    kept = per_context(pairs, "(n - held)")
-    tokens_left = words.tokens - per_token(pairs)
-    all_n = max(1, words.total - (pairs.agg(F.sum("held")).first()[0] or 0))
-    shipped = spark.sparkContext.broadcast((kept, tokens_left))  # of fixed size
+    kept = words.contexts() - words.contexts(held=True)
+    left = words.tokens - words.held
+    all_n = max(1, words.total - words.held_total)
+    shipped = spark.sparkContext.broadcast((kept, left))  # of fixed size
     uniform = words.uniform
+    nothing = F.lit(0).cast("long")
+    held = pairs.where("held > 0").withColumns({"context_n": nothing, "token_n": nothing})
+    near = held.where("pair >= 0").withColumns({"context": F.expr(f"pair div {SIDE}L"), "token": F.expr(f"pair % {SIDE}L")})
+    cols = ["context", "token", "n", "held", "context_n", "token_n"]
+    rows = near.select(cols)
+    if sides is not None:
+        far = held.where("pair < 0").join(sides, "pair").select(cols)
+        rows = rows.unionByName(with_counts(far, cold.where("n > held"), "n - held").select(cols))
 
     def estimates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context_n, token_n = shipped.value
@@ -240,13 +283,8 @@ def learn_weights(pairs: DataFrame, words: Words, cold: DataFrame | None = None)
                 ["bucket", "p2", "p1", "held"],
             )
 
-    held = with_counts(held.select("context", "token", "n", "held"), cold, "n - held")
-    rows = materialize(
-        held.select("context", "token", "n", "held", "context_n", "token_n").mapInArrow(
-            estimates, "bucket long, p2 double, p1 double, held long"
-        ),
-        "lm-held",
-    )
+    rows = rows.mapInArrow(estimates, "bucket long, p2 double, p1 double, held long").groupBy("bucket", "p2", "p1").agg(F.sum("held").alias("held"))
+    rows = materialize(rows, "lm-held")
     weights = np.tile([0.4, 0.5, 0.1], (BUCKETS, 1))
     weights[0] = [0.0, 0.9, 0.1]
     for _ in range(EM_STEPS):
@@ -257,12 +295,16 @@ def learn_weights(pairs: DataFrame, words: Words, cold: DataFrame | None = None)
         sums = (
             rows.groupBy("bucket")
             .agg(F.sum(a * share).alias("a"), F.sum(b * share).alias("b"), F.sum(c * share).alias("c"))
-            .collect()  # BUCKETS rows
+            .collect()  # BUCKETS rows at most
         )
+        before = weights.copy()
         for r in sums:
             part = np.array([r["a"], r["b"], r["c"]])
             weights[r["bucket"]] = part / part.sum()
+        if np.abs(weights - before).max() <= EM_CLOSE:
+            break
     release(rows)
+    shipped.unpersist()
     # every token stays possible
     weights = np.maximum(weights, 1e-6)
     weights[0, 0] = 0.0
@@ -273,7 +315,7 @@ def learn_weights(pairs: DataFrame, words: Words, cold: DataFrame | None = None)
 class Model:
     words: Words
     weights: np.ndarray
-    context: np.ndarray  # sums of the pairs' counts by context, of the small numbers
+    context: np.ndarray  # how often the small numbers are contexts
     hot: np.ndarray  # commonest pairs, sorted, and their counts
     hot_n: np.ndarray
 
@@ -287,10 +329,13 @@ class Model:
         w = self.weights[bucket(seen)]
         return w[:, 0] * n / np.maximum(1, seen) + w[:, 1] * token_n / max(1, self.words.total) + w[:, 2] * self.words.uniform
 
-    def price(self, context: np.ndarray, token: np.ndarray, n: np.ndarray, far_context: np.ndarray, far_token: np.ndarray) -> np.ndarray:
-        """log10 of the probabilities; the far counts hold for negative numbers."""
-        seen = np.where(context < 0, far_context, self.context[np.maximum(0, context)])
-        return np.log10(self.mixed(n, seen, np.where(token < 0, far_token, self.words.tokens[np.maximum(0, token)])))
+
+def found_in(table: np.ndarray, counts: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether the sorted table has each key, and its count there."""
+    if not len(table):
+        return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
+    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    return table[at] == keys, counts[at]
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -305,21 +350,19 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     spark = docs.sparkSession
     rows = narrow(docs, id_col, text_col)
     train = rows.where(training(F.col("doc_id")))
-    documents = train.select("doc_id").count()
-    counts = materialize(word_counts(train), "lm-words")
-    words = gather_words(counts, documents)
     held = held_out(F.col("doc_id"))
-    rare = commonest(counts, "n", HOT_WORDS)[1]
-    cold_words = rare.select(F.xxhash64("word").alias("key"), F.expr("xxhash64(word) | shiftleft(1L, 63)").alias("id"), "n", "held")
+    sizes = train.agg(F.count("*").alias("n"), F.coalesce(F.sum(held.cast("long")), F.lit(0)).alias("held")).first()
+    counts = materialize(word_counts(train), "lm-words")
+    more, cold = cold_words(counts)
+    words = gather_words(counts, sizes["n"], sizes["held"], more)
     pairs = materialize(pair_counts(train, words, held), "lm-pairs")
-    weights = learn_weights(pairs, words, cold_words)
-    hot, rest = commonest(pairs.where("pair >= 0").drop("held"), "n", HOT_PAIRS)
-    top = hot.select("pair", "n").toArrow().sort_by("pair")  # of fixed size
-    model = Model(words, weights, per_context(pairs, "n"), top["pair"].to_numpy(), top["n"].to_numpy())
-    cold_pairs = pairs.where("pair < 0").drop("held").unionByName(rest)
-    pair_keys = cold_pairs.where("n > 1").select(F.xxhash64("pair").alias("key"))
-    pair_bits = Bitmap.of(pair_keys, "key", pair_keys.count())
-    twice = cold_words.where("n > 1")
+    weights = learn_weights(pairs, words, sides_of(train.where(held), words), more.unionByName(cold))
+    hot, rest = commonest(pairs.select("pair", "n"), "n", HOT_PAIRS)
+    top = hot.toArrow().sort_by("pair")  # of fixed size
+    model = Model(words, weights, words.contexts(), top["pair"].to_numpy(), top["n"].to_numpy())
+    often = rest.where("n > 1").select(F.xxhash64("pair").alias("key"))
+    pair_bits = Bitmap.of(often, "key", often.count())
+    twice = cold.where("n > 1")
     word_bits = Bitmap.of(twice, "key", twice.count())
     shipped = spark.sparkContext.broadcast((model, pair_bits, word_bits))  # tables of bounded size
 
@@ -328,31 +371,40 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     parts = rows.withColumn("learned", training(F.col("doc_id"))).mapInArrow(local, _PARTS)
     parts = materialize(parts.withColumn("row", F.monotonically_increasing_id()), "lm-parts")
-    far_words = parts.select("row", F.explode(F.arrays_zip("words", "word_n")).alias("w"))
-    far_words = far_words.select("row", F.col("w.words").alias("key"), F.col("w.word_n").alias("k"))
-    seen = F.coalesce(F.col("n"), F.lit(0))
-    share = F.col("k") * F.log10(seen + ADD)
-    found = F.when(seen > 0, F.col("k")).otherwise(0).cast("long")
-    by_word = far_words.join(cold_words, "key", "left").select(
-        "row", share.alias("base"), F.lit(0.0).alias("own"), found.alias("known")
-    )
-    far_pairs = parts.select("row", F.explode(F.arrays_zip("contexts", "followers", "pair_n")).alias("p"))
-    far_pairs = far_pairs.select("row", F.col("p.contexts").alias("context"), F.col("p.followers").alias("token"), F.col("p.pair_n").alias("k"))
+    one = lambda names: parts.select("row", F.explode(F.arrays_zip(*names)).alias("x")).select("row", *[f"x.{c}" for c in names])
+
+    # pairs seen once matter to texts that were not learned alone
+    asked = parts.where("NOT learned").select(F.explode(F.concat("pairs", "far_pairs")).alias("pair")).select(F.xxhash64("pair").alias("key"))
+    asked_bits = spark.sparkContext.broadcast(Bitmap.of(asked, "key", asked.count()))
+
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(asked_bits.value.has(spark_hash(batch.column(0).to_numpy()))))
+
+    known = rest.where("n > 1").unionByName(rest.where("n = 1").mapInArrow(wanted, rest.schema)).withColumnRenamed("n", "found")
+    meet = lambda far: far.join(known, "pair", "left").withColumn("n", F.coalesce("found", "n")).drop("found", "pair")
+    near = meet(one(["pairs", "n", "context_n", "token_n"]).withColumnRenamed("pairs", "pair"))
+    far = one(["far_pairs", "far_n", "context", "token", "far_context_n", "far_token_n"])
+    far = meet(far.toDF("row", "pair", "n", "context", "token", "context_n", "token_n"))
+    cols = ["row", "n", "context_n", "token_n"]
 
     def price(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shipped.value[0]
         for batch in batches:
-            row, k, *counted = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(k * m.price(*counted))], ["row", "own"])
-
-    joined = far_pairs.join(cold_pairs.drop("pair"), ["context", "token"], "left").withColumn("n", seen)
-    joined = with_counts(joined, cold_words).select("row", "k", "context", "token", "n", "context_n", "token_n")
-    none = [F.lit(0.0).alias("base"), "own", F.lit(0).cast("long").alias("known")]
-    by_pair = joined.mapInArrow(price, "row long, own double").select("row", *none)
-    far = by_word.unionByName(by_pair).groupBy("row").agg(*[F.sum(c).alias(f"far_{c}") for c in ("base", "own", "known")])
+            row, *counted = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(np.log10(shipped.value[0].mixed(*counted)))], ["row", "own"])
+
+    priced = near.select(cols).unionByName(with_counts(far, cold).select(cols)).mapInArrow(price, "row long, own double")
+    by_pair = priced.select("row", F.lit(0.0).alias("base"), "own", F.lit(0).cast("long").alias("known"))
+    far_words = parts.select("row", F.explode("words").alias("id")).join(cold.select("id", "n"), "id", "left")
+    seen = F.coalesce(F.col("n"), F.lit(0))
+    by_word = far_words.select("row", F.log10(seen + ADD).alias("base"), F.lit(0.0).alias("own"), (seen > 0).cast("long").alias("known"))
+    sums = by_word.unionByName(by_pair).groupBy("row").agg(*[F.sum(c).alias(f"far_{c}") for c in ("base", "own", "known")])
+    sums = materialize(sums, "lm-sums")
+    release(pairs, counts)
+    asked_bits.unpersist()
+    shipped.unpersist()
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    out = parts.drop("words", "word_n", "contexts", "followers", "pair_n").join(far, "row", "left")
-    return out.select(
+    out = parts.select("row", "doc_id", "n_tokens", "known", "base", "own").join(sums, "row", "left").select(
         "doc_id",
         F.coalesce(crc_part(F.col("doc_id"), 10) == 0, F.lit(False)).alias("held_out"),
         "n_tokens",
@@ -361,64 +413,61 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         (F.col("base") + zero("far_base")).alias("base_score"),
         (F.col("own") + zero("far_own")).alias("score"),
     )
+    scores = materialize(out, "lm-scores")
+    release(parts, sums)
+    return scores
 
 
 _PARTS = (
-    "doc_id long, n_tokens long, known long, base double, own double, "
-    "words array<bigint>, word_n array<int>, contexts array<bigint>, followers array<bigint>, pair_n array<int>"
+    "doc_id long, learned boolean, n_tokens long, known long, base double, own double, words array<bigint>, "
+    "pairs array<bigint>, n array<bigint>, context_n array<bigint>, token_n array<bigint>, far_pairs array<bigint>, far_n array<bigint>, "
+    "context array<bigint>, token array<bigint>, far_context_n array<bigint>, far_token_n array<bigint>"
 )
 
 
 def score_batches(batches: Iterator[pa.RecordBatch], m: Model, pair_bits: Bitmap, word_bits: Bitmap) -> Iterator[pa.RecordBatch]:
     """A row for each document: the sums over what the task knows, and the words and pairs whose counts are elsewhere.
 
-    A word or pair of a learned text that is neither hot nor in the bitmap occurs once.
+    A word or pair of a learned text that is neither at hand nor in the bitmap
+    occurs once. ``n`` and the other counts are what holds where the join finds none.
     """
     w = m.words
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("own", pa.float64())]
-        + [("words", pa.list_(pa.int64())), ("word_n", pa.list_(pa.int32()))]
-        + [("contexts", pa.list_(pa.int64())), ("followers", pa.list_(pa.int64())), ("pair_n", pa.list_(pa.int32()))]
-    )
     bottom = np.log10(w.total + ADD * (w.kinds + 1))
-    of_word = np.log10(w.n + ADD)
-    of_end = np.log10(w.tokens[END] + ADD)
-    out: list[tuple] = []
-    size = 0
-    for batch in batches:
-        for (doc_id, text), learned in zip(texts(batch), batch.column(2).to_pylist()):
-            found = tokens(text)
-            rank = ranks(found, w.number)
-            hot = rank >= 0
-            context, token = pairs_of(found, rank)
-            pair, first, k = np.unique(pair_id(context, token), return_index=True, return_counts=True)
-            context, token = context[first], token[first]
-            strange = Counter([t for t, h in zip(found, hot.tolist()) if not h])
-            keys = np.fromiter((xxhash.xxh64_intdigest(t, seed=42) for t in strange), dtype=np.uint64, count=len(strange))
-            n = np.fromiter(strange.values(), dtype=np.int64, count=len(strange))
-            once = np.zeros(len(n), bool) if not learned else ~word_bits.has(keys)
-            base = float(of_word[rank[hot]].sum()) + of_end + int(n[once].sum()) * np.log10(1 + ADD)
-            known = int(hot.sum()) + int(n[once].sum()) + int(w.tokens[END] > 0)
-            at = np.searchsorted(m.hot, pair)
-            at[at == len(m.hot)] = 0
-            near = m.hot[at] == pair if len(m.hot) else np.zeros(len(pair), bool)
-            n_pair = np.where(near, m.hot_n[at], 1) if len(m.hot) else np.ones(len(pair), np.int64)
-            if learned:  # each cold count is 1, or to be met
-                far = ~near & pair_bits.has(spark_hash(pair))
-                for side in (context, token):
-                    far |= (side < 0) & word_bits.has(side.view(np.uint64))
-            else:
-                far = ~near
-            here = ~far
-            ones = np.ones(int(here.sum()), np.int64)
-            own = float((k[here] * m.price(context[here], token[here], n_pair[here], ones, ones)).sum())
-            base -= (len(found) + 1) * bottom
-            out.append(
-                (doc_id, len(found) + 1, known, base, own, keys[~once].view(np.int64).tolist(), n[~once].tolist(), context[far].tolist(), token[far].tolist(), k[far].tolist())
-            )
-            size += 100 + 12 * int((~once).sum()) + 20 * int(far.sum())
-            if size >= 2_000_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
-                out, size = [], 0
-    if out:
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+
+    def counted(ids: np.ndarray, small: np.ndarray, learned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of words, as far as they are at hand, and where they are elsewhere."""
+        n, away = small[np.maximum(0, ids)], np.zeros(len(ids), bool)
+        cold = np.flatnonzero(ids < 0)
+        here, n_here = found_in(w.more, w.more_n, ids[cold])
+        n[cold] = np.where(here, n_here, learned[cold])
+        away[cold] = ~here & (~learned[cold] | word_bits.has(ids[cold].view(np.uint64)))
+        return n, away
+
+    for doc_id, found, learned in chunks(batches):
+        context, token, of = pairs_of(found, w.number)
+        own_text = learned[of]
+        pair = pair_id(context, token)
+        near, n = found_in(m.hot, m.hot_n, pair)
+        n = np.where(near, n, own_text)
+        away = ~near & ~own_text
+        unsure = np.flatnonzero(~near & own_text)
+        away[unsure] = pair_bits.has(spark_hash(pair[unsure]))
+        token_n, token_away = counted(token, w.tokens, own_text)
+        context_n, context_away = counted(context, m.context, own_text)
+        side_away = token_away | context_away
+        here = ~away & ~side_away
+        total = lambda on, x: np.bincount(of[on], weights=x, minlength=len(found))
+        own = total(here, np.log10(m.mixed(n[here], context_n[here], token_n[here])))
+        sure = ~token_away
+        base = total(sure, np.log10(token_n[sure] + ADD)) - np.bincount(of, minlength=len(found)) * bottom
+        known = np.bincount(of[sure & (token_n > 0)], minlength=len(found))
+
+        def lists(on: np.ndarray, *cols: np.ndarray) -> list[pa.Array]:
+            ends = np.concatenate([[0], np.cumsum(np.bincount(of[on], minlength=len(found)))]).astype(np.int32)
+            return [pa.ListArray.from_arrays(ends, pa.array(c[on], pa.int64())) for c in cols]
+
+        small = lambda ids, on: np.where(on, ids, 0)
+        cols = [pa.array(doc_id, pa.int64()), pa.array(learned), pa.array(np.bincount(of, minlength=len(found)), pa.int64()), pa.array(known, pa.int64())]
+        cols += [pa.array(base), pa.array(own), *lists(token_away, token), *lists(away & ~side_away, pair, n, context_n, token_n)]
+        cols += lists(side_away, pair, n, small(context, context_away), small(token, token_away), context_n, token_n)
+        yield pa.RecordBatch.from_arrays(cols, [c.split()[0] for c in _PARTS.split(", ")])

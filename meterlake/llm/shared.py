@@ -14,6 +14,8 @@ from meterlake.session import scratch_path
 
 #: Arrow output is handed over in pieces of about this many bytes.
 OUT_BYTES = 4_000_000
+#: Spark's setting that removes the shuffle files of a query when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def narrow(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -30,10 +32,18 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write to a fresh folder under spark.checkpoint.dir and read it back: cuts lineage, survives lost executors."""
+    """Write to a fresh folder under spark.checkpoint.dir and read it back: cuts lineage, survives lost executors.
+
+    The shuffle files of the write go with its end: nothing reads them again.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch = path  # for release()
     return out

@@ -534,12 +534,17 @@ def test_mixture_is_a_distribution_over_tokens(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     train = docs.where(M.training(F.col("doc_id")))
     counts = M.materialize(M.word_counts(train), "t")
-    w = M.gather_words(counts, train.count())
-    pairs = M.materialize(M.pair_counts(train, w, M.crc_part(F.col("doc_id"), 10) == 1), "t")
+    held = M.held_out(F.col("doc_id"))
+    w = M.gather_words(counts, train.count(), train.where(held).count())
+    pairs = M.materialize(M.pair_counts(train, w, held), "t")
     weights = M.learn_weights(pairs, w)
     assert np.allclose(weights.sum(axis=1), 1)
     known = pairs.where(F.col("n") >= M.LEAST_PAIR).toPandas()
-    model = M.Model(w, weights, M.per_context(pairs, "n"), np.empty(0, np.int64), np.empty(0, np.int64))
+    for part, of_all in (("n", w.contexts()), ("held", w.contexts(held=True))):
+        sums = np.zeros(M.SIDE, np.int64)
+        np.add.at(sums, known["pair"].to_numpy() // M.SIDE, known[part].to_numpy())
+        assert (sums == of_all).all()
+    model = M.Model(w, weights, w.contexts(), np.empty(0, np.int64), np.empty(0, np.int64))
     tokens = np.r_[np.arange(min(len(w.number), M.VOCABULARY)), M.OTHER, M.END]
     table = dict(zip(known["pair"], known["n"]))
     for context in (0, 1, 5, M.OTHER, M.START):
@@ -555,8 +560,9 @@ def test_every_word_is_a_context_and_every_pair_counts(spark, monkeypatch):
     rng = random.Random(17)
     rows = [(i, prose(rng, rng.randint(1, 60)) + f" rare{i % 23} single{i} end{i}", "s") for i in range(120)]
     df, got = frame(spark, rows), {}
-    for hot in (M.HOT_WORDS, 40):
+    for hot, more in ((M.HOT_WORDS, M.MORE_WORDS), (40, 30)):
         monkeypatch.setattr(M, "HOT_WORDS", hot)
+        monkeypatch.setattr(M, "MORE_WORDS", more)
         monkeypatch.setattr(M, "HOT_PAIRS", hot)
         kept = {}
         learn = M.learn_weights
@@ -580,6 +586,52 @@ def test_every_word_is_a_context_and_every_pair_counts(spark, monkeypatch):
     assert all(large[i] == pytest.approx(small[i], abs=1e-6) for i in large)
 
 
+def test_weights_equal_a_plain_em(spark, monkeypatch):
+    """Held-out counts deleted from the estimates, weights by bucket of what is left of the context, until they stand still."""
+    from meterlake.llm import lm_score as M
+
+    rng = random.Random(23)
+    rows = [(i, prose(rng, rng.randint(1, 90)) + f" rare{i % 31}", "s") for i in range(150)]
+    learned = [(i, words(t)) for i, t, _ in rows if crc(i, 10) != 0]
+    both = {}
+    for part, texts in (("all", learned), ("out", [(i, w) for i, w in learned if crc(i, 10) == 1])):
+        pairs, count = collections.Counter(), collections.Counter()
+        for _, w in texts:
+            pairs.update(zip([None, *w], [*w, "end"]))
+            count.update([None, *w, "end"])
+        both[part] = pairs, count
+    (pairs, count), (out, out_n) = both["all"], both["out"]
+    left = sum(count.values()) - count[None] - (sum(out_n.values()) - out_n[None])
+    uniform = 1 / (len(count) - 2 + 2)
+    data = []
+    for (a, b), held in out.items():
+        seen = count[a] - out_n[a]
+        data.append((int(M.bucket(np.array([seen]))[0]), (pairs[a, b] - held) / max(1, seen), (count[b] - out_n[b]) / left, held))
+    weights = np.tile([0.4, 0.5, 0.1], (M.BUCKETS, 1))
+    weights[0] = [0.0, 0.9, 0.1]
+    for _ in range(M.EM_STEPS):
+        sums = collections.defaultdict(lambda: np.zeros(3))
+        for k, p2, p1, held in data:
+            share = weights[k] * [p2, p1, uniform]
+            sums[k] += held * share / share.sum()
+        old = weights.copy()
+        for k, part in sums.items():
+            weights[k] = part / part.sum()
+        if np.abs(weights - old).max() <= M.EM_CLOSE:
+            break
+    weights = np.maximum(weights, 1e-6)
+    weights[0, 0] = 0.0
+    weights /= weights.sum(axis=1, keepdims=True)
+    learn, got = M.learn_weights, []
+    monkeypatch.setattr(M, "learn_weights", lambda *a: got.append(learn(*a)) or got[-1])
+    for hot, more in ((M.HOT_WORDS, M.MORE_WORDS), (40, 30)):
+        monkeypatch.setattr(M, "HOT_WORDS", hot)
+        monkeypatch.setattr(M, "MORE_WORDS", more)
+        M.score_texts(frame(spark, rows)).collect()
+        assert np.allclose(got[-1], weights, atol=1e-9)
+
+
+
 # ---------------------------------------------------------------- line rules
 
 
