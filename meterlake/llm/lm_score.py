@@ -382,6 +382,9 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             yield batch.filter(pa.array(asked_bits.value.has(spark_hash(batch.column(0).to_numpy()))))
 
     known = rest.where("n > 1").unionByName(rest.where("n = 1").mapInArrow(wanted, rest.schema)).withColumnRenamed("n", "found")
+    known = materialize(known, "lm-known")
+    release(pairs)
+    asked_bits.unpersist()
     meet = lambda far: far.join(known, "pair", "left").withColumn("n", F.coalesce("found", "n")).drop("found", "pair")
     near = meet(one(["pairs", "n", "context_n", "token_n"]).withColumnRenamed("pairs", "pair"))
     far = one(["far_pairs", "far_n", "context", "token", "far_context_n", "far_token_n"])
@@ -400,8 +403,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     by_word = far_words.select("row", F.log10(seen + ADD).alias("base"), F.lit(0.0).alias("own"), (seen > 0).cast("long").alias("known"))
     sums = by_word.unionByName(by_pair).groupBy("row").agg(*[F.sum(c).alias(f"far_{c}") for c in ("base", "own", "known")])
     sums = materialize(sums, "lm-sums")
-    release(pairs, counts)
-    asked_bits.unpersist()
+    release(known, counts)
     shipped.unpersist()
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     out = parts.select("row", "doc_id", "n_tokens", "known", "base", "own").join(sums, "row", "left").select(

@@ -65,15 +65,16 @@ def commonest(df: DataFrame, count: str, most: int) -> tuple[DataFrame, DataFram
     The cut is at a step of a 16th of a power of two, found from a histogram of at
     most 1024 steps; rows of equal count stay together.
     """
-    step = F.floor(16 * F.log2(F.col(count))).cast("int")
-    steps = {r[0]: r[1] for r in df.groupBy(step).count().collect()}
-    cut, taken = 2**31 - 1, 0
+    n = F.col(count)
+    step = F.when(n == 1, 0).otherwise(F.floor(16 * F.log2(n))).cast("int")
+    steps = {r[0]: (r[1], r[2]) for r in df.groupBy(step).agg(F.count("*"), F.min(n)).collect()}
+    least, taken = 2**63 - 1, 0
     for s in sorted(steps, reverse=True):
-        taken += steps[s]
+        taken += steps[s][0]
         if taken > most:
             break
-        cut = s
-    return df.where(step >= cut), df.where(step < cut)
+        least = steps[s][1]
+    return df.where(n >= least), df.where(n < least)
 
 
 class Bitmap:
