@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from itertools import chain, repeat
 
 import numpy as np
@@ -396,16 +397,20 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             row, *counted = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
             yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(np.log10(shipped.value[0].mixed(*counted)))], ["row", "own"])
 
-    priced = near.select(cols).unionByName(with_counts(far, cold).select(cols)).mapInArrow(price, "row long, own double")
-    by_pair = priced.select("row", F.lit(0.0).alias("base"), "own", F.lit(0).cast("long").alias("known"))
+    priced = lambda met: met.select(cols).mapInArrow(price, "row long, own double").select(
+        "row", F.lit(0.0).alias("base"), "own", F.lit(0).cast("long").alias("known")
+    )
     far_words = parts.select("row", F.explode("words").alias("id")).join(cold.select("id", "n"), "id", "left")
     seen = F.coalesce(F.col("n"), F.lit(0))
     by_word = far_words.select("row", F.log10(seen + ADD).alias("base"), F.lit(0.0).alias("own"), (seen > 0).cast("long").alias("known"))
-    sums = by_word.unionByName(by_pair).groupBy("row").agg(*[F.sum(c).alias(f"far_{c}") for c in ("base", "own", "known")])
-    sums = materialize(sums, "lm-sums")
+    add_up = lambda found: found.groupBy("row").agg(*[F.sum(c).alias(c) for c in ("base", "own", "known")])
+    # one join after the other, so that the shuffle files of one are gone before the next
+    met = [priced(near), priced(with_counts(far, cold)), by_word]
+    met = [materialize(add_up(found), "lm-sums") for found in met]
     release(known, counts)
     shipped.unpersist()
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    sums = add_up(reduce(DataFrame.unionByName, met)).toDF("row", "far_base", "far_own", "far_known")
     out = parts.select("row", "doc_id", "n_tokens", "known", "base", "own").join(sums, "row", "left").select(
         "doc_id",
         F.coalesce(crc_part(F.col("doc_id"), 10) == 0, F.lit(False)).alias("held_out"),
@@ -416,7 +421,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         (F.col("own") + zero("far_own")).alias("score"),
     )
     scores = materialize(out, "lm-scores")
-    release(parts, sums)
+    release(parts, *met)
     return scores
 
 
