@@ -92,29 +92,32 @@ def find_leaks(
     ``similarity`` is the alignment's score as a share of the item's score with
     itself; the words, counted as by ``words_of``, are the best segment's. Rows that repeat an id count as one
     document. Null or empty texts and items match nothing; an item of fewer words
-    than a seed has its whole text as its seed. Empty tables give no rows.
+    than a seed has its whole text as its seed. Items that share an id are aligned
+    each, and the best counts. Empty tables give no rows.
     """
     spark = docs.sparkSession
     tests = narrow(items, item_col, item_text_col).select(F.col("doc_id").alias("item_id"), "text")
 
-    def item_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for item_id, text in texts(batch):
-                words = words_of(text)
-                found = distinct(shingles(words, gram)).view(np.int64)
-                if len(found):
-                    yield pa.RecordBatch.from_pydict(
-                        {
-                            "item_id": pa.array([item_id] * len(found), pa.int64()),
-                            "gram": pa.array(found),
-                            "words": pa.array([words.tobytes()] * len(found), pa.binary()),
-                        }
-                    )
-
-    seeds = materialize(tests.mapInArrow(item_grams, "item_id long, gram long, words binary"), "seeds")
+                if len(words := words_of(text)):
+                    cols = [pa.array([item_id], pa.int64()), pa.array([words.tobytes()], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(cols, ["item_id", "item"])
+
+    def item_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, item in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found = distinct(shingles(np.frombuffer(item, np.uint64), gram)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), key)), pa.array(found)], ["key", "gram"])
+
+    # an item is known by its id and words; its words are kept once, its grams by its key
+    bodies = tests.mapInArrow(item_words, "item_id long, item binary").withColumn("key", F.xxhash64("item_id", "item"))
+    bodies = materialize(bodies.dropDuplicates(["key"]), "items")
+    seeds = materialize(bodies.select("key", "item").mapInArrow(item_grams, "key long, gram long"), "seeds")
     chosen = seeds.select("gram").distinct()
     seeded = spark.sparkContext.broadcast(Bitmap.of(chosen, "gram", chosen.count(), BITS_EACH))
-    longest = (seeds.agg(F.max(F.octet_length("words"))).first()[0] or 0) // 8
+    longest = (bodies.agg(F.max(F.octet_length("item"))).first()[0] or 0) // 8
     rows = narrow(docs, id_col, text_col)
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,10 +153,9 @@ def find_leaks(
         ),
         "segments",
     )
-    met = parts.select("part", F.explode("grams").alias("gram")).join(seeds, "gram").groupBy("part", "item_id").agg(
-        F.first("words").alias("item")
-    )
-    pairs = met.join(parts.drop("grams").dropDuplicates(["part"]), "part").select("doc_id", "start", "words", "item_id", "item")
+    met = parts.select("part", F.explode("grams").alias("gram")).join(seeds, "gram").select("part", "key").distinct()
+    pairs = met.join(parts.drop("grams").dropDuplicates(["part"]), "part").join(bodies, "key")
+    pairs = pairs.select("doc_id", "start", "words", "item_id", "item")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -506,6 +506,18 @@ def test_quality_of_odd_rows(spark, messy, messy_rows):
     assert kept.columns == messy.columns and kept.count() == sum(r.score >= 0.5 for r in out)
 
 
+def test_long_items_and_items_that_share_an_id(spark):
+    """An item of 20,000 words is found; of items with one id each is aligned; items without words match nothing."""
+    from meterlake.llm.decontaminate import find_leaks
+
+    rng = random.Random(29)
+    long, one, two = prose(rng, 20_000), prose(rng, 30), prose(rng, 30)
+    tests = spark.createDataFrame([(1, long), (2, one), (2, two), (2, two), (3, ""), (4, None)], "item_id long, text string")
+    rows = [(1, long, "s"), (2, "before " + one, "s"), (3, two + " after", "s"), (4, prose(rng, 40), "s"), (5, None, "s"), (6, "", "s")]
+    got = {(r.doc_id, r.item_id): (r.similarity, r.start_word, r.end_word) for r in find_leaks(frame(spark, rows), tests).collect()}
+    assert got == {(1, 1): (1.0, 0, 20_000), (2, 2): (1.0, 1, 31), (3, 2): (1.0, 0, 30)}
+
+
 # ---------------------------------------------------------------- LM
 
 
