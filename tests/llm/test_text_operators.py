@@ -168,27 +168,67 @@ def test_secrets_match_the_patterns_and_the_method_adds(spark, messy):
     assert masked.where("text IS NOT NULL AND length(text) <> n_chars").count() == 0
 
 
-def test_guess_cost_is_the_least_over_all_segmentations():
-    from meterlake.llm.secrets import _alphabet, guess_cost, spans, RANKS
-
-    def brute(value):
-        found = collections.defaultdict(list)
-        for i, j, c, _ in spans(value, RANKS):
-            found[i].append((j, c))
-        char = math.log10(_alphabet(value)) if value else 0
+def plain_cost(value):
+    """The cheapest segmentation with every stretch judged by itself."""
+    from meterlake.llm.secrets import LEET, NEIGHBOURS, RANKS, _alphabet
+
+    def stretch(text):
+        low, size = "".join(c if c == "\u0130" else c.lower() for c in text), len(text)
+        if size >= 3:
+            for reading, price in ((low, 1), (low.translate(LEET), 2)):
+                if reading in RANKS:
+                    yield (RANKS[reading] + 1) * price * (1 if reading == text else 2)
+            if len(set(low)) == 1:
+                yield _alphabet(low[0]) * size
+            steps = {ord(b) - ord(a) for a, b in zip(low, low[1:])}
+            if steps in ({1}, {-1}):
+                yield 26 * size
+            if all(pair in NEIGHBOURS for pair in zip(low, low[1:])):
+                yield 188 * size
+        for block in range(2, 9):
+            if size % block == 0 and size >= 2 * block and text == text[:block] * (size // block):
+                yield _alphabet(text[:block]) ** block * (size // block)
+        year, month, day = r"(19|20)[0-9]{2}", r"(0?[1-9]|1[0-2])", r"(0?[1-9]|[12][0-9]|3[01])"
+        if re.fullmatch(year, text):
+            yield 10**2.1
+        elif re.fullmatch(f"{year}[-/._]?{month}[-/._]?{day}|{day}[-/._]?{month}[-/._]?{year}", text):
+            yield 10**4.6
+
+    best = [0.0]
+    for k in range(1, len(value) + 1):
+        best.append(best[-1] + math.log10(_alphabet(value)))
+        for i in range(k):
+            best[k] = min([best[k]] + [best[i] + math.log10(g) for g in stretch(value[i:k])])
+    return best[-1]
 
-        def least(i):
-            if i == len(value):
-                return 0.0
-            return min([char + least(i + 1)] + [c + least(j) for j, c in found[i]])
 
-        return least(0)
+def test_guess_cost_is_the_least_over_all_segmentations():
+    from meterlake.llm.secrets import guess_cost
 
-    for value in ["", "password", "P4ssword1", "qwerty123", "aaaabbbb", "20200131x", "abcabcabc", "Zx9$kQ", "zzz"]:
+    values = ["", "password", "P4ssword1", "qwerty123", "aaaabbbb", "20200131x", "abcabcabc", "Zx9$kQ", "zzz", "\u0130" * 4]
+    values += ["asdfghjkletmein", "aaaaaadmin", "120200131", "3112199912", "ababababa1", "rootrootroot", "cbabcdedcb", "aAaAaAa"]
+    rng = random.Random(17)
+    values += ["".join(rng.choice(signs) for _ in range(rng.randint(1, 26))) for signs in ("ab", "abcd", "qwe1", "0129", "asdf-") * 60]
+    parts = ["admin", "Passw0rd", "aaaaa", "asdfgh", "abcdef", "1999", "2020-01-31", "xyxyxy", "9", "#Q", "letme", "in"]
+    values += ["".join(rng.choice(parts) for _ in range(rng.randint(1, 6))) for _ in range(150)]
+    for value in values:
         cost, cut = guess_cost(value)
-        assert math.isclose(cost, brute(value), abs_tol=1e-9)
+        assert math.isclose(cost, plain_cost(value), abs_tol=1e-9), value
         assert "".join(value[s:e] for s, e, _ in cut) == value
     assert guess_cost("changeme123")[0] < 9 < guess_cost("Zx9$kQ!vT2")[0]
+    assert guess_cost("asdfghjkletmein")[0] < 5 and guess_cost("aaaaaadmin")[0] < 3
+    for value in ("a" * 50_000, "qwertyui" * 6_000, "ab" * 25_000):  # long runs are no matter
+        assert guess_cost(value)[0] < 20
+
+
+def test_contexts_have_any_blanks_and_many_base_spans():
+    from meterlake.llm.secrets import find
+
+    text = "secret" + " " * 40 + ":" + "\t" * 30 + "Zx9$kQ!vT2mW"
+    assert find(text)[1] == [(text.index("Z"), 3, len(text))]
+    many = "\n".join(f"password={i:016x}" for i in range(20_000))
+    base, added = find(many)
+    assert len(base) == 40_000 and not added
 
 
 def test_long_credentials_are_masked_to_their_end(spark):
@@ -233,6 +273,32 @@ def test_passages_of_fifty_words_are_found_and_clean_texts_left_alone(messy, mes
     assert len({r.class_id for r in got if r.doc_id in (23, 24)}) == 1
 
 
+def test_passages_of_every_text_of_a_repeated_id(spark):
+    from meterlake.llm.passages import repeated_passages
+
+    rng = random.Random(29)
+    words_of = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    rows, places = [], {}
+    for k in range(40):
+        passage = words_of(70)
+        edited = [*passage[:35], "edited", *passage[36:]] if k % 2 else passage
+        before = rng.randint(10, 60)
+        rows += [(k, " ".join(words_of(before) + passage + words_of(20)), "s")]
+        rows += [(k, " ".join(words_of(rng.choice((60, 400)))), "s")] * (1 + k % 2)
+        rows += [(1000 - k, " ".join(words_of(30) + edited), "s")]
+        places[k] = before
+    shared = words_of(80)  # two texts of one id, the smallest, and one of another
+    rows += [(-5, " ".join(words_of(15) + shared), "s"), (-5, " ".join(words_of(25) + shared), "s"), (2000, " ".join(shared), "s")]
+    out = repeated_passages(frame(spark, rows)).collect()
+    found = collections.defaultdict(set)
+    for r in out:
+        assert r.doc_id != r.partner_id
+        found[r.doc_id].add((r.start_word, r.partner_id))
+    for k, before in places.items():
+        assert {(before, 1000 - k)} == found[k] and {p for _, p in found[1000 - k]} == {k}, k
+    assert found[-5] == {(15, 2000), (25, 2000)} and {p for _, p in found[2000]} == {-5}
+
+
 def test_compact_windows_hold_the_minimum_of_every_stretch():
     from meterlake.llm.passages import compact_windows
 
@@ -491,6 +557,16 @@ def test_quality_model_on_held_out_rows(spark):
     assert np.array_equal(model, again)
 
 
+def test_texts_of_a_repeated_id_are_learned_from_once(spark):
+    from meterlake.llm.quality_model import train
+
+    rows = [(k, f"good words number {k} of the book" if k % 2 else f"BUY now {k} cheap !!", "s") for k in range(60)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, quality int")
+    # other texts of the ids come later in order, so the least are the same
+    more = frame(spark, rows + [(k, "zzz " * 9 + str(j), "s") for k in range(60) for j in range(5)])
+    assert np.array_equal(train(frame(spark, rows), labels), train(more, labels))
+
+
 def test_quality_of_odd_rows(spark, messy, messy_rows):
     from meterlake.llm import quality_model as Q
 
@@ -725,6 +801,37 @@ def test_mix_meets_targets(spark, messy, messy_rows):
 # ---------------------------------------------------------------- pipeline
 
 
+def test_rates_equal_a_plain_dual(spark):
+    from meterlake.llm.mixing import mix_sources
+
+    rng = random.Random(8)
+    shape = {"a": lambda: 1 if rng.random() < 0.97 else 3000, "b": lambda: rng.randint(1, 9), "c": lambda: int(rng.paretovariate(0.7)) % 5000 + 1}
+    rows = [(k, " ".join(["w"] * shape[s]()), s) for k, s in enumerate(rng.choice("abc") for _ in range(900))]
+    out = mix_sources(frame(spark, rows)).collect()
+    for source in "abc":
+        own = [r for r in out if r.source == source]
+        size, rate = np.array([r.size for r in own], float), np.array([r.rate for r in own])
+        target = own[0].target
+        if target >= 2 * size.sum() * (1 - 1e-12):
+            assert (rate == 2).all()
+            continue
+        low, high = -1e4, 1e4
+        for _ in range(200):
+            tilt = (low + high) / 2
+            want = np.minimum(2, np.exp(np.minimum(700, tilt * size / size.mean())))
+            low, high = (tilt, high) if want @ size < target else (low, tilt)
+        assert np.allclose(rate, want, rtol=1e-5, atol=1e-12) and rate @ size == pytest.approx(target, rel=1e-8)
+
+
+def test_a_dual_that_is_not_solved_is_an_error(spark, monkeypatch):
+    from meterlake.llm import mixing
+
+    monkeypatch.setattr(mixing, "MOST_STEPS", 1)
+    rows = [(k, " ".join(["w"] * (1 + k * k)), "ab"[k % 2]) for k in range(30)]
+    with pytest.raises(RuntimeError, match="not solved"):
+        mixing.mix_sources(frame(spark, rows))
+
+
 def test_pipeline_against_brute_force(spark, tmp_path):
     import corpus_pipeline
     from meterlake.llm.secrets import find
