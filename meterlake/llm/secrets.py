@@ -4,7 +4,8 @@ The guess cost of a value is the least cost, over all ways to cut it into
 consecutive spans, of the product of the spans' guesses: dictionary words (by
 their rank), dates, repeats, alphabetic or digit sequences, walks on a keyboard,
 and brute force for the rest. It is found by dynamic programming over the end of
-the last span, in log10. A value that even its cheapest reading makes expensive
+the last span, in log10; a run can be cut anywhere, so every part of it that is
+long enough is a span too. A value that even its cheapest reading makes expensive
 is taken for a secret; "password: changeme123" is not.
 """
 
@@ -13,7 +14,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,7 +38,7 @@ _ASSIGN_HINT = re.compile(r"[:=]")
 # A wider credential context for the guess cost: key word, separator, then a value
 # without white space or quotes.
 CONTEXT = re.compile(
-    r"""(?:passwords?|passwd|passphrase|passcode|pwd|secret|token|api[ _-]?key|access[ _-]?key|private[ _-]?key|credentials?|auth)["']?[ \t]{0,8}(?:[:=]|=>|:=)[ \t]{0,8}["']?([^\s"'<>,;]{6,})""",
+    r"""(?:passwords?|passwd|passphrase|passcode|pwd|secret|token|api[ _-]?key|access[ _-]?key|private[ _-]?key|credentials?|auth)["']?[ \t]*(?:[:=]|=>|:=)[ \t]*["']?([^\s"'<>,;]{6,})""",
     re.IGNORECASE | re.ASCII,
 )
 #: Least log10 of guesses for a value to be a secret.
@@ -53,6 +56,8 @@ COMMON = (
 KEY_ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
 LEET = str.maketrans("4301$5@7!", "aeoissati")
 
+#: Lengths of a date; of a year alone the first.
+_DATE_LENGTHS = (4, 6, 7, 8, 9, 10)
 _DATE = re.compile(r"(?:19|20)\d\d[-/._]?(?:0?[1-9]|1[0-2])[-/._]?(?:0?[1-9]|[12]\d|3[01])|(?:0?[1-9]|[12]\d|3[01])[-/._]?(?:0?[1-9]|1[0-2])[-/._]?(?:19|20)\d\d|(?:19|20)\d\d")
 
 
@@ -64,6 +69,8 @@ def _neighbours() -> set[tuple[str, str]]:
 NEIGHBOURS = _neighbours()
 RANKS = {w: i + 1 for i, w in reversed([*enumerate(COMMON)])}
 _LONGEST = max(map(len, RANKS))
+#: Longest block whose repeats are a span.
+LONGEST_BLOCK = 8
 
 
 def _alphabet(value: str) -> int:
@@ -78,9 +85,14 @@ def _alphabet(value: str) -> int:
     )
 
 
-def spans(value: str, words: dict[str, int]) -> Iterator[tuple[int, int, float, str]]:
-    """(start, end, log10 guesses, kind) of each recognised span of the value; linear in its length."""
-    low, n = value.lower(), len(value)
+def lowered(value: str) -> str:
+    """The value in lower case, with as many characters."""
+    return "".join(low if len(low := c.lower()) == 1 else c for c in value)
+
+
+def listed(value: str, words: dict[str, int]) -> Iterator[tuple[int, int, float, str]]:
+    """(start, end, log10 guesses, kind) of each word and date of the value, overlapping ones too."""
+    low, n = lowered(value), len(value)
     plain = low.translate(LEET)
     for i in range(n):
         for j in range(i + 3, min(n, i + _LONGEST) + 1):
@@ -88,39 +100,74 @@ def spans(value: str, words: dict[str, int]) -> Iterator[tuple[int, int, float,
                 if rank := words.get(text[i:j]):
                     case = 0.0 if value[i:j] == text[i:j] else math.log10(2)
                     yield i, j, math.log10(rank + 1) + extra + case, "word"
-                    break
-    for m in _DATE.finditer(value):
-        yield m.start(), m.end(), 4.6 if m.end() - m.start() > 4 else 2.1, "date"
-    # runs of one step: repeats, sequences, keyboard walks; ends[kind][i] is the end of the one that starts at i
-    ends = {kind: [*range(1, n + 1)] for kind in ("repeat", "sequence", "walk")}
-    for i in range(n - 2, -1, -1):
-        if low[i] == low[i + 1]:
-            ends["repeat"][i] = ends["repeat"][i + 1]
-        step = ord(low[i + 1]) - ord(low[i])
-        if abs(step) == 1:
-            on = i + 2 < n and ord(low[i + 2]) - ord(low[i + 1]) == step
-            ends["sequence"][i] = ends["sequence"][i + 1] if on else i + 2
-        if (low[i], low[i + 1]) in NEIGHBOURS:
-            ends["walk"][i] = ends["walk"][i + 1]
-    for i in range(n):
-        for kind, end in ends.items():
-            j = end[i]
-            if j - i >= 3:
-                base = {"repeat": _alphabet(value[i]), "sequence": 26, "walk": 47 * 4}[kind]
-                yield i, j, math.log10(base * (j - i)), kind
-    for size in range(2, min(8, n // 2) + 1):  # repeats of a block
-        i = 0
-        while i + 2 * size <= n:
-            block, j = value[i : i + size], i + size
-            if len(set(block)) > 1:
-                while value[j : j + size] == block:
-                    j += size
-            if j - i >= 2 * size:
-                block = size * math.log10(_alphabet(block))
-                yield i, j, block + math.log10((j - i) // size), "repeat"
-                i = j
-            else:
-                i += 1
+        if "0" <= value[i] <= "9":
+            for size in _DATE_LENGTHS:
+                if i + size <= n and _DATE.fullmatch(value, i, i + size):
+                    yield i, i + size, 4.6 if size > 4 else 2.1, "date"
+
+
+class Runs:
+    """Spans of one kind whose parts are spans too: at least ``least`` characters, a multiple of ``unit``.
+
+    ``since[k]`` is the first character of the run that ends at k. A span costs
+    ``base`` and the logarithm of its length in units.
+    """
+
+    def __init__(self, kind: str, unit: int, least: int, since: list[int], base):
+        self.kind, self.unit, self.least, self.since, self.base = kind, unit, least, since, base
+        self.starts: list[list[int]] = [[] for _ in range(unit)]
+
+    def cheapest(self, k: int, best: list[float]) -> tuple[float, int] | None:
+        """Cost and start of the cheapest span that ends at k, what lies before it included.
+
+        As k grows, the span of a later start grows by a larger factor. So a start
+        that an earlier one has beaten stays beaten, and so does one whose own cost
+        is not below that of a later one: both are dropped for good, and few are
+        left at a time.
+        """
+        new = k - self.least
+        if new < self.since[k]:
+            return None
+        starts = self.starts[k % self.unit]
+        if starts and starts[0] < self.since[k]:  # of an earlier run
+            starts = []
+        while starts and best[starts[-1]] >= best[new]:
+            starts.pop()
+        kept, least = [], math.inf
+        for i in (*starts, new):
+            cost = best[i] + math.log10((k - i) // self.unit)
+            if cost < least:
+                kept.append(i)
+                least = cost
+        self.starts[k % self.unit] = kept
+        return least + self.base(k), kept[-1]
+
+
+def all_runs(value: str) -> list[Runs]:
+    """Repeats of a character or a block, sequences, and keyboard walks of the value."""
+    low, n = lowered(value), len(value)
+
+    def since(goes_on, shortest) -> list[int]:
+        out = [0]
+        for k in range(1, n + 1):
+            out.append(out[-1] if goes_on(k) else max(0, k - shortest(k)))
+        return out
+
+    def step(k: int) -> int:
+        return ord(low[k - 1]) - ord(low[k - 2]) if k > 1 else 0
+
+    sequences = since(lambda k: k > 2 and abs(step(k)) == 1 and step(k) == step(k - 1), lambda k: 2 if abs(step(k)) == 1 else 1)
+    walks = since(lambda k: k > 1 and (low[k - 2], low[k - 1]) in NEIGHBOURS, lambda k: 1)
+    out = [
+        Runs("sequence", 1, 3, sequences, lambda k: math.log10(26)),
+        Runs("walk", 1, 3, walks, lambda k: math.log10(47 * 4)),
+    ]
+    for size in range(1, LONGEST_BLOCK + 1):
+        text = low if size == 1 else value
+        again = since(lambda k: k > size and text[k - 1] == text[k - 1 - size], lambda k: size)
+        block = lambda k, text=text, size=size: size * math.log10(_alphabet(text[k - size : k]))
+        out.append(Runs("repeat", size, max(3, 2 * size), again, block))
+    return out
 
 
 def guess_cost(value: str, words: dict[str, int] | None = None) -> tuple[float, list[tuple[int, int, str]]]:
@@ -134,14 +181,18 @@ def guess_cost(value: str, words: dict[str, int] | None = None) -> tuple[float,
     n = len(value)
     char = math.log10(_alphabet(value)) if n else 0.0
     ending: list[list[tuple[int, float, str]]] = [[] for _ in range(n + 1)]
-    for i, j, cost, kind in spans(value, words):
+    for i, j, cost, kind in listed(value, words):
         ending[j].append((i, cost, kind))
+    runs = all_runs(value)
     best, back = [0.0], [(0, "")]
     for k in range(1, n + 1):
         cost, start, kind = best[k - 1] + char, k - 1, "brute"
         for i, c, name in ending[k]:
             if best[i] + c < cost:
                 cost, start, kind = best[i] + c, i, name
+        for run in runs:
+            if (found := run.cheapest(k, best)) and found[0] < cost:
+                (cost, start), kind = found, run.kind
         best.append(cost)
         back.append((start, kind))
     out: list[tuple[int, int, str]] = []
@@ -169,12 +220,14 @@ def find(text: str, least: float = LEAST_GUESSES, words: dict[str, int] | None =
         base += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= LEAST_ACCESS]
     base += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     base.sort()
+    begins, reach = [s for s, _, _ in base], [*accumulate((e for _, _, e in base), max)]
     added = []
     if _ASSIGN_HINT.search(text):
         for m in CONTEXT.finditer(text):
             start, end = m.span(1)
             end = start + len(m[1].rstrip(".)]}!?:"))
-            if end - start < 6 or any(s <= start and end <= e for s, _, e in base):
+            before = bisect_right(begins, start)
+            if end - start < 6 or before and end <= reach[before - 1]:
                 continue
             if guess_cost(text[start:end], words)[0] >= least:
                 added.append((start, 3, end))
@@ -250,7 +303,11 @@ def hidden(text: str, found: list) -> str:
 
 
 def mask_secrets(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars", **options) -> DataFrame:
-    """docs with the same columns and rows, secrets in the text replaced; ``length_col`` follows the text."""
+    """docs with the same columns and rows, secrets in the text replaced; ``length_col`` follows the text.
+
+    Null and empty texts and those without secrets stay as they are, with their
+    length; repeated rows are masked alike. An empty table gives no rows.
+    """
 
     def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least, words = options.get("least_guesses", LEAST_GUESSES), options.get("words")
