@@ -380,15 +380,16 @@ def archive_pages(
         F.coalesce(pages[html_col].cast("string"), F.lit("")).cast("binary").alias("payload"),
     )
     large = F.octet_length("payload") >= least
-    rows = rows.withColumn("same", F.when(large, F.sha2("payload", 256)))
+    keyed = rows.where(large).withColumn("same", F.sha2("payload", 256))
     groups = (
-        rows.where("same IS NOT NULL")
-        .groupBy(F.col("same").alias("group"))
+        keyed.groupBy(F.col("same").alias("group"))
         .agg(F.max("page_id").alias("kept"), F.count("*").alias("n"))
         .where("n > 1")
         .drop("n")
     )
-    joined = rows.join(groups, F.col("same") == F.col("group"), "left")
+    joined = keyed.join(groups, F.col("same") == F.col("group"), "left").select(*rows.columns, "kept")
+    # smaller pages have no key: they stay where they are read
+    joined = joined.unionByName(rows.where(~large).withColumn("kept", F.lit(None).cast("long")))
     again = F.col("kept").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("kept"))
     write_warc(
         joined.select(
