@@ -99,7 +99,8 @@ def train(
     """Weights (2**BITS buckets and a bias) learned from at most ``max_train`` labelled rows.
 
     Rows without an id, a label or a text are not learned from; an id that is
-    labelled twice counts once, with its lowest label. Without any row the
+    labelled twice counts once, with its lowest label, and so does one that has
+    several texts, with the least of them. Without any row the
     weights are zero and every score is 0.5.
     """
     picked = (
@@ -112,7 +113,8 @@ def train(
     )
     rows = narrow(docs, id_col, text_col).where("text IS NOT NULL")
     # bounded by max_train rows of two numbers
-    sample = materialize(rows.join(F.broadcast(picked), "doc_id"), "train-sample")
+    sample = rows.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    sample = materialize(sample, "train-sample")
     count = max(1, min(MOST_SHARDS, sample.count() // SHARD_ROWS))
     sharded = sample.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(count)))
     size = 2**BITS + 1
