@@ -22,7 +22,8 @@ from meterlake.llm.shared import fresh, materialize, ranked, release
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST_COPIES = 2
-NEWTON_STEPS = 14
+#: The dual is solved when a source's words are within this part of its target; steps that may take at most.
+CLOSE, MOST_STEPS = 1e-9, 100
 #: Rounding thresholds are found in levels of so many bins.
 BINS, LEVELS = 256, 4
 
@@ -61,8 +62,18 @@ def targets(by_source: DataFrame, share: float = SHARE, weights: tuple = WEIGHTS
     return table.withColumn("target", F.least(cap, F.lit(level) * F.col("weight")))
 
 
+def exact_sum(value: Column) -> Column:
+    """A sum in millionths, which no order of the rows changes; values up to 10**22."""
+    return F.sum(value.cast("decimal(28,6)")).cast("double")
+
+
 def dual(table: DataFrame, sized: DataFrame) -> DataFrame:
-    """The tilt of each source by Newton steps: table with ``tilt`` (null where all documents go twice)."""
+    """The tilt of each source by Newton steps: table with ``tilt`` (null where all documents go twice).
+
+    A source's words grow with its tilt, so each step also narrows the interval
+    that holds the solution; a Newton step that leaves it is replaced by its middle.
+    A dual that is not solved after MOST_STEPS is an error.
+    """
     mean = sized.groupBy("source").agg(
         (F.sum(F.col("size") * F.col("n")) / F.sum(F.when(F.col("size") > 0, F.col("n")))).alias("mean")
     )
@@ -70,8 +81,10 @@ def dual(table: DataFrame, sized: DataFrame) -> DataFrame:
     state = table.join(mean.withColumnRenamed("source", "source_"), F.col("source").eqNullSafe(F.col("source_"))).drop("source_")
     # start at the tilt that a source of equal documents would need
     start = F.log(F.col("target") / F.col("source_size"))
-    state = materialize(state.withColumn("tilt", F.when(~whole, F.coalesce(start, F.lit(0.0)))), "dual")
-    for _ in range(NEWTON_STEPS):
+    none = F.lit(None).cast("double")
+    state = state.withColumns({"tilt": F.when(~whole, F.coalesce(start, F.lit(0.0))), "low": none, "high": none})
+    state = materialize(state, "dual")
+    for _ in range(MOST_STEPS):
         both = sized.withColumnRenamed("source", "source_").join(
             state, F.col("source").eqNullSafe(F.col("source_"))
         )
@@ -80,25 +93,29 @@ def dual(table: DataFrame, sized: DataFrame) -> DataFrame:
         free = rate < MOST_COPIES
         words = F.col("size") * F.col("n")
         sums = both.groupBy("source_").agg(
-            F.sum(words * F.least(rate, F.lit(float(MOST_COPIES)))).alias("got"),
-            F.sum(F.when(free, words * x * rate).otherwise(0.0)).alias("slope"),
+            exact_sum(words * F.least(rate, F.lit(float(MOST_COPIES)))).alias("got"),
+            exact_sum(F.when(free, words * x * rate).otherwise(0.0)).alias("slope"),
         )
         step = (F.col("target") - F.col("got")) / F.col("slope")
         bounded = F.greatest(F.lit(-2.0), F.least(F.lit(2.0), step))
         # without a slope all documents go twice: back, for a target below that
         back = F.when(F.col("slope") > 0, bounded).otherwise(F.lit(-0.5))
-        new = F.when(F.col("tilt").isNotNull(), F.col("tilt") + back)
+        short = F.col("got") < F.col("target")
+        low, high = F.when(short, F.col("tilt")).otherwise(F.col("low")), F.when(short, F.col("high")).otherwise(F.col("tilt"))
+        new = F.col("tilt") + back
+        new = F.when((new <= low) | (new >= high), (low + high) / 2).otherwise(new)
         error = F.max(F.abs(F.col("target") - F.col("got")) / F.col("target"))
         joined = state.join(sums, F.col("source").eqNullSafe(F.col("source_")))
-        moved = joined.withColumn("new", new).drop("tilt", "source_")
-        kept = materialize(moved.withColumnRenamed("new", "tilt"), "dual")
+        moved = joined.withColumns({"new": F.when(F.col("tilt").isNotNull(), new), "new_low": low, "new_high": high})
+        moved = moved.drop("tilt", "low", "high", "source_")
+        kept = materialize(moved.withColumnsRenamed({"new": "tilt", "new_low": "low", "new_high": "high"}), "dual")
         worst = kept.where("tilt IS NOT NULL").agg(error).first()[0]
         release(state)
         state = kept.drop("got", "slope")
         state.scratch = kept.scratch
-        if worst is None or worst < 1e-9:
-            break
-    return state
+        if worst is None or worst < CLOSE:
+            return state
+    raise RuntimeError(f"the dual of the mix is not solved after {MOST_STEPS} steps: {worst} of a target is missing")
 
 
 def measured(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> dict[str, Column]:
