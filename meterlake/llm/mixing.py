@@ -98,12 +98,14 @@ def dual(table: DataFrame, sized: DataFrame) -> DataFrame:
         )
         step = (F.col("target") - F.col("got")) / F.col("slope")
         bounded = F.greatest(F.lit(-2.0), F.least(F.lit(2.0), step))
-        # without a slope all documents go twice: back, for a target below that
-        back = F.when(F.col("slope") > 0, bounded).otherwise(F.lit(-0.5))
+        close = F.abs(F.col("target") - F.col("got")) < CLOSE * F.col("target")
         short = F.col("got") < F.col("target")
+        # without a slope all documents go twice, for a target below that, or next to none
+        back = F.when(F.col("slope") > 0, bounded).when(short, F.lit(0.5)).otherwise(F.lit(-0.5))
         low, high = F.when(short, F.col("tilt")).otherwise(F.col("low")), F.when(short, F.col("high")).otherwise(F.col("tilt"))
         new = F.col("tilt") + back
-        new = F.when((new <= low) | (new >= high), (low + high) / 2).otherwise(new)
+        new = F.when((new <= low) | (new >= high), F.coalesce((low + high) / 2, new)).otherwise(new)
+        new = F.when(close, F.col("tilt")).otherwise(new)
         error = F.max(F.abs(F.col("target") - F.col("got")) / F.col("target"))
         joined = state.join(sums, F.col("source").eqNullSafe(F.col("source_")))
         moved = joined.withColumns({"new": F.when(F.col("tilt").isNotNull(), new), "new_low": low, "new_high": high})
