@@ -299,6 +299,43 @@ def test_passages_of_every_text_of_a_repeated_id(spark):
     assert found[-5] == {(15, 2000), (25, 2000)} and {p for _, p in found[2000]} == {-5}
 
 
+def test_passages_similar_only_to_other_members_of_a_group(spark):
+    """All texts share a line; each pair shares a passage around it with each other alone, some with an edit."""
+    from meterlake.llm import passages
+    from meterlake.llm.passages import repeated_passages
+
+    rng = random.Random(41)
+    words_of = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    for pairs, line_words in ((12, 30), (2 * passages.CROWD, 38)):
+        line, rows, n = words_of(line_words), [], 0
+        for k in range(pairs):
+            before, after = words_of(14), words_of(14)
+            edited = [*after[:7], "edited", *after[8:]] if k % 2 else after
+            for own in (after, edited):
+                rows.append((n := n + 1, " ".join(words_of(30) + before + line + own + words_of(30)), "s"))
+        found = collections.defaultdict(set)
+        for r in repeated_passages(frame(spark, rows)).collect():
+            assert r.class_id % 2 == 1 and r.partner_id in (r.class_id, r.class_id + 1)
+            found[r.class_id] |= {r.doc_id}
+        whole = [k for k in range(pairs) if found[2 * k + 1] == {2 * k + 1, 2 * k + 2}]
+        assert len(whole) >= 0.97 * pairs, (pairs, len(whole))
+
+
+def test_texts_together_have_the_windows_that_each_has_alone():
+    from meterlake.llm.passages import compact_windows, hashed, kept_places, tokens, windows_of
+    from meterlake.llm.words import together
+
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, kinds, n)).encode()) for i, (kinds, n) in enumerate(((3, 300), (900, 200), (9, 49), (9, 0), (5, 50), (10**6, 90_000)))]
+    for ids, group in together(rows):
+        found, ends = tokens(group)
+        hashes, all_ends = hashed(found, ends)
+        got = windows_of(hashes, kept_places(hashes, ends=all_ends), all_ends)
+        parts = np.split(hashes, all_ends[:-1])
+        alone = [np.stack(compact_windows(part)) + start for part, start in zip(parts, np.append(0, all_ends))]
+        assert (np.stack(got) == np.concatenate(alone, axis=1)).all()
+
+
 def test_compact_windows_hold_the_minimum_of_every_stretch():
     from meterlake.llm.passages import compact_windows
 
