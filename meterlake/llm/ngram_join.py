@@ -16,7 +16,7 @@ components only, which finds every link that can still change a component.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from meterlake.llm.components import components
 from meterlake.llm.shared import OUT_BYTES, Bitmap, commonest, fresh, materialize, release, texts
-from meterlake.llm.words import distinct, shingles, word_hashes
+from meterlake.llm.words import distinct, shingles, together, word_hashes, words_together
 
 #: Words of a gram, and the least similarity in percent.
 GRAM = 5
@@ -39,9 +39,14 @@ ORDER_SIZE = 2**17
 #: Rounds that pair each gram's rows with one of them before all open pairs are made.
 STAR_ROUNDS = 3
 
-def gram_set(text: bytes, gram: int = GRAM) -> np.ndarray:
-    """Distinct grams of a text, sorted."""
-    return distinct(shingles(word_hashes(text), gram))
+def gram_sets(rows: Iterable[tuple]) -> Iterator[tuple[int | None, np.ndarray]]:
+    """(id, distinct grams, sorted) of rows (id, text), hashed many at a time."""
+    for ids, group in together(rows):
+        words, n = words_together(group)
+        grams = shingles(words, GRAM)
+        for row_id, end, size in zip(ids, np.cumsum(n).tolist(), n.tolist()):
+            own = grams[end - size : end - GRAM + 1] if size >= GRAM else shingles(words[end - size : end], GRAM)
+            yield row_id, distinct(own)
 
 
 def set_id(grams: np.ndarray) -> int:
@@ -86,7 +91,7 @@ def common_grams(docs: DataFrame) -> np.ndarray:
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [gram_set(text) for _, text in texts(batch)]
+            parts = [grams for _, grams in gram_sets(texts(batch))]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).view(np.int64) if parts else [], pa.int64())], ["gram"])
 
     share = docs.where(F.pmod(F.xxhash64("text"), F.lit(ORDER_SHARE)) == 0)
@@ -126,7 +131,7 @@ def jaccard_components(
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [gram_set(text) for _, text in texts(batch)]
+            sets = [grams for _, grams in gram_sets(texts(batch))]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -147,8 +152,7 @@ def jaccard_components(
             seen: set[int] = set()
             for batch in batches:
                 parts: list[tuple[np.ndarray, int, int]] = []
-                for _, text in texts(batch):
-                    grams = gram_set(text)
+                for _, grams in gram_sets(texts(batch)):
                     sid = set_id(grams)
                     if not len(grams) or sid in seen:
                         continue
@@ -274,8 +278,7 @@ def gather_sets(rows: DataFrame, wanted: DataFrame, described: DataFrame) -> Dat
         for batch in batches:
             batch = batch.filter(pa.array(bits.value.has(batch.column(2).to_numpy())))
             sids, sets, size = [], [], 0
-            for _, text in texts(batch):
-                grams = gram_set(text)
+            for _, grams in gram_sets(texts(batch)):
                 sid = set_id(grams)
                 if sid in seen:
                     continue
