@@ -18,7 +18,9 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from codecs import charmap_decode
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -70,6 +72,7 @@ class PrefixTable:
         self.specials = [t["content"] for t in spec["added_tokens"] if t["special"]]
         self.special_re = re.compile("(" + "|".join(map(re.escape, self.specials)) + ")")
         self.symbol = _byte_symbols()
+        self.symbols = "".join(self.symbol)
         number = {c + e: i for i, (c, e) in enumerate((c, e) for e in ("", end) for c in self.symbol)}
         self.base = len(number)
         self.halves = [(i, i) for i in range(self.base)]
@@ -123,89 +126,101 @@ class PrefixTable:
     def grow(self, piece: str, last: list[int], count: list[int]) -> None:
         """Fill the inside-the-word entries of the prefixes of ``piece`` that have none yet."""
         inner, memo, apart = self.inner.get, self.memo.get, self.apart
+        start = len(last) - 1  # of the last token so far; a prefix has one encoding, so the order of the trials is free
         for i in range(len(last), len(piece) + 1):
-            j = i - 1
-            while (token := inner(piece[j:i], -2)) != -2:
-                if token >= 0:
-                    if j == 0 or memo((last[j], token)) or apart(last[j], token):
-                        break
-                if j == 0:
+            token = inner(piece[start:i], -2)
+            if token < 0 or start and not (apart(*pair) if (known := memo(pair := (last[start], token))) is None else known):
+                start = i - 1
+                while (token := inner(piece[start:i], -2)) != -2:
+                    if token >= 0:
+                        if start == 0 or (apart(*pair) if (known := memo(pair := (last[start], token))) is None else known):
+                            break
+                    if start == 0:
+                        raise ValueError(f"no token ends {piece[:i]!r}")
+                    start -= 1
+                else:
                     raise ValueError(f"no token ends {piece[:i]!r}")
-                j -= 1
-            else:
-                raise ValueError(f"no token ends {piece[:i]!r}")
             last.append(token)
-            count.append(count[j] + 1)
+            count.append(count[start] + 1)
 
     def closed(self, piece: str, n: int, last: list[int], count: list[int]) -> int:
         """Tokens of the first n symbols of ``piece`` as a whole word."""
-        if n == 0:
-            return 0
-        final, memo = self.final.get, self.memo.get
-        j = n - 1
-        while (token := final(piece[j:n], -2)) != -2:
-            if token >= 0:
-                if j == 0:
-                    return 1
-                if memo((last[j], token)) or self.apart(last[j], token):
-                    return count[j] + 1
-            if j == 0:
-                break
-            j -= 1
-        raise ValueError(f"no token ends {piece[:n]!r}")
+        return self.all_closed(piece, (n,), last, count)[0] if n else 0
+
+    def all_closed(self, piece: str, ends, last: list[int], count: list[int]) -> list[int]:
+        """The same for some ends, none of them 0; the last token's start is first tried where the one before had it."""
+        final, memo, apart = self.final.get, self.memo.get, self.apart
+        out, j = [], len(piece)
+        for n in ends:
+            token = final(piece[j:n], -2)
+            if token < 0 or j and not (apart(*pair) if (known := memo(pair := (last[j], token))) is None else known):
+                j = n - 1
+                while (token := final(piece[j:n], -2)) != -2:
+                    if token >= 0:
+                        if j == 0 or (apart(*pair) if (known := memo(pair := (last[j], token))) is None else known):
+                            break
+                    if j == 0:
+                        raise ValueError(f"no token ends {piece[:n]!r}")
+                    j -= 1
+                else:
+                    raise ValueError(f"no token ends {piece[:n]!r}")
+            out.append(count[j] + 1)
+        return out
 
-    def _word(self, text: str) -> list[int]:
-        """Counts at the prefixes of a piece that the splitting rule keeps whole.
+    def _word(self, text: str) -> bytes:
+        """Changes of the count at the prefixes of a piece that the splitting rule keeps whole.
 
         The entries of the prefix that it shares with the piece before are used
         again: pieces in alphabetical order have few new prefixes.
         """
         same, (last, count) = 0, self.entries
-        for a, b in zip(text, self.before):
-            if a != b:
-                break
+        while text[same : same + 1] == self.before[same : same + 1] != "":
             same += 1
         if text.isascii():
             piece, ends = text, range(1, len(text) + 1)  # ASCII letters and signs stand for themselves
         else:
-            coded = [c.encode("utf-8") for c in text]
-            piece = "".join([self.symbol[b] for c in coded for b in c])
-            ends = np.cumsum([len(c) for c in coded]).tolist()
+            piece = charmap_decode(text.encode("utf-8"), "strict", self.symbols)[0]
+            ends = list(accumulate([1 if c < "\x80" else 2 if c < "\u0800" else 3 if c < "\U00010000" else 4 for c in text]))
         kept = ends[same - 1] if same else 0
         del last[kept + 1 :], count[kept + 1 :]
         self.before = ""
         self.grow(piece, last, count)
-        out = self.counts[:same] + [self.closed(piece, n, last, count) for n in ends[same:]]
+        out = self.counts[:same] + self.all_closed(piece, ends[same:], last, count)
         self.before, self.counts = text, out
-        return out
+        return _changes(out)
 
-    def learn(self, texts: list[bytes]) -> None:
-        """Fill in the chunks of several texts, in alphabetical order."""
+    def learn(self, texts: list[bytes]) -> dict[str, bytes]:
+        """The chunks of several texts, new ones worked out in alphabetical order."""
         chunks = set()
         for text in texts:
             chunks.update(text.translate(_TO_SPACE).decode("utf-8").split(" "))
-        for chunk in sorted((c for c in chunks if not self.chunks.has(c)), key=str.lower):
-            self.chunks[chunk]
-
-    def deltas(self, text: bytes) -> bytes:
-        """One signed byte a code point of the text: the change of the count at that prefix."""
+        known = {chunk: self.chunks[chunk] for chunk in filter(self.chunks.has, chunks)}
+        chunks.difference_update(known)
+        for chunk in sorted(chunks, key=str.lower):
+            known[chunk] = self.chunks[chunk]
+        return known
+
+    def deltas(self, text: bytes, known: dict[str, bytes] | None = None) -> bytes:
+        """One signed byte a code point of the text: the change of the count at that prefix; ``known`` is what learn gave."""
         if not text:
             return b""
-        known = self.chunks
-        return b"\0".join([known[p] for p in text.translate(_TO_SPACE).decode("utf-8").split(" ")])
+        return b"\0".join(map((known or self.chunks).__getitem__, text.translate(_TO_SPACE).decode("utf-8").split(" ")))
 
     def _chunk(self, chunk: str) -> bytes:
         if not chunk:
             return b""
+        if chunk.isascii() and chunk.isalpha():
+            return self.word(chunk.lower())
         plain = _PLAIN.fullmatch(chunk)
         if plain and (lower := chunk.lower()) and len(lower) == len(chunk) and (chunk.isascii() or _simple(chunk)):
-            counts = self.word(lower[: plain.end(1)])
-            if plain.end(1) < len(chunk):
-                before = counts[-1] if counts else 0
-                counts = counts + [before + c for c in self.word(lower[plain.end(1) :])]
-        else:
-            counts = _Scan(self).chunk(chunk)
-        return bytes([(c - b) & 255 for b, c in zip([0, *counts], counts)])
+            at = plain.end(1)
+            return self.word(lower[:at]) + self.word(lower[at:]) if at < len(chunk) else self.word(lower)
+        return _changes(_Scan(self).chunk(chunk))
+
+
+def _changes(counts: list[int]) -> bytes:
+    """The counts as signed bytes, each the change from the count before."""
+    return bytes([(c - b) & 255 for b, c in zip([0, *counts], counts)])
 
 
 def _simple(chunk: str) -> bool:
@@ -374,10 +389,10 @@ def prefix_counts(
             [(f.name, pa.binary() if f.name == "prefix_deltas" else pa.int64()) for f in _SCHEMA]
         )
         for group in groups(batches):
-            table.learn([text for _, text in group])
+            known = table.learn([text for _, text in group])
             rows = []
             for doc_id, text in group:
-                deltas = table.deltas(text)
+                deltas = table.deltas(text, known)
                 at = np.cumsum(np.frombuffer(deltas, dtype=np.int8), dtype=np.int64)
                 n = int(at[-1]) if len(at) else 0
                 within = np.flatnonzero(at <= budget) if n > budget else ()
