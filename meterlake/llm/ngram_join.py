@@ -36,8 +36,9 @@ PERCENT = 80
 #: never which links are found.
 ORDER_SHARE = 16
 ORDER_SIZE = 2**17
-#: Rounds that pair each gram's rows with one of them before all open pairs are made.
-STAR_ROUNDS = 3
+#: Rounds that pair each gram's rows with one of them before all open pairs are made,
+#: while these are more than so many for each open row.
+STAR_ROUNDS, FEW = 3, 8
 
 def gram_sets(rows: Iterable[tuple]) -> Iterator[tuple[int | None, np.ndarray]]:
     """(id, distinct grams, sorted) of rows (id, text), hashed many at a time."""
@@ -201,23 +202,27 @@ def jaccard_components(
         return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found))
 
     # the same with other rows in turn: each round is linear, and merges most of what can be merged
+    rest = open_now()
     for turn in range(STAR_ROUNDS):
-        rest = open_now()
+        if pairs_each(rest) <= FEW:
+            break
         rank = F.xxhash64("gram", "sid", F.lit(turn))
         hub = rest.groupBy("gram").agg(F.min(F.struct(rank.alias("rank"), "sid", "n", "at", "root")).alias("hub"))
         hub = hub.select("gram", *[F.col(f"hub.{c}").alias(c) for c in ("sid", "n", "at", "root")])
         met = rest.alias("a").join(hub.alias("b"), F.col("a.gram") == F.col("b.gram"))
         pairs = materialize(untested(met.where((F.col("a.root") != F.col("b.root")) & may_reach("a", "b")), tested), "jaccard-pairs")
+        if pairs.isEmpty():
+            break
         found = verified(pairs, block, rows, described)
-        release(rest)
         tested = tested.unionByName(pairs)
         if found.isEmpty():
             break
         roots = extend(found)
+        release(rest)
+        rest = open_now()
 
     # product over all rows of different components: a gram's largest component against its other rows, and those
     # against each other
-    rest = open_now()
     most = rest.groupBy("gram", "root").agg(F.count("*").alias("k")).groupBy("gram").agg(F.max(F.struct("k", "root")).alias("most"))
     most = most.select(F.col("gram").alias("of"), F.col("most.root").alias("main"))
     minor = rest.join(most, (F.col("gram") == F.col("of")) & (F.col("root") != F.col("main"))).alias("a")
@@ -298,6 +303,14 @@ def gather_sets(rows: DataFrame, wanted: DataFrame, described: DataFrame) -> Dat
     return out
 
 
+def pairs_each(rest: DataFrame) -> float:
+    """How many pairs, at most, the product over all rows of different components makes for each open row."""
+    by_root = rest.groupBy("gram", "root").agg(F.count("*").alias("k"))
+    by_gram = by_root.groupBy("gram").agg(F.sum("k").cast("double").alias("n"), F.max("k").alias("main"))
+    row = by_gram.agg(F.sum("n").alias("rows"), F.sum((F.col("n") - F.col("main")) * F.col("n")).alias("pairs")).first()
+    return row["pairs"] / row["rows"] if row["rows"] else 0.0
+
+
 def untested(met: DataFrame, tested: DataFrame) -> DataFrame:
     """The distinct pairs of a joined with b that were not tested yet, larger id first."""
     pairs = met.select(F.greatest("a.sid", "b.sid").alias("a"), F.least("a.sid", "b.sid").alias("b")).distinct()

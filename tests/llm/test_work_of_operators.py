@@ -34,3 +34,47 @@ def test_learned_chunks_are_not_worked_out_again(vocabulary, monkeypatch):
         got = np.cumsum(np.frombuffer(table.deltas(t.encode(), known), dtype=np.int8)).tolist()
         assert got == [len(count.encode(t[:i], add_special_tokens=False).ids) for i in range(1, len(t) + 1)]
     assert sorted(asked) == sorted({c for t in texts for c in t.split()} | {""})
+
+
+# ---------------------------------------------------------------- similarity
+
+
+def test_a_bitmap_takes_few_jobs_at_any_number_of_partitions(spark):
+    from meterlake.llm.shared import Bitmap
+
+    df = spark.range(5000).selectExpr("xxhash64(id) AS key")
+    keys = np.array([r.key for r in df.collect()], np.int64)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        spark.sparkContext.setJobGroup("bitmap", "bitmap")
+        bits = Bitmap.of(df, "key", 5000)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("bitmap"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert jobs <= 5 and bits.has(keys.view(np.uint64)).all()
+    assert bits.has((keys ^ 0x5555).view(np.uint64)).mean() < 0.2
+
+
+def similar_groups(groups, each, common=""):
+    """Groups of texts, each like the first of its group but for its last word, and the group of each."""
+    texts = [(100 * g + i, " ".join([f"g{g}w{k}" for k in range(60)] + common.split() + [f"end{i}"]), g) for g in range(groups) for i in range(each)]
+    return [t[:2] for t in texts], {t[0]: 100 * t[2] for t in texts}
+
+
+@pytest.mark.parametrize("few, calls", [(8, 2), (-1, 3)])
+def test_star_rounds_are_left_out_where_few_pairs_are_open(spark, monkeypatch, few, calls):
+    from meterlake.llm import ngram_join
+
+    real, done = ngram_join.verified, []
+    monkeypatch.setattr(ngram_join, "FEW", few)
+    monkeypatch.setattr(ngram_join, "verified", lambda *a: done.append(1) or real(*a))
+    # each half of a text is that of another group: few grams are in several components
+    rows, want = similar_groups(6, 3)
+    rows += [(1000 + g, " ".join([f"g{g}w{k}" for k in range(12)] + [f"o{g}w{k}" for k in range(2)]), ) for g in range(6)]
+    out = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in out} == want | {1000 + g: 1000 + g for g in range(6)}
+    assert len(done) <= calls
