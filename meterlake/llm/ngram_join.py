@@ -10,7 +10,7 @@ overlap is completed over the rest of the columns.
 
 Large groups of near copies never give all their pairs. A first product pairs each
 gram's rows with one of them alone, and the links found are closed to components; a
-few more rounds do so with other rows. The last product pairs rows of different
+second does so with a few other rows. The last product pairs rows of different
 components only, which finds every link that can still change a component.
 """
 
@@ -36,9 +36,9 @@ PERCENT = 80
 #: never which links are found.
 ORDER_SHARE = 16
 ORDER_SIZE = 2**17
-#: Rounds that pair each gram's rows with one of them before all open pairs are made,
-#: while these are more than so many for each open row.
-STAR_ROUNDS, FEW = 3, 8
+#: Rows of a gram that its other rows pair with before all open pairs are made, where
+#: these are more than so many for each open row.
+STAR_HUBS, FEW = 8, 8
 
 def gram_sets(rows: Iterable[tuple]) -> Iterator[tuple[int | None, np.ndarray]]:
     """(id, distinct grams, sorted) of rows (id, text), hashed many at a time."""
@@ -147,7 +147,7 @@ def jaccard_components(
     described = materialize(marked.mapInArrow(describe, "doc_id long, mark long, n long, sid long"), "jaccard-rows")
 
     def first_block(keep: Bitmap | None):
-        """Rows of the first block: gram, set, its size, the gram's place; a set once a task."""
+        """Rows of the first block: gram, set, its size, the gram's place, how many of the set's grams are left out; a set once a task."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: set[int] = set()
@@ -166,21 +166,23 @@ def jaccard_components(
                 sid = np.repeat(np.array([p[1] for p in parts], np.int64), sizes)
                 n = np.repeat(np.array([p[2] for p in parts], np.int32), sizes)
                 at = np.concatenate([np.arange(s, dtype=np.int32) for s in sizes])
+                alone = np.zeros(len(gram), dtype=np.int32)
                 if keep is not None:
                     on = keep.value.has(gram)
-                    gram, sid, n, at = gram[on], sid[on], n[on], at[on]
+                    alone = np.repeat(np.add.reduceat(~on, np.cumsum([0, *sizes[:-1]]), dtype=np.int32), sizes)
+                    gram, sid, n, at, alone = gram[on], sid[on], n[on], at[on], alone[on]
                 step = OUT_BYTES // 24
                 for i in range(0, len(gram), step):
-                    cols = [c[i : i + step] for c in (gram.view(np.int64), sid, n, at)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["gram", "sid", "n", "at"])
+                    cols = [c[i : i + step] for c in (gram.view(np.int64), sid, n, at, alone)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["gram", "sid", "n", "at", "alone"])
 
-        return rows.mapInArrow(run, "gram long, sid long, n int, at int")
+        return rows.mapInArrow(run, "gram long, sid long, n int, at int, alone int")
 
     # grams of at least two sets, by two numbers a gram and task; the rest pairs with nothing
     shared = first_block(None).groupBy("gram").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).where("low < high")
     shared = materialize(shared.select("gram", F.col("low").alias("hub")), "jaccard-shared")
     bits = spark.sparkContext.broadcast(Bitmap.of(shared, "gram", shared.count()))
-    same = [F.first(c).alias(c) for c in ("n", "at", "hub")]
+    same = [F.first(c).alias(c) for c in ("n", "at", "alone", "hub")]
     block = materialize(first_block(bits).join(shared, "gram").groupBy("gram", "sid").agg(*same), "jaccard-block")
     bits.destroy()
     order.destroy()
@@ -196,30 +198,27 @@ def jaccard_components(
         """Rows of grams that still join different components, with their component."""
         placed = block.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
         mixed = placed.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-        return materialize(placed.join(mixed.select("gram"), "gram").select("gram", "sid", "n", "at", "root"), "jaccard-open")
+        return materialize(placed.join(mixed.select("gram"), "gram").select("gram", "sid", "n", "at", "alone", "root"), "jaccard-open")
 
     def extend(found: DataFrame) -> DataFrame:
         return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found))
 
-    # the same with other rows in turn: each round is linear, and merges most of what can be merged
+    # the same with a few other rows at once, the same for many grams: linear, and merges most of what can be merged.
+    # A row with few grams of its own is the likeliest to be similar to others.
     rest = open_now()
-    for turn in range(STAR_ROUNDS):
-        if pairs_each(rest) <= FEW:
-            break
-        rank = F.xxhash64("gram", "sid", F.lit(turn))
-        hub = rest.groupBy("gram").agg(F.min(F.struct(rank.alias("rank"), "sid", "n", "at", "root")).alias("hub"))
-        hub = hub.select("gram", *[F.col(f"hub.{c}").alias(c) for c in ("sid", "n", "at", "root")])
-        met = rest.alias("a").join(hub.alias("b"), F.col("a.gram") == F.col("b.gram"))
+    if pairs_each(rest) > FEW:
+        rank = lambda k: (F.col("alone") + 1) * (500 + F.pmod(F.xxhash64("sid", F.lit(k)), F.lit(1000)))
+        first = [F.min(F.struct(rank(k).alias("rank"), "sid", "n", "at", "root")) for k in range(STAR_HUBS)]
+        hubs = rest.groupBy("gram").agg(F.array(*first).alias("hubs"), F.count("*").alias("rows")).where(F.col("rows") > FEW)
+        hubs = hubs.select("gram", F.explode("hubs").alias("hub")).select("gram", *[F.col(f"hub.{c}").alias(c) for c in ("sid", "n", "at", "root")])
+        met = rest.alias("a").join(hubs.alias("b"), F.col("a.gram") == F.col("b.gram"))
         pairs = materialize(untested(met.where((F.col("a.root") != F.col("b.root")) & may_reach("a", "b")), tested), "jaccard-pairs")
-        if pairs.isEmpty():
-            break
         found = verified(pairs, block, rows, described)
         tested = tested.unionByName(pairs)
-        if found.isEmpty():
-            break
-        roots = extend(found)
-        release(rest)
-        rest = open_now()
+        if not found.isEmpty():
+            roots = extend(found)
+            release(rest)
+            rest = open_now()
 
     # product over all rows of different components: a gram's largest component against its other rows, and those
     # against each other
@@ -266,16 +265,13 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return marked.join(kept, same, "left_semi").dropDuplicates([id_col, mark]).drop(mark)
 
 
-def gather_sets(rows: DataFrame, wanted: DataFrame, described: DataFrame) -> DataFrame:
-    """(sid, grams) of the wanted sets, each once, written.
+def gather_sets(rows: DataFrame, wanted: DataFrame, count: int, described: DataFrame) -> DataFrame:
+    """(sid, grams) of the wanted sets (``count`` rows, which may repeat), each once, written.
 
-    ``described`` gives one text of each set by its hash; a bitmap of those hashes
+    ``described`` gives the texts of each set by their hashes; a bitmap of those hashes
     leaves out nearly all other texts before they are cut into grams.
     """
-    count = wanted.count()
-    if not count:
-        return rows.sparkSession.createDataFrame([], "sid long, grams binary")
-    marks = described.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.min("mark").alias("mark"))
+    marks = described.join(wanted, "sid", "left_semi").select("mark")
     bits = rows.sparkSession.sparkContext.broadcast(Bitmap.of(marks, "mark", count))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -337,7 +333,10 @@ def likely(pairs: DataFrame, block: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, block: DataFrame, rows: DataFrame, described: DataFrame) -> DataFrame:
     """The pairs (a, b) whose whole sets overlap enough, written."""
     pairs = materialize(likely(pairs, block), "jaccard-likely")
-    sets = gather_sets(rows, pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "sid"), described)
+    count = pairs.count()  # from the footers of what was written
+    if not count:
+        return pairs
+    sets = gather_sets(rows, pairs.select("a").union(pairs.select("b")).withColumnRenamed("a", "sid"), 2 * count, described)
     left = sets.select(F.col("sid").alias("a"), F.col("grams").alias("left"))
     right = sets.select(F.col("sid").alias("b"), F.col("grams").alias("right"))
 

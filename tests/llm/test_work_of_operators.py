@@ -78,3 +78,31 @@ def test_star_rounds_are_left_out_where_few_pairs_are_open(spark, monkeypatch, f
     out = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: r.component_id for r in out} == want | {1000 + g: 1000 + g for g in range(6)}
     assert len(done) <= calls
+
+
+def test_rows_near_the_middle_of_a_group_of_copies_take_in_the_others(spark, monkeypatch):
+    """Copies with three or four changed words are similar to few but the text itself: they must not all meet one another."""
+    import random
+
+    from meterlake.llm import ngram_join
+
+    rng, real, met = random.Random(4), ngram_join.verified, []
+    monkeypatch.setattr(ngram_join, "verified", lambda pairs, *a: met.append(pairs.distinct().count()) or real(pairs, *a))
+    rows = []
+    for i in range(200):
+        words = [f"w{k}" for k in range(200)]
+        for k in rng.sample(range(10, 190), 0 if i == 77 else rng.choice([3, 4])):
+            words[k] = f"own{i}x{k}"
+        rows.append((i, " ".join(words)))
+    got = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.component_id for r in got} == {0}
+    assert sum(met) <= 16 * len(rows)
+
+
+@pytest.mark.parametrize("changed", [0, 1])
+def test_no_pair_left_gives_the_same_components(spark, changed):
+    from meterlake.llm.ngram_join import jaccard_components
+
+    rows = [(1, "a b c d e f g"), (2, "a b c d e f g" if not changed else "h i j k l m n"), (3, ""), (4, None)]
+    got = {r.doc_id: r.component_id for r in jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 1 + changed, 3: 3, 4: 4}
