@@ -42,8 +42,10 @@ def shape(word: bytes) -> bytes:
     return _RUN.sub(rb"\1", word.translate(_LETTERS))
 
 
-_WORD = Recent(lambda w: xxhash.xxh3_64_intdigest(w.lower()))
-_SHAPE = Recent(lambda w: xxhash.xxh3_64_intdigest(shape(w)))
+#: Words whose hashes a worker remembers. Rare words are found again too seldom to pay for their memory.
+REMEMBERED = 40_000
+_WORD = Recent(lambda w: xxhash.xxh3_64_intdigest(w.lower()), REMEMBERED)
+_SHAPE = Recent(lambda w: xxhash.xxh3_64_intdigest(shape(w)), REMEMBERED)
 
 
 def features(text: bytes, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:

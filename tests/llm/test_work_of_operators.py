@@ -106,3 +106,20 @@ def test_no_pair_left_gives_the_same_components(spark, changed):
     rows = [(1, "a b c d e f g"), (2, "a b c d e f g" if not changed else "h i j k l m n"), (3, ""), (4, None)]
     got = {r.doc_id: r.component_id for r in jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: 1, 2: 1 + changed, 3: 3, 4: 4}
+
+
+# ---------------------------------------------------------------- quality
+
+
+def test_the_quality_model_remembers_few_words():
+    """Texts of ever new words: a worker's tables stay small, and features are the same as without them."""
+    from meterlake.llm import quality_model
+
+    quality_model._WORD.forget(), quality_model._SHAPE.forget()
+    texts = [" ".join(f"Word{k}x{'yz' * (k % 5)}" for k in range(i, i + 20_000)).encode() for i in range(0, 160_000, 20_000)]
+    first = [quality_model.features(t) for t in texts]
+    held = sum(len(t) + len(t.old) for t in (quality_model._WORD, quality_model._SHAPE))
+    assert held <= 4 * quality_model.REMEMBERED and held <= 200_000
+    again = [quality_model.features(t) for t in texts]
+    assert all((a == b).all() for x, y in zip(first, again) for a, b in zip(x, y))
+    quality_model._WORD.forget(), quality_model._SHAPE.forget()
