@@ -10,7 +10,6 @@ size; scoring is a sparse dot product with it, without a shuffle.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,18 +33,21 @@ ALPHA, BETA, L1, L2 = 1.0, 1.0, 1e-4, 1e-3
 _LETTERS = bytes(
     ord("a") if 97 <= b < 123 or b > 127 else ord("A") if 65 <= b < 91 else ord("0") if 48 <= b < 58 else b for b in range(256)
 )
-_RUN = re.compile(rb"(.)\1+", re.DOTALL)
 
 
-def shape(word: bytes) -> bytes:
-    """The word with its letters, capitals and digits made equal and runs of one sign shortened: "Then," is "Aa,"."""
-    return _RUN.sub(rb"\1", word.translate(_LETTERS))
+def shapes(text: bytes) -> list[bytes]:
+    """The words with their letters, capitals and digits made equal and runs of one sign shortened: "Then," is "Aa,".
+
+    Blanks are signs of their own, so a whole text is rewritten at once and has the same words after.
+    """
+    signs = np.frombuffer(text.translate(_LETTERS), dtype=np.uint8)
+    return signs[np.append(signs[1:] != signs[:-1], True)[: len(signs)]].tobytes().split()
 
 
-#: Words whose hashes a worker remembers. Rare words are found again too seldom to pay for their memory.
+#: Shapes whose hashes a worker remembers. Words are hashed as they come: so many are rare that looking them up takes longer.
 REMEMBERED = 40_000
-_WORD = Recent(lambda w: xxhash.xxh3_64_intdigest(w.lower()), REMEMBERED)
-_SHAPE = Recent(lambda w: xxhash.xxh3_64_intdigest(shape(w)), REMEMBERED)
+_WORD = Recent(xxhash.xxh3_64_intdigest, REMEMBERED)
+_SHAPE = Recent(xxhash.xxh3_64_intdigest, REMEMBERED)
 
 
 def features(text: bytes, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
@@ -55,12 +57,12 @@ def features(text: bytes, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     word shapes, their pairs and words that follow themselves weigh by their
     share of the text.
     """
-    words = text.split()
+    words = text.lower().split()
     n = len(words)
     if not n:
         return np.empty(0, dtype=np.int64), np.empty(0)
-    own = np.fromiter(map(_WORD.__getitem__, words), dtype=np.uint64, count=n)
-    forms = np.fromiter(map(_SHAPE.__getitem__, words), dtype=np.uint64, count=n)
+    own = np.fromiter(map(_WORD.compute, words), dtype=np.uint64, count=n)
+    forms = np.fromiter(map(_SHAPE.__getitem__, shapes(text)), dtype=np.uint64, count=n)
     shift = np.uint64(64 - bits)
     with np.errstate(over="ignore"):
         pairs = mix(own[:-1] * np.uint64(3) + own[1:])

@@ -123,3 +123,39 @@ def test_the_quality_model_remembers_few_words():
     again = [quality_model.features(t) for t in texts]
     assert all((a == b).all() for x, y in zip(first, again) for a, b in zip(x, y))
     quality_model._WORD.forget(), quality_model._SHAPE.forget()
+
+
+def test_the_quality_model_works_out_a_shape_once(monkeypatch):
+    """New words of known shapes need no look at their shape, and features are those of words taken one by one."""
+    import re
+
+    import xxhash
+
+    from meterlake.llm import quality_model as Q
+    from meterlake.llm.words import mix
+
+    def plain(text, bits=Q.BITS):
+        words = text.split()
+        one = lambda b: ord("a") if 97 <= b < 123 or b > 127 else ord("A") if 65 <= b < 91 else ord("0") if 48 <= b < 58 else b
+        shape = lambda w: re.sub(rb"(.)\1+", rb"\1", bytes(map(one, w)), flags=re.DOTALL)
+        own, forms = (np.array([xxhash.xxh3_64_intdigest(f(w)) for w in words], np.uint64) for f in (bytes.lower, shape))
+        shift = np.uint64(64 - bits)
+        pairs = mix(own[:-1] * np.uint64(3) + own[1:])
+        grams = np.unique(mix(np.concatenate([own, pairs + np.uint64(1)])) >> shift)
+        steps = mix(forms[:-1] * np.uint64(5) + forms[1:])
+        same = np.full(int((own[1:] == own[:-1]).sum()), np.uint64(2**64 - 1))
+        looks, counts = np.unique(mix(np.concatenate([forms, steps, same]) + np.uint64(2)) >> shift, return_counts=True)
+        values = np.concatenate([np.full(len(grams), len(grams) ** -0.5), counts / len(words)])
+        return np.concatenate([grams, looks]).astype(np.int64), values
+
+    Q._WORD.forget(), Q._SHAPE.forget()
+    odd = ["  Then, THEN then\n\n\t ñÑ日本 aa\x0b\x0cBB11--22__!! x\r\n", "a", "A\x00\x00b\x1cc\x85d\u3000e\xa0f  ", "...,,, 12 1234 Zz\n"]
+    for text in odd:
+        assert all((a == b).all() for a, b in zip(Q.features(text.encode()), plain(text.encode())))
+    assert not len(Q.features(b"")[0]) and not len(Q.features(b" \n\t ")[0])
+    asked = []
+    monkeypatch.setattr(Q._SHAPE, "compute", lambda w: asked.append(w) or xxhash.xxh3_64_intdigest(w))
+    text = " ".join(f"Word{k}x" for k in range(5000)).encode()
+    assert all((a == b).all() for a, b in zip(Q.features(text), plain(text)))
+    assert asked == [b"Aa0a"]
+    Q._WORD.forget(), Q._SHAPE.forget()
