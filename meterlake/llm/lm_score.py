@@ -243,7 +243,7 @@ def with_counts(rows: DataFrame, cold: DataFrame, n: str = "n") -> DataFrame:
     for side in ("context", "token"):
         found = cold.select(F.col("id").alias("cold"), F.expr(n).alias("found"))
         # small numbers meet nothing: they are spread out, not gathered by word
-        key = F.when(F.col(side) < 0, F.col(side)).otherwise(F.xxhash64(*rows.columns).bitwiseAND(2**63 - 1))
+        key = F.when(F.col(side) < 0, F.col(side)).otherwise(F.xxhash64(*rows.columns).bitwiseAND(2**20 - 1))
         rows = rows.withColumn("cold", key).join(found, "cold", "left")
         rows = rows.withColumn(f"{side}_n", F.coalesce("found", f"{side}_n")).drop("cold", "found")
     return rows
@@ -372,10 +372,10 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     parts = rows.withColumn("learned", training(F.col("doc_id"))).mapInArrow(local, _PARTS)
     parts = materialize(parts.withColumn("row", F.monotonically_increasing_id()), "lm-parts")
-    one = lambda names: parts.select("row", F.explode(F.arrays_zip(*names)).alias("x")).select("row", *[f"x.{c}" for c in names])
+    one = lambda names: parts.select("row", "learned", F.explode(F.arrays_zip(*names)).alias("x")).select("row", "learned", *[f"x.{c}" for c in names])
 
     # pairs seen once matter to texts that were not learned alone
-    asked = parts.where("NOT learned").select(F.explode(F.concat("pairs", "far_pairs")).alias("pair")).select(F.xxhash64("pair").alias("key"))
+    asked = parts.where("NOT learned").select(F.explode(F.concat("small_pairs", "pairs", "far_pairs")).alias("pair")).select(F.xxhash64("pair").alias("key"))
     asked_bits = spark.sparkContext.broadcast(Bitmap.of(asked, "key", asked.count()))
 
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -386,18 +386,23 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     known = materialize(known, "lm-known")
     release(pairs)
     asked_bits.unpersist()
-    meet = lambda far: far.join(known, "pair", "left").withColumn("n", F.coalesce("found", "n")).drop("found", "pair")
-    near = meet(one(["pairs", "n", "context_n", "token_n"]).withColumnRenamed("pairs", "pair"))
-    far = one(["far_pairs", "far_n", "context", "token", "far_context_n", "far_token_n"])
-    far = meet(far.toDF("row", "pair", "n", "context", "token", "context_n", "token_n"))
+    # where the join finds no count, a learned text's own one holds
+    own_n = F.col("learned").cast("long").alias("n")
+    count = lambda asked, on: asked.join(known.where(on), "pair", "left").withColumn("n", F.coalesce("found", "n")).drop("found")
+    small = count(parts.select("row", own_n, F.explode("small_pairs").alias("pair")), "pair >= 0").select("row", "n", "pair")
+    near = count(one(["pairs", "context_n", "token_n"]).select("row", F.col("pairs").alias("pair"), own_n, "context_n", "token_n"), "pair < 0")
+    far = one(["far_pairs", "far_n", "context", "token", "far_context_n", "far_token_n"]).drop("learned")
+    far = count(far.toDF("row", "pair", "n", "context", "token", "context_n", "token_n"), "pair < 0").drop("pair")
     cols = ["row", "n", "context_n", "token_n"]
 
     def price(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, *counted = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(np.log10(shipped.value[0].mixed(*counted)))], ["row", "own"])
+            m = shipped.value[0]
+            p = m.probability(counted[1], counted[0]) if batch.schema.names[-1] == "pair" else m.mixed(*counted)
+            yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(np.log10(p))], ["row", "own"])
 
-    priced = lambda met: met.select(cols).mapInArrow(price, "row long, own double").select(
+    priced = lambda met: met.mapInArrow(price, "row long, own double").select(
         "row", F.lit(0.0).alias("base"), "own", F.lit(0).cast("long").alias("known")
     )
     far_words = parts.select("row", F.explode("words").alias("id")).join(cold.select("id", "n"), "id", "left")
@@ -405,7 +410,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     by_word = far_words.select("row", F.log10(seen + ADD).alias("base"), F.lit(0.0).alias("own"), (seen > 0).cast("long").alias("known"))
     add_up = lambda found: found.groupBy("row").agg(*[F.sum(c).alias(c) for c in ("base", "own", "known")])
     # one join after the other, so that the shuffle files of one are gone before the next
-    met = [priced(near), priced(with_counts(far, cold)), by_word]
+    met = [priced(small), priced(near.select(cols)), priced(with_counts(far, cold).select(cols)), by_word]
     met = [materialize(add_up(found), "lm-sums") for found in met]
     release(known, counts)
     shipped.unpersist()
@@ -427,7 +432,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 _PARTS = (
     "doc_id long, learned boolean, n_tokens long, known long, base double, own double, words array<bigint>, "
-    "pairs array<bigint>, n array<bigint>, context_n array<bigint>, token_n array<bigint>, far_pairs array<bigint>, far_n array<bigint>, "
+    "small_pairs array<bigint>, pairs array<bigint>, context_n array<bigint>, token_n array<bigint>, far_pairs array<bigint>, far_n array<bigint>, "
     "context array<bigint>, token array<bigint>, far_context_n array<bigint>, far_token_n array<bigint>"
 )
 
@@ -436,7 +441,8 @@ def score_batches(batches: Iterator[pa.RecordBatch], m: Model, pair_bits: Bitmap
     """A row for each document: the sums over what the task knows, and the words and pairs whose counts are elsewhere.
 
     A word or pair of a learned text that is neither at hand nor in the bitmap
-    occurs once. ``n`` and the other counts are what holds where the join finds none.
+    occurs once. The counts are what holds where the join finds none. Pairs of small
+    numbers go alone: they tell their words, whose counts the tasks have.
     """
     w = m.words
     bottom = np.log10(w.total + ADD * (w.kinds + 1))
@@ -475,6 +481,7 @@ def score_batches(batches: Iterator[pa.RecordBatch], m: Model, pair_bits: Bitmap
 
         small = lambda ids, on: np.where(on, ids, 0)
         cols = [pa.array(doc_id, pa.int64()), pa.array(learned), pa.array(np.bincount(of, minlength=len(found)), pa.int64()), pa.array(known, pa.int64())]
-        cols += [pa.array(base), pa.array(own), *lists(token_away, token), *lists(away & ~side_away, pair, n, context_n, token_n)]
+        cols += [pa.array(base), pa.array(own), *lists(token_away, token), *lists(away & (pair >= 0), pair)]
+        cols += lists(away & ~side_away & (pair < 0), pair, context_n, token_n)
         cols += lists(side_away, pair, n, small(context, context_away), small(token, token_away), context_n, token_n)
         yield pa.RecordBatch.from_arrays(cols, [c.split()[0] for c in _PARTS.split(", ")])

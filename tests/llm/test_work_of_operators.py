@@ -159,3 +159,31 @@ def test_the_quality_model_works_out_a_shape_once(monkeypatch):
     assert all((a == b).all() for a, b in zip(Q.features(text), plain(text)))
     assert asked == [b"Aa0a"]
     Q._WORD.forget(), Q._SHAPE.forget()
+
+
+# ---------------------------------------------------------------- language model
+
+
+def test_pairs_of_common_words_travel_without_their_counts():
+    """A pair of small numbers tells its words, whose counts the tasks have: only pairs with other words take counts along."""
+    import pyarrow as pa
+
+    from meterlake.llm import lm_score as M
+    from meterlake.llm.shared import Bitmap
+
+    by_token = np.zeros(M.SIDE, np.int64)
+    by_token[:2], by_token[M.END] = (6, 4), 2
+    other = np.array([M.word_id(b"c")])
+    words = M.Words({b"a": 0, b"b": 1}, by_token, by_token * 0, other, np.array([3]), 2, 0, 4, 15, 0)
+    weights = np.tile([0.4, 0.5, 0.1], (M.BUCKETS, 1))
+    none = np.empty(0, np.int64)
+    model = M.Model(words, weights, words.contexts(), none, none)
+    full = Bitmap(np.full(2**13, 255, np.uint8), 16)
+    batch = pa.RecordBatch.from_arrays([pa.array([7, 8]), pa.array(["a b a b c", "b a"]), pa.array([True, False])], ["doc_id", "text", "learned"])
+    [out] = M.score_batches(iter([batch]), model, full, full)
+    rows = out.to_pylist()
+    small = lambda *pairs: [c * M.SIDE + t for c, t in pairs]
+    assert rows[0]["small_pairs"] == small((M.START, 0), (0, 1), (1, 0), (0, 1)) and rows[1]["small_pairs"] == small((M.START, 1), (1, 0), (0, M.END))
+    assert [rows[0][c] for c in ("context_n", "token_n")] == [[4, 3], [3, 2]] and not rows[1]["pairs"]
+    values = {f.name: sum(len(v) for v in out.column(f.name).to_pylist()) for f in out.schema if pa.types.is_list(f.type)}
+    assert values == {"small_pairs": 7, "pairs": 2, "context_n": 2, "token_n": 2} | {c: 0 for c in values if c not in ("small_pairs", "pairs", "context_n", "token_n")}
