@@ -162,7 +162,8 @@ def pairs_of(found: list[list[bytes]], number: dict[bytes, int]) -> tuple[np.nda
     words = list(chain.from_iterable(found))
     rank = np.fromiter(map(number.get, words, repeat(-1)), dtype=np.int64, count=len(words))
     cold = np.flatnonzero(rank < 0)
-    rank[cold] = np.fromiter((word_id(words[k]) for k in cold.tolist()), dtype=np.int64, count=len(cold))
+    far = np.fromiter(map(xxhash.xxh64_intdigest, map(words.__getitem__, cold.tolist()), repeat(42)), dtype=np.uint64, count=len(cold))
+    rank[cold] = (far | np.uint64(1 << 63)).view(np.int64)
     ids = np.full(len(words) + 2 * len(found), START, dtype=np.int64)
     ids[np.arange(len(words)) + 2 * np.repeat(np.arange(len(found)), size) + 1] = rank
     ids[np.cumsum(size + 2) - 1] = END
@@ -242,9 +243,9 @@ def with_counts(rows: DataFrame, cold: DataFrame, n: str = "n") -> DataFrame:
     """rows with ``context_n`` and ``token_n``: ``n`` of the words of negative numbers that cold has, else what the rows have."""
     for side in ("context", "token"):
         found = cold.select(F.col("id").alias("cold"), F.expr(n).alias("found"))
-        # small numbers meet nothing: they are spread out, not gathered by word
+        # small numbers meet nothing: they are spread out, not gathered by word; a hash travels once
         key = F.when(F.col(side) < 0, F.col(side)).otherwise(F.xxhash64(*rows.columns).bitwiseAND(2**20 - 1))
-        rows = rows.withColumn("cold", key).join(found, "cold", "left")
+        rows = rows.withColumns({"cold": key, side: F.greatest(F.col(side), F.lit(-1))}).join(found, "cold", "left")
         rows = rows.withColumn(f"{side}_n", F.coalesce("found", f"{side}_n")).drop("cold", "found")
     return rows
 
@@ -289,12 +290,13 @@ def learn_weights(pairs: DataFrame, words: Words, sides: DataFrame | None = None
     weights = np.tile([0.4, 0.5, 0.1], (BUCKETS, 1))
     weights[0] = [0.0, 0.9, 0.1]
     for _ in range(EM_STEPS):
-        w = F.array(*[F.array(*[F.lit(float(x)) for x in line]) for line in weights])
-        own = F.get(w, F.col("bucket").cast("int"))
-        a, b, c = F.get(own, 0) * F.col("p2"), F.get(own, 1) * F.col("p1"), F.get(own, 2) * uniform
+        # a table of BUCKETS rows: as literals, each step would be compiled anew
+        w = spark.createDataFrame([(k, *map(float, line)) for k, line in enumerate(weights)], "bucket long, w2 double, w1 double, w0 double")
+        a, b, c = F.col("w2") * F.col("p2"), F.col("w1") * F.col("p1"), F.col("w0") * uniform
         share = F.col("held") / (a + b + c)
         sums = (
-            rows.groupBy("bucket")
+            rows.join(F.broadcast(w), "bucket")
+            .groupBy("bucket")
             .agg(F.sum(a * share).alias("a"), F.sum(b * share).alias("b"), F.sum(c * share).alias("c"))
             .collect()  # BUCKETS rows at most
         )
@@ -335,7 +337,9 @@ def found_in(table: np.ndarray, counts: np.ndarray, keys: np.ndarray) -> tuple[n
     """Whether the sorted table has each key, and its count there."""
     if not len(table):
         return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
-    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    order = np.argsort(keys)  # neighbours are looked up near one another
+    at = np.empty(len(keys), np.int64)
+    at[order] = np.minimum(np.searchsorted(table, keys[order]), len(table) - 1)
     return table[at] == keys, counts[at]
 
 
@@ -390,9 +394,11 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     own_n = F.col("learned").cast("long").alias("n")
     count = lambda asked, on: asked.join(known.where(on), "pair", "left").withColumn("n", F.coalesce("found", "n")).drop("found")
     small = count(parts.select("row", own_n, F.explode("small_pairs").alias("pair")), "pair >= 0").select("row", "n", "pair")
-    near = count(one(["pairs", "context_n", "token_n"]).select("row", F.col("pairs").alias("pair"), own_n, "context_n", "token_n"), "pair < 0")
+    near = count(one(["pairs", "context_n", "token_n"]).select("row", own_n, F.col("pairs").alias("pair"), "context_n", "token_n"), "pair < 0")
     far = one(["far_pairs", "far_n", "context", "token", "far_context_n", "far_token_n"]).drop("learned")
-    far = count(far.toDF("row", "pair", "n", "context", "token", "context_n", "token_n"), "pair < 0").drop("pair")
+    far = far.toDF("row", "pair", "n", "context", "token", "context_n", "token_n")
+    # a pair whose count the task knew is 0 there
+    far = far.where("pair = 0").drop("pair").unionByName(count(far.where("pair < 0"), "pair < 0").drop("pair"))
     cols = ["row", "n", "context_n", "token_n"]
 
     def price(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -483,5 +489,5 @@ def score_batches(batches: Iterator[pa.RecordBatch], m: Model, pair_bits: Bitmap
         cols = [pa.array(doc_id, pa.int64()), pa.array(learned), pa.array(np.bincount(of, minlength=len(found)), pa.int64()), pa.array(known, pa.int64())]
         cols += [pa.array(base), pa.array(own), *lists(token_away, token), *lists(away & (pair >= 0), pair)]
         cols += lists(away & ~side_away & (pair < 0), pair, context_n, token_n)
-        cols += lists(side_away, pair, n, small(context, context_away), small(token, token_away), context_n, token_n)
+        cols += lists(side_away, small(pair, away), n, small(context, context_away), small(token, token_away), context_n, token_n)
         yield pa.RecordBatch.from_arrays(cols, [c.split()[0] for c in _PARTS.split(", ")])

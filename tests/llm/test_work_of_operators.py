@@ -187,3 +187,26 @@ def test_pairs_of_common_words_travel_without_their_counts():
     assert [rows[0][c] for c in ("context_n", "token_n")] == [[4, 3], [3, 2]] and not rows[1]["pairs"]
     values = {f.name: sum(len(v) for v in out.column(f.name).to_pylist()) for f in out.schema if pa.types.is_list(f.type)}
     assert values == {"small_pairs": 7, "pairs": 2, "context_n": 2, "token_n": 2} | {c: 0 for c in values if c not in ("small_pairs", "pairs", "context_n", "token_n")}
+
+
+def test_pairs_whose_count_is_at_hand_do_not_ask_for_it():
+    """Pairs of a rare word that occur once, in the text itself, ask for the count of the word alone."""
+    import pyarrow as pa
+
+    from meterlake.llm import lm_score as M
+    from meterlake.llm.shared import Bitmap
+
+    by_token = np.zeros(M.SIDE, np.int64)
+    by_token[0], by_token[M.END] = 6, 2
+    none = np.empty(0, np.int64)
+    words = M.Words({b"a": 0}, by_token, by_token * 0, none, none, 2, 0, 3, 10, 0)
+    model = M.Model(words, np.tile([0.4, 0.5, 0.1], (M.BUCKETS, 1)), words.contexts(), none, none)
+    full, empty = (Bitmap(np.full(2**13, fill, np.uint8), 16) for fill in (255, 0))
+    batch = pa.RecordBatch.from_arrays([pa.array([7, 8]), pa.array(["a c", "a c"]), pa.array([True, False])], ["doc_id", "text", "learned"])
+    c = M.word_id(b"c")
+    asked = M.pair_id(np.array([0, c]), np.array([c, M.END])).tolist()
+    for pair_bits, learned in ((empty, [0, 0]), (full, asked)):
+        [out] = M.score_batches(iter([batch]), model, pair_bits, full)
+        one, two = out.to_pylist()
+        assert one["far_pairs"] == learned and one["far_n"] == [1, 1] and one["words"] == two["words"] == [c]
+        assert two["far_pairs"] == asked and two["far_n"] == [0, 0] and one["token"] == two["token"] == [c, 0]
