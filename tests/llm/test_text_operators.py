@@ -396,6 +396,70 @@ def test_matches_exist_where_brute_force_has_one(monkeypatch):
     assert both == 3
 
 
+def test_pairs_verified_together_have_the_matches_that_each_has_alone(monkeypatch):
+    """Pairs without repeats in one order are never looked at one by one; results are those of one by one."""
+    import pyarrow as pa
+
+    from meterlake.llm import passages
+
+    rng = np.random.default_rng(17)
+    pairs = []
+    for k in range(600):
+        kinds = (12, 60, 400, 10**9)[k % 4]
+        x = rng.integers(0, kinds, rng.integers(20, 260)).astype(np.uint32)
+        y = x[rng.integers(0, 20) :].copy()
+        at = rng.integers(0, len(y), rng.integers(0, 9))
+        y[at] = rng.integers(0, kinds, len(at))
+        if k % 5 == 0 and len(y) > 30:  # another order
+            y = np.concatenate([y[len(y) // 2 :], y[: len(y) // 2]])
+        if k % 7 == 0:
+            y = np.insert(y, rng.integers(0, len(y) + 1, 9), rng.integers(0, kinds, 9))
+        pairs.append((x, np.concatenate([rng.integers(0, kinds, rng.integers(0, 30)), y]).astype(np.uint32)))
+    columns = [pa.array([side.tobytes() for side in sides], pa.binary()) for sides in zip(*pairs)]
+    plain = [k for k, (x, y) in enumerate(pairs) if passages.may_match(columns[0][k : k + 1], columns[1][k : k + 1])[0]]
+    true = [(k, *match) for k in plain for match in passages.matches(*pairs[k])]
+    got = sorted(zip(*(col.tolist() for col in passages.matches_of(*columns))))
+    assert got == sorted(true) and len({k for k, *_ in true}) > 150
+
+    one_order = [k for k, (x, y) in enumerate(pairs) if k % 4 == 3 and k % 5 and len(set(x.tolist())) == len(x) and len(set(y.tolist())) == len(y)]
+    monkeypatch.setattr(passages, "matches", lambda x, y: pytest.fail("a pair alone"))
+    got = list(passages.matches_of(*(col.take(pa.array(one_order)) for col in columns))[0])
+    assert len(set(got)) == len({k for k, *_ in true if k in one_order}) > 30
+
+
+def test_keys_that_many_windows_have_are_joined_with_the_same_result(spark, monkeypatch):
+    from meterlake.llm import passages
+
+    rng = random.Random(53)
+    words_of = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    line, rows = words_of(60), []
+    for k in range(30):
+        passage = words_of(70)
+        edited = [*passage[:35], "edited", *passage[36:]] if k % 2 else passage
+        rows += [(k, " ".join(words_of(20) + passage + line + words_of(15)), "s"), (1000 - k, " ".join(words_of(9) + edited + line), "s")]
+        rows += [(k, " ".join(words_of(30) + line), "s")] * (k % 3)  # other texts of the same ids
+    found = []
+    for hot in (passages.HOT, 20, 0):
+        monkeypatch.setattr(passages, "HOT", hot)
+        found.append(sorted(passages.repeated_passages(frame(spark, rows)).collect()))
+    assert found[0] == found[1] == found[2] and len({r.doc_id for r in found[0]}) == 60
+
+
+def test_windows_of_a_key_are_in_one_block_and_all_places_are_counted():
+    from meterlake.llm.passages import PLACES, from_blocks, in_blocks
+
+    rng = np.random.default_rng(4)
+    more = np.zeros(500, PLACES)
+    more["key"], more["n"] = rng.integers(0, 90, 500), 1
+    keys = rng.integers(0, 2**63, 3000).astype(np.uint64)
+    batch = in_blocks(64, keys, more)
+    assert batch.num_rows == 64
+    assert sorted(from_blocks([batch], 1, keys.dtype).tolist()) == sorted(keys.tolist())
+    assert sorted(from_blocks([batch], 2, PLACES).tolist()) == sorted(more.tolist())
+    of = [set((np.frombuffer(b.as_buffer(), PLACES)["key"] if len(b.as_buffer()) else np.empty(0, int)).tolist()) for b in batch.column(2)]
+    assert sum(len(own) for own in of) == len(set(more["key"].tolist()))
+
+
 # ---------------------------------------------------------------- WARC
 
 
